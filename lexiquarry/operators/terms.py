@@ -121,13 +121,14 @@ def _order() -> list[Column]:
 
 
 def suggest_one(terms: DataFrame, prefix: str, limit: int = DEFAULT_SUGGESTIONS) -> DataFrame:
-    """Most frequent terms that start with a prefix; the prefix filter reaches the scan."""
+    """Most frequent terms that start with a prefix; the prefix filter reaches the scan.
+
+    Without a prefix these are the popular terms.
+    """
     terms = terms.select("term", "frequency")
     cleaned = prefix.lower().strip()
     if cleaned:
         terms = terms.where(F.col("term").startswith(cleaned))
-    elif prefix:
-        terms = terms.where(F.lit(False))
     return terms.orderBy(*_order()).limit(clamp(limit, MAX_SUGGESTIONS))
 
 

@@ -1,0 +1 @@
+"""Registered queries over the given tables, and the SQL they are checked against."""
