@@ -60,9 +60,14 @@ def count_terms(analyzed: DataFrame) -> DataFrame:
 
 
 def postings(doc_terms: DataFrame) -> DataFrame:
-    return doc_terms.select("shard_id", "doc_id", "doc_len", F.explode("terms").alias("t")).select(
-        "shard_id", "t.term", "doc_id", "t.tf", "doc_len"
-    )
+    """One row per term of a document.
+
+    The outer form of explode, because for the inner one the optimizer adds a
+    filter on the size of the array, pushes it to the scan and so evaluates the
+    whole text analysis a second time.
+    """
+    rows = doc_terms.select("shard_id", "doc_id", "doc_len", F.explode_outer("terms").alias("t"))
+    return rows.where("t is not null").select("shard_id", "t.term", "doc_id", "t.tf", "doc_len")
 
 
 def term_stats(entries: DataFrame) -> DataFrame:

@@ -225,8 +225,8 @@ ORACLES = {
     + _hits("best", "kept"),
     "sch09_search_global": _scored("global", False, sql.MARKS, sql.KEPT, *_page("kept", SIZE, 5))
     + _hits("page", "kept"),
-    "sch10_iso_timestamp": "SELECT event_id, strftime(ts, CASE WHEN ts = date_trunc('second', ts) "
-    "THEN '%Y-%m-%dT%H:%M:%S' ELSE '%Y-%m-%dT%H:%M:%S.%f' END) AS ts FROM events",
+    "sch10_iso_timestamp": "SELECT event_id, CASE WHEN ts = date_trunc('second', ts) "
+    "THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS ts FROM events",
     "sch12_search_batch": _scored("global", False, *_page("docs", SIZE)) + _hits("page", "docs"),
     "sch12_search_batch_stemmed": _scored("global", True, *_page("docs", SIZE)) + _hits("page", "docs"),
 }

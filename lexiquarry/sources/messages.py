@@ -121,9 +121,10 @@ def parse_documents(messages: DataFrame) -> DataFrame:
 def parse_term_updates(messages: DataFrame) -> DataFrame:
     """One signed delta per term of each update message."""
     body = F.from_json("value", TERM_UPDATE_MESSAGE)
-    return messages.select(body.alias("m")).select(
-        "m.shard_id", F.explode("m.terms").alias("term", "frequency_delta")
+    deltas = messages.select(body.alias("m")).select(
+        "m.shard_id", F.explode_outer("m.terms").alias("term", "frequency_delta")
     )
+    return deltas.where("term is not null")
 
 
 def read_document_stream(spark: SparkSession, folder: str | None = None, **kafka: str) -> DataFrame:
