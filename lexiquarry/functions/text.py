@@ -100,8 +100,8 @@ def normalize_term(term) -> Column:
 
 def word_count(text) -> Column:
     """Number of white-space separated words."""
-    pieces = F.split(_text(text), f"[{WHITE_SPACE}]+")
-    return F.size(F.filter(pieces, lambda w: w != "")).cast("bigint")
+    blanked = F.translate(_text(text), WHITE_SPACE, " " * len(WHITE_SPACE))
+    return F.size(F.filter(F.split(blanked, " "), lambda w: w != "")).cast("bigint")
 
 
 def snippet(content, length: int = 500) -> Column:

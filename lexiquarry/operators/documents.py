@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.operators.ranking import first_per_key
-from lexiquarry.session import lookup_side
+from lexiquarry.session import lookup_side, settle, settled_side
 
 KEY = ["shard_id", "doc_id"]
 FIELDS = ["title", "content", "source", "metadata"]
@@ -41,7 +41,7 @@ def upsert_documents(
     current table is only scanned when the batch is small enough to broadcast;
     its wide rows are never shuffled for an outer join.
     """
-    latest = latest_versions(incoming, order).select(*KEY, *FIELDS)
+    latest = settle(latest_versions(incoming, order).select(*KEY, *FIELDS))
     keys = lookup_side(latest.select(*KEY))
     known = current.join(keys, KEY, "left_semi").select(*KEY, F.col("created_at").alias("_since"))
     written = latest.join(known, KEY, "left").select(
@@ -59,11 +59,11 @@ def upsert_documents(
 
 def upsert_results(current: DataFrame, incoming: DataFrame, order: str = "seq") -> DataFrame:
     """Status of every request of a batch, as if they ran one after the other."""
-    first = incoming.groupBy(*KEY).agg(F.min(order).alias("_first"))
+    first = settle(incoming.groupBy(*KEY).agg(F.min(order).alias("_first")))
     known = current.join(lookup_side(first), KEY, "left_semi").select(*KEY, F.lit(True).alias("_known"))
     status = first.join(known, KEY, "left")
     new = F.col("_known").isNull() & (F.col(order) == F.col("_first"))
-    return incoming.join(lookup_side(status), KEY).select(
+    return incoming.join(settled_side(status), KEY).select(
         *KEY, order, F.when(new, "indexed").otherwise("updated").alias("status")
     )
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.text import full_text, preprocess
-from lexiquarry.session import lookup_side, spread
+from lexiquarry.session import lookup_side, settle, settled_side, spread
 
 KEY = ["shard_id", "doc_id"]
 
@@ -109,9 +109,9 @@ def store_index(docs: DataFrame, path: str, stem: bool = True) -> Index:
 def write_index(index: Index, path: str) -> Index:
     """Write the three tables to a new folder and return them as stored.
 
-    Postings are laid out by shard and term bucket and sorted by term, with a
-    bloom filter on the term, so a query opens few files and skips within them.
-    The rebalance hint splits a bucket that a hot term makes too large.
+    Postings are laid out by shard and term bucket and sorted by term, so a
+    query opens few files and skips within them by the page statistics. The
+    rebalance hint splits a bucket that a hot term makes too large.
     """
     spark = index.postings.sparkSession
     laid_out = (
@@ -119,11 +119,7 @@ def write_index(index: Index, path: str) -> Index:
         .hint("rebalance", F.col("shard_id"), F.col("term_bucket"))
         .sortWithinPartitions("shard_id", "term_bucket", "term", "doc_id")
     )
-    (
-        laid_out.write.option("parquet.bloom.filter.enabled#term", "true")
-        .partitionBy("shard_id", "term_bucket")
-        .parquet(f"{path}/postings")
-    )
+    laid_out.write.partitionBy("shard_id", "term_bucket").parquet(f"{path}/postings")
     stored = spark.read.parquet(f"{path}/postings")
     term_stats(stored).write.partitionBy("shard_id").parquet(f"{path}/term_stats")
     index.doc_stats.write.partitionBy("shard_id").parquet(f"{path}/doc_stats")
@@ -155,7 +151,7 @@ def _moved(stats: DataFrame, gone: DataFrame, come: DataFrame | None) -> DataFra
 
 def index_delete(index: Index, ids: DataFrame) -> Index:
     """Take documents out of the index; unknown ids change nothing."""
-    keys = lookup_side(ids.select(*KEY).distinct())
+    keys = settled_side(ids.select(*KEY).distinct())
     entries = _plain(index.postings)
     return Index(
         entries.join(keys, KEY, "left_anti"),
@@ -166,8 +162,9 @@ def index_delete(index: Index, ids: DataFrame) -> Index:
 
 def index_upsert(index: Index, changed: DataFrame, stem: bool = True) -> Index:
     """Replace the entries of changed documents and add those of new ones."""
-    added = build_index(changed, stem)
-    keys = lookup_side(changed.select(*KEY))
+    doc_terms = settle(count_terms(analyze(changed, stem)))
+    added = _index_of(doc_terms)
+    keys = lookup_side(doc_terms.select(*KEY))
     entries = _plain(index.postings)
     return Index(
         entries.join(keys, KEY, "left_anti").unionByName(added.postings),

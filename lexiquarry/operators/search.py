@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from lexiquarry.functions.text import iso_timestamp, preprocess, snippet
 from lexiquarry.operators.index import Index, corpus_size, term_bucket
 from lexiquarry.operators.ranking import top_rows
-from lexiquarry.schema import QUERIES
-from lexiquarry.session import lookup_side
+from lexiquarry.session import BROADCAST_ROWS, lookup_side, settle, settled_side
 
 # Extra hits fetched before missing documents are dropped, and the
 # page defaults.
@@ -38,13 +37,12 @@ def candidates(index: Index, terms: DataFrame) -> DataFrame:
     shuffled; a larger one is joined by a shuffle on the term, whose hot
     partitions adaptive execution splits.
     """
-    keys = ["term"]
-    if "term_bucket" in index.postings.columns:
-        keys = ["term_bucket", "term"]
-        terms = terms.withColumn("term_bucket", term_bucket())
-    if "shard_id" in terms.columns:
-        keys = ["shard_id", *keys]
-    return index.postings.join(lookup_side(terms), keys).drop("term_bucket")
+    return _matching(index, settled_side(terms))
+
+
+def _matching(index: Index, terms: DataFrame) -> DataFrame:
+    keys = [k for k in ("shard_id", "term") if k in terms.columns]
+    return index.postings.join(terms, keys)
 
 
 def term_weights(index: Index, terms: DataFrame, stats: str = "global") -> DataFrame:
@@ -53,49 +51,48 @@ def term_weights(index: Index, terms: DataFrame, stats: str = "global") -> DataF
     The terms are joined to the statistics before anything is aggregated, so
     only the query vocabulary is. N and df are of the shard or of the corpus.
     """
-    known = index.term_stats.join(lookup_side(terms.select("term").distinct()), "term")
+    known = index.term_stats.join(lookup_side(terms), "term")
     if stats == "shard":
         # One row per shard.
         sizes = F.broadcast(corpus_size(index.doc_stats))
-        idf = known.join(sizes, "shard_id").select(
-            "shard_id", "term", F.log(F.col("n_docs") / F.col("df")).alias("idf")
-        )
+        known = known.join(sizes, "shard_id")
+        keys = ["query_id", "shard_id", "term"]
     elif stats == "global":
-        n_docs = index.doc_stats.agg(F.count("*")).scalar()
-        idf = (
-            known.groupBy("term").agg(F.sum("df").alias("df")).select("term", F.log(n_docs / F.col("df")).alias("idf"))
-        )
+        known = known.groupBy("query_id", "term", "query_tf").agg(F.sum("df").alias("df"))
+        known = known.withColumn("n_docs", index.doc_stats.agg(F.count("*")).scalar())
+        keys = ["query_id", "term"]
     else:
         raise ValueError(f"stats must be 'global' or 'shard', not {stats!r}")
-    return idf.join(terms, "term").withColumn("weight", F.col("idf") * F.col("query_tf"))
+    weight = F.log(F.col("n_docs") / F.col("df")) * F.col("query_tf")
+    return known.select(*keys, weight.alias("weight"))
 
 
-def tfidf(index: Index, terms: DataFrame, stats: str = "global") -> DataFrame:
-    """Score of every candidate, rounded to six places; a score of zero stays."""
-    weighted = candidates(index, term_weights(index, terms, stats))
-    return weighted.groupBy("query_id", "shard_id", "doc_id").agg(
+def _scores(matching: DataFrame) -> DataFrame:
+    return matching.groupBy("query_id", "shard_id", "doc_id").agg(
         F.round(F.sum(F.col("tf") / F.col("doc_len") * F.col("weight")), 6).alias("score")
     )
 
 
+def tfidf(index: Index, terms: DataFrame, stats: str = "global") -> DataFrame:
+    """Score of every candidate, rounded to six places; a score of zero stays."""
+    return _scores(candidates(index, term_weights(index, settle(terms), stats)))
+
+
 def top_k(scores: DataFrame, k: int, by: tuple[str, ...] = ("query_id",)) -> DataFrame:
     """Best k per query with their rank; equal scores are ordered by document id."""
     return top_rows(scores, list(by), [F.desc("score"), F.asc("doc_id")], k, salt="doc_id")
 
 
-def drop_missing(ranked: DataFrame, docs: DataFrame) -> DataFrame:
-    """Hits whose document is still in the table."""
-    ids = lookup_side(ranked.select("shard_id", "doc_id"))
-    present = docs.select("shard_id", "doc_id").join(ids, ["shard_id", "doc_id"], "left_semi")
-    return ranked.join(present, ["shard_id", "doc_id"], "left_semi")
-
-
 def assemble_hits(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
     """Add the document fields; hits without a document are dropped.
 
     The hits are the small side: when counted so they are broadcast and the
     document table is scanned without a shuffle.
     """
+    return _with_fields(settled_side(ranked), docs, snippet_chars)
+
+
+def _with_fields(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
     fields = docs.select(
         "shard_id",
         "doc_id",
@@ -105,7 +102,7 @@ def assemble_hits(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPP
         "metadata",
         iso_timestamp("created_at").alias("created_at"),
     )
-    return fields.join(lookup_side(ranked), ["shard_id", "doc_id"])
+    return fields.join(ranked, ["shard_id", "doc_id"])
 
 
 def paginate(ranked: DataFrame, offset: int = 0, size: int = DEFAULT_SIZE) -> DataFrame:
@@ -119,26 +116,22 @@ def total_hits(scores: DataFrame, cap: int | None = None) -> DataFrame:
     return scores.groupBy("query_id").agg((F.least(n, F.lit(cap)) if cap is not None else n).alias("total"))
 
 
-def shard_hits(scores: DataFrame, docs: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
-    """What each shard hands to the merge: its best 2 * size present documents."""
-    by = ("query_id", "shard_id")
-    fetched = drop_missing(top_k(scores, 2 * size + OVERFETCH, by), docs)
-    return top_k(fetched.drop("rank"), 2 * size, by).drop("rank")
+def fetch_ranked(scores: DataFrame, size: int, offset: int, stats: str) -> DataFrame:
+    """The ids a page is made from: some more than its length, per shard or overall."""
+    if stats == "shard":
+        return top_k(scores, 2 * size + OVERFETCH, ("query_id", "shard_id"))
+    return top_k(scores, size + offset + OVERFETCH)
 
 
-def ranked_page(
-    scores: DataFrame,
-    docs: DataFrame,
-    size: int = DEFAULT_SIZE,
-    offset: int = 0,
-    stats: str = "global",
-) -> DataFrame:
-    """Ids, scores and ranks of one page per query."""
+def cut_page(hits: DataFrame, size: int, offset: int, stats: str) -> DataFrame:
+    """Rank the hits that still have a document and cut the page.
+
+    Of each shard only the best 2 * size are merged.
+    """
+    hits = hits.drop("rank")
     if stats == "shard":
-        merged = shard_hits(scores, docs, size)
-    else:
-        merged = drop_missing(top_k(scores, size + offset + OVERFETCH), docs).drop("rank")
-    return paginate(top_k(merged, offset + size), offset, size)
+        hits = top_k(hits, 2 * size, ("query_id", "shard_id")).drop("rank")
+    return paginate(top_k(hits, offset + size), offset, size)
 
 
 def search_batch(
@@ -157,7 +150,8 @@ def search_batch(
     without a known term have no rows.
     """
     scores = tfidf(index, query_terms(queries, stem), stats)
-    return assemble_hits(ranked_page(scores, docs, size, offset, stats), docs)
+    fetched = fetch_ranked(scores, size, offset, stats)
+    return cut_page(assemble_hits(fetched, docs), size, offset, stats)
 
 
 def search(
@@ -172,24 +166,26 @@ def search(
     """One page of hits for one query, best first.
 
     The query's terms become literals, so the stored index is pruned to their
-    buckets and row groups.
+    buckets and row groups. Sides are bounded by the query and the page, so
+    nothing needs to be counted or written in between.
     """
     if not query:
         raise ValueError("Query is required")
     spark = docs.sparkSession
-    queries = spark.createDataFrame([(0, query)], QUERIES)
-    terms = [row.term for row in query_terms(queries, stem).limit(LITERAL_TERMS + 1).collect()]
-    if len(terms) <= LITERAL_TERMS:
-        index = _only_terms(index, terms)
-    hits = search_batch(index, docs, queries, size, offset, stats, stem)
-    return hits.drop("query_id").orderBy("rank")
-
-
-def _only_terms(index: Index, terms: list[str]) -> Index:
-    wanted = F.col("term").isin(terms)
+    queries = spark.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
+    asked = query_terms(queries, stem).limit(LITERAL_TERMS + 1)
+    found = [tuple(row) for row in asked.select("query_id", "term", "query_tf", term_bucket()).collect()]
+    if len(found) > LITERAL_TERMS or size + offset + OVERFETCH > BROADCAST_ROWS:
+        hits = search_batch(index, docs, queries, size, offset, stats, stem)
+        return hits.drop("query_id").orderBy("rank")
+    schema = "query_id bigint, term string, query_tf bigint, term_bucket int"
+    terms = spark.createDataFrame(found, schema).drop("term_bucket")
+    wanted = F.col("term").isin([row[1] for row in found])
     entries = index.postings.where(wanted)
-    if terms and "term_bucket" in entries.columns:
-        spark = entries.sparkSession
-        buckets = spark.createDataFrame([(t,) for t in terms], "term string").select(term_bucket())
-        entries = entries.where(F.col("term_bucket").isin([row[0] for row in buckets.distinct().collect()]))
-    return Index(entries, index.term_stats.where(wanted), index.doc_stats)
+    if "term_bucket" in entries.columns:
+        entries = entries.where(F.col("term_bucket").isin([row[3] for row in found]))
+    index = Index(entries, index.term_stats.where(wanted), index.doc_stats)
+    weights = F.broadcast(term_weights(index, terms, stats))
+    fetched = fetch_ranked(_scores(_matching(index, weights)), size, offset, stats)
+    hits = cut_page(_with_fields(F.broadcast(fetched), docs), size, offset, stats)
+    return hits.drop("query_id").orderBy("rank")

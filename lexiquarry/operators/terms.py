@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexiquarry.functions.hashing import TERM_SHARDS, shard_of
 from lexiquarry.functions.text import full_text, normalize_term, typeahead_tokens
 from lexiquarry.operators.ranking import top_rows
-from lexiquarry.session import lookup_side, spread
+from lexiquarry.session import lookup_side, settled_side, spread
 
 KEY = ["shard_id", "term"]
 
@@ -83,7 +83,7 @@ def update_frequency(counters: DataFrame, deltas: DataFrame) -> DataFrame:
 
 def remove_terms(counters: DataFrame, terms: DataFrame) -> DataFrame:
     """Counters with the listed terms set to zero, as tombstones for the next sync."""
-    gone = lookup_side(_normalized(terms).select(*KEY).distinct())
+    gone = settled_side(_normalized(terms).select(*KEY).distinct())
     kept = counters.select(*KEY, "frequency").join(gone, KEY, "left_anti")
     return kept.unionByName(gone.withColumn("frequency", F.lit(0).cast("bigint")))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexiquarry.functions.text import iso_timestamp, snippet
 from lexiquarry.operators import search as ops
 from lexiquarry.plans import sql, views
+from lexiquarry.session import settle
 
 SIZE = 10
 
@@ -55,11 +56,11 @@ def sch05_snippet(spark, sf):
 
 def sch06_paginate(spark, sf):
     scores = ops.tfidf(*_parts(spark, sf))
-    return ops.ranked_page(scores, views.documents(spark, sf), size=SIZE, offset=20)
+    return ops.paginate(ops.top_k(scores, 20 + SIZE), offset=20, size=SIZE)
 
 
 def sch07_total_hits(spark, sf):
-    scores = ops.tfidf(*_parts(spark, sf))
+    scores = settle(ops.tfidf(*_parts(spark, sf)))
     capped = ops.total_hits(scores, cap=60).withColumnRenamed("total", "capped")
     return ops.total_hits(scores).join(capped, "query_id")
 

@@ -17,11 +17,16 @@ from lexiquarry.streaming import terms as term_streams
 SECONDS = 1800
 
 
-def _stream_of(spark, rows, name):
-    """The rows written to a folder and read back as a stream, a few files at a time."""
+def _stream_of(spark, name, *parts):
+    """The frames written to a folder one after the other and read back as a stream.
+
+    Files arrive in the order they were written, a few per micro-batch.
+    """
     folder = shared_folder(spark, name)
-    rows.write.parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "4").parquet(folder)
+    for rows in parts:
+        rows.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", "4")
+    return stream.parquet(folder)
 
 
 def _finish(query):
@@ -50,7 +55,7 @@ def src12_read_term_update_stream(spark, sf):
 
 def str01_ingest_stream(spark, sf):
     out = shared_folder(spark, "ingested")
-    raw = _stream_of(spark, views.submissions(spark, sf), "raw")
+    raw = _stream_of(spark, "raw", views.submissions(spark, sf))
     arrival = F.lit(ingest.ARRIVAL)
     _finish(ingest_streams.start_ingest(raw, arrival, out, shared_folder(spark, "offsets")))
     accepted = messages.parse_documents(log.read_log(spark, f"{out}/accepted"))
@@ -61,11 +66,15 @@ def str01_ingest_stream(spark, sf):
 
 
 def _indexed(spark, sf):
-    """Documents arrive first, then their reviews, pages and conversations."""
+    """Documents arrive first, then their reviews, pages and conversations.
+
+    Versions of one document are written to one file, so that none overtakes another.
+    """
     out = shared_folder(spark, "indexed")
     columns = ["shard_id", "doc_id", "title", "content", "source", "metadata"]
     first = views.documents(spark, sf).select(*columns, F.lit(-1).cast("bigint").alias("seq"))
-    stream = _stream_of(spark, first.unionByName(views.incoming(spark, sf)), "arriving")
+    later = views.incoming(spark, sf).select(*first.columns).repartition("doc_id")
+    stream = _stream_of(spark, "arriving", first, later)
     now = views.moment(views.NOW)
     _finish(
         index_streams.index_stream(stream, out, shared_folder(spark, "offsets"), now, stem=False)
@@ -85,7 +94,7 @@ def str02_index_stream_postings(spark, sf):
 
 def str03_term_count_stream(spark, sf):
     out = shared_folder(spark, "counts")
-    counts = term_streams.term_count_stream(_stream_of(spark, views.documents(spark, sf), "documents"))
+    counts = term_streams.term_count_stream(_stream_of(spark, "documents", views.documents(spark, sf)))
     _finish(term_streams.start_counts(counts, out, shared_folder(spark, "offsets")))
     return term_streams.current_frequencies(spark, out)
 
@@ -93,7 +102,7 @@ def str03_term_count_stream(spark, sf):
 def str04_sync_stream(spark, sf):
     out = shared_folder(spark, "synced")
     term_streams.seed_frequencies(views.stored_terms(spark, sf), out)
-    stream = _stream_of(spark, views.counters(spark, sf), "counters")
+    stream = _stream_of(spark, "counters", views.counters(spark, sf))
     _finish(term_streams.sync_stream(stream, out, shared_folder(spark, "offsets"), every=None))
     return term_streams.current_frequencies(spark, out)
 
@@ -101,8 +110,8 @@ def str04_sync_stream(spark, sf):
 def str05_update_stream(spark, sf):
     out = shared_folder(spark, "updated")
     term_streams.seed_frequencies(views.event_terms(spark, sf), out)
-    pending = views.updates(spark, sf).where("not processed").coalesce(1)
-    stream = _stream_of(spark, pending.select(*KEY, "frequency_delta"), "updates")
+    pending = views.updates(spark, sf).where("not processed").repartition(*KEY)
+    stream = _stream_of(spark, "updates", pending.select(*KEY, "frequency_delta"))
     _finish(term_streams.update_stream(stream, out, shared_folder(spark, "offsets")))
     return term_streams.current_frequencies(spark, out)
 

@@ -1,4 +1,4 @@
-"""Session defaults and the two size checks the operators share."""
+"""Session defaults, size checks and the shared folder."""
 
 from __future__ import annotations
 
@@ -47,6 +47,22 @@ def lookup_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits(df, rows) else df
 
 
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results used several times over. Lost executors cost nothing that was
+    written, and later plans start from a table whose size is known.
+    """
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def settled_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`lookup_side` for a computed frame: it is worked out once, not for the count and again."""
+    return lookup_side(settle(df), rows)
+
+
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Hash-partition a scan that would use fewer tasks than there are cores.
 

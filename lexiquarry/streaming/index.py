@@ -15,7 +15,7 @@ from lexiquarry.operators.index import (
     postings,
     term_stats,
 )
-from lexiquarry.session import lookup_side
+from lexiquarry.session import lookup_side, settle
 from lexiquarry.streaming import log
 
 _DOCUMENTS = (
@@ -49,7 +49,7 @@ def index_stream(
 
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        rows = latest_versions(batch, order).select(*KEY, *FIELDS)
+        rows = settle(latest_versions(batch, order).select(*KEY, *FIELDS))
         earlier = log.read_log(session, f"{out}/documents", before=number)
         since = (
             earlier.join(lookup_side(rows.select(*KEY)), KEY, "left_semi")

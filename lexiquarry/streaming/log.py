@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lexiquarry.session import lookup_side
+from lexiquarry.session import settled_side
 
 
 def start_log(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
@@ -44,7 +44,12 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     old = (
         versions.join(last, keys).where(F.col("batch_id") < F.col("_last")).drop("_last").distinct()
     )
-    return rows.join(lookup_side(old), [*keys, "batch_id"], "left_anti").drop("batch_id")
+    return rows.join(settled_side(old), [*keys, "batch_id"], "left_anti").drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], into: str) -> None:
+    """Start a new table from the last rows of each key of an old one."""
+    append(latest(read_log(spark, path), keys), into, -1)
 
 
 def run(
