@@ -72,7 +72,8 @@ def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *keys)
+    # Several tasks per core even out texts of very different length.
+    return df.repartition(4 * cores, *keys)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
