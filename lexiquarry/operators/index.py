@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.text import full_text, preprocess
@@ -21,18 +21,22 @@ from lexiquarry.session import lookup_side, settle, settled_side, spread
 KEY = ["shard_id", "doc_id"]
 
 # Directories the postings of a shard are split into by a hash of the term.
+# Raise it with the corpus, to about a gigabyte of postings each.
 TERM_BUCKETS = 16
 
 
 @dataclass(frozen=True)
 class Index:
+    """The three tables; `buckets` is set when the postings are stored by term bucket."""
+
     postings: DataFrame
     term_stats: DataFrame
     doc_stats: DataFrame
+    buckets: int | None = None
 
 
-def term_bucket(term="term"):
-    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
+def term_bucket(buckets: int, term: str = "term") -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
 def analyze(docs: DataFrame, stem: bool = True) -> DataFrame:
@@ -94,7 +98,9 @@ def build_index(docs: DataFrame, stem: bool = True) -> Index:
     return _index_of(count_terms(analyze(docs, stem)))
 
 
-def store_index(docs: DataFrame, path: str, stem: bool = True) -> Index:
+def store_index(
+    docs: DataFrame, path: str, stem: bool = True, buckets: int = TERM_BUCKETS
+) -> Index:
     """Build the index of all documents into a new folder and return the stored tables.
 
     Every text is analyzed once: the per-document counts are written first, and
@@ -103,10 +109,10 @@ def store_index(docs: DataFrame, path: str, stem: bool = True) -> Index:
     spark = docs.sparkSession
     count_terms(analyze(docs, stem)).write.parquet(f"{path}/doc_terms")
     doc_terms = spark.read.parquet(f"{path}/doc_terms")
-    return write_index(_index_of(doc_terms), path)
+    return write_index(_index_of(doc_terms), path, buckets)
 
 
-def write_index(index: Index, path: str) -> Index:
+def write_index(index: Index, path: str, buckets: int = TERM_BUCKETS) -> Index:
     """Write the three tables to a new folder and return them as stored.
 
     Postings are laid out by shard and term bucket and sorted by term, so a
@@ -115,7 +121,8 @@ def write_index(index: Index, path: str) -> Index:
     """
     spark = index.postings.sparkSession
     laid_out = (
-        index.postings.select("*", term_bucket().alias("term_bucket"))
+        _plain(index.postings)
+        .withColumn("term_bucket", term_bucket(buckets))
         .hint("rebalance", F.col("shard_id"), F.col("term_bucket"))
         .sortWithinPartitions("shard_id", "term_bucket", "term", "doc_id")
     )
@@ -123,6 +130,8 @@ def write_index(index: Index, path: str) -> Index:
     stored = spark.read.parquet(f"{path}/postings")
     term_stats(stored).write.partitionBy("shard_id").parquet(f"{path}/term_stats")
     index.doc_stats.write.partitionBy("shard_id").parquet(f"{path}/doc_stats")
+    layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
+    layout.write.parquet(f"{path}/layout")
     return read_index(spark, path)
 
 
@@ -131,6 +140,7 @@ def read_index(spark: SparkSession, path: str) -> Index:
         spark.read.parquet(f"{path}/postings"),
         spark.read.parquet(f"{path}/term_stats").select("shard_id", "term", "df"),
         spark.read.parquet(f"{path}/doc_stats").select("shard_id", "doc_id", "doc_len"),
+        spark.read.parquet(f"{path}/layout").first()["buckets"],
     )
 
 

@@ -174,16 +174,18 @@ def search(
     spark = docs.sparkSession
     queries = spark.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
     asked = query_terms(queries, stem).limit(LITERAL_TERMS + 1)
-    found = [tuple(row) for row in asked.select("query_id", "term", "query_tf", term_bucket()).collect()]
+    # Without buckets all terms are in the one bucket.
+    bucket = term_bucket(index.buckets or 1).alias("term_bucket")
+    found = asked.select("query_id", "term", "query_tf", bucket).collect()
     if len(found) > LITERAL_TERMS or size + offset + OVERFETCH > BROADCAST_ROWS:
         hits = search_batch(index, docs, queries, size, offset, stats, stem)
         return hits.drop("query_id").orderBy("rank")
     schema = "query_id bigint, term string, query_tf bigint, term_bucket int"
-    terms = spark.createDataFrame(found, schema).drop("term_bucket")
-    wanted = F.col("term").isin([row[1] for row in found])
+    terms = spark.createDataFrame([tuple(row) for row in found], schema).drop("term_bucket")
+    wanted = F.col("term").isin([row.term for row in found])
     entries = index.postings.where(wanted)
-    if "term_bucket" in entries.columns:
-        entries = entries.where(F.col("term_bucket").isin([row[3] for row in found]))
+    if index.buckets:
+        entries = entries.where(F.col("term_bucket").isin([row.term_bucket for row in found]))
     index = Index(entries, index.term_stats.where(wanted), index.doc_stats)
     weights = F.broadcast(term_weights(index, terms, stats))
     fetched = fetch_ranked(_scores(_matching(index, weights)), size, offset, stats)

@@ -138,7 +138,7 @@ PREFIXES = (
 _EVENT_TERM = "concat_ws('-', event_type, regexp_extract(props, '[0-9]+'))"
 UPDATES = (
     f"updates AS (SELECT *, {shard('lower(term)', 2)} AS shard_id FROM (SELECT {_EVENT_TERM} AS term, "
-    "CAST(CASE WHEN value >= 10 THEN 1 ELSE -1 END AS BIGINT) AS frequency_delta, "
+    "CAST(CASE WHEN value >= 40 THEN 1 ELSE -1 END AS BIGINT) AS frequency_delta, "
     "strftime(ts, '%Y-%m-%d') AS batch_id, ts AS created_at, "
     "ts < TIMESTAMP '2024-01-20 00:00:00' AS processed FROM events))"
 )

@@ -161,7 +161,7 @@ def updates(spark: SparkSession, sf: str) -> DataFrame:
     number = F.regexp_extract("props", "[0-9]+", 0)
     changes = rows.select(
         F.concat_ws("-", F.col("event_type"), number).alias("term"),
-        F.when(F.col("value") >= 10, 1).otherwise(-1).cast("bigint").alias("frequency_delta"),
+        F.when(F.col("value") >= 40, 1).otherwise(-1).cast("bigint").alias("frequency_delta"),
         F.substring(F.col("ts").cast("string"), 1, 10).alias("batch_id"),
         F.col("ts").cast("timestamp").alias("created_at"),
         (F.col("ts").cast("timestamp") < moment(PROCESSED_UNTIL)).alias("processed"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -85,6 +86,10 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lexiquarry-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_folder(spark.sparkContext.applicationId)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"lexiquarry-{application}-")

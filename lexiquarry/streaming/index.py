@@ -15,12 +15,11 @@ from lexiquarry.operators.index import (
     postings,
     term_stats,
 )
-from lexiquarry.session import lookup_side, settle
 from lexiquarry.streaming import log
 
 _DOCUMENTS = (
     "shard_id int, doc_id string, title string, content string, source string,"
-    " metadata map<string,string>, created_at timestamp, updated_at timestamp, status string"
+    " metadata map<string,string>, written_at timestamp"
 )
 _DOC_TERMS = (
     "shard_id int, doc_id string, doc_len bigint, terms array<struct<term:string,tf:bigint>>"
@@ -38,9 +37,9 @@ def index_stream(
 ) -> StreamingQuery:
     """Upsert every micro-batch of documents into the table and index under `out`.
 
-    A batch appends its documents and their term counts; it reads only the key
-    and creation time of what is already there. `order` tells versions of one
-    document within a batch apart.
+    A batch appends its documents and their term counts and reads nothing that
+    is already there. `order` tells versions of one document within a batch
+    apart.
     """
     spark = docs.sparkSession
     tables = {"documents": _DOCUMENTS, "doc_terms": _DOC_TERMS}
@@ -48,30 +47,26 @@ def index_stream(
         log.start_log(spark, f"{out}/{name}", schema)
 
     def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        rows = settle(latest_versions(batch, order).select(*KEY, *FIELDS))
-        earlier = log.read_log(session, f"{out}/documents", before=number)
-        since = (
-            earlier.join(lookup_side(rows.select(*KEY)), KEY, "left_semi")
-            .groupBy(*KEY)
-            .agg(F.min("created_at").alias("_since"))
-        )
-        written = rows.join(since, KEY, "left").select(
-            *KEY,
-            *FIELDS,
-            F.coalesce("_since", now).alias("created_at"),
-            now.alias("updated_at"),
-            F.when(F.col("_since").isNull(), "indexed").otherwise("updated").alias("status"),
-        )
-        log.append(written, f"{out}/documents", number)
-        stored = log.read_log(session, f"{out}/documents").where(F.col("batch_id") == number)
-        log.append(count_terms(analyze(stored, stem)), f"{out}/doc_terms", number)
+        rows = latest_versions(batch, order).select(*KEY, *FIELDS, now.alias("written_at"))
+        log.append(rows, f"{out}/documents", number)
+        written = log.read_log(batch.sparkSession, f"{out}/documents")
+        changed = written.where(F.col("batch_id") == number)
+        log.append(count_terms(analyze(changed, stem)), f"{out}/doc_terms", number)
 
     return log.run(docs, write, checkpoint, every)
 
 
 def current_documents(spark: SparkSession, out: str) -> DataFrame:
-    return log.latest(log.read_log(spark, f"{out}/documents"), KEY)
+    """The last version of each document; `created_at` is when its first one came."""
+    rows = log.read_log(spark, f"{out}/documents")
+    last = log.latest(rows, KEY, _since=F.min("written_at"))
+    return last.select(
+        *KEY,
+        *FIELDS,
+        F.coalesce("_since", "written_at").alias("created_at"),
+        F.col("written_at").alias("updated_at"),
+        F.when(F.col("_since").isNull(), "indexed").otherwise("updated").alias("status"),
+    )
 
 
 def current_index(spark: SparkSession, out: str) -> Index:

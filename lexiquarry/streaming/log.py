@@ -2,14 +2,15 @@
 
 Each micro-batch owns the folder `batch_id=<n>`. Writing it again replaces it,
 so a replayed batch leaves the table as it was. A later batch supersedes the rows of
-an earlier one with the same key; the cost of a batch follows its own size.
+an earlier one with the same key. Nothing stored is rewritten, so writing a batch
+costs what the batch is long; `compact` starts over once reading gets slow.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -33,18 +34,23 @@ def read_log(spark: SparkSession, path: str, before: int | None = None) -> DataF
     return rows if before is None else rows.where(F.col("batch_id") < before)
 
 
-def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of the last batch of each key.
+def latest(rows: DataFrame, keys: list[str], **extra: Column) -> DataFrame:
+    """The rows of the last batch of each key, with `extra` aggregates over all its batches.
 
-    Superseded (key, batch) pairs are worked out on the narrow key columns and
-    taken away, so that wide rows are not shuffled while the pairs are few.
+    Only keys with more than one version need a look at the others. They are
+    found on the narrow key columns, so wide rows are not shuffled while such
+    keys are few. `extra` columns are NULL for keys with one version.
     """
-    versions = rows.select(*keys, "batch_id")
-    last = versions.groupBy(*keys).agg(F.max("batch_id").alias("_last"))
-    old = (
-        versions.join(last, keys).where(F.col("batch_id") < F.col("_last")).drop("_last").distinct()
+    aggregates = [value.alias(name) for name, value in extra.items()]
+    several = (
+        rows.groupBy(*keys)
+        .agg(F.max("batch_id").alias("_last"), F.count("*").alias("_n"), *aggregates)
+        .where("_n > 1")
+        .drop("_n")
     )
-    return rows.join(settled_side(old), [*keys, "batch_id"], "left_anti").drop("batch_id")
+    joined = rows.join(settled_side(several), keys, "left")
+    last = F.col("_last").isNull() | (F.col("batch_id") == F.col("_last"))
+    return joined.where(last).drop("_last", "batch_id")
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], into: str) -> None:
