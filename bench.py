@@ -58,11 +58,14 @@ def main() -> None:
         **{"spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "20g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
-    docs = views.documents(spark, SF_DIR)
+    docs = views.texts(spark, SF_DIR)
     asked = views.queries(spark, SF_DIR)
     n_docs, n_queries = docs.count(), asked.count()
 
     seconds = {}
+    # One untimed round of the two headline jobs, so that they are timed warm.
+    warm = index_ops.store_index(docs, shared_folder(spark, "warm"), stem=True)
+    drain(search_ops.search_batch(warm, docs, asked))
     for name, stem in (("build_index", False), ("build_index_stemmed", True)):
         folder = shared_folder(spark, "bench")
         seconds[name] = timed(lambda: index_ops.store_index(docs, folder, stem))

@@ -95,12 +95,25 @@ def _first_of(w: Column, branches: list[tuple[Column, Column]]) -> Column:
     return result.otherwise(w)
 
 
+def _by_suffix(w: Column, rules: list[tuple[str, Column]]) -> Column:
+    """The value of the first rule whose suffix the word has.
+
+    Grouped by the last letter, so that a word is compared with few suffixes;
+    the order only matters among suffixes that end alike.
+    """
+    groups: dict[str, list[tuple[Column, Column]]] = {}
+    for suffix, value in rules:
+        groups.setdefault(suffix[-1], []).append((w.endswith(suffix), value))
+    return _first_of(w, [(w.endswith(last), _first_of(w, group)) for last, group in groups.items()])
+
+
 def _cut(w: Column, n: int) -> Column:
     return F.substr(w, F.lit(1), F.length(w) - n)
 
 
 def _mark_y(w: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(w, "(^|[aeiou])y", "$1Y"), "yy", "yY")
+    marked = F.regexp_replace(F.regexp_replace(w, "(^|[aeiou])y", "$1Y"), "yy", "yY")
+    return F.when(w.contains("y"), marked).otherwise(w)
 
 
 def _step_1a(w: Column) -> Column:
@@ -157,13 +170,13 @@ def _alli(w: Column) -> Column:
 
 
 def _step_2(w: Column) -> Column:
-    rules = [(w.endswith(s), _swap(w, MEASURE_ABOVE_0, s, r)) for s, r in STEP_2]
+    rules = [(s, _swap(w, MEASURE_ABOVE_0, s, r)) for s, r in STEP_2]
     # The measure is taken with the l of -logi.
-    return _first_of(w, [*rules, (w.endswith("logi"), _swap(w, MEASURE_ABOVE_0, "ogi", "og"))])
+    return _by_suffix(w, [*rules, ("logi", _swap(w, MEASURE_ABOVE_0, "ogi", "og"))])
 
 
 def _step_3(w: Column) -> Column:
-    return _first_of(w, [(w.endswith(s), _swap(w, MEASURE_ABOVE_0, s, r)) for s, r in STEP_3])
+    return _by_suffix(w, [(s, _swap(w, MEASURE_ABOVE_0, s, r)) for s, r in STEP_3])
 
 
 def _step_4(w: Column) -> Column:
@@ -173,7 +186,7 @@ def _step_4(w: Column) -> Column:
             return F.when(w.endswith("sion") | w.endswith("tion"), cut).otherwise(w)
         return cut
 
-    return _first_of(w, [(w.endswith(s), rule(s)) for s in STEP_4])
+    return _by_suffix(w, [(s, rule(s)) for s in STEP_4])
 
 
 def _step_5(w: Column) -> Column:
@@ -205,9 +218,8 @@ def _guarded(step):
 def _open(w: Column) -> Column:
     """Words to leave alone get a leading `=`; the others get their consonant y marked."""
     kept = F.concat(F.lit("="), w)
-    branches = [(F.length(w) <= 2, kept)]
-    branches += [(w == word, F.lit(f"={stem}")) for word, stem in IRREGULAR.items()]
-    return _first_of(_mark_y(w), branches)
+    irregular = _first_of(w, [(w == word, F.lit(f"={stem}")) for word, stem in IRREGULAR.items()])
+    return _first_of(_mark_y(w), [(F.length(w) <= 2, kept), (w.isin(*IRREGULAR), irregular)])
 
 
 def _close(w: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.text import full_text, preprocess
-from lexiquarry.session import lookup_side, settle, settled_side, spread
+from lexiquarry.session import lookup_side, settle, settled_side
 
 KEY = ["shard_id", "doc_id"]
 
@@ -42,7 +42,7 @@ def term_bucket(buckets: int, term: str = "term") -> Column:
 def analyze(docs: DataFrame, stem: bool = True) -> DataFrame:
     """One row per document: its search tokens in sorted order, repeats kept."""
     tokens = preprocess(full_text(), stem=stem)
-    return spread(docs, *KEY).select(*KEY, F.sort_array(tokens).alias("tokens"))
+    return docs.select(*KEY, F.sort_array(tokens).alias("tokens"))
 
 
 def count_terms(analyzed: DataFrame) -> DataFrame:

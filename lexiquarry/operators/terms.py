@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexiquarry.functions.hashing import TERM_SHARDS, shard_of
 from lexiquarry.functions.text import full_text, normalize_term, typeahead_tokens
 from lexiquarry.operators.ranking import top_rows
-from lexiquarry.session import lookup_side, settled_side, spread
+from lexiquarry.session import lookup_side, settled_side
 
 KEY = ["shard_id", "term"]
 
@@ -55,7 +55,7 @@ def term_counts(docs: DataFrame, shards: int = TERM_SHARDS) -> DataFrame:
     Counted per term and only then given a shard, so the hash is taken once per
     term. Counts are combined before the shuffle.
     """
-    tokens = spread(docs, "doc_id").select(F.explode(typeahead_tokens(full_text())).alias("term"))
+    tokens = docs.select(F.explode(typeahead_tokens(full_text())).alias("term"))
     counts = tokens.groupBy("term").agg(F.count("*").alias("frequency"))
     return assign_term_shard(counts, shards).select("shard_id", "term", "frequency")
 

@@ -27,12 +27,12 @@ def _flat(index):
 
 def src06_index_round_trip(spark, sf):
     path = shared_folder(spark, "index")
-    ops.store_index(views.documents(spark, sf), path, stem=False)
+    ops.store_index(views.texts(spark, sf), path, stem=False)
     return _flat(ops.read_index(spark, path))
 
 
 def idx01_postings(spark, sf):
-    doc_terms = ops.count_terms(ops.analyze(views.documents(spark, sf), stem=False))
+    doc_terms = ops.count_terms(ops.analyze(views.texts(spark, sf), stem=False))
     return ops.postings(doc_terms)
 
 
@@ -41,19 +41,19 @@ def idx01_postings_stemmed(spark, sf):
 
 
 def idx02_term_stats(spark, sf):
-    return ops.build_index(views.documents(spark, sf), stem=False).term_stats
+    return ops.build_index(views.texts(spark, sf), stem=False).term_stats
 
 
 def idx03_doc_stats(spark, sf):
-    return ops.build_index(views.documents(spark, sf), stem=False).doc_stats
+    return ops.build_index(views.texts(spark, sf), stem=False).doc_stats
 
 
 def idx04_corpus_size(spark, sf):
-    return ops.corpus_size(ops.build_index(views.documents(spark, sf), stem=False).doc_stats)
+    return ops.corpus_size(ops.build_index(views.texts(spark, sf), stem=False).doc_stats)
 
 
 def idx05_build_index(spark, sf):
-    both = views.documents(spark, sf).unionByName(views.pages(spark, sf))
+    both = views.texts(spark, sf).unionByName(views.pages(spark, sf))
     return _flat(ops.build_index(both, stem=False))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lexiquarry.operators import documents as table
 from lexiquarry.operators import ingest
 from lexiquarry.plans import sql, views
-from lexiquarry.session import shared_folder, spread
+from lexiquarry.session import shared_folder
 from lexiquarry.sources import messages, tables
 
 # Limits small enough for the given tables to exceed.
@@ -94,7 +94,7 @@ def ing04_assign_doc_id(spark, sf):
 
 
 def ing05_enrich(spark, sf):
-    rich = ingest.enrich(spread(views.documents(spark, sf), "doc_id"), ARRIVAL)
+    rich = ingest.enrich(views.texts(spark, sf), ARRIVAL)
     names = ("lang", "ingested_at", "ingestion_service", "content_length", "word_count")
     return rich.select("doc_id", *[F.col("metadata")[n].alias(n) for n in names])
 

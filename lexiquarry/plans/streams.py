@@ -25,7 +25,7 @@ def _stream_of(spark, name, *parts):
     folder = shared_folder(spark, name)
     for rows in parts:
         rows.write.mode("append").parquet(folder)
-    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", "4")
+    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", "16")
     return stream.parquet(folder)
 
 
@@ -72,7 +72,7 @@ def _indexed(spark, sf):
     """
     out = shared_folder(spark, "indexed")
     columns = ["shard_id", "doc_id", "title", "content", "source", "metadata"]
-    first = views.documents(spark, sf).select(*columns, F.lit(-1).cast("bigint").alias("seq"))
+    first = views.texts(spark, sf).select(*columns, F.lit(-1).cast("bigint").alias("seq"))
     later = views.incoming(spark, sf).select(*first.columns).repartition("doc_id")
     stream = _stream_of(spark, "arriving", first, later)
     now = views.moment(views.NOW)
@@ -94,7 +94,7 @@ def str02_index_stream_postings(spark, sf):
 
 def str03_term_count_stream(spark, sf):
     out = shared_folder(spark, "counts")
-    counts = term_streams.term_count_stream(_stream_of(spark, "documents", views.documents(spark, sf)))
+    counts = term_streams.term_count_stream(_stream_of(spark, "documents", views.texts(spark, sf)))
     _finish(term_streams.start_counts(counts, out, shared_folder(spark, "offsets")))
     return term_streams.current_frequencies(spark, out)
 

@@ -8,7 +8,6 @@ from lexiquarry.functions import text
 from lexiquarry.functions.stem import stem_tokens
 from lexiquarry.operators import search
 from lexiquarry.plans import sql, views
-from lexiquarry.session import spread
 
 
 def _joined(tokens):
@@ -16,7 +15,7 @@ def _joined(tokens):
 
 
 def txt01_tokenize(spark, sf):
-    docs = spread(views.documents(spark, sf), "doc_id")
+    docs = views.texts(spark, sf)
     return docs.select("doc_id", _joined(text.tokenize("content")).alias("tokens"))
 
 
@@ -32,24 +31,24 @@ def txt03_remove_stopwords(spark, sf):
 
 
 def txt04_stem_tokens(spark, sf):
-    docs = spread(views.documents(spark, sf), "doc_id")
+    docs = views.texts(spark, sf)
     words = docs.select(F.explode(text.preprocess("content", stem=False)).alias("term")).distinct()
     return words.select("term", stem_tokens(F.array("term"))[0].alias("stem"))
 
 
 def txt05_preprocess(spark, sf):
-    docs = spread(views.pages(spark, sf), "doc_id")
+    docs = views.pages(spark, sf)
     return docs.select("doc_id", _joined(text.preprocess(text.full_text(), stem=False)).alias("tokens"))
 
 
 def txt05_preprocess_stemmed(spark, sf):
-    docs = spread(views.documents(spark, sf), "doc_id")
+    docs = views.texts(spark, sf)
     tokens = docs.select("doc_id", F.explode(text.preprocess("content")).alias("stem"))
     return tokens.groupBy("doc_id", "stem").agg(F.count("*").alias("tf"))
 
 
 def txt06_typeahead_tokens(spark, sf):
-    docs = spread(views.documents(spark, sf), "doc_id")
+    docs = views.texts(spark, sf)
     return docs.select("doc_id", _joined(text.typeahead_tokens("content")).alias("tokens"))
 
 

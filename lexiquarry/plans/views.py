@@ -9,7 +9,7 @@ from lexiquarry.functions.hashing import DOCUMENT_SHARDS, shard_of
 from lexiquarry.operators import terms as term_ops
 from lexiquarry.operators.documents import FIELDS
 from lexiquarry.operators.index import Index, read_index, store_index
-from lexiquarry.session import shared_folder
+from lexiquarry.session import shared_folder, spread
 
 # Until when the events count as processed.
 PROCESSED_UNTIL = "2024-01-20 00:00:00"
@@ -43,10 +43,10 @@ def _as_documents(rows: DataFrame, doc_id, title, content, source, metadata, sec
     )
 
 
-def documents(spark: SparkSession, sf: str) -> DataFrame:
+def documents(spark: SparkSession, sf: str, scan: DataFrame | None = None) -> DataFrame:
     """The corpus: one untitled document per row of `documents`."""
     return _as_documents(
-        table(spark, sf, "documents"),
+        table(spark, sf, "documents") if scan is None else scan,
         F.col("doc_id").cast("string"),
         F.lit(""),
         F.col("text"),
@@ -56,6 +56,11 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The corpus for work on whole texts: a small table is spread over all cores."""
+    return documents(spark, sf, spread(table(spark, sf, "documents"), "doc_id"))
+
+
 def pages(spark: SparkSession, sf: str) -> DataFrame:
     """Titled documents: the web pages without their tags."""
     return _as_documents(
@@ -176,7 +181,7 @@ def event_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return term_ops.term_counts(documents(spark, sf))
+    return term_ops.term_counts(texts(spark, sf))
 
 
 def benchmark_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,6 +210,6 @@ def stored_index(spark: SparkSession, sf: str, stem: bool) -> Index:
     key = (spark.sparkContext.applicationId, sf, stem)
     if key not in _stored:
         path = shared_folder(spark, "index")
-        store_index(documents(spark, sf), path, stem)
+        store_index(texts(spark, sf), path, stem)
         _stored[key] = path
     return read_index(spark, _stored[key])

@@ -64,17 +64,19 @@ def settled_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return lookup_side(settle(df), rows)
 
 
-def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Hash-partition a scan that would use fewer tasks than there are cores.
+def spread(scan: DataFrame, *keys: str | Column) -> DataFrame:
+    """Hash-partition a table scan that would use fewer tasks than there are cores.
 
     Text analysis is bound by CPU. A large table has a task per file split and
     is returned as is; a single small file would otherwise run on one core.
+    Call it on a plain scan: a plan with shuffles has to run them to tell its
+    partitions.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
     # Several tasks per core even out texts of very different length.
-    return df.repartition(4 * cores, *keys)
+    return scan.repartition(4 * cores, *keys)
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

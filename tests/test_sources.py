@@ -105,9 +105,10 @@ def test_only_a_local_session_may_go_without():
 
 
 def test_spread_leaves_well_split_scans_alone(spark):
-    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    wide, narrow = spark.range(0, 100, numPartitions=cores), spark.range(0, 100, numPartitions=1)
     assert session.spread(wide, "id") is wide
-    assert session.spread(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() > 1
+    assert session.spread(narrow, "id").rdd.getNumPartitions() > 1
 
 
 @pytest.mark.parametrize("table", ["documents", "terms"])
