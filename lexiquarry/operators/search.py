@@ -93,16 +93,11 @@ def assemble_hits(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPP
 
 
 def _with_fields(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
-    fields = docs.select(
-        "shard_id",
-        "doc_id",
-        "title",
-        snippet("content", snippet_chars).alias("content"),
-        "source",
-        "metadata",
-        iso_timestamp("created_at").alias("created_at"),
+    fields = docs.select("shard_id", "doc_id", "title", "content", "source", "metadata", "created_at")
+    # After the join, so that only texts of hits are cut.
+    return fields.join(ranked, ["shard_id", "doc_id"]).withColumns(
+        {"content": snippet("content", snippet_chars), "created_at": iso_timestamp("created_at")}
     )
-    return fields.join(ranked, ["shard_id", "doc_id"])
 
 
 def paginate(ranked: DataFrame, offset: int = 0, size: int = DEFAULT_SIZE) -> DataFrame:
