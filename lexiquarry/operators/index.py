@@ -10,6 +10,7 @@ inside its row, so building the postings shuffles nothing.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -144,6 +145,26 @@ def read_index(spark: SparkSession, path: str) -> Index:
     )
 
 
+def publish_index(docs: DataFrame, root: str, stem: bool = True, buckets: int = TERM_BUCKETS) -> Index:
+    """Rebuild the index next to the one in use and make it the current one.
+
+    The new version is recorded only when all its tables are written, and no
+    folder is ever written twice, so readers always see a whole index.
+    """
+    spark = docs.sparkSession
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    index = store_index(docs, folder, stem, buckets)
+    recorded = spark.range(1).select(F.lit(folder).alias("folder"), F.current_timestamp().alias("at"))
+    recorded.write.mode("append").parquet(f"{root}/versions")
+    return index
+
+
+def current_index(spark: SparkSession, root: str) -> Index:
+    """The index published last."""
+    versions = spark.read.parquet(f"{root}/versions")
+    return read_index(spark, versions.orderBy(F.desc("at")).first()["folder"])
+
+
 def _plain(entries: DataFrame) -> DataFrame:
     return entries.select("shard_id", "term", "doc_id", "tf", "doc_len")
 

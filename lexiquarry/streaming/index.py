@@ -19,7 +19,7 @@ from lexiquarry.streaming import log
 
 _DOCUMENTS = (
     "shard_id int, doc_id string, title string, content string, source string,"
-    " metadata map<string,string>, written_at timestamp"
+    " metadata map<string,string>, first_written_at timestamp, written_at timestamp"
 )
 _DOC_TERMS = (
     "shard_id int, doc_id string, doc_len bigint, terms array<struct<term:string,tf:bigint>>"
@@ -47,7 +47,9 @@ def index_stream(
         log.start_log(spark, f"{out}/{name}", schema)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = latest_versions(batch, order).select(*KEY, *FIELDS, now.alias("written_at"))
+        rows = latest_versions(batch, order).select(
+            *KEY, *FIELDS, now.alias("first_written_at"), now.alias("written_at")
+        )
         log.append(rows, f"{out}/documents", number)
         written = log.read_log(batch.sparkSession, f"{out}/documents")
         changed = written.where(F.col("batch_id") == number)
@@ -56,19 +58,30 @@ def index_stream(
     return log.run(docs, write, checkpoint, every)
 
 
+def _last_documents(spark: SparkSession, out: str) -> DataFrame:
+    rows = log.read_log(spark, f"{out}/documents")
+    last = log.latest(rows, KEY, _since=F.min("first_written_at"))
+    return last.withColumn("first_written_at", F.coalesce("_since", "first_written_at"))
+
+
 def current_documents(spark: SparkSession, out: str) -> DataFrame:
     """The last version of each document; `created_at` is when its first one came."""
-    rows = log.read_log(spark, f"{out}/documents")
-    last = log.latest(rows, KEY, _since=F.min("written_at"))
-    return last.select(
+    again = F.col("_since").isNotNull() | (F.col("first_written_at") < F.col("written_at"))
+    return _last_documents(spark, out).select(
         *KEY,
         *FIELDS,
-        F.coalesce("_since", "written_at").alias("created_at"),
+        F.col("first_written_at").alias("created_at"),
         F.col("written_at").alias("updated_at"),
-        F.when(F.col("_since").isNull(), "indexed").otherwise("updated").alias("status"),
+        F.when(again, "updated").otherwise("indexed").alias("status"),
     )
 
 
+def compact(spark: SparkSession, out: str, into: str) -> None:
+    """Start a new table and index from the last version of each document."""
+    log.append(_last_documents(spark, out).drop("_since"), f"{into}/documents", -1)
+    log.compact(spark, f"{out}/doc_terms", KEY, f"{into}/doc_terms")
+
+
 def current_index(spark: SparkSession, out: str) -> Index:
     """The index as of the last finished batch."""
     doc_terms = log.latest(log.read_log(spark, f"{out}/doc_terms"), KEY)

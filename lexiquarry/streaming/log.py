@@ -19,8 +19,8 @@ from lexiquarry.session import settled_side
 
 
 def start_log(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
-    """Make sure the table can be read before its first batch."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+    """Make sure the table can be read before its first batch; one that is there stays."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/batch_id=-1")
 
 
 def append(rows: DataFrame, path: str, batch: int) -> None:

@@ -49,7 +49,7 @@ def test_term_counts_equal_a_plain_count(docs):
 def test_stored_index_equals_the_plan_and_a_second_build(docs, tmp_path):
     frame = docs(**CORPUS, shards=3)
     built = flat(ops.build_index(frame))
-    assert flat(ops.store_index(frame, str(tmp_path / "one"))) == built
+    assert flat(ops.store_index(frame, str(tmp_path / "one"), buckets=1)) == built
     assert flat(ops.store_index(frame, str(tmp_path / "two"), buckets=3)) == built
     again = ops.read_index(frame.sparkSession, str(tmp_path / "two"))
     assert flat(again) == built
@@ -57,6 +57,16 @@ def test_stored_index_equals_the_plan_and_a_second_build(docs, tmp_path):
     assert ops.index_bytes(frame.sparkSession, str(tmp_path / "one")).first()[0] > 0
 
 
+def test_the_index_published_last_is_current(docs, tmp_path):
+    first, second = docs(a="red"), docs(a="blue", b="sea")
+    root = str(tmp_path / "index")
+    ops.publish_index(first, root, buckets=2)
+    old = ops.current_index(first.sparkSession, root)
+    ops.publish_index(second, root, buckets=2)
+    assert flat(ops.current_index(first.sparkSession, root)) == flat(ops.build_index(second))
+    assert flat(old) == flat(ops.build_index(first))
+
+
 def test_upsert_equals_rebuild(docs):
     before = ops.build_index(docs(**CORPUS))
     changed = docs(a="green", e="new blue")

@@ -90,7 +90,7 @@ def test_shards_score_with_their_own_statistics(docs):
 
 def test_single_query_equals_batch_on_a_stored_index(spark, docs, tmp_path):
     frame = docs(**MORE, shards=3)
-    index = index_ops.store_index(frame, str(tmp_path / "index"))
+    index = index_ops.store_index(frame, str(tmp_path / "index"), buckets=2)
     queries = spark.createDataFrame([(1, "red whales"), (2, "the"), (3, "sea")], "query_id bigint, query string")
     batch = ops.search_batch(index, frame, queries)
     assert {r.query_id for r in batch.collect()} == {1, 3}
@@ -103,7 +103,7 @@ def test_single_query_equals_batch_on_a_stored_index(spark, docs, tmp_path):
 
 def test_stored_postings_are_pruned_for_one_query(spark, docs, tmp_path):
     frame = docs(**MORE, shards=3)
-    index = index_ops.store_index(frame, str(tmp_path / "index"))
+    index = index_ops.store_index(frame, str(tmp_path / "index"), buckets=2)
     plan = ops.search(index, frame, "whale")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(term,whale)" in plan
     assert re.search(r"PartitionFilters: \[[^\]]*term_bucket", plan)

@@ -77,6 +77,13 @@ def test_index_stream_equals_batch_upserts(spark, docs, feed, tmp_path):
     assert rows(got, "doc_id", "status") == [("a", "updated"), ("b", "updated"), ("c", "indexed")]
     index = index_streams.current_index(spark, out)
     assert flat(index) == flat(index_ops.build_index(state))
+    fresh = str(tmp_path / "fresh")
+    index_streams.compact(spark, out, fresh)
+    late, more = moment("2024-07-01 00:00:00"), seq(docs(a="late"), 0)
+    finish(index_streams.index_stream(feed("more", more), fresh, str(tmp_path / "again"), late))
+    state = table.upsert_documents(state, more, late).drop("status")
+    assert rows(index_streams.current_documents(spark, fresh), *columns) == rows(state, *columns)
+    assert flat(index_streams.current_index(spark, fresh)) == flat(index_ops.build_index(state))
 
 
 def test_a_replayed_batch_changes_nothing(spark, docs, tmp_path):
