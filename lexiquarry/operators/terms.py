@@ -242,11 +242,6 @@ def queue_updates(updates: DataFrame, now: Column, batch_id: Column | None = Non
     )
 
 
-def _pending(buffer: DataFrame, batch_id: str | None, shard_id: int | None) -> Column:
-    due = ~F.col("processed")
-    return due & _of_batch(batch_id, shard_id)
-
-
 def _of_batch(batch_id: str | None, shard_id: int | None) -> Column:
     chosen = F.lit(True)
     if batch_id is not None:
@@ -258,7 +253,7 @@ def _of_batch(batch_id: str | None, shard_id: int | None) -> Column:
 
 def _with_deltas(terms, buffer, batch_id, shard_id) -> DataFrame:
     deltas = (
-        buffer.where(_pending(buffer, batch_id, shard_id))
+        buffer.where(~F.col("processed") & _of_batch(batch_id, shard_id))
         .groupBy(*KEY)
         .agg(F.sum("frequency_delta").alias("_delta"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiquarry.operators.terms import KEY
-from lexiquarry.plans import ingest, search, sql, terms, views
+from lexiquarry.plans import ingest, sql, terms, views
 from lexiquarry.session import shared_folder
 from lexiquarry.sources import messages
 from lexiquarry.streaming import index as index_streams
