@@ -4,6 +4,7 @@ A few by default; all of them with LEXIQUARRY_ALL=1.
 """
 
 import os
+import re
 
 import pytest
 
@@ -20,7 +21,7 @@ SOME = (
     "trm16_apply_batch",
     "str01_ingest_stream",
 )
-NAMES = sorted(entry.queries()) if os.environ.get("LEXIQUARRY_ALL") else SOME
+NAMES = sorted(entry.oracle_sql()) if os.environ.get("LEXIQUARRY_ALL") else SOME
 
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -36,7 +37,10 @@ def database():
 
 
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    """Those of the part for training text have SQL only where SQL can express them."""
+    without = entry.queries().keys() - entry.oracle_sql().keys()
+    assert entry.oracle_sql().keys() <= entry.queries().keys()
+    assert all(name == "pipeline" or re.match(r"op\d+_", name) for name in without)
 
 
 @pytest.mark.parametrize("name", NAMES)
