@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiquarry.llm import decontamination, token_counts
+from lexiquarry.llm import decontamination, packing, simhash, token_counts
 from lexiquarry.llm.rows import spread_rows, table
 
 
@@ -27,9 +28,28 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    pieces = packing.token_pieces(_docs(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of each document."""
+    found = simhash.near_duplicates(_docs(spark, sf_dir))
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
+    "op8_packing": op8_packing,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {}
