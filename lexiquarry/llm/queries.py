@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm import decontamination, packing, simhash, token_counts
+from lexiquarry.llm import decontamination, fingerprints, language, packing, quality, simhash, token_counts
 from lexiquarry.llm.rows import spread_rows, table
 
 
@@ -19,6 +19,15 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(found)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each text by hyperdimensional profiles of the rows that may teach."""
+    docs = _docs(spark, sf_dir)
+    names, prototypes = language.fit(docs.where(language.learns()))
+    held = docs.withColumn("held_out", ~language.learns())
+    found = language.identify(held, names, prototypes, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score", "cosine")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each text under piece_bpe_32k.model."""
     import public_tokenizers
@@ -28,6 +37,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each text by a model of the labelled rows that may teach."""
+    docs = _docs(spark, sf_dir)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    training = docs.where(quality.learns()).select("doc_id", "text").join(labels, "doc_id")
+    held = docs.withColumn("held_out", ~quality.learns())
+    return quality.score(held, quality.fit(training), keep=["doc_id", "held_out"])
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketch of each text and its edited form, and what they share with it and the next document."""
+    return fingerprints.compare_next(_docs(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of 4096 tokens."""
     import public_tokenizers
@@ -47,7 +70,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_decontamination": op3_decontamination,
+    "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
+    "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
 }
