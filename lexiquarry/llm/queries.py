@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm import decontamination, fingerprints, language, packing, quality, simhash, token_counts
+from lexiquarry.llm import decontamination, fingerprints, language, packing, pii, quality, simhash, token_counts
 from lexiquarry.llm.rows import spread_rows, table
 
 
@@ -68,6 +68,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+# The registered query needs a key that stays the same; a real one comes from the caller.
+PII_KEY = "registered query"
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with personal values replaced by pseudonyms, and how many there were."""
+    docs = _docs(spark, sf_dir)
+    return pii.pseudonymise(docs, PII_KEY, keep=["doc_id", "text"])
+
+
 QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
@@ -76,6 +86,7 @@ QUERIES = {
     "op7_fingerprints": op7_fingerprints,
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {}
