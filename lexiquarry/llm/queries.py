@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm import decontamination, fingerprints, language, packing, pii, quality, simhash, token_counts
+from lexiquarry.llm import decontamination, fingerprints, language, line_dedup, packing, pii, quality, simhash, token_counts
 from lexiquarry.llm.rows import spread_rows, table
 
 
@@ -13,6 +13,11 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_rows(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the lines that an earlier place has alike."""
+    return line_dedup.dedup_lines(_docs(spark, sf_dir), keep=["doc_id", "text"])
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of each document is made of benchmark phrases, by an FM-index of each shard."""
     found = decontamination.decontaminate(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -79,6 +84,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,
     "op5_token_counts": op5_token_counts,

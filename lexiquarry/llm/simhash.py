@@ -24,6 +24,8 @@ linking, but is never a component's name unless the component has no other id.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +38,7 @@ SHINGLE = 4
 MAX_BITS = 4
 MOST = 4096
 LOT = 1 << 20  # node pairs handled at a time
+Near = Callable[[np.ndarray, np.ndarray], None]
 LEAF = 64  # node pairs of at most so many element pairs are compared directly
 
 # For each byte, its bits as eight counters of one byte each, the lowest bit first.
@@ -134,10 +137,10 @@ class Forest:
             self.links.append((a[first], b[first]))
 
 
-def trie_join(group: np.ndarray, bits: np.ndarray, depth: int, max_bits: int, forest: Forest) -> None:
-    """Links all of one group that differ in at most max_bits; (group, bits) is sorted and distinct.
+def trie_join(group: np.ndarray, bits: np.ndarray, depth: int, max_bits: int, near: Near) -> None:
+    """Gives `near` all pairs of places of one group that differ in at most max_bits, in bounded lots.
 
-    Within a group the first `depth` bits agree.
+    (group, bits) is sorted; within a group the first `depth` bits agree.
     """
     edge = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, np.int64)
     end = np.append(edge[1:], len(group))
@@ -151,8 +154,8 @@ def trie_join(group: np.ndarray, bits: np.ndarray, depth: int, max_bits: int, fo
             stack += [(depth, pairs[:, half:]), (depth, pairs[:, :half])]
             continue
         size = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
-        leaf = size <= LEAF
-        _compare(bits, pairs[:, leaf], max_bits, forest)
+        leaf = (size <= LEAF) | (depth == 64)
+        _compare(bits, pairs[:, leaf], max_bits, near)
         pairs = pairs[:, ~leaf]
         if not pairs.shape[1]:
             continue
@@ -187,80 +190,94 @@ def _middle(bits: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) ->
         low[open_[~one]] = mid[~one] + 1
 
 
-def _compare(bits: np.ndarray, pairs: np.ndarray, max_bits: int, forest: Forest) -> None:
-    """The element pairs of small node pairs, a bounded lot at a time."""
-    for at in range(0, pairs.shape[1], LOT // LEAF * 4):
-        a0, a1, b0, b1, _ = pairs[:, at : at + LOT // LEAF * 4]
-        wide = b1 - b0
-        many = (a1 - a0) * wide
-        which = np.repeat(np.arange(len(many)), many)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)
-        a = a0[which] + nth // wide[which]
-        b = b0[which] + nth % wide[which]
-        near = (a != b) & (np.bitwise_count(bits[a] ^ bits[b]) <= max_bits)
-        forest.link(a[near], b[near])
-
-
-def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
-    """Links (a, b) between distinct fingerprints (column `simhash`) that connect all within max_bits.
-
-    Spanning links only: every two within max_bits are connected by some.
+def _compare(bits: np.ndarray, pairs: np.ndarray, max_bits: int, near: Near) -> None:
+    """The element pairs of node pairs, a bounded lot at a time."""
+    a0, a1, b0, b1, _ = pairs
+    if not len(a0):
+        return
+    # A node pair of more than a lot is taken some rows at a time.
+    rows = np.maximum(LOT // np.maximum(b1 - b0, 1), 1)
+    cuts = -((a0 - a1) // rows)
+    which = np.repeat(np.arange(len(cuts)), cuts)
+    a0 = a0[which] + (np.arange(len(which)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * rows[which]
+    a1, b0, b1 = np.minimum(a0 + rows[which], a1[which]), b0[which], b1[which]
+    many = (a1 - a0) * (b1 - b0)
+    lots = np.flatnonzero(np.diff(np.cumsum(many) // LOT, prepend=-1))
+    for low, high in zip(lots, np.append(lots[1:], len(many)), strict=True):
+        own, wide = many[low:high], (b1 - b0)[low:high]
+        which = np.repeat(np.arange(len(own)), own)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(own) - own, own)
+        a = a0[low:high][which] + nth // wide[which]
+        b = b0[low:high][which] + nth % wide[which]
+        like = (a != b) & (np.bitwise_count(bits[a] ^ bits[b]) <= max_bits)
+        if like.any():
+            near(a[like], b[like])
+
+
+def deal(rows: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
+    """Each row once for each trie it is in, dealt out so that a task has whole groups (trie, part).
+
+    Rows have `simhash` and what else the join needs. Of a block value that
+    more than `most` rows share, every two rows meet in one of its parts.
     """
-    spans = blocks_of(max_bits)
     fp = F.col("simhash")
-    keyed = fingerprints.select(
-        fp,
-        F.explode(
-            F.array(
-                *(
-                    F.struct(
-                        F.lit(k).cast("long").alias("block"),
-                        F.shiftrightunsigned(fp, 64 - first - width).bitwiseAND(F.lit((1 << width) - 1)).alias("value"),
-                    )
-                    for k, (first, width) in enumerate(spans)
-                )
-            )
-        ).alias("at"),
-    ).select((F.col("at.block") * (1 << 40) + F.col("at.value")).alias("trie"), "simhash")
-    # Values that too many share: at most (blocks x 2^13) counts, of which few are large.
+    tries = [
+        F.lit(k).cast("long") * (1 << 40)
+        + F.shiftrightunsigned(fp, 64 - first - width).bitwiseAND(F.lit((1 << width) - 1))
+        for k, (first, width) in enumerate(blocks_of(max_bits))
+    ]
+    keyed = rows.withColumn("trie", F.explode(F.array(*tries)))
+    return deal_groups(keyed, most)
+
+
+def deal_groups(keyed: DataFrame, most: int = MOST) -> DataFrame:
+    # Of at most (blocks x 2^13) values few are large.
     large = keyed.groupBy("trie").count().where(F.col("count") > most)
     chunks = large.select("trie", F.ceil(2 * F.col("count") / most).alias("chunks"))
-    cut = keyed.join(chunks, "trie", "left")
     own = F.pmod(F.xxhash64("simhash", F.lit(7)), F.col("chunks"))
     pair = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
         lambda x: F.least(x, F.col("own")) * F.col("chunks") + F.greatest(x, F.col("own")),
     )
-    cut = cut.withColumn("own", own).select(
-        "trie",
-        F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(pair)).alias("part"),
-        "simhash",
-    )
-    dealt = cut.repartition("trie", "part")
+    one = F.array(F.lit(0).cast("long"))
+    cut = keyed.join(chunks, "trie", "left").withColumn("own", own)
+    cut = cut.withColumn("part", F.explode(F.when(F.col("chunks").isNull(), one).otherwise(pair)))
+    return cut.drop("chunks", "own").repartition("trie", "part")
 
-    def join(batches):
-        got = [(b.column("trie").to_numpy(), b.column("part").to_numpy(), b.column("simhash").to_numpy()) for b in batches]
-        if not got:
-            return
-        trie, part, fp = (np.concatenate(x) for x in zip(*got, strict=True))
-        fp = fp.view(np.uint64)
-        for k, (first, width) in enumerate(spans):
-            own = np.flatnonzero(trie >> 40 == k)
-            if not len(own):
-                continue
+
+def joined_tries(trie: np.ndarray, part: np.ndarray, fp: np.ndarray, max_bits: int) -> Iterator[tuple]:
+    """For each block: places of the rows that have it, and the sorted arguments of `trie_join`."""
+    for k, (first, width) in enumerate(blocks_of(max_bits)):
+        own = np.flatnonzero(trie >> 40 == k)
+        if len(own):
             value = fp[own]
             # The block comes on top; the rest follows in a circle.
             turned = value if not first else (value << np.uint64(first)) | (value >> np.uint64(64 - first))
             order = np.lexsort((turned, part[own], trie[own]))
             own, turned = own[order], turned[order]
             new = (trie[own][1:] != trie[own][:-1]) | (part[own][1:] != part[own][:-1])
-            group = np.concatenate(([0], np.cumsum(new)))
-            forest = Forest(len(own))
-            trie_join(group, turned, width, max_bits, forest)
-            for a, b in forest.links:
-                a, b = fp[own[a]].view(np.int64), fp[own[b]].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            yield own, np.concatenate(([0], np.cumsum(new))), turned, width
+
+
+def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> DataFrame:
+    """Links (a, b) between distinct fingerprints (column `simhash`) that connect all within max_bits.
 
+    Spanning links only: every two within max_bits are connected by some.
+    """
+
+    def join(batches):
+        got = [[b.column(c).to_numpy() for c in ("trie", "part", "simhash")] for b in batches]
+        if got:
+            trie, part, fp = (np.concatenate(x) for x in zip(*got, strict=True))
+            fp = fp.view(np.uint64)
+            for own, group, turned, width in joined_tries(trie, part, fp, max_bits):
+                forest = Forest(len(own))
+                trie_join(group, turned, width, max_bits, forest.link)
+                for a, b in forest.links:
+                    a, b = fp[own[a]].view(np.int64), fp[own[b]].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    dealt = deal(fingerprints.select("simhash"), max_bits, most).select("trie", "part", "simhash")
     return dealt.mapInArrow(join, "a long, b long")
 
 
