@@ -229,6 +229,11 @@ def identify(
     return per_text(docs, make, "lang_pred string, score double, cosine double", text, keep, 2 << 20)
 
 
+def accepted():
+    """Whether a language was found, and the text is nearer to it than to none."""
+    return (F.col("lang_pred") != UNKNOWN) & (F.col("cosine") > 0)
+
+
 def learns(key: str = "doc_id"):
     """Whether a row may teach: crc32 of its key as text, modulo 4, is not 2."""
     return F.crc32(F.col(f"`{key}`").cast("string").cast("binary")) % 4 != 2

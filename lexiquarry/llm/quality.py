@@ -9,8 +9,8 @@ fitted to the margins of rows left out of the fit turns them into scores.
 
 n-grams are hashed to 2^18 buckets. Ratios come from the counts of all training
 rows, summed where the rows are; they are two numbers a bucket. The linear model
-is fitted on at most `FIT_ROWS` training rows, those with the smallest hash of
-their text, and `FIT_GRAMS` of each row's n-grams (those with the smallest
+is fitted on at most `FIT_ROWS` training rows, distinct texts of the smallest
+hash, half from either class, and `FIT_GRAMS` of each row's n-grams (those with the smallest
 hash), both documented bounds; scoring uses every n-gram of every whole text.
 
 Defined cases: null and empty texts have no n-grams and get the score of the
@@ -153,15 +153,17 @@ def fit(training: DataFrame, text: str = "text", label: str = "label", rows: int
                     if len(own) > FIT_GRAMS:
                         own = own[np.argsort(mix(own.astype(np.uint64)), kind="stable")[:FIT_GRAMS]]
                     out.append(own.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(out, pa.list_(pa.int32()))], ["y", "x"])
+            x = pa.array(out, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("label"), x], ["mark", "y", "x"])
 
-    # Half of the rows from either class as far as there are; each class by the smallest hash of its texts.
+    # Up to half of the rows from either class: distinct texts of small hash, thinned where they are, then cut to the bound.
     each = []
     for c in (0, 1):
-        mark = [F.xxhash64("text"), F.col("text")]
-        chosen = plain.where(F.col("label") == c).orderBy(*mark).limit(rows // 2)
-        each.append(chosen)
-    sample = each[0].unionByName(each[1]).mapInArrow(hashed, "y long, x array<int>").toArrow()
+        own = plain.where(F.col("label") == c).withColumn("mark", F.xxhash64("text"))
+        share = min(1.0, 0.75 * rows / many[c])
+        thin = own.where(F.shiftrightunsigned("mark", 32) < int(share * 2**32)).dropDuplicates(["mark"])
+        each.append(thin.mapInArrow(hashed, "mark long, y long, x array<int>").orderBy("mark").limit(rows // 2))
+    sample = each[0].unionByName(each[1]).toArrow()
     y = sample.column("y").to_numpy() * 2 - 1
     x = [np.asarray(v) for v in sample.column("x").combine_chunks().to_numpy(zero_copy_only=False)]
     return fit_margin(x, y, ratio, many)

@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm import decontamination, fingerprints, language, line_dedup, packing, pii, quality, simhash, token_counts
+from lexiquarry.llm import (
+    decontamination,
+    fingerprints,
+    html_extraction,
+    language,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    simhash,
+    token_counts,
+)
 from lexiquarry.llm.rows import spread_rows, table
 
 
@@ -13,6 +24,12 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_rows(table(spark, sf_dir, "documents"))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page by a labeller trained on layouts of the table's sentences."""
+    pages = spread_rows(table(spark, sf_dir, "pages"))
+    return html_extraction.extract(pages, html_extraction.fit(pages), keep=["page_id", "url"])
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that an earlier place has alike."""
     return line_dedup.dedup_lines(_docs(spark, sf_dir), keep=["doc_id", "text"])
@@ -84,6 +101,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_language_id": op4_language_id,

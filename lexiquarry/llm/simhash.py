@@ -302,3 +302,20 @@ def near_duplicates(
         "classes",
     )
     return rows.join(known, "simhash").select(F.col("key").alias(key), "simhash", "component_id")
+
+
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The rows of docs of which each component keeps one, that of its smallest key.
+
+    Rows with the same key are repeats of one document, of which one row stays.
+    Rows without key can't be told apart and all stay.
+    """
+    found = settle(near_duplicates(docs, key, text, **settings).withColumnRenamed(key, "__key"), "near")
+    gone = found.where("__key <> component_id").select("__key").distinct()
+    kept = docs.join(gone, docs[key] == gone["__key"], "left_anti")
+    again = found.where("__key = component_id").groupBy("__key").count().where("count > 1").select("__key")
+    if again.isEmpty():
+        return kept
+    again = settle(again, "again")
+    one = kept.join(again, kept[key] == again["__key"], "left_semi").dropDuplicates([key])
+    return kept.join(again, kept[key] == again["__key"], "left_anti").unionByName(one)
