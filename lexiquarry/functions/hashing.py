@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 DOCUMENT_SHARDS = 3
 TERM_SHARDS = 2
 
+# Directories the documents of a shard are stored in, by a hash of the id.
+DOCUMENT_BUCKETS = 16
+
 
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
@@ -23,6 +26,11 @@ def shard_of(key, shards: int) -> Column:
     return (F.conv(digits, 16, 10).cast("bigint") % shards).cast("int")
 
 
+def document_bucket(doc_id="doc_id", buckets: int = DOCUMENT_BUCKETS) -> Column:
+    """Directory of a shard that a stored document is in."""
+    return F.pmod(F.xxhash64(_col(doc_id)), F.lit(buckets)).cast("int")
+
+
 def content_id(doc_id, content) -> Column:
     """The given id, or the md5 of the content where it is absent or empty."""
     return F.coalesce(F.nullif(_col(doc_id), F.lit("")), F.md5(_col(content)))

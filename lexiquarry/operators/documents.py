@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.operators.ranking import first_per_key
-from lexiquarry.session import lookup_side, settle, settled_side
+from lexiquarry.session import lookup_side, settle
 
 KEY = ["shard_id", "doc_id"]
 FIELDS = ["title", "content", "source", "metadata"]
@@ -27,8 +27,9 @@ def fetch_documents(docs: DataFrame, ids: DataFrame, shard_id: int | None = None
 
 
 def latest_versions(incoming: DataFrame, order: str = "seq") -> DataFrame:
-    """The last version of each document of a batch."""
-    return first_per_key(incoming, KEY, [F.desc(order)])
+    """The last version of each document of a batch; of equally late ones the one whose content hash is highest."""
+    content = F.xxhash64("content", "title", "source", F.to_json(F.struct("metadata")))
+    return first_per_key(incoming, KEY, [F.desc(order), F.desc(content), F.desc("content")])
 
 
 def upsert_documents(
@@ -42,7 +43,7 @@ def upsert_documents(
     its wide rows are never shuffled for an outer join.
     """
     latest = settle(latest_versions(incoming, order).select(*KEY, *FIELDS))
-    keys = lookup_side(latest.select(*KEY))
+    keys = latest.select(*KEY)
     known = current.join(keys, KEY, "left_semi").select(*KEY, F.col("created_at").alias("_since"))
     written = latest.join(known, KEY, "left").select(
         *KEY,
@@ -60,10 +61,10 @@ def upsert_documents(
 def upsert_results(current: DataFrame, incoming: DataFrame, order: str = "seq") -> DataFrame:
     """Status of every request of a batch, as if they ran one after the other."""
     first = settle(incoming.groupBy(*KEY).agg(F.min(order).alias("_first")))
-    known = current.join(lookup_side(first), KEY, "left_semi").select(*KEY, F.lit(True).alias("_known"))
+    known = current.join(first, KEY, "left_semi").select(*KEY, F.lit(True).alias("_known"))
     status = first.join(known, KEY, "left")
     new = F.col("_known").isNull() & (F.col(order) == F.col("_first"))
-    return incoming.join(settled_side(status), KEY).select(
+    return incoming.join(lookup_side(status), KEY).select(
         *KEY, order, F.when(new, "indexed").otherwise("updated").alias("status")
     )
 
@@ -75,8 +76,8 @@ def delete_documents(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def delete_results(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Per listed id "deleted", or an error when there is no such document."""
-    asked = ids.select(*KEY)
-    found = docs.join(lookup_side(asked), KEY, "left_semi").select(*KEY, F.lit(True).alias("_found"))
+    asked = lookup_side(ids.select(*KEY))
+    found = docs.join(asked, KEY, "left_semi").select(*KEY, F.lit(True).alias("_found"))
     return asked.join(found, KEY, "left").select(
         *KEY,
         F.when(F.col("_found"), "deleted").otherwise("").alias("status"),

@@ -17,10 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.text import full_text, preprocess
-from lexiquarry.session import lookup_side, settle, settled_side
+from lexiquarry.session import lookup_side, remove_folder, settle
 
 KEY = ["shard_id", "doc_id"]
 
+POSTINGS = "term string, doc_id string, tf bigint, doc_len bigint, shard_id int, term_bucket int"
+TERM_STATS = "term string, df bigint, shard_id int"
+DOC_STATS = "doc_id string, doc_len bigint, shard_id int"
+DOC_TERMS = "shard_id int, doc_id string, doc_len bigint, terms array<struct<term:string,tf:bigint>>"
+
 # Directories the postings of a shard are split into by a hash of the term.
 # Raise it with the corpus, to about a gigabyte of postings each.
 TERM_BUCKETS = 16
@@ -28,12 +33,17 @@ TERM_BUCKETS = 16
 
 @dataclass(frozen=True)
 class Index:
-    """The three tables; `buckets` is set when the postings are stored by term bucket."""
+    """The three tables; `buckets` is set when the postings are stored by term bucket.
+
+    `doc_terms(shard_id, doc_id, doc_len, terms)` has the postings by document,
+    for scoring many queries in one pass.
+    """
 
     postings: DataFrame
     term_stats: DataFrame
     doc_stats: DataFrame
     buckets: int | None = None
+    doc_terms: DataFrame | None = None
 
 
 def term_bucket(buckets: int, term: str = "term") -> Column:
@@ -91,7 +101,7 @@ def corpus_size(stats: DataFrame) -> DataFrame:
 
 def _index_of(doc_terms: DataFrame) -> Index:
     entries = postings(doc_terms)
-    return Index(entries, term_stats(entries), doc_stats(doc_terms))
+    return Index(entries, term_stats(entries), doc_stats(doc_terms), doc_terms=doc_terms)
 
 
 def build_index(docs: DataFrame, stem: bool = True) -> Index:
@@ -109,12 +119,27 @@ def store_index(
     """
     spark = docs.sparkSession
     count_terms(analyze(docs, stem)).write.parquet(f"{path}/doc_terms")
-    doc_terms = spark.read.parquet(f"{path}/doc_terms")
-    return write_index(_index_of(doc_terms), path, buckets)
+    doc_terms = spark.read.schema(DOC_TERMS).parquet(f"{path}/doc_terms")
+    return _write_tables(_index_of(doc_terms), path, buckets)
 
 
 def write_index(index: Index, path: str, buckets: int = TERM_BUCKETS) -> Index:
-    """Write the three tables to a new folder and return them as stored.
+    """Write the tables to a new folder and return them as stored."""
+    _by_document(index).write.parquet(f"{path}/doc_terms")
+    return _write_tables(index, path, buckets)
+
+
+def _by_document(index: Index) -> DataFrame:
+    if index.doc_terms is not None:
+        return index.doc_terms
+    lists = index.postings.groupBy(*KEY).agg(F.collect_list(F.struct("term", "tf")).alias("terms"))
+    return index.doc_stats.join(lists, KEY, "left").select(
+        *KEY, "doc_len", F.coalesce("terms", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("terms")
+    )
+
+
+def _write_tables(index: Index, path: str, buckets: int) -> Index:
+    """Store all but the counts by document.
 
     Postings are laid out by shard and term bucket and sorted by term, so a
     query opens few files and skips within them by the page statistics. The
@@ -128,7 +153,7 @@ def write_index(index: Index, path: str, buckets: int = TERM_BUCKETS) -> Index:
         .sortWithinPartitions("shard_id", "term_bucket", "term", "doc_id")
     )
     laid_out.write.partitionBy("shard_id", "term_bucket").parquet(f"{path}/postings")
-    stored = spark.read.parquet(f"{path}/postings")
+    stored = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
     term_stats(stored).write.partitionBy("shard_id").parquet(f"{path}/term_stats")
     index.doc_stats.write.partitionBy("shard_id").parquet(f"{path}/doc_stats")
     layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
@@ -137,11 +162,15 @@ def write_index(index: Index, path: str, buckets: int = TERM_BUCKETS) -> Index:
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
+    def stored(schema: str, name: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{path}/{name}")
+
     return Index(
-        spark.read.parquet(f"{path}/postings"),
-        spark.read.parquet(f"{path}/term_stats").select("shard_id", "term", "df"),
-        spark.read.parquet(f"{path}/doc_stats").select("shard_id", "doc_id", "doc_len"),
-        spark.read.parquet(f"{path}/layout").first()["buckets"],
+        stored(POSTINGS, "postings"),
+        stored(TERM_STATS, "term_stats").select("shard_id", "term", "df"),
+        stored(DOC_STATS, "doc_stats").select("shard_id", "doc_id", "doc_len"),
+        stored("buckets int", "layout").first()["buckets"],
+        stored(DOC_TERMS, "doc_terms"),
     )
 
 
@@ -159,6 +188,15 @@ def publish_index(docs: DataFrame, root: str, stem: bool = True, buckets: int =
     return index
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> int:
+    """Delete the tables of all but the `keep` versions published last; for when no reader is left on them."""
+    versions = spark.read.parquet(f"{root}/versions").orderBy(F.desc("at")).select("folder").collect()
+    old = [v["folder"] for v in versions[max(keep, 1) :]]
+    for folder in old:
+        remove_folder(spark, folder)
+    return len(old)
+
+
 def current_index(spark: SparkSession, root: str) -> Index:
     """The index published last."""
     versions = spark.read.parquet(f"{root}/versions")
@@ -182,12 +220,13 @@ def _moved(stats: DataFrame, gone: DataFrame, come: DataFrame | None) -> DataFra
 
 def index_delete(index: Index, ids: DataFrame) -> Index:
     """Take documents out of the index; unknown ids change nothing."""
-    keys = settled_side(ids.select(*KEY).distinct())
+    keys = lookup_side(ids.select(*KEY).distinct())
     entries = _plain(index.postings)
     return Index(
         entries.join(keys, KEY, "left_anti"),
         _moved(index.term_stats, entries.join(keys, KEY, "left_semi"), None),
         index.doc_stats.join(keys, KEY, "left_anti"),
+        doc_terms=None if index.doc_terms is None else index.doc_terms.join(keys, KEY, "left_anti"),
     )
 
 
@@ -195,12 +234,15 @@ def index_upsert(index: Index, changed: DataFrame, stem: bool = True) -> Index:
     """Replace the entries of changed documents and add those of new ones."""
     doc_terms = settle(count_terms(analyze(changed, stem)))
     added = _index_of(doc_terms)
-    keys = lookup_side(doc_terms.select(*KEY))
+    keys = doc_terms.select(*KEY)
     entries = _plain(index.postings)
     return Index(
         entries.join(keys, KEY, "left_anti").unionByName(added.postings),
         _moved(index.term_stats, entries.join(keys, KEY, "left_semi"), added.postings),
         index.doc_stats.join(keys, KEY, "left_anti").unionByName(added.doc_stats),
+        doc_terms=None
+        if index.doc_terms is None
+        else index.doc_terms.join(keys, KEY, "left_anti").unionByName(doc_terms),
     )
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A filter row_number() <= k is pushed below the shuffle up to this k
-# (spark.sql.optimizer.windowGroupLimitThreshold), so that each map task sends
-# at most k rows per key.
-PUSHED_LIMIT = 1000
+
+def pushed_limit(spark: SparkSession) -> int:
+    """The k up to which a filter row_number() <= k is pushed below the shuffle, so that each map task sends at most k rows per key."""
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -22,12 +22,12 @@ def top_rows(
 ) -> DataFrame:
     """The first `k` rows per key with their `rank`.
 
-    Up to `PUSHED_LIMIT` Spark prunes before the shuffle by itself. Beyond, the
+    Up to `pushed_limit` Spark prunes before the shuffle by itself. Beyond, the
     rows of a key are first ranked in groups by a hash of the `salt` column, so
     that no single task sorts all rows of a hot key; the top k of the groups
     hold the top k of the key.
     """
-    if k > PUSHED_LIMIT:
+    if k > pushed_limit(df.sparkSession):
         groups = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         local = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (

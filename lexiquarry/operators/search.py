@@ -2,26 +2,36 @@
 
 Ids are ranked first and document rows fetched last, so the wide document table
 is only read for the hits that are returned.
+
+Scores are summed in units of 1e-14, as whole numbers: the sum does not depend
+on the order of its terms, so equal documents tie in every run and engine.
+Ranking uses these; the score that is shown is rounded to six places.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiquarry.functions.hashing import document_bucket
 from lexiquarry.functions.text import iso_timestamp, preprocess, snippet
-from lexiquarry.operators.index import Index, corpus_size, term_bucket
+from lexiquarry.operators.index import KEY, Index, corpus_size, term_bucket
 from lexiquarry.operators.ranking import top_rows
-from lexiquarry.session import BROADCAST_ROWS, lookup_side, settle, settled_side
+from lexiquarry.session import lookup_side, settle
 
-# Extra hits fetched before missing documents are dropped, and the
-# page defaults.
-OVERFETCH = 50
+# The page defaults.
 DEFAULT_SIZE = 10
 SNIPPET_CHARS = 500
 
-# Terms of a single query up to which the postings scan gets them as literals.
-LITERAL_TERMS = 64
+UNITS = 1e14
+# Query weights (rows of a term of a query) that a task holds at a time.
+WEIGHTS_HELD = 2_000_000
 
 
 def query_terms(queries: DataFrame, stem: bool = True) -> DataFrame:
@@ -37,7 +47,7 @@ def candidates(index: Index, terms: DataFrame) -> DataFrame:
     shuffled; a larger one is joined by a shuffle on the term, whose hot
     partitions adaptive execution splits.
     """
-    return _matching(index, settled_side(terms))
+    return _matching(index, lookup_side(terms))
 
 
 def _matching(index: Index, terms: DataFrame) -> DataFrame:
@@ -51,7 +61,7 @@ def term_weights(index: Index, terms: DataFrame, stats: str = "global") -> DataF
     The terms are joined to the statistics before anything is aggregated, so
     only the query vocabulary is. N and df are of the shard or of the corpus.
     """
-    known = index.term_stats.join(lookup_side(terms), "term")
+    known = index.term_stats.join(terms, "term")
     if stats == "shard":
         # One row per shard.
         sizes = F.broadcast(corpus_size(index.doc_stats))
@@ -67,20 +77,29 @@ def term_weights(index: Index, terms: DataFrame, stats: str = "global") -> DataF
     return known.select(*keys, weight.alias("weight"))
 
 
-def _scores(matching: DataFrame) -> DataFrame:
-    return matching.groupBy("query_id", "shard_id", "doc_id").agg(
-        F.round(F.sum(F.col("tf") / F.col("doc_len") * F.col("weight")), 6).alias("score")
-    )
+def units(weight: Column | str = "weight") -> Column:
+    """What a posting adds to a score, in whole units."""
+    weight = F.col(weight) if isinstance(weight, str) else weight
+    return F.round(F.col("tf") / F.col("doc_len") * weight * UNITS).cast("bigint")
+
+
+def _scores(matching: DataFrame, keys: tuple[str, ...] = ("query_id",)) -> DataFrame:
+    return matching.groupBy(*keys, *KEY).agg((F.sum(units()) / UNITS).alias("score"))
 
 
 def tfidf(index: Index, terms: DataFrame, stats: str = "global") -> DataFrame:
-    """Score of every candidate, rounded to six places; a score of zero stays."""
+    """Score of every candidate; a score of zero stays."""
     return _scores(candidates(index, term_weights(index, settle(terms), stats)))
 
 
+def shown_score(score: str = "score") -> Column:
+    return F.round(score, 6).alias("score")
+
+
 def top_k(scores: DataFrame, k: int, by: tuple[str, ...] = ("query_id",)) -> DataFrame:
-    """Best k per query with their rank; equal scores are ordered by document id."""
-    return top_rows(scores, list(by), [F.desc("score"), F.asc("doc_id")], k, salt="doc_id")
+    """Best k per query with their rank; equal scores are ordered by document id, then shard."""
+    order = [F.desc("score"), F.asc("doc_id")] + ([F.asc("shard_id")] if "shard_id" in scores.columns else [])
+    return top_rows(scores, list(by), order, k, salt="doc_id")
 
 
 def assemble_hits(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
@@ -89,13 +108,19 @@ def assemble_hits(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPP
     The hits are the small side: when counted so they are broadcast and the
     document table is scanned without a shuffle.
     """
-    return _with_fields(settled_side(ranked), docs, snippet_chars)
+    return _with_fields(lookup_side(ranked), docs, snippet_chars)
 
 
 def _with_fields(ranked: DataFrame, docs: DataFrame, snippet_chars: int = SNIPPET_CHARS) -> DataFrame:
-    fields = docs.select("shard_id", "doc_id", "title", "content", "source", "metadata", "created_at")
+    names = ["shard_id", "doc_id", "title", "content", "source", "metadata", "created_at"]
+    keys = list(KEY)
+    if "doc_bucket" in docs.columns:
+        # The table is stored by buckets of the id; only those of the hits are opened.
+        keys.append("doc_bucket")
+        ranked = ranked.withColumn("doc_bucket", document_bucket("doc_id"))
+    fields = docs.select(*dict.fromkeys([*names, *keys]))
     # After the join, so that only texts of hits are cut.
-    return fields.join(ranked, ["shard_id", "doc_id"]).withColumns(
+    return fields.join(ranked, keys).drop("doc_bucket").withColumns(
         {"content": snippet("content", snippet_chars), "created_at": iso_timestamp("created_at")}
     )
 
@@ -111,22 +136,107 @@ def total_hits(scores: DataFrame, cap: int | None = None) -> DataFrame:
     return scores.groupBy("query_id").agg((F.least(n, F.lit(cap)) if cap is not None else n).alias("total"))
 
 
-def fetch_ranked(scores: DataFrame, size: int, offset: int, stats: str) -> DataFrame:
-    """The ids a page is made from: some more than its length, per shard or overall."""
-    if stats == "shard":
-        return top_k(scores, 2 * size + OVERFETCH, ("query_id", "shard_id"))
-    return top_k(scores, size + offset + OVERFETCH)
+def missing_documents(index: Index, docs: DataFrame) -> DataFrame:
+    """Keys in the index that the document table no longer has; reads keys only."""
+    return index.doc_stats.select(*KEY).join(docs.select(*KEY), KEY, "left_anti")
 
 
-def cut_page(hits: DataFrame, size: int, offset: int, stats: str) -> DataFrame:
-    """Rank the hits that still have a document and cut the page.
+def best_of_documents(doc_terms: DataFrame, weights: DataFrame, k: int) -> DataFrame:
+    """The best k documents of each query, and no others, with their score.
 
-    Of each shard only the best 2 * size are merged.
+    `weights` has query_id, term, weight, and shard_id if they differ by shard;
+    with it, each shard gives its best k. All terms of a document are in its
+    row, so a task scores its documents alone and sends the best k of each
+    query; matches are never shuffled. The weights go to the tasks in blocks of
+    at most `WEIGHTS_HELD` rows, each a pass over the index.
     """
-    hits = hits.drop("rank")
-    if stats == "shard":
-        hits = top_k(hits, 2 * size, ("query_id", "shard_id")).drop("rank")
-    return paginate(top_k(hits, offset + size), offset, size)
+    blocks = -(-weights.count() // WEIGHTS_HELD)
+    parts = []
+    for block in range(blocks):
+        own = weights if blocks == 1 else weights.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        parts.append(_best_local(doc_terms, own.toArrow(), k, weights.schema["query_id"].dataType.simpleString()))
+    if not parts:
+        empty = _best_local(doc_terms, weights.limit(0).toArrow(), k, weights.schema["query_id"].dataType.simpleString())
+        parts = [empty]
+    local = parts[0]
+    for part in parts[1:]:
+        local = local.unionByName(part)
+    by = ("query_id", "shard_id") if "shard_id" in weights.columns else ("query_id",)
+    return top_k(local, k, by).drop("rank")
+
+
+def _best_local(doc_terms: DataFrame, weights: pa.Table, k: int, query_type: str) -> DataFrame:
+    by_shard = "shard_id" in weights.column_names
+    queries = pc.unique(weights.column("query_id"))
+    words = pc.unique(weights.column("term"))
+    asked = pc.index_in(weights.column("query_id"), queries).to_numpy(zero_copy_only=False).astype(np.int64)
+    word = pc.index_in(weights.column("term"), words).to_numpy(zero_copy_only=False).astype(np.int64)
+    shards = np.unique(weights.column("shard_id").to_numpy()) if by_shard else np.zeros(1, np.int64)
+    slot = word * len(shards)
+    if by_shard:
+        slot = slot + np.searchsorted(shards, weights.column("shard_id").to_numpy())
+    order = np.argsort(slot, kind="stable")
+    ends = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=len(words) * len(shards)))))
+    table = (queries, words, shards, ends, asked[order], weights.column("weight").to_numpy()[order], by_shard)
+    sent = doc_terms.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        queries, words, shards, ends, asked, weight, by_shard = sent.value
+        held: list[tuple] = []
+        size = 0
+        for batch in batches:
+            held.append(_scored(batch, words, shards, ends, asked, weight, by_shard, k))
+            size += len(held[-1][0])
+            if size > 4 * k * len(queries) + 100_000:
+                held = [_cut(held, by_shard, k)]
+                size = len(held[0][0])
+        if held:
+            q, shard, doc, units = _cut(held, by_shard, k)
+            arrays = [queries.take(pa.array(q)), pa.array(shard.astype(np.int32)), pa.array(doc.tolist(), pa.string()), pa.array(units / UNITS)]
+            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "shard_id", "doc_id", "score"])
+
+    plain = doc_terms.select("shard_id", "doc_id", "doc_len", "terms.term", "terms.tf")
+    return plain.mapInArrow(run, f"query_id {query_type}, shard_id int, doc_id string, score double")
+
+
+def _scored(batch: pa.RecordBatch, words, shards, ends, asked, weight, by_shard: bool, k: int) -> tuple:
+    """(query, shard, document, units) of a batch's documents, at most the best k of each query."""
+    terms, tf = batch.column("term"), batch.column("tf")
+    many = pc.fill_null(pc.list_value_length(terms), 0).to_numpy().astype(np.int64)
+    shard = batch.column("shard_id").to_numpy().astype(np.int64)
+    code = pc.fill_null(pc.index_in(terms.flatten(), words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    doc = np.repeat(np.arange(len(many)), many)
+    share = tf.flatten().to_numpy() / np.repeat(batch.column("doc_len").to_numpy(), many)
+    known = code >= 0
+    if by_shard:
+        place = np.minimum(np.searchsorted(shards, shard), len(shards) - 1)
+        known &= (shards[place] == shard)[doc]
+        code = code * len(shards) + place[doc]
+    code, doc, share = code[known], doc[known], share[known]
+    each = ends[code + 1] - ends[code]
+    at = np.repeat(ends[code] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+    units = np.rint(np.repeat(share, each) * weight[at] * UNITS).astype(np.int64)
+    key = asked[at] * len(many) + np.repeat(doc, each)
+    order = np.argsort(key, kind="stable")
+    key, units = key[order], units[order]
+    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    units = np.add.reduceat(units, head) if len(head) else units[:0]
+    q, doc = key[head] // max(len(many), 1), key[head] % max(len(many), 1)
+    ids = np.array(batch.column("doc_id").to_pylist(), dtype=np.str_)
+    return _cut([(q, shard[doc], ids[doc] if len(ids) else ids, units)], by_shard, k)
+
+
+def _cut(held: list[tuple], by_shard: bool, k: int) -> tuple:
+    """The best k of each query (and shard), by score, document id and shard."""
+    q, shard, doc, units = (np.concatenate(x) for x in zip(*held, strict=True))
+    order = np.lexsort((shard, doc, -units, *((shard, q) if by_shard else (q,))))
+    q, shard, doc, units = q[order], shard[order], doc[order], units[order]
+    if not len(q):
+        return q, shard, doc, units
+    new = np.concatenate(([True], (q[1:] != q[:-1]) | (by_shard & (shard[1:] != shard[:-1]))))
+    nth = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
+    keep = nth < k
+    return q[keep], shard[keep], doc[keep], units[keep]
 
 
 def search_batch(
@@ -138,15 +248,64 @@ def search_batch(
     stats: str = "global",
     stem: bool = True,
 ) -> DataFrame:
-    """One page of hits for every query of a table, in one job.
+    """One page of hits for every query of a table.
 
     `stats="global"` ranks with corpus-wide statistics. `stats="shard"` scores
-    every shard with its own and merges the best 2 * size of each. Queries
-    without a known term have no rows.
+    every shard with its own and merges them, each with as many as the page can
+    reach. Documents that are gone from the table are left out before anything
+    is ranked, so pages are full as long as there are hits. Queries without a
+    known term have no rows. Query terms, weights and hits are worked out when
+    this is called; the rows of the page when they are read.
     """
-    scores = tfidf(index, query_terms(queries, stem), stats)
-    fetched = fetch_ranked(scores, size, offset, stats)
-    return cut_page(assemble_hits(fetched, docs), size, offset, stats)
+    weights = settle(term_weights(index, settle(query_terms(queries, stem)), stats))
+    gone = settle(missing_documents(index, docs))
+    if index.doc_terms is not None:
+        best = best_of_documents(index.doc_terms.join(gone, KEY, "left_anti"), weights, offset + size)
+    else:
+        scores = _scores(_matching(index, weights)).join(gone, KEY, "left_anti")
+        best = scores
+    page = paginate(top_k(best, offset + size), offset, size)
+    hits = _with_fields(settle(page).where(F.col("rank") <= offset + size), docs)
+    return hits.withColumn("score", shown_score())
+
+
+def one_query_scores(index: Index, weights: dict, by_shard: bool) -> DataFrame:
+    """Scores of all documents that have a term of one query.
+
+    The terms are literals, so the stored index is pruned to their buckets and
+    row groups; the weights are as many rows as the query has terms.
+    """
+    spark = index.postings.sparkSession
+    keys = ["shard_id", "term"] if by_shard else ["term"]
+    words = sorted({w[-1] for w in weights})
+    entries = index.postings.where(F.col("term").isin(words))
+    if index.buckets:
+        numbers = spark.createDataFrame([(w,) for w in words], "term string").select(term_bucket(index.buckets))
+        entries = entries.where(F.col("term_bucket").isin(sorted({r[0] for r in numbers.collect()})))
+    schema = ("shard_id int, " if by_shard else "") + "term string, weight double"
+    side = spark.createDataFrame([(*w, x) for w, x in weights.items()], schema)
+    return _scores(entries.join(F.broadcast(side), keys), ())
+
+
+def query_weights(index: Index, query: str, stats: str, stem: bool) -> dict:
+    """ln(N / df) * query_tf of one query's known terms, by term or by shard and term."""
+    spark = index.postings.sparkSession
+    terms = spark.createDataFrame([(query,)], "query string").select(preprocess("query", stem=stem)).first()[0]
+    asked = Counter(terms)
+    if not asked:
+        return {}
+    known = index.term_stats.where(F.col("term").isin(sorted(asked))).collect()
+    sizes = {r["shard_id"]: r["n_docs"] for r in corpus_size(index.doc_stats).collect()}
+    if stats == "shard":
+        return {
+            (r["shard_id"], r["term"]): math.log(sizes[r["shard_id"]] / r["df"]) * asked[r["term"]] for r in known
+        }
+    if stats != "global":
+        raise ValueError(f"stats must be 'global' or 'shard', not {stats!r}")
+    df: Counter = Counter()
+    for r in known:
+        df[r["term"]] += r["df"]
+    return {(term,): math.log(sum(sizes.values()) / n) * asked[term] for term, n in df.items()}
 
 
 def search(
@@ -160,29 +319,43 @@ def search(
 ) -> DataFrame:
     """One page of hits for one query, best first.
 
-    The query's terms become literals, so the stored index is pruned to their
-    buckets and row groups. Sides are bounded by the query and the page, so
-    nothing needs to be counted or written in between.
+    The best ids are looked up among the documents as literals; if some are
+    gone, twice as many are taken, until the page is full or no hit is left.
     """
     if not query:
         raise ValueError("Query is required")
+    if stats not in ("global", "shard"):
+        raise ValueError(f"stats must be 'global' or 'shard', not {stats!r}")
     spark = docs.sparkSession
-    queries = spark.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
-    asked = query_terms(queries, stem).limit(LITERAL_TERMS + 1)
-    # Without buckets all terms are in the one bucket.
-    bucket = term_bucket(index.buckets or 1).alias("term_bucket")
-    found = asked.select("query_id", "term", "query_tf", bucket).collect()
-    if len(found) > LITERAL_TERMS or size + offset + OVERFETCH > BROADCAST_ROWS:
-        hits = search_batch(index, docs, queries, size, offset, stats, stem)
-        return hits.drop("query_id").orderBy("rank")
-    schema = "query_id bigint, term string, query_tf bigint, term_bucket int"
-    terms = spark.createDataFrame([tuple(row) for row in found], schema).drop("term_bucket")
-    wanted = F.col("term").isin([row.term for row in found])
-    entries = index.postings.where(wanted)
-    if index.buckets:
-        entries = entries.where(F.col("term_bucket").isin([row.term_bucket for row in found]))
-    index = Index(entries, index.term_stats.where(wanted), index.doc_stats)
-    weights = F.broadcast(term_weights(index, terms, stats))
-    fetched = fetch_ranked(_scores(_matching(index, weights)), size, offset, stats)
-    hits = cut_page(_with_fields(F.broadcast(fetched), docs), size, offset, stats)
-    return hits.drop("query_id").orderBy("rank")
+    weights = query_weights(index, query, stats, stem)
+    wanted = offset + size
+    page: list[tuple] = []
+    if weights:
+        scores = one_query_scores(index, weights, stats == "shard")
+        take = wanted
+        while True:
+            order = [F.desc("score"), F.asc("doc_id"), F.asc("shard_id")]
+            best = scores.orderBy(*order).limit(take).collect()
+            there = {tuple(r) for r in _named(docs, best).select(*KEY).collect()} if best else set()
+            left = [r for r in best if (r["shard_id"], r["doc_id"]) in there]
+            if len(left) >= wanted or len(best) < take:
+                break
+            take *= 2
+        page = [(r["shard_id"], r["doc_id"], n + 1, r["score"]) for n, r in enumerate(left[:wanted])][offset:]
+    ranked = spark.createDataFrame(page, "shard_id int, doc_id string, rank bigint, score double")
+    named = _named(docs, [{"shard_id": r[0], "doc_id": r[1]} for r in page])
+    # A page of rows, by the caller's size.
+    hits = _with_fields(F.broadcast(ranked), named)
+    return hits.withColumn("score", shown_score()).orderBy("rank")
+
+
+def _named(docs: DataFrame, rows: list) -> DataFrame:
+    """The documents of a page's keys, which reach the scan as literals."""
+    ids = sorted({r["doc_id"] for r in rows})
+    found = docs.where(F.col("doc_id").isin(ids) & F.col("shard_id").isin(sorted({r["shard_id"] for r in rows})))
+    if "doc_bucket" in docs.columns and ids:
+        numbers = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id string")
+        found = found.where(
+            F.col("doc_bucket").isin(sorted({r[0] for r in numbers.select(document_bucket("doc_id")).collect()}))
+        )
+    return found

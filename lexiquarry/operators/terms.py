@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiquarry.functions.hashing import TERM_SHARDS, shard_of
-from lexiquarry.functions.text import full_text, normalize_term, typeahead_tokens
+from lexiquarry.functions.text import WHITE_SPACE, full_text, normalize_term, typeahead_tokens
 from lexiquarry.operators.ranking import top_rows
-from lexiquarry.session import lookup_side, settled_side
+from lexiquarry.session import lookup_side, settle
 
 KEY = ["shard_id", "term"]
 
-# Page limits, how much of a shard's list the merge asks for, the
+# Page limits of the services, how much of a shard's list the merge asks for, the
 # life of a counter and of a processed buffer row, and the size of the counter
 # report.
 MAX_SUGGESTIONS = 50
@@ -23,14 +23,18 @@ COUNTER_LIFE = "24 hours"
 BUFFER_LIFE = "1 hour"
 REPORT_TERMS = 10
 
-# Longest prefix of the prefix table; longer ones are answered by a scan.
-MAX_PREFIX = 32
-
 
 def clamp(limit: int, maximum: int) -> int:
+    """A limit as the services cut it; the operators here never cut one by themselves."""
     return min(limit, maximum)
 
 
+def checked(limit: int, maximum: int | None) -> int:
+    if maximum is not None and limit > maximum:
+        raise ValueError(f"limit {limit} is above the maximum of {maximum}")
+    return limit
+
+
 def _normalized(df: DataFrame, column: str = "term") -> DataFrame:
     return df.withColumn(column, normalize_term(column)).where(F.col(column) != "")
 
@@ -83,7 +87,7 @@ def update_frequency(counters: DataFrame, deltas: DataFrame) -> DataFrame:
 
 def remove_terms(counters: DataFrame, terms: DataFrame) -> DataFrame:
     """Counters with the listed terms set to zero, as tombstones for the next sync."""
-    gone = settled_side(_normalized(terms).select(*KEY).distinct())
+    gone = lookup_side(_normalized(terms).select(*KEY).distinct())
     kept = counters.select(*KEY, "frequency").join(gone, KEY, "left_anti")
     return kept.unionByName(gone.withColumn("frequency", F.lit(0).cast("bigint")))
 
@@ -92,25 +96,75 @@ def live_terms(counters: DataFrame) -> DataFrame:
     return counters.where("frequency > 0")
 
 
-def expire_terms(updates: DataFrame, now: Column, ttl: str = COUNTER_LIFE, renew: bool = True) -> DataFrame:
-    """Counters of an update log that are still alive.
+def _folded(updates: DataFrame, seconds: int) -> DataFrame:
+    """Writes of a term within one stretch of the ttl's length as one row: first and last write, sum.
+
+    There is no break of the ttl's length within a stretch. Sums are combined
+    before the shuffle, so a hot term is as many rows as it has stretches.
+    """
+    at = F.unix_micros("created_at")
+    stretch = F.floor(at / F.lit(seconds * 1_000_000)).alias("stretch")
+    return updates.groupBy(*KEY, stretch).agg(
+        F.min(at).alias("first"), F.max(at).alias("last"), F.sum("frequency_delta").alias("delta")
+    )
+
+
+def _last_life(folded: DataFrame, micros: int) -> DataFrame:
+    """The first write after a term's last break of at least the ttl, or its first of all, as `since`."""
+    order = Window.partitionBy(*KEY).orderBy("stretch")
+    broken = F.col("first") - F.lag("last").over(order) >= micros
+    begins = folded.withColumn("begin", F.when(F.coalesce(broken, F.lit(True)), F.col("first")))
+    return begins.groupBy(*KEY).agg(F.max("begin").alias("since"))
 
-    With `renew` every write starts the life again; without, only the first does.
+
+def expire_terms(updates: DataFrame, now: Column, ttl: str = COUNTER_LIFE, renew: bool = True) -> DataFrame:
+    """Counters of an update log that are alive at `now`; writes after it don't count.
+
+    A counter that has expired starts again at zero with the next write, so a
+    term's writes fall into lives and only the last one counts. With `renew`
+    every write starts the ttl again: a life ends with a break of at least the
+    ttl. Without, only a life's first write does: the life ends a ttl later,
+    and the next write begins another. That is followed stretch by stretch, as
+    many jobs as there are ttls in the writes since the last break; each reads
+    its stretch only.
     """
-    written = F.max("created_at") if renew else F.min("created_at")
+    interval = F.expr(f"INTERVAL {ttl}")
+    spark = updates.sparkSession
+    length = spark.range(1).select(F.unix_micros(F.timestamp_micros(F.lit(0)) + interval)).first()[0]
+    seconds = length // 1_000_000
+    end = F.unix_micros(now)
+    written = _normalized(updates).where(F.unix_micros("created_at") <= end)
+    folded = settle(_folded(written, seconds), "folded")
+    since = settle(_last_life(folded, length), "since")
+    if renew:
+        lives = folded.join(since, KEY).where(F.col("first") >= F.col("since")).groupBy(*KEY)
+        totals = lives.agg(F.sum("delta").alias("frequency"), F.max("last").alias("at"))
+        return totals.where(F.col("at") > end - length).select(*KEY, "frequency")
+    at = F.unix_micros("created_at")
+    stretch = F.floor(at / F.lit(length))
+    spread = folded.join(since, KEY).where(F.col("first") >= F.col("since")).agg(F.min("stretch"), F.max("stretch"))
+    low, high = spread.first()
+    for number in range((low or 0) + 1, (high or 0) + 1):
+        # At most one life begins in a stretch: the first write a ttl or more after the last began.
+        own = written.where(stretch == number).select(*KEY, at.alias("at")).join(since, KEY)
+        begun = own.where(F.col("at") >= F.col("since") + length).groupBy(*KEY).agg(F.min("at").alias("begun"))
+        since = settle(
+            since.join(begun, KEY, "left").select(*KEY, F.coalesce("begun", "since").alias("since")), "since"
+        )
+    alive = since.where(F.col("since") > end - length)
     return (
-        _normalized(updates)
+        written.join(alive, KEY)
+        .where(at >= F.col("since"))
         .groupBy(*KEY)
-        .agg(F.sum("frequency_delta").alias("frequency"), written.alias("written_at"))
-        .where(F.col("written_at") > now - F.expr(f"INTERVAL {ttl}"))
-        .select(*KEY, "frequency")
+        .agg(F.sum("frequency_delta").alias("frequency"))
     )
 
 
 def term_frequency(counters: DataFrame, asked: DataFrame) -> DataFrame:
     """Frequency of each asked term, zero when there is no counter."""
     wanted = assign_term_shard(_normalized(asked).select("term").distinct())
-    found = counters.join(lookup_side(wanted), KEY, "left_semi").select(*KEY, "frequency")
+    wanted = lookup_side(wanted)
+    found = counters.join(wanted, KEY, "left_semi").select(*KEY, "frequency")
     return wanted.join(found, KEY, "left").select(
         *KEY, F.coalesce("frequency", F.lit(0).cast("bigint")).alias("frequency")
     )
@@ -120,16 +174,18 @@ def _order() -> list[Column]:
     return [F.desc("frequency"), F.asc("term")]
 
 
-def suggest_one(terms: DataFrame, prefix: str, limit: int = DEFAULT_SUGGESTIONS) -> DataFrame:
+def suggest_one(
+    terms: DataFrame, prefix: str, limit: int = DEFAULT_SUGGESTIONS, maximum: int | None = None
+) -> DataFrame:
     """Most frequent terms that start with a prefix; the prefix filter reaches the scan.
 
     Without a prefix these are the popular terms.
     """
     terms = terms.select("term", "frequency")
-    cleaned = prefix.lower().strip()
+    cleaned = prefix.lower().strip(WHITE_SPACE)
     if cleaned:
         terms = terms.where(F.col("term").startswith(cleaned))
-    return terms.orderBy(*_order()).limit(clamp(limit, MAX_SUGGESTIONS))
+    return terms.orderBy(*_order()).limit(checked(limit, maximum))
 
 
 def suggest(
@@ -137,22 +193,22 @@ def suggest(
     prefixes: DataFrame,
     limit: int = DEFAULT_SUGGESTIONS,
     per_shard: bool = False,
+    maximum: int | None = None,
 ) -> DataFrame:
     """Most frequent terms for every prefix of a table; an empty prefix gives popular terms.
 
-    Terms are spelled out into their prefixes, only as long as some asked prefix
-    is, and met by equality. That is a hash join, where a starts-with condition
-    would compare every term with every prefix.
+    Terms are spelled out into prefixes of the lengths that are asked for, and
+    met by equality. That is a hash join, where a starts-with condition would
+    compare every term with every prefix.
     """
-    asked = prefixes.select(normalize_term("prefix").alias("prefix")).distinct()
-    lengths = asked.agg(F.max(F.length("prefix"))).scalar()
+    asked = lookup_side(prefixes.select(normalize_term("prefix").alias("prefix")).distinct())
+    lengths = asked.agg(F.collect_set(F.length("prefix"))).scalar()
     spelled = terms.select(
-        "*",
-        F.explode(F.sequence(F.lit(0), F.least(F.length("term"), lengths))).alias("_n"),
+        "*", F.explode(F.array_intersect(F.sequence(F.lit(0), F.length("term")), lengths)).alias("_n")
     ).withColumn("prefix", F.substr("term", F.lit(1), F.col("_n")))
-    found = spelled.drop("_n").join(lookup_side(asked), "prefix")
+    found = spelled.drop("_n").join(asked, "prefix")
     keys = ["prefix", "shard_id"] if per_shard else ["prefix"]
-    top = top_rows(found, keys, _order(), clamp(limit, MAX_SUGGESTIONS), salt="term")
+    top = top_rows(found, keys, _order(), checked(limit, maximum), salt="term")
     return top.select(*keys, "term", "frequency", "rank")
 
 
@@ -162,31 +218,54 @@ def merge_suggestions(per_shard: DataFrame, limit: int = DEFAULT_SUGGESTIONS) ->
     return top_rows(merged, ["prefix"], _order(), limit, salt="term")
 
 
-def typeahead(terms: DataFrame, prefixes: DataFrame, limit: int = DEFAULT_SUGGESTIONS) -> DataFrame:
-    """Suggestions over all shards: each gives its best 2 * limit, which are merged."""
-    return merge_suggestions(suggest(terms, prefixes, 2 * limit, per_shard=True), limit)
+def typeahead(
+    terms: DataFrame, prefixes: DataFrame, limit: int = DEFAULT_SUGGESTIONS, maximum: int | None = None
+) -> DataFrame:
+    """Suggestions over all shards: each gives its best 2 * limit, which are merged.
+
+    A term of the merged list is among the best `limit` of some shard.
+    """
+    return merge_suggestions(suggest(terms, prefixes, 2 * checked(limit, maximum), per_shard=True), limit)
 
 
-def popular_terms(terms: DataFrame, limit: int = DEFAULT_POPULAR) -> DataFrame:
+def popular_terms(terms: DataFrame, limit: int = DEFAULT_POPULAR, maximum: int | None = None) -> DataFrame:
     best = terms.select("term", "frequency").orderBy(*_order())
-    return best.limit(clamp(limit, MAX_POPULAR))
+    return best.limit(checked(limit, maximum))
 
 
 def build_prefix_table(
-    terms: DataFrame, k: int = DEFAULT_SUGGESTIONS, max_length: int = MAX_PREFIX
+    terms: DataFrame, k: int = DEFAULT_SUGGESTIONS, max_length: int | None = None
 ) -> DataFrame:
-    """Every prefix up to `max_length` with its `k` most frequent terms."""
+    """Every prefix, the empty one included, with its `k` most frequent terms.
+
+    A `max_length` keeps the table small; `lookup_prefixes` then needs the terms
+    for longer prefixes.
+    """
+    longest = F.length("term") if max_length is None else F.least(F.length("term"), F.lit(max_length))
     spelled = terms.select(
-        "term",
-        "frequency",
-        F.explode(F.sequence(F.lit(1), F.least(F.length("term"), F.lit(max_length)))).alias("_n"),
+        "term", "frequency", F.explode(F.sequence(F.lit(0), longest)).alias("_n")
     ).select(F.substr("term", F.lit(1), F.col("_n")).alias("prefix"), "term", "frequency")
     return top_rows(spelled, ["prefix"], _order(), k, salt="term")
 
 
-def lookup_prefixes(table: DataFrame, prefixes: DataFrame) -> DataFrame:
-    asked = prefixes.select(normalize_term("prefix").alias("prefix")).distinct()
-    return table.join(lookup_side(asked), "prefix")
+def lookup_prefixes(
+    table: DataFrame,
+    prefixes: DataFrame,
+    terms: DataFrame | None = None,
+    k: int = DEFAULT_SUGGESTIONS,
+    max_length: int | None = None,
+) -> DataFrame:
+    """The table's rows of the asked prefixes.
+
+    For a table built with a `max_length`, longer prefixes are answered from the terms.
+    """
+    asked = lookup_side(prefixes.select(normalize_term("prefix").alias("prefix")).distinct())
+    found = table.join(asked, "prefix")
+    if max_length is None:
+        return found
+    if terms is None:
+        raise ValueError("prefixes longer than the table's need the terms")
+    return found.unionByName(suggest(terms, asked.where(F.length("prefix") > max_length), k))
 
 
 def _against_counters(terms: DataFrame, counters: DataFrame) -> DataFrame:

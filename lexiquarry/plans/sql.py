@@ -132,8 +132,8 @@ COUNTERS = (
     "UNION ALL SELECT shard_id, term, 0 FROM bench_terms)",
 )
 PREFIXES = (
-    "prefixes AS (SELECT DISTINCT trim(lower(' ' || string_split(text, ' ')[1]), "
-    f"{WHITE_SQL}) AS prefix FROM benchmark)"
+    f"prefixes AS (SELECT DISTINCT trim(lower(' ' || word), {WHITE_SQL}) AS prefix "
+    "FROM (SELECT unnest(string_split(text, ' ')) AS word FROM benchmark))"
 )
 _EVENT_TERM = "concat_ws('-', event_type, regexp_extract(props, '[0-9]+'))"
 UPDATES = (

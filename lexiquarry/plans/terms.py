@@ -67,6 +67,11 @@ def trm05_expire_terms_fixed(spark, sf):
     return ops.expire_terms(views.updates(spark, sf), now, ttl="29 days", renew=False)
 
 
+def trm05_expire_terms_fixed_short(spark, sf):
+    """Several lives of a counter, each of four days from its first write."""
+    return ops.expire_terms(views.updates(spark, sf), views.moment(views.NOW), ttl="4 days", renew=False)
+
+
 def trm06_term_frequency(spark, sf):
     asked = views.prefixes(spark, sf).withColumnRenamed("prefix", "term")
     return ops.term_frequency(views.stored_terms(spark, sf), asked)
@@ -102,12 +107,41 @@ def trm09_typeahead(spark, sf):
 
 
 def trm11_build_prefix_table(spark, sf):
-    return ops.build_prefix_table(views.stored_terms(spark, sf), k=5, max_length=8)
+    return ops.build_prefix_table(views.stored_terms(spark, sf), k=5)
 
 
 def trm11_lookup_prefixes(spark, sf):
     table = ops.build_prefix_table(views.stored_terms(spark, sf), LIMIT)
-    return ops.lookup_prefixes(table, views.prefixes(spark, sf))
+    return ops.lookup_prefixes(table, _odd_prefixes(spark, sf))
+
+
+def trm11_lookup_beyond_the_table(spark, sf):
+    """A table of short prefixes; longer ones come from the terms."""
+    terms = views.stored_terms(spark, sf)
+    table = ops.build_prefix_table(terms, LIMIT, max_length=3)
+    return ops.lookup_prefixes(table, _odd_prefixes(spark, sf), terms, LIMIT, max_length=3)
+
+
+def trm07_suggest_odd_prefixes(spark, sf):
+    return ops.suggest(views.stored_terms(spark, sf), _odd_prefixes(spark, sf), LIMIT)
+
+
+def trm09_typeahead_limit_80(spark, sf):
+    """More than any limit of the services."""
+    return ops.typeahead(views.stored_terms(spark, sf), _odd_prefixes(spark, sf), 80)
+
+
+def trm10_limit(spark, sf):
+    """The services' own limit, asked for by the caller."""
+    limit = ops.clamp(80, ops.MAX_SUGGESTIONS)
+    return ops.suggest(views.stored_terms(spark, sf), _odd_prefixes(spark, sf), limit, maximum=ops.MAX_SUGGESTIONS)
+
+
+def _odd_prefixes(spark, sf):
+    """All asked prefixes, the empty one, and one of forty letters."""
+    long = spark.range(1).select(F.repeat(F.lit("x"), 40).alias("prefix"))
+    empty = spark.range(1).select(F.lit("").alias("prefix"))
+    return views.prefixes(spark, sf).unionByName(long).unionByName(empty)
 
 
 def trm12_rebuild_terms(spark, sf):
@@ -190,10 +224,15 @@ QUERIES = {
         trm04_live_terms,
         trm05_expire_terms,
         trm05_expire_terms_fixed,
+        trm05_expire_terms_fixed_short,
         trm06_term_frequency,
         trm07_suggest,
         trm07_suggest_shard,
         trm07_suggest_popular,
+        trm07_suggest_odd_prefixes,
+        trm09_typeahead_limit_80,
+        trm10_limit,
+        trm11_lookup_beyond_the_table,
         trm08_popular_terms,
         trm09_merge_suggestions,
         trm09_typeahead,
@@ -235,8 +274,11 @@ def _top(source: str, k: int, by: str, columns: str) -> str:
     )
 
 
-def _matches(source: str) -> str:
-    return f"matches AS (SELECT prefix, t.* FROM prefixes JOIN {source} t ON starts_with(t.term, prefix))"
+def _matches(source: str, prefixes: str = "prefixes") -> str:
+    return f"matches AS (SELECT prefix, t.* FROM {prefixes} JOIN {source} t ON starts_with(t.term, prefix))"
+
+
+_ODD = "odd AS (SELECT prefix FROM prefixes UNION SELECT '' UNION SELECT repeat('x', 40))"
 
 
 _SYNCED = (
@@ -264,11 +306,37 @@ _APPLIED = (
     "FROM event_terms FULL JOIN deltas USING (shard_id, term) "
     "WHERE coalesce(frequency, 0) + coalesce(delta, 0) > 0"
 )
-_ALIVE = (
-    "SELECT shard_id, term, CAST(sum(frequency_delta) AS BIGINT) AS frequency FROM updates "
-    "GROUP BY ALL HAVING {}(created_at) > TIMESTAMP '2024-01-31' - INTERVAL {}"
+_NOW = "TIMESTAMP '2024-01-31'"
+_WRITTEN = f"written AS (SELECT * FROM updates WHERE created_at <= {_NOW})"
+# A term's writes numbered by life: a break of the ttl or more begins another.
+_RENEWED = (
+    "broken AS (SELECT *, coalesce(created_at - lag(created_at) OVER w >= INTERVAL 24 HOUR, true) AS begins FROM written "
+    "WINDOW w AS (PARTITION BY shard_id, term ORDER BY created_at)), "
+    "lives AS (SELECT *, count_if(begins) OVER (PARTITION BY shard_id, term ORDER BY created_at RANGE UNBOUNDED PRECEDING) AS life "
+    "FROM broken), "
+    "last AS (SELECT * FROM lives QUALIFY life = max(life) OVER (PARTITION BY shard_id, term)) "
+    "SELECT shard_id, term, CAST(sum(frequency_delta) AS BIGINT) AS frequency FROM last GROUP BY ALL "
+    f"HAVING max(created_at) > {_NOW} - INTERVAL 24 HOUR"
+)
+# Starts of lives, each the first write a ttl or more after the one before.
+_FIXED = (
+    "SELECT u.shard_id, u.term, CAST(sum(frequency_delta) AS BIGINT) AS frequency FROM written u JOIN "
+    "(SELECT shard_id, term, max(start) AS start FROM lives GROUP BY ALL) l "
+    "ON u.shard_id = l.shard_id AND u.term = l.term AND u.created_at >= l.start "
+    f"WHERE l.start > {_NOW} - INTERVAL {{ttl}} GROUP BY ALL"
 )
 
+
+def _fixed(ttl: str) -> str:
+    lives = (
+        "lives AS (SELECT shard_id, term, min(created_at) AS start FROM written GROUP BY ALL UNION ALL "
+        "SELECT l.shard_id, l.term, min(u.created_at) FROM lives l JOIN written u ON u.shard_id = l.shard_id "
+        f"AND u.term = l.term AND u.created_at >= l.start + INTERVAL {ttl} GROUP BY ALL)"
+    )
+    ctes = sql.with_(sql.UPDATES, _WRITTEN, lives).replace("WITH ", "WITH RECURSIVE ", 1)
+    return ctes + _FIXED.format(ttl=ttl)
+
+
 ORACLES = {
     "src04_scan_terms": _STORED + "SELECT * FROM stored WHERE shard_id = 0",
     "src05_scan_counters": sql.with_(*sql.COUNTERS) + "SELECT * FROM counters WHERE shard_id = 1",
@@ -284,8 +352,9 @@ ORACLES = {
     + "SELECT s.* FROM stored s ANTI JOIN bench_terms USING (shard_id, term) "
     "UNION ALL SELECT shard_id, term, 0 FROM bench_terms",
     "trm04_live_terms": sql.with_(*sql.COUNTERS) + "SELECT * FROM counters WHERE frequency > 0",
-    "trm05_expire_terms": sql.with_(sql.UPDATES) + _ALIVE.format("max", "24 HOUR"),
-    "trm05_expire_terms_fixed": sql.with_(sql.UPDATES) + _ALIVE.format("min", "29 DAY"),
+    "trm05_expire_terms": sql.with_(sql.UPDATES, _WRITTEN).rstrip() + ", " + _RENEWED,
+    "trm05_expire_terms_fixed": _fixed("29 DAY"),
+    "trm05_expire_terms_fixed_short": _fixed("4 DAY"),
     "trm06_term_frequency": sql.with_(*sql.STORED, sql.PREFIXES)
     + f"SELECT {sql.shard('prefix', 2)} AS shard_id, prefix AS term, coalesce(frequency, 0) AS frequency "
     "FROM prefixes LEFT JOIN stored ON term = prefix WHERE prefix <> ''",
@@ -309,11 +378,21 @@ ORACLES = {
     + _top("matches", LIMIT, "prefix", "prefix, term, frequency"),
     "trm11_build_prefix_table": sql.with_(
         *sql.STORED,
-        "spelled AS (SELECT left(term, n) AS prefix, term, frequency FROM stored, range(1, 9) r(n) WHERE n <= length(term))",
+        "spelled AS (SELECT left(term, n) AS prefix, term, frequency FROM "
+        "(SELECT *, unnest(range(length(term) + 1)) AS n FROM stored))",
     )
     + _top("spelled", 5, "prefix", "prefix, term, frequency"),
-    "trm11_lookup_prefixes": sql.with_(*sql.STORED, sql.PREFIXES, _matches("stored"))
-    + _top("matches", LIMIT, "prefix", "prefix, term, frequency"),
+    **{
+        name: sql.with_(*sql.STORED, sql.PREFIXES, _ODD, _matches("stored", "odd"))
+        + _top("matches", limit, "prefix", "prefix, term, frequency")
+        for name, limit in (
+            ("trm07_suggest_odd_prefixes", LIMIT),
+            ("trm09_typeahead_limit_80", 80),
+            ("trm10_limit", 50),
+            ("trm11_lookup_prefixes", LIMIT),
+            ("trm11_lookup_beyond_the_table", LIMIT),
+        )
+    },
     "trm12_rebuild_terms": sql.with_(*_BOTH) + _SYNCED.format(stored="stored", counters="counters"),
     "trm13_sync_terms": sql.with_(*_BOTH) + _SYNCED.format(stored="stored", counters="counters"),
     "trm13_sync_counts": sql.with_(*_BOTH, _PAIRS)

@@ -197,9 +197,9 @@ def counters(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prefixes(spark: SparkSession, sf: str) -> DataFrame:
-    """Asked prefixes: the first word of each benchmark text, spelled as typed."""
-    rows = table(spark, sf, "benchmark")
-    return rows.select(F.concat(F.lit(" "), F.split("text", " ")[0]).alias("prefix"))
+    """Asked prefixes: every word of the benchmark texts, spelled as typed."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("word")).distinct()
+    return words.select(F.concat(F.lit(" "), F.col("word")).alias("prefix"))
 
 
 _stored: dict[tuple[str, str, bool], str] = {}

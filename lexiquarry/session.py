@@ -1,4 +1,4 @@
-"""Session defaults, size checks and the shared folder."""
+"""Session defaults, stored intermediate results and the shared folder."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may have to be broadcast. Rows here are ids, terms and weights of
-# some tens of bytes, so this stays in the tens of megabytes.
-BROADCAST_ROWS = 500_000
 
 
 def build_session(master: str = "local[*]", app: str = "lexiquarry", **conf) -> SparkSession:
@@ -34,34 +29,44 @@ def build_session(master: str = "local[*]", app: str = "lexiquarry", **conf) ->
     return builder.getOrCreate()
 
 
-def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most `rows` rows; reads no more than it needs to tell."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def lookup_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame marked for broadcast when counted small enough.
-
-    Beyond the bound it is left alone: the join shuffles on its key, and
-    adaptive execution splits the partitions a hot key makes too large.
-    """
-    return F.broadcast(df) if fits(df, rows) else df
-
-
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For results used several times over. Lost executors cost nothing that was
-    written, and later plans start from a table whose size is known.
+    written, and later plans start from a table whose size is known. The folder
+    stays until `release`.
     """
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
+    _settled.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def settled_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`lookup_side` for a computed frame: it is worked out once, not for the count and again."""
-    return lookup_side(settle(df), rows)
+def lookup_side(df: DataFrame) -> DataFrame:
+    """The frame as the small side of a join: worked out once, its bytes known.
+
+    No task sees the whole of it and nothing is hinted: Spark broadcasts the
+    stored table if its files are below spark.sql.autoBroadcastJoinThreshold,
+    and shuffles both sides on the key if not, where adaptive execution splits
+    the partitions a hot key makes too large.
+    """
+    return settle(df, "side")
+
+
+_settled: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what this application has settled; no frame that reads it may be used any more."""
+    folders = _settled.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        remove_folder(spark, folder)
+    return len(folders)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(scan: DataFrame, *keys: str | Column) -> DataFrame:

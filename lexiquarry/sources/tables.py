@@ -5,15 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.operators.ingest import route_by_shard
+from lexiquarry.functions.hashing import document_bucket
 
 
 def write_documents(docs: DataFrame, path: str) -> None:
-    """Write documents partitioned by shard, in files of even size."""
-    route_by_shard(docs).write.partitionBy("shard_id").parquet(path)
+    """Write documents by shard and bucket of the id, sorted by id, in files of even size.
+
+    The rebalance hint splits a shard's bucket that is too large.
+    """
+    laid_out = (
+        docs.withColumn("doc_bucket", document_bucket("doc_id"))
+        .hint("rebalance", F.col("shard_id"), F.col("doc_bucket"))
+        .sortWithinPartitions("shard_id", "doc_bucket", "doc_id")
+    )
+    laid_out.write.partitionBy("shard_id", "doc_bucket").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str, shard_id: int | None = None) -> DataFrame:
+    """Documents as stored; `doc_bucket` lets lookups by id open the directories of these ids only."""
     docs = spark.read.parquet(path)
     return docs if shard_id is None else docs.where(F.col("shard_id") == shard_id)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lexiquarry.session import settled_side
+from lexiquarry.session import lookup_side
 
 
 def start_log(spark: SparkSession, path: str, schema: T.StructType | str) -> None:
@@ -48,7 +48,7 @@ def latest(rows: DataFrame, keys: list[str], **extra: Column) -> DataFrame:
         .where("_n > 1")
         .drop("_n")
     )
-    joined = rows.join(settled_side(several), keys, "left")
+    joined = rows.join(lookup_side(several), keys, "left")
     last = F.col("_last").isNull() | (F.col("batch_id") == F.col("_last"))
     return joined.where(last).drop("_last", "batch_id")
 

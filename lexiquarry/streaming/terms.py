@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lexiquarry.functions.hashing import TERM_SHARDS
 from lexiquarry.functions.text import full_text, typeahead_tokens
 from lexiquarry.operators.terms import KEY, assign_term_shard
-from lexiquarry.session import lookup_side, settle
+from lexiquarry.session import settle
 from lexiquarry.streaming import log
 
 _FREQUENCIES = "shard_id int, term string, frequency bigint"
@@ -85,7 +85,7 @@ def update_stream(
     def write(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
         deltas = settle(batch.groupBy(*KEY).agg(F.sum("frequency_delta").alias("_delta")))
-        keys = lookup_side(deltas.select(*KEY))
+        keys = deltas.select(*KEY)
         earlier = log.read_log(session, out, before=number).join(keys, KEY, "left_semi")
         stored = earlier.groupBy(*KEY).agg(F.max_by("frequency", "batch_id").alias("_stored"))
         zero = F.lit(0).cast("bigint")

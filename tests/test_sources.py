@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,9 +79,26 @@ def test_published_folder_is_read_as_a_stream(spark, docs, tmp_path):
     assert rows(spark.read.parquet(out), "doc_id", "content") == [("a", "x"), ("b", "y")]
 
 
-def test_size_check(spark):
-    assert session.fits(spark.range(10), 10)
-    assert not session.fits(spark.range(11), 10)
+def test_small_sides_are_stored_and_judged_by_their_bytes(spark):
+    side = session.lookup_side(spark.range(1000).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("x")))
+    wide = spark.range(5000)
+    plan = wide.join(side, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SinglePartition" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        beyond = wide.join(side, "id")
+        assert "SortMergeJoin" in beyond._jdf.queryExecution().executedPlan().toString()
+        assert beyond.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_settled_folders_can_be_released(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_settled", {})
+    kept = session.settle(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(kept)
+    assert session.release(spark) == 1
+    assert not os.path.exists(kept)
 
 
 class Session:

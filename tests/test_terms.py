@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -100,16 +102,67 @@ def test_prefix_join_is_not_a_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_limits_are_clamped(spark):
+def test_limits_are_kept_or_refused(spark):
     terms = spark.range(200).select(
         F.lit(0).alias("shard_id"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("term"), F.col("id").alias("frequency")
     )
-    assert ops.suggest(terms, prefixes(spark, "t"), 80).count() == 50
-    assert ops.suggest_one(terms, "t", 80).count() == 50
-    assert ops.popular_terms(terms, 150).count() == 100
+    assert ops.suggest(terms, prefixes(spark, "t"), 80).count() == 80
+    assert ops.typeahead(terms, prefixes(spark, "t"), 80).count() == 80
+    assert ops.suggest_one(terms, "t", 80).count() == 80
+    assert ops.popular_terms(terms, 150).count() == 150
+    assert ops.suggest(terms, prefixes(spark, "t"), ops.clamp(80, ops.MAX_SUGGESTIONS)).count() == 50
+    for refused in (
+        lambda: ops.suggest(terms, prefixes(spark, "t"), 80, maximum=50),
+        lambda: ops.suggest_one(terms, "t", 80, maximum=50),
+        lambda: ops.popular_terms(terms, 150, maximum=100),
+    ):
+        with pytest.raises(ValueError, match="maximum"):
+            refused()
     assert [r.frequency for r in ops.popular_terms(terms, 3).collect()] == [199, 198, 197]
 
 
+def test_long_and_empty_prefixes(spark):
+    terms = counters(spark, ("x" * 40, 4), ("x" * 39 + "y", 3), ("z", 1))
+    asked = prefixes(spark, "", "x" * 33, "x" * 40, "z")
+    expected = rows(ops.suggest(terms, asked, 2), "prefix", "term", "rank")
+    assert len(expected) == 6
+    whole = ops.build_prefix_table(terms, 2)
+    assert rows(ops.lookup_prefixes(whole, asked), "prefix", "term", "rank") == expected
+    short = ops.build_prefix_table(terms, 2, max_length=5)
+    assert rows(ops.lookup_prefixes(short, asked, terms, 2, max_length=5), "prefix", "term", "rank") == expected
+    with pytest.raises(ValueError, match="terms"):
+        ops.lookup_prefixes(short, asked, max_length=5)
+
+
+def test_an_expired_counter_starts_again(spark):
+    log = buffer(
+        spark,
+        ("a", 5, 0, "x", False, "2024-01-01 00:00:00"),
+        ("a", 1, 0, "x", False, "2024-01-02 06:00:00"),
+    )
+    now = moment("2024-01-02 07:00:00")
+    assert rows(ops.expire_terms(log, now), "term", "frequency") == [("a", 1)]
+    assert rows(ops.expire_terms(log, now, renew=False), "term", "frequency") == [("a", 1)]
+
+
+@pytest.mark.parametrize("renew", [True, False])
+def test_lives_against_brute_force(spark, renew):
+    random.seed(5)
+    writes = sorted((random.choice("abcdefgh"), random.randint(0, 240), random.choice([1, 2, -1])) for _ in range(150))
+    log = buffer(spark, *((t, d, 0, "x", False, f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00") for t, h, d in writes))
+    expected, end = [], 200
+    for term in "abcdefgh":
+        start = last = value = None
+        for hour, delta in sorted((h, d) for t, h, d in writes if t == term and h <= end):
+            if start is None or hour - (last if renew else start) >= 24:
+                start, value = hour, 0
+            last, value = hour, value + delta
+        if start is not None and end - (last if renew else start) < 24:
+            expected.append((term, value))
+    got = ops.expire_terms(log, moment("2024-01-09 08:00:00"), renew=renew)
+    assert rows(got, "term", "frequency") == expected
+
+
 def test_merge_keeps_the_highest_frequency(spark):
     both = counters(spark, ("red", 4), ("rev", 2)).unionByName(counters(spark, ("red", 9), ("rex", 3), shard=1))
     got = ops.typeahead(both, prefixes(spark, "re"), 2)
