@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def build_session(master: str = "local[*]", app: str = "lexiquarry", **conf) -> SparkSession:
     """A session with adaptive execution, skew-join splitting and UTC timestamps."""
     settings = {
@@ -33,13 +36,20 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     For results used several times over. Lost executors cost nothing that was
-    written, and later plans start from a table whose size is known. The folder
-    stays until `release`.
+    written, and later plans start from a table whose size is known. Shuffles
+    that led to it are freed once it is written. The folder stays until
+    `release`.
     """
-    folder = shared_folder(df.sparkSession, name)
-    df.write.parquet(folder)
-    _settled.setdefault(df.sparkSession.sparkContext.applicationId, []).append(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_folder(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def lookup_side(df: DataFrame) -> DataFrame:
