@@ -43,9 +43,14 @@ def _text(value) -> Column:
     return F.coalesce(F.col(value) if isinstance(value, str) else value, F.lit(""))
 
 
+def _spaced(text) -> Column:
+    """Lower-case text in which all that Unicode calls white space is a plain space."""
+    return F.translate(F.lower(_text(text)), WHITE_SPACE, " " * len(WHITE_SPACE))
+
+
 def tokenize(text) -> Column:
     """Lower-case word tokens; separators are dropped, other tokens kept."""
-    c = F.lower(_text(text))
+    c = _spaced(text)
     c = F.regexp_replace(c, r"([:,])([^0-9])", r" $1 $2")
     c = F.regexp_replace(c, r"([:,])$", " ")
     c = F.regexp_replace(c, r"\.\.+", " ")
@@ -67,7 +72,7 @@ def remove_stopwords(tokens: Column) -> Column:
 
 
 def _words(text, min_length: int) -> Column:
-    spaced = F.regexp_replace(F.lower(_text(text)), "[:,]([^0-9])", " $1")
+    spaced = F.regexp_replace(_spaced(text), "[:,]([^0-9])", " $1")
     spaced = F.replace(spaced, F.lit("--"), F.lit(" "))
     words = F.regexp_extract_all(spaced, F.lit(_WORD), F.lit(1))
     # "cannot" is two tokens, "can" and "not", and both are stop words.

@@ -219,7 +219,7 @@ def _checked(limit: int) -> str:
 
 _SUBMITTED = (sql.DOCS, sql.MARKS, sql.SUBMISSIONS)
 _FULL = ingest.MAX_CONTENT_CHARS
-_WORDS = f"len(list_filter(string_split_regex(content, concat('[', {sql.WHITE_SQL}, ']+')), lambda w: w <> ''))"
+WORDS_SQL = f"len(list_filter(string_split_regex(content, concat('[', {sql.WHITE_SQL}, ']+')), lambda w: w <> ''))"
 _CURRENT = (
     "present AS (SELECT shard_id, doc_id, title, content, source FROM docs UNION ALL "
     "SELECT shard_id, doc_id, title, content, source FROM turns WHERE seq = 0)"
@@ -271,7 +271,7 @@ ORACLES = {
     "FROM docs d LEFT JOIN marks USING (doc_id)",
     "ing05_enrich": sql.with_(sql.DOCS)
     + f"SELECT doc_id, lang, '{ARRIVAL}' AS ingested_at, 'data-ingestion' AS ingestion_service, "
-    f"CAST(length(content) AS VARCHAR) AS content_length, CAST({_WORDS} AS VARCHAR) AS word_count FROM docs",
+    f"CAST(length(content) AS VARCHAR) AS content_length, CAST({WORDS_SQL} AS VARCHAR) AS word_count FROM docs",
     "ing06_assign_shard": sql.with_(sql.DOCS) + "SELECT doc_id, shard_id FROM docs",
     "ing07_route_by_shard": sql.with_(sql.DOCS)
     + "SELECT shard_id, count(*) AS documents FROM docs GROUP BY ALL",
@@ -313,7 +313,7 @@ ORACLES = {
     "ing13_dry_run": sql.with_(*_SUBMITTED, _checked(_FULL))
     + "SELECT valid, error, CASE WHEN valid THEN md5(content) END AS doc_id, "
     f"CASE WHEN valid THEN {sql.shard('md5(content)', 3)} END AS shard_id, "
-    f"CASE WHEN valid THEN CAST({_WORDS} AS VARCHAR) END AS word_count FROM checked",
+    f"CASE WHEN valid THEN CAST({WORDS_SQL} AS VARCHAR) END AS word_count FROM checked",
     "idx10_document_counts": sql.with_(sql.DOCS)
     + "SELECT shard_id, count(*) AS document_count, "
     "strftime(max(created_at), '%Y-%m-%d %H:%M:%S') AS last_updated FROM docs GROUP BY ALL",

@@ -42,7 +42,7 @@ WHITE_SQL = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITE_SPACE) + ")"
 
 def tokens(text: str) -> str:
     """List of tokens of a text expression."""
-    e = f"lower({text})"
+    e = f"translate(lower({text}), {WHITE_SQL}, repeat(' ', {len(WHITE_SPACE)}))"
     for pattern, replacement in _RULES:
         e = f"regexp_replace({e}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
     return f"list_filter(string_split_regex({e}, '\\s+'), lambda t: t <> '')"

@@ -57,8 +57,9 @@ def str01_ingest_stream(spark, sf):
     out = shared_folder(spark, "ingested")
     raw = _stream_of(spark, "raw", views.submissions(spark, sf))
     arrival = F.lit(ingest.ARRIVAL)
-    _finish(ingest_streams.start_ingest(raw, arrival, out, shared_folder(spark, "offsets")))
-    accepted = messages.parse_documents(log.read_log(spark, f"{out}/accepted"))
+    _finish(ingest_streams.start_ingest(raw, arrival, out, shared_folder(spark, "offsets"), folder=out))
+    sent = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true")
+    accepted = messages.parse_documents(sent.json(f"{out}/{messages.DOCUMENT_TOPIC}"))
     rejected = log.read_log(spark, f"{out}/rejected")
     return accepted.select("doc_id", "shard_id", "content", F.lit("").alias("error")).unionByName(
         rejected.select("doc_id", "shard_id", "content", "error")
@@ -92,6 +93,32 @@ def str02_index_stream_postings(spark, sf):
     return index.postings.select("shard_id", "term", "doc_id", "tf")
 
 
+def _ingested(spark, sf):
+    """Raw documents through the topic into the table and index."""
+    topics, out = shared_folder(spark, "topics"), shared_folder(spark, "indexed")
+    raw = _stream_of(spark, "raw", views.submissions(spark, sf))
+    arrival, now = F.lit(ingest.ARRIVAL), views.moment(views.NOW)
+    _finish(ingest_streams.start_ingest(raw, arrival, out, shared_folder(spark, "offsets"), folder=topics))
+    docs = messages.read_document_stream(spark, topics)
+    _finish(index_streams.index_stream(docs, out, shared_folder(spark, "offsets"), now, stem=False))
+    return out
+
+
+def str02_ingest_to_index(spark, sf):
+    index = index_streams.current_index(spark, _ingested(spark, sf))
+    return index.postings.select("shard_id", "term", "doc_id", "tf")
+
+
+def str02_ingest_to_documents(spark, sf):
+    docs = index_streams.current_documents(spark, _ingested(spark, sf))
+    return docs.select(
+        "shard_id", "doc_id", "title", "content", "source", "status",
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+        F.element_at("metadata", "ingested_at").alias("ingested_at"),
+        F.element_at("metadata", "word_count").alias("word_count"),
+    )
+
+
 def str03_term_count_stream(spark, sf):
     out = shared_folder(spark, "counts")
     counts = term_streams.term_count_stream(_stream_of(spark, "documents", views.texts(spark, sf)))
@@ -124,6 +151,8 @@ QUERIES = {
         str01_ingest_stream,
         str02_index_stream_documents,
         str02_index_stream_postings,
+        str02_ingest_to_index,
+        str02_ingest_to_documents,
         str03_term_count_stream,
         str04_sync_stream,
         str05_update_stream,
@@ -143,6 +172,8 @@ _UPSERTED = (
     "newest AS (SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY shard_id, doc_id ORDER BY seq DESC) = 1)",
 )
 
+_ACCEPTED = (sql.DOCS, sql.MARKS, sql.SUBMISSIONS, "accepted AS (SELECT * FROM submissions WHERE content <> '')")
+
 ORACLES = {
     "src12_read_document_stream": sql.with_(sql.DOCS)
     + "SELECT shard_id, doc_id, content, source FROM docs",
@@ -155,6 +186,11 @@ ORACLES = {
     + "SELECT shard_id, doc_id, title, content, source FROM newest",
     "str02_index_stream_postings": sql.with_(*_UPSERTED, sql.words("newest"))
     + "SELECT shard_id, term, doc_id, count(*) AS tf FROM words GROUP BY ALL",
+    "str02_ingest_to_index": sql.with_(*_ACCEPTED, sql.words("accepted"))
+    + "SELECT shard_id, term, doc_id, count(*) AS tf FROM words GROUP BY ALL",
+    "str02_ingest_to_documents": sql.with_(*_ACCEPTED)
+    + f"SELECT shard_id, doc_id, title, content, source, 'indexed' AS status, '{views.NOW}' AS created_at, "
+    f"'{ingest.ARRIVAL}' AS ingested_at, CAST({ingest.WORDS_SQL} AS VARCHAR) AS word_count FROM accepted",
     "str03_term_count_stream": terms.ORACLES["trm01_term_counts"],
     "str04_sync_stream": terms.ORACLES["trm13_sync_terms"],
     "str05_update_stream": terms.ORACLES["trm16_apply_batch"],

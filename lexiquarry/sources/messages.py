@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.operators.ingest import MAX_CONTENT_CHARS, validate_json
 from lexiquarry.schema import DOCUMENT_MESSAGE, TERM_UPDATE_MESSAGE
+from lexiquarry.session import settle
 
 # Topics, the action of a term update, and bulk payload errors.
 DOCUMENT_TOPIC = "document_indexing"
@@ -20,7 +21,7 @@ ARRAY_REQUIRED = "Documents array is required"
 ARRAY_TYPE = "Documents must be an array"
 ARRAY_EMPTY = "No documents provided"
 
-MESSAGE = "key string, value string"
+MESSAGE = "key string, value string, timestamp timestamp, offset bigint"
 TERMS_PER_MESSAGE = 1000
 
 
@@ -72,6 +73,7 @@ def term_update_messages(counts: DataFrame, terms_per_message: int = TERMS_PER_M
     `counts` has one row per shard and term. A shard's terms are cut into
     messages by a hash, so no row ever holds the vocabulary of a whole shard.
     """
+    counts = settle(counts.select("shard_id", "term", "frequency"), "counts")
     # One row per shard.
     sizes = F.broadcast(counts.groupBy("shard_id").agg(F.count("*").alias("_n")))
     parts = F.ceil(F.col("_n") / terms_per_message)
@@ -86,12 +88,21 @@ def term_update_messages(counts: DataFrame, terms_per_message: int = TERMS_PER_M
     )
 
 
-def publish(messages: DataFrame, topic: str, folder: str | None = None, **kafka: str) -> None:
-    """Send a batch of messages to a Kafka topic, or append them to a folder."""
-    if folder is not None:
-        messages.write.mode("append").json(f"{folder}/{topic}")
-    else:
+def publish(messages: DataFrame, topic: str, folder: str | None = None, part: str | None = None, **kafka: str) -> None:
+    """Send a batch of messages to a Kafka topic, or append them to a folder with the time and an offset.
+
+    A `part` names the batch: sent to a folder again, it replaces itself.
+    """
+    if folder is None:
         messages.write.format("kafka").option("topic", topic).options(**kafka).save()
+        return
+    placed = messages.select(
+        "key", "value", F.current_timestamp().alias("timestamp"), F.monotonically_increasing_id().alias("offset")
+    )
+    if part is None:
+        placed.write.mode("append").json(f"{folder}/{topic}")
+    else:
+        placed.write.mode("overwrite").json(f"{folder}/{topic}/{part}")
 
 
 def publish_documents(docs: DataFrame, folder: str | None = None, **kafka: str) -> None:
@@ -103,18 +114,26 @@ def publish_term_updates(counts: DataFrame, folder: str | None = None, **kafka:
 
 
 def read_messages(spark: SparkSession, topic: str, folder: str | None = None, **kafka: str) -> DataFrame:
-    """Stream of a topic's messages."""
+    """Stream of a topic's messages, with their order `seq`: time, then offset.
+
+    Messages of one key are in one partition of a topic, so their order is total.
+    """
     if folder is not None:
         reader = spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", kafka.pop("files", "1000"))
-        return reader.json(f"{folder}/{topic}")
-    stream = spark.readStream.format("kafka").option("subscribe", topic).options(**kafka).load()
-    return stream.select(F.col("key").cast("string"), F.col("value").cast("string"))
+        stream = reader.option("recursiveFileLookup", "true").json(f"{folder}/{topic}")
+    else:
+        stream = spark.readStream.format("kafka").option("subscribe", topic).options(**kafka).load()
+    return stream.select(
+        F.col("key").cast("string"), F.col("value").cast("string"), F.struct("timestamp", "offset").alias("seq")
+    )
 
 
 def parse_documents(messages: DataFrame) -> DataFrame:
+    """The documents of messages, with `seq` where the messages have it."""
+    order = ["seq"] if "seq" in messages.columns else []
     body = F.from_json("value", DOCUMENT_MESSAGE)
-    return messages.select(body.alias("d")).select(
-        F.col("d.id").alias("doc_id"), "d.title", "d.content", "d.source", "d.metadata", "d.shard_id"
+    return messages.select(body.alias("d"), *order).select(
+        F.col("d.id").alias("doc_id"), "d.title", "d.content", "d.source", "d.metadata", "d.shard_id", *order
     )
 
 

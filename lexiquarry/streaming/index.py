@@ -38,8 +38,9 @@ def index_stream(
     """Upsert every micro-batch of documents into the table and index under `out`.
 
     A batch appends its documents and their term counts and reads nothing that
-    is already there. `order` tells versions of one document within a batch
-    apart.
+    is already there; it is recorded as finished last, and only finished batches
+    are shown, so documents and terms are always of the same batches. `order`
+    tells versions of one document within a batch apart.
     """
     spark = docs.sparkSession
     tables = {"documents": _DOCUMENTS, "doc_terms": _DOC_TERMS}
@@ -54,12 +55,13 @@ def index_stream(
         written = log.read_log(batch.sparkSession, f"{out}/documents")
         changed = written.where(F.col("batch_id") == number)
         log.append(count_terms(analyze(changed, stem)), f"{out}/doc_terms", number)
+        log.finish(batch.sparkSession, out, number)
 
     return log.run(docs, write, checkpoint, every)
 
 
 def _last_documents(spark: SparkSession, out: str) -> DataFrame:
-    rows = log.read_log(spark, f"{out}/documents")
+    rows = log.read_finished(spark, out, "documents")
     last = log.latest(rows, KEY, _since=F.min("first_written_at"))
     return last.withColumn("first_written_at", F.coalesce("_since", "first_written_at"))
 
@@ -79,11 +81,12 @@ def current_documents(spark: SparkSession, out: str) -> DataFrame:
 def compact(spark: SparkSession, out: str, into: str) -> None:
     """Start a new table and index from the last version of each document."""
     log.append(_last_documents(spark, out).drop("_since"), f"{into}/documents", -1)
-    log.compact(spark, f"{out}/doc_terms", KEY, f"{into}/doc_terms")
+    last = log.latest(log.read_finished(spark, out, "doc_terms"), KEY)
+    log.append(last, f"{into}/doc_terms", -1)
 
 
 def current_index(spark: SparkSession, out: str) -> Index:
     """The index as of the last finished batch."""
-    doc_terms = log.latest(log.read_log(spark, f"{out}/doc_terms"), KEY)
+    doc_terms = log.latest(log.read_finished(spark, out, "doc_terms"), KEY)
     entries = postings(doc_terms)
-    return Index(entries, term_stats(entries), doc_stats(doc_terms))
+    return Index(entries, term_stats(entries), doc_stats(doc_terms), doc_terms=doc_terms)

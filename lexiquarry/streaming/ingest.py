@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from lexiquarry.operators.ingest import accept, split_valid
-from lexiquarry.sources.messages import document_messages
+from lexiquarry.session import settle
+from lexiquarry.sources.messages import DOCUMENT_TOPIC, document_messages, publish
 from lexiquarry.streaming import log
 
 
@@ -16,13 +17,26 @@ def ingest_stream(raw: DataFrame, ingested_at: Column) -> DataFrame:
 
 
 def start_ingest(
-    raw: DataFrame, ingested_at: Column, out: str, checkpoint: str, every: str | None = None
+    raw: DataFrame,
+    ingested_at: Column,
+    out: str,
+    checkpoint: str,
+    every: str | None = None,
+    folder: str | None = None,
+    **kafka: str,
 ) -> StreamingQuery:
-    """Write messages of accepted documents to `out`/accepted and rejected rows to `out`/rejected."""
+    """Publish accepted documents to the document topic and keep rejected rows under `out`/rejected.
+
+    The topic is a Kafka topic or, with `folder`, a folder of messages, as
+    `read_document_stream` takes them. A replayed batch replaces its messages in
+    a folder; to Kafka it may send them again, which upserts don't mind.
+    """
+    log.start_log(raw.sparkSession, f"{out}/rejected", ingest_stream(raw, ingested_at).schema)
 
     def write(batch: DataFrame, number: int) -> None:
-        accepted, rejected = split_valid(batch)
-        log.append(document_messages(accepted), f"{out}/accepted", number)
+        # Validated and enriched once for both.
+        accepted, rejected = split_valid(settle(batch, "ingested"))
+        publish(document_messages(accepted), DOCUMENT_TOPIC, folder, f"batch-{number}", **kafka)
         log.append(rejected, f"{out}/rejected", number)
 
     return log.run(ingest_stream(raw, ingested_at), write, checkpoint, every)

@@ -7,6 +7,7 @@ from lexiquarry.operators import index as index_ops
 from lexiquarry.operators import terms as term_ops
 from lexiquarry.operators.ingest import accept
 from lexiquarry.plans.views import moment
+from lexiquarry.sources import messages
 from lexiquarry.streaming import index as index_streams
 from lexiquarry.streaming import ingest as ingest_streams
 from lexiquarry.streaming import log
@@ -51,11 +52,12 @@ def flat(index):
 def test_ingest_equals_batch(spark, docs, feed, tmp_path):
     raw = [docs(a="one two").drop("shard_id"), docs(b="", c=None).drop("shard_id")]
     out = str(tmp_path / "out")
-    finish(ingest_streams.start_ingest(feed("raw", *raw), F.lit("now"), out, str(tmp_path / "offsets")))
+    finish(ingest_streams.start_ingest(feed("raw", *raw), F.lit("now"), out, str(tmp_path / "offsets"), folder=out))
     batch = accept(raw[0].unionByName(raw[1]), "now")
     rejected = log.read_log(spark, f"{out}/rejected")
     assert rows(rejected, "doc_id", "error") == rows(batch.where("not valid"), "doc_id", "error")
-    accepted = log.read_log(spark, f"{out}/accepted")
+    sent = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true")
+    accepted = sent.json(f"{out}/{messages.DOCUMENT_TOPIC}")
     assert accepted.select(F.get_json_object("value", "$.id")).first()[0] == "a"
 
 
@@ -146,3 +148,27 @@ def test_updates_equal_batches_in_order(spark, feed, tmp_path):
         queued = part.select("*", F.lit(False).alias("processed"), F.lit("x").alias("batch_id"))
         state = term_ops.apply_batch(state, queued)
     assert rows(term_streams.current_frequencies(spark, out)) == rows(state) == [(0, "a", 2), (0, "b", 3), (0, "n", 4)]
+
+
+def test_documents_go_through_the_topic_into_the_index(spark, docs, feed, tmp_path):
+    raw = [docs(a="red sea", b="blue").drop("shard_id"), docs(a="green", c="").drop("shard_id")]
+    topics, out = str(tmp_path / "topics"), str(tmp_path / "out")
+    for number, part in enumerate(raw):
+        stream = feed(f"raw{number}", part)
+        finish(ingest_streams.start_ingest(stream, F.lit("now"), f"{out}/{number}", str(tmp_path / f"in{number}"), folder=f"{topics}/{number}"))
+    for number in (0, 1):
+        stream = messages.read_document_stream(spark, f"{topics}/{number}")
+        assert "seq" in stream.columns
+        finish(index_streams.index_stream(stream, f"{out}/x{number}", str(tmp_path / f"idx{number}"), moment(NOW), stem=False))
+    index = index_streams.current_index(spark, f"{out}/x0")
+    assert rows(index.postings, "term", "doc_id", "tf") == [("blue", "b", 1), ("red", "a", 1), ("sea", "a", 1)]
+    assert rows(index_streams.current_documents(spark, f"{out}/x1"), "doc_id", "content") == [("a", "green")]
+
+
+def test_unfinished_batches_are_not_shown(spark, docs, feed, tmp_path):
+    out = str(tmp_path / "out")
+    finish(index_streams.index_stream(feed("docs", seq(docs(a="red"), 0)), out, str(tmp_path / "offsets"), moment(NOW)))
+    half = log.read_log(spark, f"{out}/documents").where("doc_id = 'a'").drop("batch_id")
+    log.append(half.withColumn("doc_id", F.lit("z")), f"{out}/documents", 7)
+    assert rows(index_streams.current_documents(spark, out), "doc_id") == [("a",)]
+    assert rows(index_streams.current_index(spark, out).doc_stats, "doc_id") == [("a",)]

@@ -65,8 +65,9 @@ def test_counters_expire(spark):
         ("b", 1, 0, "x", False, "2024-01-01 00:00:00"),
     )
     now = moment("2024-01-02 18:00:00")
-    assert rows(ops.expire_terms(log, now), "term", "frequency") == [("a", 2)]
-    assert rows(ops.expire_terms(log, now, renew=False)) == []
+    assert rows(ops.expire_terms(log, now), "term", "frequency") == [("a", 1)]
+    assert rows(ops.expire_terms(log, now, ttl="40 hours"), "term", "frequency") == [("a", 2)]
+    assert rows(ops.expire_terms(log, now, ttl="40 hours", renew=False)) == []
 
 
 def test_absent_terms_count_zero(spark):

@@ -68,3 +68,9 @@ def test_iso_timestamp(spark):
     )
     got = [r[0] for r in frame.select(text.iso_timestamp("ts")).collect()]
     assert got == ["2024-01-02T03:04:05", "2024-01-02T03:04:05.250000", None]
+
+
+def test_unicode_white_space_separates(spark):
+    phrase = "machine\u00a0learning rocks\u2003deep\u3000sea"
+    row = spark.createDataFrame([(phrase,)], "t string").select(text.tokenize("t"), text.preprocess("t", stem=False)).first()
+    assert list(row[0]) == list(row[1]) == ["machine", "learning", "rocks", "deep", "sea"]
