@@ -32,6 +32,7 @@ GRAM = 3
 UNKNOWN = "und"
 SPACE = 32
 BLOCK = 8192  # n-grams whose vectors are multiplied at a time
+STEPS = 1 << 20
 SHARPNESS = 12.0  # of the score: a softmax over cosines
 
 
@@ -94,9 +95,14 @@ class Space:
         keep[start[:-1][np.diff(start) > 0]] = True
         low, text = np.where(letter, low, SPACE)[keep].astype(np.int64), text[keep]
         edge = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1]))) if len(text) else np.zeros(0, np.int64)
-        # A space before a text that begins with a letter.
+        # A space after a text that ends with a letter, and before one that begins with one.
+        end = np.append(edge[1:], len(text))[: len(edge)]
+        trail = end[low[end - 1] != SPACE] if len(edge) else edge
         lead = edge[low[edge] != SPACE]
-        low, text = np.insert(low, lead, SPACE), np.insert(text, lead, text[lead])
+        at = np.concatenate((trail, lead))
+        own = np.concatenate((text[trail - 1], text[lead]))
+        order = np.argsort(at, kind="stable")
+        low, text = np.insert(low, at[order], SPACE), np.insert(text, at[order], own[order])
         n = len(low) - self.gram + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -168,16 +174,15 @@ def fit(
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                vectors = unit(space.texts(part.column("text"))[0])
+                # Whole steps, so that the sum doesn't depend on how rows are dealt.
+                vectors = np.rint(unit(space.texts(part.column("text"))[0].astype(np.float64)) * STEPS)
                 langs = np.array(part.column("lang").to_pylist())
                 for name in np.unique(langs):
-                    own = vectors[langs == name].sum(axis=0, dtype=np.float64)
+                    own = vectors[langs == name].astype(np.int64).sum(axis=0)
                     sums[str(name)] = sums.get(str(name), 0) + own
         for name, total in sums.items():
-            # Sums are rounded to fixed steps, so that the order of tasks can't show in the result.
-            steps = np.rint(total * (1 << 20)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * dimensions), pa.array(np.arange(dimensions)), pa.array(steps)],
+                [pa.array([name] * dimensions), pa.array(np.arange(dimensions)), pa.array(total)],
                 ["lang", "dimension", "total"],
             )
 

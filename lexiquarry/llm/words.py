@@ -113,7 +113,7 @@ def shingle_hashes(words: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndar
     for k in range(n):
         there = left > k
         w = np.zeros(len(words), np.uint64)
-        w[: len(words) - k] = words[k:]
+        w[: max(len(words) - k, 0)] = words[k:]
         seed = np.where(there, mix(seed * _BASE + w + np.uint64(k + 1)), seed)
         reach += there
     whole = left >= n
