@@ -1,7 +1,7 @@
 """Fuzzy line dedup: one occurrence of every group of like lines stays.
 
 Lines are normalised to their lower-cased words. Equal ones are one line from
-the start. Each has a SimHash of its words; lines that agree on one of
+the start. Each has a SimHash of its distinct words; lines that agree on one of
 max_bits + 1 blocks of it meet, and those within max_bits differing bits are
 candidates. Candidates whose normalised texts have an edit similarity of at
 least 0.8 (one less the edits by the longer length, in characters) are linked,
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.llm.components import components
 from lexiquarry.llm.rows import per_text, raw_bytes, settle
-from lexiquarry.llm.simhash import Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join
+from lexiquarry.llm.simhash import Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
 from lexiquarry.llm.words import mix, words_in
 
 MIN_WORDS = 5
@@ -73,12 +73,21 @@ def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.nda
     sums = [np.zeros(len(size), np.uint64) for _ in placed]
     for total, p in zip(sums, placed, strict=True):
         total[filled] = np.add.reduceat(p, begin[filled])
-    fp = fingerprint_of(mix(hashes), line, len(size))
+    fp = fingerprint_of(*distinct_in(line, mix(hashes)), len(size))
     text = np.searchsorted(first, keep, "right") - 1
     marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), fp[keep].view(np.int64)]
     return np.bincount(text, minlength=len(texts)), marks
 
 
+def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each owner, and their owners."""
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
+    return values[new], owner[new]
+
+
 def marked_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """(key, line, high, low, simhash) of every line that counts."""
 
@@ -255,16 +264,14 @@ def dedup_lines(
     marks = settle(distinct.groupBy("simhash").count(), "marks")
     near = with_candidates(marks, max_bits, most)
     # Lines of one fingerprint meet in any one trie.
-    first, width = blocks_of(max_bits)[0]
-    top = F.shiftrightunsigned("simhash", 64 - first - width).bitwiseAND(F.lit((1 << width) - 1))
-    shared = marks.where("count > 1").select(top.alias("trie"), "simhash")
+    shared = marks.where("count > 1").select(trie_of(0, *blocks_of(max_bits)[0]).alias("trie"), "simhash")
     near = settle(near.unionByName(shared).groupBy("simhash").agg(F.collect_set("trie").alias("tries")), "near")
     name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
     asked = distinct.join(near, "simhash").select(
         "first.key", "first.line", name.alias("name"), "simhash", "tries", F.col("first").alias("place")
     )
     asked = settle(asked, "asked")
-    texts = fetched(plain, asked.select("key", "line", "name", "simhash", "tries"))
+    texts = settle(fetched(plain, asked.select("key", "line", "name", "simhash", "tries")), "texts")
     placed = texts.select(F.explode("tries").alias("trie"), "simhash", "name", "text")
     found = settle(verified_links(placed, max_bits, similarity, most), "links")
     groups = settle(components(found), "groups")

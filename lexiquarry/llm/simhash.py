@@ -220,16 +220,19 @@ def deal(rows: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> DataFra
     Rows have `simhash` and what else the join needs. Of a block value that
     more than `most` rows share, every two rows meet in one of its parts.
     """
-    fp = F.col("simhash")
-    tries = [
-        F.lit(k).cast("long") * (1 << 40)
-        + F.shiftrightunsigned(fp, 64 - first - width).bitwiseAND(F.lit((1 << width) - 1))
-        for k, (first, width) in enumerate(blocks_of(max_bits))
-    ]
+    tries = [trie_of(k, first, width) for k, (first, width) in enumerate(blocks_of(max_bits))]
     keyed = rows.withColumn("trie", F.explode(F.array(*tries)))
     return deal_groups(keyed, most)
 
 
+def trie_of(k: int, first: int, width: int):
+    """The number of block k and its value; the one block of 64 bits counts by its hash, and is compared whole below."""
+    value = F.shiftrightunsigned("simhash", 64 - first - width)
+    if width > 40:
+        return F.lit(k).cast("long") * (1 << 40) + F.pmod(F.xxhash64("simhash"), F.lit(1 << 40))
+    return F.lit(k).cast("long") * (1 << 40) + value.bitwiseAND(F.lit((1 << width) - 1))
+
+
 def deal_groups(keyed: DataFrame, most: int = MOST) -> DataFrame:
     # Of at most (blocks x 2^13) values few are large.
     large = keyed.groupBy("trie").count().where(F.col("count") > most)
