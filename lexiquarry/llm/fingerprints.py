@@ -6,9 +6,9 @@ sketches, and the share of one sketch found in another estimates the share of
 one text's shingles found in the other, however unequal the two are.
 
 `compare_next` sets each document against the next by descending key and
-against an edited form of itself. The rows are range-partitioned by key once,
-which moves each text once; a partition's last row meets the first of the next
-partition by a join of two rows for each partition.
+against an edited form of itself. The rows are dealt once by ranges of the key,
+whose bounds come from a sample of keys, and each range ends with a copy of the
+first row of the next: that moves each text once and stores none.
 
 Defined cases: null text is empty. A text of fewer words than a shingle has one
 shingle, a text without words none. A text none of whose hashes is kept is like
@@ -20,17 +20,18 @@ row's next is itself.
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.llm.rows import per_text, settle
+from lexiquarry.llm.rows import lookup_side, per_text, settle
 from lexiquarry.llm.words import shingle_hashes, words_of
 
 SHINGLE = 5
@@ -42,7 +43,7 @@ def sketches(texts: list[str], shingle: int = SHINGLE, scale_bits: int = SCALE_B
     """Sorted distinct kept hashes of each text, as 32 bits."""
     words = words_of(pa.array(texts, pa.large_string()))
     hashes, owner = shingle_hashes(words.hashes(), words.text, shingle)
-    kept = hashes < np.uint64(1 << (64 - scale_bits))
+    kept = hashes <= np.uint64((1 << (64 - scale_bits)) - 1)
     values = (hashes[kept] >> np.uint64(32 - scale_bits)).astype(np.int64)
     distinct = np.unique(owner[kept] << 32 | values)
     ends = np.searchsorted(distinct >> 32, np.arange(len(texts) + 1))
@@ -124,6 +125,27 @@ RESULT = (
     "near_next double, jaccard_edited double, jaccard_next double"
 )
 _TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4]
+SAMPLE_KEYS = 10_000  # keys that the bounds of the ranges are chosen from
+
+
+def bounds(rows: DataFrame, parts: int, sample: int = SAMPLE_KEYS) -> list:
+    """At most parts - 1 ascending keys that cut the rows into ranges of about equal count."""
+    many = max(rows.count(), 1)
+    thin = rows.where(F.shiftrightunsigned(F.xxhash64("key"), 32) < int(min(1.0, 2 * sample / many) * 2**32))
+    keys = thin.where("key is not null").select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample)
+    found = sorted(r["key"] for r in keys.collect())
+    return sorted({found[len(found) * k // parts] for k in range(1, parts)}) if found else []
+
+
+def ranged(rows: DataFrame, cuts: list) -> DataFrame:
+    """With `part`, the number of the range a row's key is in; later for smaller keys, last for null."""
+
+    @F.pandas_udf("long")
+    def part(keys: pd.Series) -> pd.Series:
+        at = [len(cuts) + 1 if k is None or k != k else len(cuts) - bisect.bisect_right(cuts, k) for k in keys]
+        return pd.Series(at, dtype="int64")
+
+    return rows.withColumn("part", part("key"))
 
 
 def compare_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -131,60 +153,45 @@ def compare_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     spark = docs.sparkSession
     plain = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = F.desc_nulls_last("key")
-    dealt = plain.repartitionByRange(tasks, order).sortWithinPartitions(order, "text")
+    rows = ranged(plain, bounds(plain, 4 * tasks))
+    # The first row of each range, which the last of the range before is set against: one row a range.
+    place = F.struct(F.col("key").isNotNull().alias("known"), "key")
+    last_place = rows.groupBy("part").agg(F.max(place).alias("top"))
+    last_place = lookup_side(last_place.select(F.col("part").alias("of"), F.col("top.key").alias("top")))
+    first = rows.join(last_place, (F.col("part") == F.col("of")) & F.col("key").eqNullSafe(F.col("top")))
+    heads = settle(first.groupBy("part").agg(F.min("text").alias("text")), "heads")
+    # At most four times as many numbers as there are tasks.
+    parts = [r["part"] for r in heads.select("part").orderBy("part").collect()]
+    after = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "here long, part long")
+    ends = after.join(heads, "part").select(F.lit(None).cast(plain.schema["key"].dataType).alias("key"), "text", F.col("here").alias("part"), F.lit(True).alias("end"))
+    both = rows.select("key", "text", "part", F.lit(False).alias("end")).unionByName(ends)
+    dealt = both.repartition(tasks, "part").sortWithinPartitions("part", "end", F.desc_nulls_last("key"), "text")
     result = T.StructType.fromDDL(RESULT)
-    own = [T.StructField(f.name, f.dataType) for f in plain.schema]
-    schema = T.StructType([*own, *T.StructType.fromDDL("part long, side string").fields, *result.fields])
+    schema = T.StructType([T.StructField("key", plain.schema["key"].dataType), *result.fields])
 
     def run(batches: Iterator[pa.RecordBatch]):
-        part, kind = TaskContext.get().partitionId(), None
-        held_key, held_text, first = None, None, True
-
-        def side(k, t, name):
-            row = [pa.array([k], kind), pa.array([t]), pa.array([part], pa.int64()), pa.array([name])]
-            return pa.RecordBatch.from_arrays([*row, *(pa.nulls(1, x) for x in _TYPES)], schema.names)
-
+        held: tuple | None = None  # the row whose next has not come yet
         for batch in batches:
             kind = batch.column("key").type
             keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
-            if first and keys:
-                yield side(keys[0], texts[0], "head")
-                first = False
-            elif keys:
-                keys, texts = [held_key, *keys], [held_text, *texts]
-            if not keys:
-                continue
-            ends = np.cumsum([len(t) for t in texts])
-            at = 0
-            while at < len(keys) - 1:
-                to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LOT, "right"))
-                to = min(max(to, at + 1), len(keys) - 1)
-                columns = compared(texts[at:to], texts[at + 1 : to + 1])
-                arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
-                n = to - at
-                none = [pa.nulls(n, pa.string()), pa.array([part] * n, pa.int64()), pa.nulls(n, pa.string())]
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at:to], kind), *none, *arrays], schema.names)
-                at = to
-            held_key, held_text = keys[-1], texts[-1]
-        if not first:
-            yield side(held_key, held_text, "tail")
-
-    rows = settle(dealt.mapInArrow(run, schema), "sketches")
-    heads = rows.where("side = 'head'").select("part", F.col("text").alias("following"))
-    # At most as many numbers as there are tasks.
-    parts = [r["part"] for r in heads.select("part").orderBy("part").collect()]
-    after = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "here long, part long")
-    tails = rows.where("side = 'tail'").select("key", "text", F.col("part").alias("here"))
-    met = tails.join(after, "here").join(heads, "part").select("key", "text", "following")
-
-    def last(batches):
-        for b in batches:
-            if b.num_rows:
-                columns = compared(b.column("text").to_pylist(), b.column("following").to_pylist())
-                arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column("key"), *arrays], ["key", *result.names])
-
-    ends = met.mapInArrow(last, T.StructType([own[0], *result.fields]))
-    done = rows.where("side is null").select("key", *result.names).unionByName(ends)
-    return done.select(F.col("key").alias(key), *result.names)
+            parts, ends = batch.column("part").to_pylist(), batch.column("end").to_pylist()
+            pairs: list[tuple] = []
+            size = 0
+            for row in zip(keys, texts, parts, ends, strict=True):
+                if held is not None and not held[3]:
+                    pairs.append((held[0], held[1], row[1]))
+                    size += len(held[1])
+                held = row
+                if size > LOT:
+                    yield made(pairs, kind)
+                    pairs, size = [], 0
+            if pairs:
+                yield made(pairs, kind)
+
+    def made(pairs: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        keys, texts, following = (list(x) for x in zip(*pairs, strict=True))
+        arrays = [pa.array(c, t) for c, t in zip(compared(texts, following), _TYPES, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(keys, kind), *arrays], schema.names)
+
+    found = dealt.select("key", "text", "part", "end").mapInArrow(run, schema)
+    return found.select(F.col("key").alias(key), *result.names)

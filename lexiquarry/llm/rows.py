@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.session import settle
+from lexiquarry.session import lookup_side, settle
 
-__all__ = ["per_text", "raw_bytes", "settle", "spread_rows", "table"]
+__all__ = ["lookup_side", "per_text", "raw_bytes", "settle", "spread_rows", "table"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,8 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 def raw_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of the texts in one array, and where each begins (one more at the end). Null: empty."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
