@@ -15,8 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lexiquarry.operators import index as index_ops  # noqa: E402
 from lexiquarry.operators import search as search_ops  # noqa: E402
+from lexiquarry.operators import terms as term_ops  # noqa: E402
 from lexiquarry.plans import index, ingest, search, streams, terms, text, views  # noqa: E402
-from lexiquarry.session import build_session, shared_folder  # noqa: E402
+from lexiquarry.session import build_session, release, settle, shared_folder  # noqa: E402
+from lexiquarry.sources.tables import read_documents, write_documents  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -73,8 +75,19 @@ def main() -> None:
     for name, query in QUERIES.items():
         seconds[name] = timed(lambda: drain(query(spark, SF_DIR)))
     one = views.stored_index(spark, SF_DIR, stem=False)
-    word = asked.select("query").first()[0]
-    seconds["search_one"] = timed(lambda: drain(search_ops.search(one, docs, word, stem=False)))
+    folder = shared_folder(spark, "documents")
+    write_documents(docs, folder)
+    stored = read_documents(spark, folder)
+    words = [r["query"] for r in asked.orderBy("query_id").limit(4).collect()]
+    # The first query compiles; the next three are timed.
+    drain(search_ops.search(one, stored, words[0], stem=False))
+    for word in words[1:]:
+        page = timed(lambda word=word: drain(search_ops.search(one, stored, word, stem=False)))
+        seconds["search_one"] = min(page, seconds.get("search_one", page))
+    table = settle(term_ops.build_prefix_table(views.stored_terms(spark, SF_DIR)), "prefixes")
+    prefixes = views.prefixes(spark, SF_DIR)
+    seconds["suggest_stored"] = timed(lambda: drain(term_ops.lookup_prefixes(table, prefixes)))
+    release(spark)
 
     print(
         json.dumps(

@@ -1,66 +1,9 @@
-"""Column layouts of the tables the library works on."""
+"""Layouts of the values of messages."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-DOCUMENTS = T.StructType(
-    [
-        T.StructField("doc_id", T.StringType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("content", T.StringType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("metadata", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("shard_id", T.IntegerType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("updated_at", T.TimestampType()),
-    ]
-)
-
-TERMS = T.StructType(
-    [
-        T.StructField("term", T.StringType()),
-        T.StructField("frequency", T.LongType()),
-        T.StructField("shard_id", T.IntegerType()),
-        T.StructField("updated_at", T.TimestampType()),
-    ]
-)
-
-COUNTERS = T.StructType(
-    [
-        T.StructField("term", T.StringType()),
-        T.StructField("frequency", T.LongType()),
-        T.StructField("shard_id", T.IntegerType()),
-    ]
-)
-
-TERM_UPDATES = T.StructType(
-    [
-        T.StructField("term", T.StringType()),
-        T.StructField("frequency_delta", T.LongType()),
-        T.StructField("shard_id", T.IntegerType()),
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("processed", T.BooleanType()),
-    ]
-)
-
-SHARDS = T.StructType(
-    [
-        T.StructField("shard_id", T.IntegerType()),
-        T.StructField("document_count", T.LongType()),
-        T.StructField("last_updated", T.TimestampType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
-QUERIES = T.StructType(
-    [
-        T.StructField("query_id", T.LongType()),
-        T.StructField("query", T.StringType()),
-    ]
-)
-
 # Value of a message on the term update topic.
 TERM_UPDATE_MESSAGE = T.StructType(
     [
