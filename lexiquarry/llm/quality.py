@@ -7,7 +7,10 @@ likelier a good text has it than a bad one, and a linear model is fitted on the
 scaled indicators with hinge loss by dual coordinate descent. A logistic curve
 fitted to the margins of rows left out of the fit turns them into scores.
 
-n-grams are hashed to 2^18 buckets. Ratios come from the counts of all training
+n-grams are hashed to 2^18 buckets. The classifier is fitted on a bounded sample
+of the labelled rows, at most `SAMPLE_ROWS` (`sampled`, half from either class,
+those of the smallest hash of their key): labels are sampled before they meet
+the texts, so no text is shuffled. Ratios come from the counts of all sampled
 rows, summed where the rows are; they are two numbers a bucket. The linear model
 is fitted on at most `FIT_ROWS` training rows, distinct texts of the smallest
 hash, half from either class, and `FIT_GRAMS` of each row's n-grams (those with the smallest
@@ -32,6 +35,7 @@ from lexiquarry.llm.rows import per_text, raw_bytes
 from lexiquarry.llm.words import byte_set, mix, words_in
 
 BITS = 18
+SAMPLE_ROWS = 20_000
 FIT_ROWS = 6000
 FIT_GRAMS = 4096
 THRESHOLD = 0.3
@@ -109,6 +113,20 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.shift, -500, 500)))
 
 
+def sampled(labels: DataFrame, key: str = "doc_id", label: str = "label", rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(key, label) of at most so many labelled rows, half of them from either class, as far as there are."""
+    own = labels.select(F.col(f"`{key}`").alias(key), (F.col(f"`{label}`") > 0).cast("long").alias(label))
+    own = own.where(F.col(label).isNotNull() & F.col(f"`{key}`").isNotNull())
+    many = {r[label]: r["count"] for r in own.groupBy(label).count().collect()}
+    mark = F.xxhash64(F.col(f"`{key}`"), F.lit(11))
+    each = []
+    for c in (0, 1):
+        share = min(1.0, rows / max(many.get(c, 0), 1))
+        thin = own.where((F.col(label) == c) & (F.shiftrightunsigned(mark, 32) < int(share * 2**32)))
+        each.append(thin.orderBy(mark, F.col(f"`{key}`")).limit(rows // 2))
+    return each[0].unionByName(each[1])
+
+
 def fit(training: DataFrame, text: str = "text", label: str = "label", rows: int = FIT_ROWS) -> Model:
     """The model of texts and their labels (1 good, 0 bad)."""
     plain = training.select(

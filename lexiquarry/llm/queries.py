@@ -63,7 +63,9 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of each text by a model of the labelled rows that may teach."""
     docs = _docs(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    training = docs.where(quality.learns()).select("doc_id", "text").join(labels, "doc_id")
+    # At most SAMPLE_ROWS keys, so the texts stay where they are.
+    sample = F.broadcast(quality.sampled(labels.where(quality.learns())))
+    training = docs.select("doc_id", "text").join(sample, "doc_id")
     held = docs.withColumn("held_out", ~quality.learns())
     return quality.score(held, quality.fit(training), keep=["doc_id", "held_out"])
 
