@@ -46,7 +46,7 @@ class Index:
     doc_terms: DataFrame | None = None
 
 
-def term_bucket(buckets: int, term: str = "term") -> Column:
+def term_bucket(buckets: int, term: str | Column = "term") -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 

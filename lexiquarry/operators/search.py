@@ -269,6 +269,19 @@ def search_batch(
     return hits.withColumn("score", shown_score())
 
 
+def _constant(spark, *columns: Column):
+    """Values of constant columns, worked out without a job."""
+    return spark.sql("VALUES (1)").select(*columns).first()
+
+
+def _rows(spark, schema: str, rows: list[tuple]) -> DataFrame:
+    """A few given rows as a frame of literals, which needs no Python on the executors."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    one = F.array(*(F.struct(*(F.lit(v).alias(n) for n, v in zip(names, r, strict=True))) for r in rows))
+    typed = one.cast(f"array<struct<{', '.join(p.replace(' ', ':') for p in schema.split(', '))}>>")
+    return spark.sql("VALUES (1)").select(F.inline(typed))
+
+
 def one_query_scores(index: Index, weights: dict, by_shard: bool) -> DataFrame:
     """Scores of all documents that have a term of one query.
 
@@ -280,22 +293,25 @@ def one_query_scores(index: Index, weights: dict, by_shard: bool) -> DataFrame:
     words = sorted({w[-1] for w in weights})
     entries = index.postings.where(F.col("term").isin(words))
     if index.buckets:
-        numbers = spark.createDataFrame([(w,) for w in words], "term string").select(term_bucket(index.buckets))
-        entries = entries.where(F.col("term_bucket").isin(sorted({r[0] for r in numbers.collect()})))
+        numbers = _constant(spark, F.array(*(term_bucket(index.buckets, F.lit(w)) for w in words)))[0]
+        entries = entries.where(F.col("term_bucket").isin(sorted(set(numbers))))
     schema = ("shard_id int, " if by_shard else "") + "term string, weight double"
-    side = spark.createDataFrame([(*w, x) for w, x in weights.items()], schema)
+    side = _rows(spark, schema, [(*w, x) for w, x in weights.items()])
     return _scores(entries.join(F.broadcast(side), keys), ())
 
 
 def query_weights(index: Index, query: str, stats: str, stem: bool) -> dict:
     """ln(N / df) * query_tf of one query's known terms, by term or by shard and term."""
     spark = index.postings.sparkSession
-    terms = spark.createDataFrame([(query,)], "query string").select(preprocess("query", stem=stem)).first()[0]
-    asked = Counter(terms)
+    asked = Counter(_constant(spark, preprocess(F.lit(query), stem=stem))[0])
     if not asked:
         return {}
-    known = index.term_stats.where(F.col("term").isin(sorted(asked))).collect()
-    sizes = {r["shard_id"]: r["n_docs"] for r in corpus_size(index.doc_stats).collect()}
+    # Document frequencies and corpus sizes (without a term) in one go.
+    found = index.term_stats.where(F.col("term").isin(sorted(asked))).select("shard_id", "term", "df")
+    sizes = corpus_size(index.doc_stats).select("shard_id", F.lit(None).cast("string").alias("term"), F.col("n_docs").alias("df"))
+    rows = found.unionByName(sizes).collect()
+    known = [r for r in rows if r["term"] is not None]
+    sizes = {r["shard_id"]: r["df"] for r in rows if r["term"] is None}
     if stats == "shard":
         return {
             (r["shard_id"], r["term"]): math.log(sizes[r["shard_id"]] / r["df"]) * asked[r["term"]] for r in known
@@ -342,7 +358,7 @@ def search(
                 break
             take *= 2
         page = [(r["shard_id"], r["doc_id"], n + 1, r["score"]) for n, r in enumerate(left[:wanted])][offset:]
-    ranked = spark.createDataFrame(page, "shard_id int, doc_id string, rank bigint, score double")
+    ranked = _rows(spark, "shard_id int, doc_id string, rank bigint, score double", page)
     named = _named(docs, [{"shard_id": r[0], "doc_id": r[1]} for r in page])
     # A page of rows, by the caller's size.
     hits = _with_fields(F.broadcast(ranked), named)
@@ -354,8 +370,6 @@ def _named(docs: DataFrame, rows: list) -> DataFrame:
     ids = sorted({r["doc_id"] for r in rows})
     found = docs.where(F.col("doc_id").isin(ids) & F.col("shard_id").isin(sorted({r["shard_id"] for r in rows})))
     if "doc_bucket" in docs.columns and ids:
-        numbers = docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id string")
-        found = found.where(
-            F.col("doc_bucket").isin(sorted({r[0] for r in numbers.select(document_bucket("doc_id")).collect()}))
-        )
+        numbers = _constant(docs.sparkSession, F.array(*(document_bucket(F.lit(i)) for i in ids)))[0]
+        found = found.where(F.col("doc_bucket").isin(sorted(set(numbers))))
     return found
