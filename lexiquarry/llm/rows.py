@@ -86,13 +86,19 @@ def per_text(
     )
 
 
+SPLIT_BYTES = 128 << 20  # of a file that a task reads, about
+
+
 def spread_rows(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a table of one or few files to several tasks.
+    """Deal the rows of a small table of one or few files to several tasks.
 
-    A large table already has a task for each split of its files and stays as
-    it is; `inputFiles` reads names only.
+    A table with as many files as there are cores, or with enough bytes for as
+    many splits, stays as it is: nothing large is moved. Only names and lengths
+    of files are looked at.
     """
     spark = scan.sparkSession
-    if len(scan.inputFiles()) >= spark.sparkContext.defaultParallelism:
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if len(scan.inputFiles()) >= cores or size >= cores * SPLIT_BYTES:
         return scan
-    return scan.repartition(4 * spark.sparkContext.defaultParallelism)
+    return scan.repartition(4 * cores)
