@@ -33,7 +33,7 @@ from lexiquarry.llm.rows import per_text, raw_bytes
 from lexiquarry.llm.words import words_in, words_of
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 BLOCK_BYTES = 4 << 20
 FIELDS = "n_words long, n_hit long, items array<string>, spans array<struct<first:long,last:long>>"
 

@@ -35,7 +35,7 @@ from lexiquarry.llm.rows import per_text, settle
 CAPACITY = 4096
 GRAIN = 8
 END_ID = 2
-KEPT = 800_000  # words whose ids a Python worker remembers
+KEPT = 300_000  # words whose ids a Python worker remembers
 BUCKET_ROWS = 50_000  # pieces of a class ranked together
 
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the vocabulary's own pre-tokens
