@@ -3,14 +3,17 @@
 Lines are normalised to their lower-cased words. Equal ones are one line from
 the start. Each has a SimHash of its distinct words; lines that agree on one of
 max_bits + 1 blocks of it meet, and those within max_bits differing bits are
-candidates. Candidates whose normalised texts have an edit similarity of at
+candidates. As a word replaced in a line of twenty turns more bits than that,
+`bands` adds a second way to meet: each line has so many keys of `BAND_ROWS`
+smallest hashes each, over its runs of `GRAM` bytes, and lines with an equal key
+are candidates whatever their SimHash. Candidates whose normalised texts have an edit similarity of at
 least 0.8 (one less the edits by the longer length, in characters) are linked,
 linked lines form groups, and of each group the first occurrence by (key, line
 number) stays.
 
 Texts travel late: fingerprints alone tell which lines have a candidate at all,
 and only the texts of these are fetched and dealt to the blocks in which they
-have one. There, candidates are verified as long as they would join two groups,
+have one, and to the groups of lines that share a key. There, candidates are verified as long as they would join two groups,
 each group choosing one at a time, so a large group of like lines costs about
 as many comparisons as it has lines. Large blocks are cut into pairs of chunks.
 The documents themselves are joined once with the numbers of the lines to go.
@@ -31,14 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.llm.components import components
-from lexiquarry.llm.rows import per_text, raw_bytes, settle
+from lexiquarry.llm.rows import per_text, pieces, raw_bytes, settle
 from lexiquarry.llm.simhash import Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
-from lexiquarry.llm.words import mix, words_in
+from lexiquarry.llm.words import Words, mix, words_in
 
 MIN_WORDS = 5
 MAX_BITS = 4
 SIMILARITY = 0.8
 MOST = 4096
+BANDS = 16
+BAND_ROWS = 3
+GRAM = 5
+FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
 NEWLINE = 10
 
 
@@ -54,8 +61,8 @@ def line_offsets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.append(starts, len(raw)), first
 
 
-def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """For each text how many lines count, and for each such line: its number, two hashes and its SimHash."""
+def lines_in(texts: pa.Array, min_words: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Words by line, their hashes, the first line of each text, the lines that count, and two hashes of every line."""
     raw, offsets = raw_bytes(texts)
     starts, first = line_offsets(raw, offsets)
     words = words_in(raw, starts)
@@ -67,18 +74,67 @@ def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.nda
     nth = (np.arange(len(line)) - begin[line]).astype(np.uint64)
     placed = [mix(hashes + (nth + np.uint64(1)) * np.uint64(k)) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
     keep = np.flatnonzero(size >= max(min_words, 1))
-    if not len(keep):
-        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * 4
     filled = np.flatnonzero(size)
     sums = [np.zeros(len(size), np.uint64) for _ in placed]
     for total, p in zip(sums, placed, strict=True):
-        total[filled] = np.add.reduceat(p, begin[filled])
-    fp = fingerprint_of(*distinct_in(line, mix(hashes)), len(size))
+        if len(filled):
+            total[filled] = np.add.reduceat(p, begin[filled])
+    return words, hashes, first, keep, sums
+
+
+def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each text how many lines count, and for each such line: its number, two hashes and its SimHash."""
+    words, hashes, first, keep, sums = lines_in(texts, min_words)
+    if not len(keep):
+        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * 4
+    fp = fingerprint_of(*distinct_in(words.text, mix(hashes)), words.texts)
     text = np.searchsorted(first, keep, "right") - 1
     marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), fp[keep].view(np.int64)]
     return np.bincount(text, minlength=len(texts)), marks
 
 
+def line_keys(texts: pa.Array, min_words: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each distinct line that counts: its first hash, and a row of its band keys.
+
+    One hash of each run of bytes of the normalised line falls into one of bands x BAND_ROWS bins, which keep their
+    smallest; an empty bin takes that of the next full one, changed by the way to it. Lines of one run or less have
+    none in common with others.
+    """
+    words, _, _, keep, (high, _) = lines_in(texts, min_words)
+    if not len(keep):
+        return np.zeros(0, np.int64), np.zeros((0, bands), np.int64)
+    high, at = np.unique(high[keep].view(np.int64), return_index=True)
+    chosen = np.full(words.texts, -1)
+    chosen[keep[at]] = np.arange(len(at))
+    # The words of the chosen lines with one space after each, each line in a row of its own.
+    size = np.diff(words.ends)
+    data = np.full(len(words.data) + len(words), ord(" "), np.uint8)
+    data[np.arange(len(words.data)) + np.repeat(np.arange(len(words)), size)] = words.data
+    own = np.repeat(chosen[words.text], size + 1)
+    data, own = data[own >= 0], own[own >= 0]
+    runs = max(len(data) - GRAM + 1, 0)
+    value = np.zeros(runs, np.uint64)
+    for k in range(GRAM):
+        value = value << np.uint64(8) | data[k : k + runs]
+    whole = own[:runs] == own[GRAM - 1 :] if runs else np.zeros(0, bool)
+    value, own = mix(value[whole] * np.uint64(0x9E3779B97F4A7C15)), own[:runs][whole]
+    bins = bands * BAND_ROWS
+    least = np.full(len(high) * bins, FAR)
+    np.minimum.at(least, own * bins + ((value >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), value)
+    least = least.reshape(-1, bins)
+    place = np.where(least != FAR, np.arange(bins), 2 * bins)
+    after = np.concatenate((place, place + bins), axis=1)
+    after = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1][:, :bins]
+    far = (after - np.arange(bins)).astype(np.uint64)
+    least = np.take_along_axis(least, after % bins, 1) + far * np.uint64(0xC2B2AE3D27D4EB4F)
+    some = (place < bins).any(axis=1)
+    least = least[some]
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(least), 1))
+    for k in range(BAND_ROWS):
+        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, k * bands : (k + 1) * bands])
+    return high[some], keys.view(np.int64)
+
+
 def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values of each owner, and their owners."""
     order = np.lexsort((values, owner))
@@ -195,6 +251,67 @@ def with_candidates(simhashes: DataFrame, max_bits: int, most: int) -> DataFrame
     return dealt.select("trie", "part", "simhash").mapInArrow(join, "trie long, simhash long")
 
 
+def shared_keys(docs: DataFrame, min_words: int, bands: int) -> DataFrame:
+    """(trie, high): the groups of at least two distinct lines with a band key in common, named after their members.
+
+    The same lines meet by several keys; groups of equal members have one name and count once.
+    """
+
+    def keyed(batches):
+        for batch in batches:
+            for piece in pieces(batch, "text", 1 << 18):
+                high, keys = line_keys(piece.column("text"), min_words, bands)
+                arrays = [pa.array(keys.ravel()), pa.array(np.repeat(high, keys.shape[1]))]
+                yield pa.RecordBatch.from_arrays(arrays, ["band", "high"])
+
+    def grouped(batches):
+        got = [[b.column(c).to_numpy() for c in ("band", "high")] for b in batches]
+        if got:
+            band, high = (np.concatenate(x) for x in zip(*got, strict=True))
+            order = np.lexsort((high, band))
+            band, high = band[order], high[order]
+            new = np.ones(len(band), bool)
+            new[1:] = (band[1:] != band[:-1]) | (high[1:] != high[:-1])
+            band, high = band[new], high[new]
+            edge = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1]))) if len(band) else np.zeros(0, np.int64)
+            many = np.diff(np.append(edge, len(band)))
+            name = mix(np.add.reduceat(mix(high.view(np.uint64)), edge)) if len(edge) else np.zeros(0, np.uint64)
+            name, high = (x[np.repeat(many > 1, many)] for x in (np.repeat(name, many), high))
+            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(high)], ["trie", "high"])
+
+    rows = docs.select("text").mapInArrow(keyed, "band long, high long").repartition("band")
+    return rows.mapInArrow(grouped, "trie long, high long").distinct()
+
+
+def verified_groups(placed: DataFrame, similarity: float, most: int) -> DataFrame:
+    """Links (a, b) of line names that are in one group and alike; `placed` has trie, simhash, name and text."""
+
+    def join(batches):
+        got = [b for b in batches if b.num_rows]
+        if got:
+            trie, part = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in ("trie", "part"))
+            names, texts = (pa.chunked_array([b.column(c) for b in got]) for c in ("name", "text"))
+            order = np.lexsort((part, trie))
+            trie, part = trie[order], part[order]
+            edge = np.flatnonzero(np.concatenate(([True], (trie[1:] != trie[:-1]) | (part[1:] != part[:-1]))))
+            for low, high in zip(edge, np.append(edge[1:], len(order)), strict=True):
+                own, forest = order[low:high], Forest(high - low)
+                lines = texts.take(pa.array(own)).to_pylist()
+
+                def near(a, b, forest=forest, lines=lines):
+                    once = a < b
+                    verify(a[once], b[once], lines, forest, similarity)
+
+                # All pairs of the group, in bounded lots.
+                trie_join(np.zeros(len(own), np.int64), np.zeros(len(own), np.uint64), 64, 64, near)
+                for a, b in forest.links:
+                    yield pa.RecordBatch.from_arrays(
+                        [names.take(pa.array(own[x])).combine_chunks().cast(pa.string()) for x in (a, b)], ["a", "b"]
+                    )
+
+    return deal_groups(placed, most).select("trie", "part", "name", "text").mapInArrow(join, "a string, b string")
+
+
 def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: int) -> DataFrame:
     """Links (a, b) of line names that are candidates and alike; `placed` has trie, simhash, name and text."""
 
@@ -250,6 +367,7 @@ def dedup_lines(
     max_bits: int = MAX_BITS,
     similarity: float = SIMILARITY,
     most: int = MOST,
+    bands: int = 0,
 ) -> DataFrame:
     """Kept columns (default all) with the lines that stay in `text`, and n_lines and n_removed."""
     keep = list(docs.columns if keep is None else keep)
@@ -266,14 +384,23 @@ def dedup_lines(
     # Lines of one fingerprint meet in any one trie.
     shared = marks.where("count > 1").select(trie_of(0, *blocks_of(max_bits)[0]).alias("trie"), "simhash")
     near = settle(near.unionByName(shared).groupBy("simhash").agg(F.collect_set("trie").alias("tries")), "near")
+    # Without bands no line has such a group.
+    none = distinct.select(F.lit(0).cast("long").alias("trie"), "high").where("false")
+    keys = shared_keys(plain, min_words, bands) if bands else none
+    keys = settle(keys.groupBy("high").agg(F.collect_list("trie").alias("keys")), "keys")
     name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
-    asked = distinct.join(near, "simhash").select(
-        "first.key", "first.line", name.alias("name"), "simhash", "tries", F.col("first").alias("place")
+    asked = distinct.join(near, "simhash", "left").join(keys, "high", "left").where("tries is not null or keys is not null")
+    asked = asked.select(
+        "first.key", "first.line", name.alias("name"), "simhash", "tries", "keys", F.col("first").alias("place")
     )
     asked = settle(asked, "asked")
-    texts = settle(fetched(plain, asked.select("key", "line", "name", "simhash", "tries")), "texts")
+    texts = settle(fetched(plain, asked.select("key", "line", "name", "simhash", "tries", "keys")), "texts")
     placed = texts.select(F.explode("tries").alias("trie"), "simhash", "name", "text")
-    found = settle(verified_links(placed, max_bits, similarity, most), "links")
+    found = verified_links(placed, max_bits, similarity, most)
+    if bands:
+        placed = texts.select(F.explode("keys").alias("trie"), "simhash", "name", "text")
+        found = found.unionByName(verified_groups(placed, similarity, most))
+    found = settle(found, "links")
     groups = settle(components(found), "groups")
     members = settle(groups.join(asked.select(F.col("name").alias("node"), "place"), "node"), "members")
     firsts = settle(members.groupBy("root").agg(F.min("place").alias("first")), "firsts")

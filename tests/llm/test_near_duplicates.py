@@ -192,3 +192,35 @@ def test_lines_of_odd_rows(spark):
     assert by[6].text.strip("\n") == "" and by[6].n_removed == 800 and by[11].n_removed == 2
     assert by[1].n_removed == 0 and [r.text for r in rows if r.doc_id == 7] == ["", ""]
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def replaced(rng, vocabulary, words):
+    """A line of so many words, and it with one of them replaced."""
+    base = rng.choices(vocabulary, k=words)
+    copy = list(base)
+    copy[rng.randrange(words)] = rng.choice(vocabulary)
+    return " ".join(base), " ".join(copy)
+
+
+def test_lines_reach_the_edit_rule(spark):
+    """One word replaced, at every length: found by edit similarity alone, which no SimHash has a say in."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnopqrst", k=rng.randint(3, 8))) for _ in range(3000)]
+    pairs = [replaced(rng, vocabulary, n) for n in (8, 10, 15, 20, 30, 40) for _ in range(25)]
+    texts = [line for pair in pairs for line in pair]
+    alike = [a != b and line_dedup.alike(a, b) for a, b in pairs]
+    got = line_dedup.dedup_lines(docs(spark, *texts), bands=line_dedup.BANDS)
+    left = {r.doc_id: r.n_removed for r in got.collect()}
+    assert not any(left[2 * k + 1] for k in range(len(pairs)))
+    found = [left[2 * k + 2] for k in range(len(pairs))]
+    assert all(a or not f for a, f in zip(alike, found, strict=True))
+    assert sum(found) >= 0.97 * sum(alike) > 100
+
+
+def test_band_keys_of_odd_texts():
+    import pyarrow as pa
+
+    empty = line_dedup.line_keys(pa.array(["", None, "a b", "\n\n"]), 5, 4)
+    assert [len(x) for x in empty] == [0, 0]
+    high, keys = line_dedup.line_keys(pa.array(["one two three four five\nx", None, "One, two three FOUR five", "a b c d e f"]), 5, 4)
+    assert len(high) == 2 and keys.shape == (2, 4) and not (keys[0] == keys[1]).any()
