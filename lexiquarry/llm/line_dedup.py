@@ -8,8 +8,8 @@ candidates. As a word replaced in a line of twenty turns more bits than that,
 smallest hashes each, over its runs of `GRAM` bytes, and lines with an equal key
 are candidates whatever their SimHash. Candidates whose normalised texts have an edit similarity of at
 least 0.8 (one less the edits by the longer length, in characters) are linked,
-linked lines form groups, and of each group the first occurrence by (key, line
-number) stays.
+linked lines form groups, and of each group the first occurrence by (key, hash of
+the text, line number) stays.
 
 Texts travel late: fingerprints alone tell which lines have a candidate at all,
 and only the texts of these are fetched and dealt to the blocks in which they
@@ -20,9 +20,10 @@ The documents themselves are joined once with the numbers of the lines to go.
 
 Defined cases: null text stays null, empty text empty. Lines of fewer than
 `min_words` words are neither compared nor removed. A document may lose all its
-lines; its row stays, with empty text. Rows with equal keys are one document:
-what stays in one stays in the other. Rows without key come last, and are one
-document, too. A column with the name of a result column is replaced by it.
+lines; its row stays, with empty text. A row is known by its key and a hash of
+its text: rows equal in both are one document, and what stays in one stays in
+the other; other rows of that key, or without key, lose their own lines only.
+Rows without key come last. A column with the name of a result column is replaced by it.
 """
 
 from __future__ import annotations
@@ -145,7 +146,7 @@ def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def marked_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """(key, line, high, low, simhash) of every line that counts."""
+    """(key, body, line, high, low, simhash) of every line that counts; body is the hash of its row's text."""
 
     def make():
         def of(texts: pa.Array) -> list[pa.Array]:
@@ -157,8 +158,14 @@ def marked_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFr
         return of
 
     fields = "lines array<struct<line:long,high:long,low:long,simhash:long>>"
-    rows = per_text(docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")), make, fields, "text", ["key"])
-    return rows.select("key", F.inline("lines"))
+    rows = per_text(known(docs, key, text), make, fields, "text", ["key", "body"])
+    return rows.select("key", "body", F.inline("lines"))
+
+
+def known(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text, body) of each row."""
+    plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    return plain.withColumn("body", F.xxhash64("text"))
 
 
 def normal(line: str) -> str:
@@ -334,19 +341,19 @@ def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: in
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Normalised texts of the wanted lines (key, line, name), with what else `wanted` has."""
-    rest = [c for c in wanted.columns if c not in ("key", "line")]
-    by_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("line", *rest)).alias("lines"))
-    by_doc = by_doc.withColumnRenamed("key", "in")
+    """Normalised texts of the wanted lines (key, body, line, name), with what else `wanted` has."""
+    rest = [c for c in wanted.columns if c not in ("key", "body", "line")]
+    by_doc = wanted.groupBy("key", "body").agg(F.collect_list(F.struct("line", *rest)).alias("lines"))
+    by_doc = by_doc.withColumnsRenamed({"key": "in", "body": "of"})
     lines = F.split("text", "\n", -1)
     found = F.transform(
         "lines", lambda x: F.struct(F.get(lines, x["line"].cast("int")).alias("text"), *(x[c].alias(c) for c in rest))
     )
-    raw = docs.join(by_doc, docs["key"].eqNullSafe(by_doc["in"])).select(F.inline(found))
+    raw = docs.join(by_doc, docs["key"].eqNullSafe(by_doc["in"]) & (docs["body"] == by_doc["of"])).select(F.inline(found))
 
     def clean(batches):
         for b in batches:
-            # Documents of equal keys may differ; only the line that was marked counts.
+            # Only the line that was marked counts, should two texts of one key have the same hash.
             many, (_, high, low, _) = line_marks(b.column("text"), 1)
             names = np.full(len(many), "", object)
             names[many == 1] = [f"{h:X}-{x:X}" for h, x in zip(high.view(np.uint64), low.view(np.uint64), strict=True)]
@@ -371,9 +378,9 @@ def dedup_lines(
 ) -> DataFrame:
     """Kept columns (default all) with the lines that stay in `text`, and n_lines and n_removed."""
     keep = list(docs.columns if keep is None else keep)
-    plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    plain = known(docs, key, text)
     lines = settle(marked_lines(docs, key, text, min_words), "lines")
-    place = F.struct(F.col("key").isNull().alias("last"), "key", "line")
+    place = F.struct(F.col("key").isNull().alias("last"), "key", "body", "line")
     distinct = lines.groupBy("high", "low").agg(
         F.min(place).alias("first"), F.min("simhash").alias("simhash"), F.count("*").alias("many")
     )
@@ -391,10 +398,10 @@ def dedup_lines(
     name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
     asked = distinct.join(near, "simhash", "left").join(keys, "high", "left").where("tries is not null or keys is not null")
     asked = asked.select(
-        "first.key", "first.line", name.alias("name"), "simhash", "tries", "keys", F.col("first").alias("place")
+        "first.key", "first.body", "first.line", name.alias("name"), "simhash", "tries", "keys", F.col("first").alias("place")
     )
     asked = settle(asked, "asked")
-    texts = settle(fetched(plain, asked.select("key", "line", "name", "simhash", "tries", "keys")), "texts")
+    texts = settle(fetched(plain, asked.select("key", "body", "line", "name", "simhash", "tries", "keys")), "texts")
     placed = texts.select(F.explode("tries").alias("trie"), "simhash", "name", "text")
     found = verified_links(placed, max_bits, similarity, most)
     if bands:
@@ -411,10 +418,12 @@ def dedup_lines(
     named = named.where((F.col("many") > 1) | F.col("group_first").isNotNull())
     named = settle(named.select("high", "low", F.coalesce("group_first", "first").alias("stays")), "repeated")
     gone = lines.join(named, ["high", "low"]).where(place != F.col("stays"))
-    by_doc = gone.select("key", "line").distinct().groupBy("key").agg(F.collect_list("line").alias("__gone"))
-    by_doc = by_doc.withColumnRenamed("key", "__key")
+    gone = gone.select("key", "body", "line").distinct()
+    by_doc = gone.groupBy("key", "body").agg(F.collect_list("line").alias("__gone"))
+    by_doc = by_doc.withColumnsRenamed({"key": "__key", "body": "__body"})
 
-    both = docs.join(by_doc, docs[key].eqNullSafe(by_doc["__key"]), "left")
+    body = F.xxhash64(docs[f"`{text}`"].cast("string"))
+    both = docs.join(by_doc, docs[f"`{key}`"].eqNullSafe(by_doc["__key"]) & (body == by_doc["__body"]), "left")
     split = F.split(F.col(f"`{text}`"), "\n", -1)
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i.cast("long"))), "\n")
     result = {
