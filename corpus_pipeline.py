@@ -23,7 +23,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier place has alike; their length is counted anew."""
-    found = line_dedup.dedup_lines(spread_rows(docs))
+    found = line_dedup.dedup_lines(spread_rows(docs), short=True)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

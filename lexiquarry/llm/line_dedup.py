@@ -19,7 +19,9 @@ as many comparisons as it has lines. Large blocks are cut into pairs of chunks.
 The documents themselves are joined once with the numbers of the lines to go.
 
 Defined cases: null text stays null, empty text empty. Lines of fewer than
-`min_words` words are neither compared nor removed. A document may lose all its
+`min_words` words are not compared; with `short` their exact repeats go like
+those of others, without it they stay. A character of a script without spaces
+counts as a word there. Lines without any word stay. A document may lose all its
 lines; its row stays, with empty text. A row is known by its key and a hash of
 its text: rows equal in both are one document, and what stays in one stays in
 the other; other rows of that key, or without key, lose their own lines only.
@@ -62,35 +64,54 @@ def line_offsets(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return np.append(starts, len(raw)), first
 
 
-def lines_in(texts: pa.Array, min_words: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Words by line, their hashes, the first line of each text, the lines that count, and two hashes of every line."""
+def lengths(words: Words) -> np.ndarray:
+    """For each word one, or the number of its characters of scripts without spaces."""
+    out = np.ones(len(words), np.int64)
+    data = words.data
+    at = np.flatnonzero(data >= 0xE0)
+    at = at[at < len(data) - 1]
+    if len(at):
+        a, b = data[at], data[at + 1]
+        # Thai and Lao, Myanmar, Khmer, radicals to ideographs but U+3000 to U+303F, compatibility and later ideographs.
+        unspaced = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)
+        unspaced |= (a == 0xE1) & ((b >= 0x80) & (b <= 0x82) | (b >= 0x9E) & (b <= 0x9F))
+        unspaced |= (a == 0xE2) & (b >= 0xBA) | (a == 0xE3) & (b >= 0x81) | (a >= 0xE4) & (a <= 0xE9)
+        unspaced |= (a == 0xEF) & (b >= 0xA4) & (b <= 0xAB) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)
+        own = np.searchsorted(words.ends, at[unspaced], "right") - 1
+        out = np.maximum(out, np.bincount(own, minlength=len(words)))
+    return out
+
+
+def lines_in(texts: pa.Array, min_words: int) -> tuple:
+    """Words by line, their hashes, the first line of each text, the lines that count, two hashes and words of every line."""
     raw, offsets = raw_bytes(texts)
     starts, first = line_offsets(raw, offsets)
     words = words_in(raw, starts)
     # A line that begins at the same byte as an empty text before it belongs to the later one.
     line = words.text
     size = np.bincount(line, minlength=len(starts) - 1)
+    long = np.bincount(line, lengths(words), len(starts) - 1).astype(np.int64)
     begin = np.cumsum(size) - size
     hashes = words.hashes()
     nth = (np.arange(len(line)) - begin[line]).astype(np.uint64)
     placed = [mix(hashes + (nth + np.uint64(1)) * np.uint64(k)) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
-    keep = np.flatnonzero(size >= max(min_words, 1))
+    keep = np.flatnonzero(long >= max(min_words, 1))
     filled = np.flatnonzero(size)
     sums = [np.zeros(len(size), np.uint64) for _ in placed]
     for total, p in zip(sums, placed, strict=True):
         if len(filled):
             total[filled] = np.add.reduceat(p, begin[filled])
-    return words, hashes, first, keep, sums
+    return words, hashes, first, keep, sums, long
 
 
 def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """For each text how many lines count, and for each such line: its number, two hashes and its SimHash."""
-    words, hashes, first, keep, sums = lines_in(texts, min_words)
+    """For each text how many lines count, and for each such line: its number, two hashes, its SimHash and its words."""
+    words, hashes, first, keep, sums, long = lines_in(texts, min_words)
     if not len(keep):
-        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * 4
+        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * 5
     fp = fingerprint_of(*distinct_in(words.text, mix(hashes)), words.texts)
     text = np.searchsorted(first, keep, "right") - 1
-    marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), fp[keep].view(np.int64)]
+    marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), fp[keep].view(np.int64), long[keep]]
     return np.bincount(text, minlength=len(texts)), marks
 
 
@@ -101,7 +122,7 @@ def line_keys(texts: pa.Array, min_words: int, bands: int) -> tuple[np.ndarray,
     smallest; an empty bin takes that of the next full one, changed by the way to it. Lines of one run or less have
     none in common with others.
     """
-    words, _, _, keep, (high, _) = lines_in(texts, min_words)
+    words, _, _, keep, (high, _), _ = lines_in(texts, min_words)
     if not len(keep):
         return np.zeros(0, np.int64), np.zeros((0, bands), np.int64)
     high, at = np.unique(high[keep].view(np.int64), return_index=True)
@@ -145,12 +166,16 @@ def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
     return values[new], owner[new]
 
 
-def marked_lines(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
-    """(key, body, line, high, low, simhash) of every line that counts; body is the hash of its row's text."""
+def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False) -> DataFrame:
+    """(key, body, line, high, low, simhash) of every line that counts; body is the hash of its row's text.
+
+    Lines that are too short to be compared come along with `short`, without a SimHash.
+    """
 
     def make():
         def of(texts: pa.Array) -> list[pa.Array]:
-            many, marks = line_marks(texts, min_words)
+            many, (*marks, long) = line_marks(texts, 1 if short else min_words)
+            marks = [*marks[:3], pa.array(marks[3], mask=long < min_words)]
             ends = np.concatenate(([0], np.cumsum(many))).astype(np.int32)
             rows = pa.StructArray.from_arrays([pa.array(m) for m in marks], ["line", "high", "low", "simhash"])
             return [pa.ListArray.from_arrays(pa.array(ends), rows)]
@@ -354,7 +379,7 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def clean(batches):
         for b in batches:
             # Only the line that was marked counts, should two texts of one key have the same hash.
-            many, (_, high, low, _) = line_marks(b.column("text"), 1)
+            many, (_, high, low, *_) = line_marks(b.column("text"), 1)
             names = np.full(len(many), "", object)
             names[many == 1] = [f"{h:X}-{x:X}" for h, x in zip(high.view(np.uint64), low.view(np.uint64), strict=True)]
             right = pa.array(names.tolist(), pa.string()) if len(names) else pa.array([], pa.string())
@@ -375,18 +400,19 @@ def dedup_lines(
     similarity: float = SIMILARITY,
     most: int = MOST,
     bands: int = 0,
+    short: bool = False,
 ) -> DataFrame:
     """Kept columns (default all) with the lines that stay in `text`, and n_lines and n_removed."""
     keep = list(docs.columns if keep is None else keep)
     plain = known(docs, key, text)
-    lines = settle(marked_lines(docs, key, text, min_words), "lines")
+    lines = settle(marked_lines(docs, key, text, min_words, short), "lines")
     place = F.struct(F.col("key").isNull().alias("last"), "key", "body", "line")
     distinct = lines.groupBy("high", "low").agg(
         F.min(place).alias("first"), F.min("simhash").alias("simhash"), F.count("*").alias("many")
     )
     distinct = settle(distinct, "distinct")
 
-    marks = settle(distinct.groupBy("simhash").count(), "marks")
+    marks = settle(distinct.where("simhash is not null").groupBy("simhash").count(), "marks")
     near = with_candidates(marks, max_bits, most)
     # Lines of one fingerprint meet in any one trie.
     shared = marks.where("count > 1").select(trie_of(0, *blocks_of(max_bits)[0]).alias("trie"), "simhash")

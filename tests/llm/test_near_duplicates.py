@@ -237,3 +237,13 @@ def test_rows_of_one_key_lose_their_own_lines_only(spark):
     # No line of key 4 is lost through another row of it; those without key come last and go.
     assert sorted(left) == sorted([shared, f"{shared.upper()} 0", *own, *(f"{x.upper()} {k}" for k, x in enumerate(own, 1))])
     assert {r.n_removed for r in got if r.doc_id is None} == {2}
+
+
+def test_short_and_unspaced_lines(spark):
+    chinese = "大白鲸游进寒冷的北方海洋再也没有人见过它回来"
+    texts = [f"Read more\n{chinese}\n--\nthe end", f"{chinese}\nread MORE!\n--\nthe und", chinese.replace("寒", "温")]
+    frame = docs(spark, *texts)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame, bands=line_dedup.BANDS, short=True).collect()}
+    assert got == {1: texts[0], 2: "--\nthe und", 3: ""}
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert kept[2] == "read MORE!\n--\nthe und"
