@@ -11,7 +11,9 @@ n-grams are hashed to 2^18 buckets. The classifier is fitted on a bounded sample
 of the labelled rows, at most `SAMPLE_ROWS` (`sampled`, half from either class,
 those of the smallest hash of their key): labels are sampled before they meet
 the texts, so no text is shuffled. Ratios come from the counts of all sampled
-rows, summed where the rows are; they are two numbers a bucket. The linear model
+rows, summed where the rows are; they are two numbers a bucket. The curve and the
+constant answer for the shares of good and bad among all labelled rows
+(`totals`), whatever the sample holds of either. The linear model
 is fitted on at most `FIT_ROWS` training rows, distinct texts of the smallest
 hash, half from either class, and `FIT_GRAMS` of each row's n-grams (those with the smallest
 hash), both documented bounds; scoring uses every n-gram of every whole text.
@@ -113,22 +115,45 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.margins(texts) + self.shift, -500, 500)))
 
 
-def sampled(labels: DataFrame, key: str = "doc_id", label: str = "label", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """(key, label) of at most so many labelled rows, half of them from either class, as far as there are."""
+def marked(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """(key, label) of the labelled rows, the label 1 or 0."""
     own = labels.select(F.col(f"`{key}`").alias(key), (F.col(f"`{label}`") > 0).cast("long").alias(label))
-    own = own.where(F.col(label).isNotNull() & F.col(f"`{key}`").isNotNull())
-    many = {r[label]: r["count"] for r in own.groupBy(label).count().collect()}
+    return own.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull())
+
+
+def totals(labels: DataFrame, key: str = "doc_id", label: str = "label") -> tuple[int, int]:
+    """How many of all labelled rows are bad, and how many good."""
+    many = {r[label]: r["count"] for r in marked(labels, key, label).groupBy(f"`{label}`").count().collect()}
+    return many.get(0, 0), many.get(1, 0)
+
+
+def sampled(
+    labels: DataFrame,
+    key: str = "doc_id",
+    label: str = "label",
+    rows: int = SAMPLE_ROWS,
+    many: tuple[int, int] | None = None,
+) -> DataFrame:
+    """(key, label) of at most so many labelled rows, half of them from either class, as far as there are."""
+    own = marked(labels, key, label)
+    many = totals(labels, key, label) if many is None else many
     mark = F.xxhash64(F.col(f"`{key}`"), F.lit(11))
     each = []
     for c in (0, 1):
-        share = min(1.0, rows / max(many.get(c, 0), 1))
+        share = min(1.0, rows / max(many[c], 1))
         thin = own.where((F.col(label) == c) & (F.shiftrightunsigned(mark, 32) < int(share * 2**32)))
         each.append(thin.orderBy(mark, F.col(f"`{key}`")).limit(rows // 2))
     return each[0].unionByName(each[1])
 
 
-def fit(training: DataFrame, text: str = "text", label: str = "label", rows: int = FIT_ROWS) -> Model:
-    """The model of texts and their labels (1 good, 0 bad)."""
+def fit(
+    training: DataFrame,
+    text: str = "text",
+    label: str = "label",
+    rows: int = FIT_ROWS,
+    whole: tuple[int, int] | None = None,
+) -> Model:
+    """The model of texts and their labels (1 good, 0 bad); `whole` are the `totals` that a sample stands for."""
     plain = training.select(
         F.col(f"`{text}`").cast("string").alias("text"), (F.col(f"`{label}`") > 0).cast("long").alias("label")
     ).where("label is not null")
@@ -154,8 +179,9 @@ def fit(training: DataFrame, text: str = "text", label: str = "label", rows: int
     at = got.column("bucket").to_numpy()
     counts[0, at], counts[1, at] = got.column("bad").to_numpy(), got.column("good").to_numpy()
     many = counts[:, -1]
+    whole = many if whole is None else np.array(whole, float)
     if not many.all():
-        share = many[1] / many.sum() if many.sum() else 0.5
+        share = whole[1] / whole.sum() if whole.sum() else 0.5
         return Model(np.zeros(1 << BITS), 0.0, 1.0, 0.0, float(share))
     ratio = np.log((counts[1, :-1] + 1) / (many[1] + 2)) - np.log((counts[0, :-1] + 1) / (many[0] + 2))
 
@@ -184,7 +210,7 @@ def fit(training: DataFrame, text: str = "text", label: str = "label", rows: int
     sample = each[0].unionByName(each[1]).toArrow()
     y = sample.column("y").to_numpy() * 2 - 1
     x = [np.asarray(v) for v in sample.column("x").combine_chunks().to_numpy(zero_copy_only=False)]
-    return fit_margin(x, y, ratio, many)
+    return fit_margin(x, y, ratio, whole)
 
 
 def fit_margin(x: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, many: np.ndarray) -> Model:

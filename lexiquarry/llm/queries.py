@@ -64,10 +64,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     # At most SAMPLE_ROWS keys, so the texts stay where they are.
-    sample = F.broadcast(quality.sampled(labels.where(quality.learns())))
+    labels = labels.where(quality.learns())
+    many = quality.totals(labels)
+    sample = F.broadcast(quality.sampled(labels, many=many))
     training = docs.select("doc_id", "text").join(sample, "doc_id")
     held = docs.withColumn("held_out", ~quality.learns())
-    return quality.score(held, quality.fit(training), keep=["doc_id", "held_out"])
+    return quality.score(held, quality.fit(training, whole=many), keep=["doc_id", "held_out"])
 
 
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

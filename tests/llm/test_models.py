@@ -242,3 +242,21 @@ def test_extraction_of_odd_pages(spark, labeller):
     small = html_extraction.fit(frame, sample=3, train=20)
     assert html_extraction.fit(frame.where("false"), train=5) is not None
     assert html_extraction.extract(frame, small).count() == 5
+
+
+def test_scores_answer_for_the_shares_of_all_labels(spark, monkeypatch):
+    """A balanced sample is calibrated to the shares of all labelled rows."""
+    frame = spark.createDataFrame([(k, sentences("en", 30, k), int(k % 10 > 0)) for k in range(800)], "doc_id bigint, text string, label int")
+    labels = frame.select("doc_id", "label")
+    many = quality.totals(labels.unionByName(spark.createDataFrame([(None, 1), (9000, None)], "doc_id bigint, label int")))
+    assert many == (80, 720)
+    sample = quality.sampled(labels, rows=120, many=many)
+    assert sample.where("label = 1").count() == 60
+    training, asked, plain = frame.drop("label").join(sample, "doc_id"), [], quality.fit_margin
+    monkeypatch.setattr(quality, "fit_margin", lambda x, y, ratio, many: asked.append(tuple(many)) or plain(x, y, ratio, many))
+    own, balanced = quality.fit(training, whole=many), quality.fit(training)
+    assert asked == [(80, 720), (60, 60)]
+    texts = pa.array([r.text for r in frame.collect()])
+    assert own.scores(texts).mean() > balanced.scores(texts).mean()
+    one = quality.fit(frame.where("label = 1"), whole=many)
+    assert one.constant == 0.9
