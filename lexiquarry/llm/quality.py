@@ -15,8 +15,8 @@ rows, summed where the rows are; they are two numbers a bucket. The curve and th
 constant answer for the shares of good and bad among all labelled rows
 (`totals`), whatever the sample holds of either. The linear model
 is fitted on at most `FIT_ROWS` training rows, distinct texts of the smallest
-hash, half from either class, and `FIT_GRAMS` of each row's n-grams (those with the smallest
-hash), both documented bounds; scoring uses every n-gram of every whole text.
+hash, half from either class, a documented bound, with every n-gram of their
+whole texts, as in scoring; the driver holds these, 4 bytes each.
 
 Defined cases: null and empty texts have no n-grams and get the score of the
 bias alone. Rows without label teach nothing; contradicting labels each count.
@@ -39,7 +39,6 @@ from lexiquarry.llm.words import byte_set, mix, words_in
 BITS = 18
 SAMPLE_ROWS = 20_000
 FIT_ROWS = 6000
-FIT_GRAMS = 4096
 THRESHOLD = 0.3
 NOT_SPACE = ~byte_set((0x00, 0x20), (0x7F, 0x7F))
 LETTER = byte_set((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
@@ -186,17 +185,13 @@ def fit(
     ratio = np.log((counts[1, :-1] + 1) / (many[1] + 2)) - np.log((counts[0, :-1] + 1) / (many[0] + 2))
 
     def hashed(batches):
-        """The n-grams of a row, as many as the bound."""
+        """The n-grams of each row."""
         for batch in batches:
             out = []
             for at in range(0, batch.num_rows, 256):
                 row, bucket = grams(batch.column("text").slice(at, 256))
                 ends = np.searchsorted(row, np.arange(len(batch.column("text").slice(at, 256)) + 1))
-                for a, b in zip(ends[:-1], ends[1:], strict=True):
-                    own = bucket[a:b]
-                    if len(own) > FIT_GRAMS:
-                        own = own[np.argsort(mix(own.astype(np.uint64)), kind="stable")[:FIT_GRAMS]]
-                    out.append(own.astype(np.int32))
+                out += [bucket[a:b].astype(np.int32) for a, b in zip(ends[:-1], ends[1:], strict=True)]
             x = pa.array(out, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("mark"), batch.column("label"), x], ["mark", "y", "x"])
 

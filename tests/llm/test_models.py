@@ -260,3 +260,14 @@ def test_scores_answer_for_the_shares_of_all_labels(spark, monkeypatch):
     assert own.scores(texts).mean() > balanced.scores(texts).mean()
     one = quality.fit(frame.where("label = 1"), whole=many)
     assert one.constant == 0.9
+
+
+def test_long_texts_are_fitted_whole(spark, monkeypatch):
+    """The rows of the fit have all n-grams that scoring uses, so both have one scale of margins."""
+    texts = [" ".join(f"w{k}x{j * (k + 3) % 6007}" for j in range(2500)) for k in range(4)]
+    frame = spark.createDataFrame([(k, t, k % 2) for k, t in enumerate(texts)], "doc_id bigint, text string, label int")
+    asked, plain = [], quality.fit_margin
+    monkeypatch.setattr(quality, "fit_margin", lambda x, y, ratio, many: asked.append(x) or plain(x, y, ratio, many))
+    quality.fit(frame)
+    size = np.bincount(quality.grams(pa.array(texts))[0])
+    assert min(size) > 4096 and sorted(map(len, asked[0])) == sorted(size.tolist())
