@@ -6,18 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.llm import (
+    curve_search,
     decontamination,
     fingerprints,
     html_extraction,
     language,
     line_dedup,
+    manifest,
     packing,
+    periodic_runs,
     pii,
     quality,
     simhash,
+    sql,
     token_counts,
 )
-from lexiquarry.llm.rows import spread_rows, table
+from lexiquarry.llm.rows import lookup_side, spread_rows, table
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +108,41 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY, keep=["doc_id", "text"])
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of each text, some of which are given a periodic tail by the key's checksum."""
+    docs = _docs(spark, sf_dir).select("doc_id", periodic_runs.repeating().alias("text"))
+    return periodic_runs.digest(periodic_runs.find_runs(docs, keep=["doc_id"]), ["doc_id"])
+
+
+def op12_curve_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of each whose id is divisible by twenty."""
+    return curve_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of the documents by source, and each document's proof, of which some texts were tampered with."""
+    leaf = manifest.leaf_hash(LEAF)
+    lowered = manifest.leaf_hash(LEAF, text=F.translate("text", CAPITALS, CAPITALS.lower()))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    told = F.when(tampered, lowered).otherwise(F.col("leaf")).alias("told")
+    docs = _docs(spark, sf_dir).withColumn("leaf", leaf).select("doc_id", "source", "leaf", told)
+    made = manifest.build(docs, key="doc_id", group="source", told="told")
+    found = manifest.climb(made).join(lookup_side(made.trees.select("tree", "subroot")), "tree")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        F.lit(made.root).alias("root"),
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.lit(made.root)).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -115,6 +154,12 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_curve_search": op12_curve_search,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_curve_search": sql.OP12,
+    "op13_merkle_manifest": sql.OP13,
+}

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.session import lookup_side, settle
+from lexiquarry.session import discard, lookup_side, settle
 
-__all__ = ["lookup_side", "per_text", "raw_bytes", "settle", "spread_rows", "table"]
+__all__ = ["discard", "lookup_side", "per_text", "raw_bytes", "settle", "spread_rows", "table"]
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

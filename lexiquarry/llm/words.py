@@ -56,7 +56,10 @@ def words_of(texts: pa.Array, word: np.ndarray = WORD_BYTES) -> Words:
     return words_in(raw, offsets, word)
 
 
-def words_in(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray = WORD_BYTES) -> Words:
+def words_in(
+    raw: np.ndarray, offsets: np.ndarray, word: np.ndarray = WORD_BYTES, fold: np.ndarray = LOWER
+) -> Words:
+    """As `words_of`; `fold` has the byte that stands for each byte of a word."""
     inside = word[raw]
     begins, ends = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -66,7 +69,7 @@ def words_in(raw: np.ndarray, offsets: np.ndarray, word: np.ndarray = WORD_BYTES
     ends[cuts[cuts > 0] - 1] |= inside[cuts[cuts > 0] - 1]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     return Words(
-        data=LOWER[raw[inside]],
+        data=fold[raw[inside]],
         ends=np.concatenate(([0], np.cumsum(last - first))),
         text=np.searchsorted(offsets, first, "right") - 1,
         first=first,
