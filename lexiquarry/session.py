@@ -74,6 +74,18 @@ def release(spark: SparkSession) -> int:
     return len(folders)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete what `settle` has stored of these frames, which nothing may read any more."""
+    for df in frames:
+        spark = df.sparkSession
+        known = _settled.get(spark.sparkContext.applicationId, [])
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            own = [f for f in known if folder.endswith("/" + f.rsplit("/", 1)[1])]
+            for f in own:
+                remove_folder(spark, f)
+                known.remove(f)
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
