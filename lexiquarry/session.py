@@ -91,6 +91,13 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def list_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match a pattern, on any storage Spark reads."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(str(status.getPath().toString()) for status in found or [])
+
+
 def spread(scan: DataFrame, *keys: str | Column) -> DataFrame:
     """Hash-partition a table scan that would use fewer tasks than there are cores.
 
