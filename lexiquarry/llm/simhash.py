@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from lexiquarry.llm.components import components
 from lexiquarry.llm.rows import per_text, settle
@@ -284,6 +285,13 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -
     return dealt.mapInArrow(join, "a long, b long")
 
 
+def linked_fingerprints(rows: DataFrame, max_bits: int, most: int) -> DataFrame:
+    """(simhash, root): for each fingerprint of the rows that is linked to another, the one its component is named after."""
+    distinct = settle(rows.select("simhash").distinct(), "fingerprints")
+    found = settle(links(distinct, max_bits, most), "links")
+    return settle(components(found).withColumnRenamed("node", "simhash"), "stars")
+
+
 def near_duplicates(
     docs: DataFrame,
     key: str = "doc_id",
@@ -295,9 +303,8 @@ def near_duplicates(
     """For each row: key, simhash, and component_id, the smallest key its fingerprint is linked to by any chain."""
     rows = simhashes(docs, shingle, text, [key])
     rows = settle(rows.select(F.col(f"`{key}`").alias("key"), "simhash"), "simhash")
-    distinct = settle(rows.groupBy("simhash").agg(F.min("key").alias("first")), "fingerprints")
-    found = settle(links(distinct, max_bits, most), "links")
-    stars = settle(components(found).withColumnRenamed("node", "simhash"), "stars")  # linked fingerprints only
+    distinct = settle(rows.groupBy("simhash").agg(F.min("key").alias("first")), "first")
+    stars = linked_fingerprints(distinct, max_bits, most)
     names = stars.join(distinct, "simhash").groupBy("root").agg(F.min("first").alias("name"))
     named = settle(stars.join(settle(names, "names"), "root").select("simhash", "name"), "named")
     known = settle(
@@ -307,18 +314,44 @@ def near_duplicates(
     return rows.join(known, "simhash").select(F.col("key").alias(key), "simhash", "component_id")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of docs of which each component keeps one, that of its smallest key.
+def deduplicate(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    most: int = MOST,
+) -> DataFrame:
+    """The rows of docs of which each component keeps one: the first by key, those without key last, then by a hash of the text.
 
-    Rows with the same key are repeats of one document, of which one row stays.
-    Rows without key can't be told apart and all stay.
+    A row is known by its key and that hash, so rows that only share a key are
+    judged each by its own text. Of rows equal in both, one stays: the first by
+    a hash of the other columns.
     """
-    found = settle(near_duplicates(docs, key, text, **settings).withColumnRenamed(key, "__key"), "near")
-    gone = found.where("__key <> component_id").select("__key").distinct()
-    kept = docs.join(gone, docs[key] == gone["__key"], "left_anti")
-    again = found.where("__key = component_id").groupBy("__key").count().where("count > 1").select("__key")
-    if again.isEmpty():
-        return kept
-    again = settle(again, "again")
-    one = kept.join(again, kept[key] == again["__key"], "left_semi").dropDuplicates([key])
-    return kept.join(again, kept[key] == again["__key"], "left_anti").unionByName(one)
+    columns = docs.columns
+    body = F.xxhash64(F.col(f"`{text}`").cast("string"))
+    plain = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"), body.alias("body"))
+    rows = settle(simhashes(plain, shingle, "text", ["key", "body"]), "simhash")
+    place = F.struct(F.col("key").isNull().alias("last"), "key", "body")
+    stars = linked_fingerprints(rows, max_bits, most)
+    rows = rows.join(stars, "simhash", "left").withColumn("root", F.coalesce("root", "simhash"))
+    rows = settle(rows.select("root", place.alias("place")), "placed")
+    # One row for each component; the number of its rows is counted before they are shuffled.
+    groups = rows.groupBy("root").agg(F.min("place").alias("first"), F.count("*").alias("many")).where("many > 1")
+    judged = rows.join(settle(groups, "groups"), "root")
+    judged = settle(judged.groupBy("place").agg((F.first("first") != F.col("place")).alias("goes"), F.count("*").alias("n")), "judged")
+    judged = settle(
+        judged.where("goes OR n > 1").select(F.col("place.key").alias("__key"), F.col("place.body").alias("__body"), F.col("goes").alias("__goes")),
+        "marked",
+    )
+    own = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)), body.alias("__own"))
+    at = f"c{columns.index(key)}"
+    marked = own.join(judged, own[at].eqNullSafe(judged["__key"]) & (own["__own"] == judged["__body"]), "left")
+    marked = marked.where("__goes IS NULL OR NOT __goes")
+    # Repeats of a row that stays: the first goes on.
+    plain_type = ("map", "variant")
+    rest = [f"c{i}" for i, f in enumerate(docs.schema.fields) if not any(t in f.dataType.simpleString() for t in plain_type)]
+    first = F.row_number().over(W.partitionBy(at, "__own").orderBy(F.xxhash64(*rest)))
+    once = marked.where("__goes IS NULL").drop("__goes", "__key", "__body", "__own")
+    again = marked.where("NOT __goes").withColumn("__n", first).where("__n = 1").drop("__goes", "__key", "__body", "__own", "__n")
+    return once.unionByName(again).toDF(*columns)
