@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.html_blocks import Block, blocks
+from lexiquarry.llm.html_blocks import Block, Path, blocks
 from lexiquarry.llm.html_training import Setter
 from lexiquarry.llm.rows import per_text
 from lexiquarry.llm.words import words_of
@@ -42,16 +42,35 @@ THRESHOLD = 0.5
 
 
 @functools.lru_cache(maxsize=50_000)
-def path_vector(path: tuple[str, ...]) -> np.ndarray:
+def entry_vector(entry: str, scope: str) -> np.ndarray:
     out = np.zeros(PATH, np.float32)
-    for back, entry in enumerate(reversed(path)):
-        for word in entry.split(" "):
-            for scope in ("near", "any") if back < 2 else ("any",):
-                code = zlib.crc32(f"{scope} {word}".encode())
-                out[code % PATH] += 1.0 if code & 0x80000000 else -1.0
+    for word in entry.split(" "):
+        code = zlib.crc32(f"{scope} {word}".encode())
+        out[code % PATH] += 1.0 if code & 0x80000000 else -1.0
     return out
 
 
+def path_vector(place: Path | None) -> np.ndarray:
+    """Hashed words of all elements of a path, and once more of its last two.
+
+    Sums are kept with the elements of the first levels and with every 64th
+    below, so that a path goes on from where one that shares it has been.
+    """
+    if place is None:
+        return np.zeros(PATH, np.float32)
+    chain, at = [], place
+    while at is not None and at.sum is None:
+        chain.append(at)
+        at = at.up
+    total = np.zeros(PATH, np.float32) if at is None else at.sum
+    for at in reversed(chain):
+        total = total + entry_vector(at.entry, "any")
+        if at.depth < 64 or at.depth % 64 == 0:
+            at.sum = total
+    near = total + entry_vector(place.entry, "near")
+    return near if place.up is None else near + entry_vector(place.up.entry, "near")
+
+
 def vectors(page_blocks: list[list[Block]]) -> np.ndarray:
     """One row for each block of all pages."""
     flat = [b for page in page_blocks for b in page]
@@ -68,7 +87,7 @@ def vectors(page_blocks: list[list[Block]]) -> np.ndarray:
     at = 0
     for page in page_blocks:
         for k, b in enumerate(page):
-            x[at, :PATH] = path_vector(b.path)
+            x[at, :PATH] = path_vector(b.place)
             text = b.text
             x[at, PATH + WORD :] = (
                 np.log1p(len(text)) / 4,

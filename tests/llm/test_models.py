@@ -176,6 +176,54 @@ def test_broken_pages(page):
         assert [b.text for b in html_blocks.blocks(page)] == texts[page]
 
 
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<article><p title=don't>First.</p><p>Second.</p><p>Third it's.</p></article>", ["First.", "Second.", "Third it's."]),
+        ('<p class="x"">First</p><p>Next</p>', ["First", "Next"]),
+        ("<!-- x --!><p>a</p><!--><p>b</p><!---><p>c</p><!-- y --><p>d</p>", ["a", "b", "c", "d"]),
+        ("<p a=>x</p><p =a>y</p><p a b=1c=2>z</p>", ["x", "y", "z"]),
+        ("<p title='a > b'>one</p><p title=\"c > d\"e>two</p><img alt=a>b/><p/class=x>three", ["one", "two", "b/>", "three"]),
+        ("<p>a</p><p title=\"never closed>b</p><p>c</p>", ["a"]),
+        ("<b>x<i>y</b>z</i></b></i>w", ["xyzw"]),
+        ("<div title = 'it' hidden class = q>x</div>", ["x"]),
+    ],
+)
+def test_attributes_and_comments_as_browsers_read_them(page, texts):
+    assert [b.text for b in html_blocks.blocks(page)] == texts
+
+
+def test_names_of_attributes_out_of_order():
+    (block,) = html_blocks.blocks("<div class=side-bar it's id='Main' hidden role=x\"y>t</div>")
+    assert block.path == ("div side bar main hidden x y",)
+    assert html_blocks.blocks('<div class="side-bar" id=Main hidden>t</div>')[0].path == ("div side bar main hidden",)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 200_000 + "</i>" * 200_000 + "x",
+        "<div>" * 50_000 + "<p>a</p>" * 20_000,
+        "<div>" * 20_000 + "<ul class=a><p>a</p></ul>" * 20_000,
+        "<b>" * 100_000 + "<p>a</p>" * 100_000,
+        "<div class=a>x" * 100_000,
+        "<i><b>" * 100_000 + "</b></i>" * 100_000,
+        "<p " + "a" * 200_000 + "'" * 200_000 + " " * 200_000,
+        "<a href='x" * 100_000,
+        "<!--" + "-" * 200_000 + "<!-" * 50_000,
+        "</p>" * 200_000,
+    ],
+)
+def test_long_broken_pages_take_linear_time(page):
+    import time
+
+    start = time.perf_counter()
+    found = html_blocks.blocks(page)
+    if found:
+        html_extraction.vectors([found[:20_000]])
+    assert time.perf_counter() - start < 15
+
+
 def test_gradients_by_small_steps():
     rng = np.random.default_rng(2)
     model = html_extraction.Labeller(hidden=3)
