@@ -25,9 +25,10 @@ _TIMES = ["created_at", "updated_at"]
 
 
 def create_documents(docs: DataFrame, root: str) -> DataFrame:
-    """Store a document table under a new folder; keys are unique."""
+    """Store a document table under a new folder; keys are unique. `status` says what the last write of a document did."""
     spark = docs.sparkSession
-    rows = docs.select(*KEY, *FIELDS, *_TIMES)
+    status = F.col("status") if "status" in docs.columns else F.lit("indexed").alias("status")
+    rows = docs.select(*KEY, *FIELDS, *_TIMES, status)
     version = v.Version(0, settings={"schema": rows.schema.json()})
     version.parts.update(v.write_parts(rows.withColumn(BUCKET, document_bucket()), root, "documents", BUCKET, ["doc_id"]))
     v.publish(spark, root, version)
@@ -46,7 +47,7 @@ def _rows(spark: SparkSession, root: str, version: v.Version, only=None) -> Data
         late = late.withColumn(BUCKET, document_bucket())
         if only is not None:
             late = late.where(v.within(only, BUCKET))
-    return v.live(base, late, v.replaced(spark, root, version)).select(*KEY, *FIELDS, *_TIMES, BUCKET)
+    return v.live(base, late, v.replaced(spark, root, version)).select(*KEY, *FIELDS, *_TIMES, "status", BUCKET)
 
 
 def open_documents(spark: SparkSession, root: str, version: v.Version | None = None) -> DataFrame:
@@ -75,15 +76,15 @@ def upsert_documents(
     known = _stored(spark, root, version, keys).select(*KEY, F.col("created_at").alias("_since"), F.lit(True).alias("_known"))
     known = settle(known, "known")
     name, folder = v.new_segment(root)
+    status = F.when(F.col("_known"), "updated").otherwise("indexed").alias("status")
     written = latest.join(known, KEY, "left").select(
-        *KEY, *FIELDS, F.coalesce("_since", now).alias("created_at"), now.alias("updated_at")
+        *KEY, *FIELDS, F.coalesce("_since", now).alias("created_at"), now.alias("updated_at"), status
     )
     types = {f.name: f.dataType for f in _schema(version).fields}
     written.select(*(F.col(c).cast(types[c]) for c in written.columns)).write.parquet(f"{folder}/documents")
     keys.write.parquet(f"{folder}/gone")
     v.publish(spark, root, version.with_segment(name, **settings))
-    status = F.when(F.col("_known"), "updated").otherwise("indexed").alias("status")
-    return keys.join(known, KEY, "left").select(*KEY, status)
+    return spark.read.schema(_schema(version)).parquet(f"{folder}/documents").select(*KEY, "status")
 
 
 def delete_documents(spark: SparkSession, root: str, ids: DataFrame, **settings: str) -> DataFrame:

@@ -40,9 +40,16 @@ def create_index(
     docs: DataFrame, root: str, stem: bool = True, buckets: int = TERM_BUCKETS, doc_buckets: int = DOCUMENT_BUCKETS
 ) -> Index:
     """Build the index of all documents under a new folder. Every text is analyzed once."""
-    spark = docs.sparkSession
+    return store_counted(count_terms(analyze(docs, stem)), root, stem, buckets, doc_buckets)
+
+
+def store_counted(
+    counted: DataFrame, root: str, stem: bool, buckets: int = TERM_BUCKETS, doc_buckets: int = DOCUMENT_BUCKETS
+) -> Index:
+    """Store the index of documents whose terms are counted already."""
+    spark = counted.sparkSession
     version = v.Version(0, settings={"stem": str(stem), "buckets": str(buckets), "doc_buckets": str(doc_buckets)})
-    counted = count_terms(analyze(docs, stem)).withColumn("doc_bucket", document_bucket("doc_id", doc_buckets))
+    counted = counted.select(*KEY, "doc_len", "terms").withColumn("doc_bucket", document_bucket("doc_id", doc_buckets))
     version.parts.update(v.write_parts(counted, root, "doc_terms", "doc_bucket", ["doc_id"]))
     doc_terms = v.read_parts(spark, root, version, "doc_terms", _DOC_TERMS, "doc_bucket")
     entries = postings(doc_terms).withColumn("term_bucket", term_bucket(buckets))
@@ -201,10 +208,3 @@ def shard_bytes(spark: SparkSession, root: str, version: v.Version | None = None
     shard = F.regexp_extract("path", r"/shard_id=(-?\d+)/", 1)
     shard = F.when(shard != "", shard).cast("int")
     return files.groupBy(shard.alias("shard_id")).agg(F.sum("length").alias("index_size_bytes"))
-
-
-def current_batch(version: v.Version) -> int:
-    """The last micro-batch that a version holds, -1 before the first."""
-    return int(version.settings.get("batch", "-1"))
-
-

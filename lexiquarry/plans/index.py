@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexiquarry.operators import index as ops
+from lexiquarry.operators import stored_index
 from lexiquarry.plans import sql, views
 from lexiquarry.session import shared_folder
 
@@ -83,6 +84,35 @@ def idx09_index_stats(spark, sf):
     return ops.index_stats(views.kept(spark, sf), index)
 
 
+def _stored(spark, sf):
+    """The corpus index on disk, in a folder of its own."""
+    root = shared_folder(spark, "stored")
+    stored_index.create_index(views.texts(spark, sf), root, stem=False)
+    return root
+
+
+def idx06_upsert_stored(spark, sf):
+    """Retitled documents are merged in, pages lie beside as a segment."""
+    root = _stored(spark, sf)
+    stored_index.upsert_index(spark, root, views.reviewed(spark, sf))
+    stored_index.merge_index(spark, root)
+    stored_index.upsert_index(spark, root, views.pages(spark, sf))
+    return _flat(stored_index.open_index(spark, root))
+
+
+def idx07_delete_stored(spark, sf):
+    root = _stored(spark, sf)
+    stored_index.delete_from_index(spark, root, views.toxic(spark, sf))
+    return _flat(stored_index.open_index(spark, root))
+
+
+def idx08_reindex_stored(spark, sf):
+    root = _stored(spark, sf)
+    gone = views.toxic(spark, sf)
+    stored_index.reindex_stored(spark, root, views.reviewed(spark, sf).join(gone, ["shard_id", "doc_id"], "left_anti"))
+    return _flat(stored_index.open_index(spark, root))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,6 +127,9 @@ QUERIES = {
         idx07_index_delete,
         idx08_reindex,
         idx09_index_stats,
+        idx06_upsert_stored,
+        idx07_delete_stored,
+        idx08_reindex_stored,
     )
 }
 
@@ -156,3 +189,9 @@ ORACLES = {
     )
     + "SELECT * FROM n_kept JOIN n_docs USING (shard_id) JOIN n_terms USING (shard_id)",
 }
+for _name, _same in (
+    ("idx06_upsert_stored", "idx06_index_upsert"),
+    ("idx07_delete_stored", "idx07_index_delete"),
+    ("idx08_reindex_stored", "idx08_reindex"),
+):
+    ORACLES[_name] = ORACLES[_same]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.operators import documents as table
 from lexiquarry.operators import ingest
+from lexiquarry.operators import stored_documents as stored
 from lexiquarry.plans import sql, views
 from lexiquarry.session import shared_folder
 from lexiquarry.sources import messages, tables
@@ -126,6 +127,27 @@ def ing09_upsert_results(spark, sf):
     return table.upsert_results(views.current(spark, sf), views.incoming(spark, sf))
 
 
+def ing09_upsert_stored(spark, sf):
+    """The batch on disk: rows as they lie there, and what became of each."""
+    root = shared_folder(spark, "stored")
+    stored.create_documents(views.current(spark, sf), root)
+    done = stored.upsert_documents(spark, root, views.incoming(spark, sf), views.moment(views.NOW))
+    done = done.select("shard_id", "doc_id", F.col("status").alias("done"))
+    same = F.col("created_at") == F.col("updated_at")
+    return stored.open_documents(spark, root).join(done, ["shard_id", "doc_id"], "left").select(
+        "shard_id", "doc_id", "title", "content", "source",
+        F.coalesce("done", F.lit("unchanged")).alias("status"), same.alias("unmoved"),
+    )
+
+
+def ing10_delete_stored(spark, sf):
+    root = shared_folder(spark, "stored")
+    stored.create_documents(views.documents(spark, sf), root)
+    stored.delete_documents(spark, root, _doomed(spark, sf))
+    stored.merge_documents(spark, root)
+    return stored.open_documents(spark, root).select("shard_id", "doc_id", "content")
+
+
 def _doomed(spark, sf):
     """Toxic documents, and ids nobody stored."""
     absent = views.pages(spark, sf).select("shard_id", "doc_id")
@@ -195,6 +217,8 @@ QUERIES = {
         ing09_upsert_results,
         ing10_delete_documents,
         ing10_delete_results,
+        ing09_upsert_stored,
+        ing10_delete_stored,
         ing11_ingest_stats,
         ing12_bulk_summary,
         ing12_document_results,
@@ -321,3 +345,5 @@ ORACLES = {
     + "SELECT CAST(s.i AS INTEGER) AS shard_id, count(d.doc_id) AS document_count, 'active' AS status "
     "FROM range(5) s(i) LEFT JOIN docs d ON d.shard_id = s.i GROUP BY ALL",
 }
+ORACLES["ing09_upsert_stored"] = ORACLES["ing09_upsert_documents"]
+ORACLES["ing10_delete_stored"] = ORACLES["ing10_delete_documents"]

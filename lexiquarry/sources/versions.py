@@ -57,6 +57,7 @@ def publish(spark: SparkSession, root: str, version: Version) -> Version:
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the versions that are there, the current one last; none of a table that was never published."""
     found = list_paths(spark, f"{root}/versions/number=*/_SUCCESS")
     return sorted(int(re.search(r"number=(\d+)/_SUCCESS$", path)[1]) for path in found)
 
@@ -144,6 +145,21 @@ def read_segments(spark: SparkSession, root: str, version: Version, table: str,
     return rows.select(*[f.name for f in full.fields[:-1]], F.element_at(places, folder).alias("segment"))
 
 
+def batch_name(checkpoint: str) -> str:
+    """The setting that records the last micro-batch of the stream with this checkpoint."""
+    return f"batch of {checkpoint}"
+
+
+def has_batch(version: Version, checkpoint: str, number: int) -> bool:
+    """Whether a micro-batch is in a version; a replayed one is left out by this."""
+    return int(version.settings.get(batch_name(checkpoint), "-1")) >= number
+
+
+def batches(version: Version) -> dict[str, str]:
+    """The last micro-batch of each stream that writes the table."""
+    return {k: n for k, n in version.settings.items() if k.startswith(batch_name(""))}
+
+
 def replaced(spark: SparkSession, root: str, version: Version) -> DataFrame | None:
     """Keys that segments replace, with the last segment that does; None if there are no segments."""
     gone = read_segments(spark, root, version, "gone", GONE)

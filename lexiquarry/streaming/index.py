@@ -1,29 +1,41 @@
-"""Keep the document table and the index in step with a stream of documents."""
+"""Keep the document table and the index in step with a stream of documents.
+
+Both are stored tables that change by segments: a micro-batch reads the buckets
+of its ids and appends one segment to each; every `merge_after` batches the
+partitions that segments touch are rewritten into the searchable layout. What
+is not merged yet is read beside it, so reading never costs the whole history.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lexiquarry.operators import stored_documents, stored_index
 from lexiquarry.operators.documents import FIELDS, KEY, latest_versions
-from lexiquarry.operators.index import (
-    Index,
-    analyze,
-    count_terms,
-    doc_stats,
-    postings,
-    term_stats,
-)
+from lexiquarry.operators.index import Index
+from lexiquarry.session import discard, settle
+from lexiquarry.sources import versions as v
 from lexiquarry.streaming import log
 
-_DOCUMENTS = (
-    "shard_id int, doc_id string, title string, content string, source string,"
-    " metadata map<string,string>, first_written_at timestamp, written_at timestamp"
-)
-_DOC_TERMS = (
-    "shard_id int, doc_id string, doc_len bigint, terms array<struct<term:string,tf:bigint>>"
-)
+MERGE_AFTER = 8
+
+
+def _folders(out: str) -> tuple[str, str]:
+    return f"{out}/documents", f"{out}/index"
+
+
+def _ensure(docs: DataFrame, out: str, stem: bool) -> None:
+    """Make empty tables if there are none."""
+    spark, (documents, index) = docs.sparkSession, _folders(out)
+    if not v.versions(spark, documents):
+        times = [T.StructField(name, T.TimestampType()) for name in ("created_at", "updated_at")]
+        schema = T.StructType([*(docs.schema[c] for c in (*KEY, *FIELDS)), *times])
+        empty = spark.createDataFrame([], schema)
+        stored_documents.create_documents(empty, documents)
+    if not v.versions(spark, index):
+        stored_index.create_index(spark.createDataFrame([], "shard_id int, doc_id string, title string, content string"), index, stem)
 
 
 def index_stream(
@@ -34,59 +46,63 @@ def index_stream(
     order: str = "seq",
     stem: bool = True,
     every: str | None = None,
+    merge_after: int = MERGE_AFTER,
 ) -> StreamingQuery:
     """Upsert every micro-batch of documents into the table and index under `out`.
 
-    A batch appends its documents and their term counts and reads nothing that
-    is already there; it is recorded as finished last, and only finished batches
-    are shown, so documents and terms are always of the same batches. `order`
-    tells versions of one document within a batch apart.
+    A batch that is replayed after a failure changes nothing it has already
+    changed. `order` tells versions of one document within a batch apart.
     """
-    spark = docs.sparkSession
-    tables = {"documents": _DOCUMENTS, "doc_terms": _DOC_TERMS}
-    for name, schema in tables.items():
-        log.start_log(spark, f"{out}/{name}", schema)
+    _ensure(docs, out, stem)
+    documents, index = _folders(out)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = latest_versions(batch, order).select(
-            *KEY, *FIELDS, now.alias("first_written_at"), now.alias("written_at")
-        )
-        log.append(rows, f"{out}/documents", number)
-        written = log.read_log(batch.sparkSession, f"{out}/documents")
-        changed = written.where(F.col("batch_id") == number)
-        log.append(count_terms(analyze(changed, stem)), f"{out}/doc_terms", number)
-        log.finish(batch.sparkSession, out, number)
+        spark = batch.sparkSession
+        done = {v.batch_name(checkpoint): str(number)}
+        rows = settle(latest_versions(batch, order), "batch")
+        if not v.has_batch(v.read_version(spark, documents), checkpoint, number):
+            stored_documents.upsert_documents(spark, documents, rows, now, order, **done)
+        if not v.has_batch(v.read_version(spark, index), checkpoint, number):
+            version = stored_index.upsert_index(spark, index, rows, **done)
+            if len(version.segments) >= merge_after:
+                merge(spark, out)
+        discard(rows)
 
     return log.run(docs, write, checkpoint, every)
 
 
-def _last_documents(spark: SparkSession, out: str) -> DataFrame:
-    rows = log.read_finished(spark, out, "documents")
-    last = log.latest(rows, KEY, _since=F.min("first_written_at"))
-    return last.withColumn("first_written_at", F.coalesce("_since", "first_written_at"))
+def merge(spark: SparkSession, out: str) -> None:
+    """Bring all segments into the layout of the tables."""
+    documents, index = _folders(out)
+    stored_documents.merge_documents(spark, documents)
+    stored_index.merge_index(spark, index)
 
 
-def current_documents(spark: SparkSession, out: str) -> DataFrame:
-    """The last version of each document; `created_at` is when its first one came."""
-    again = F.col("_since").isNotNull() | (F.col("first_written_at") < F.col("written_at"))
-    return _last_documents(spark, out).select(
-        *KEY,
-        *FIELDS,
-        F.col("first_written_at").alias("created_at"),
-        F.col("written_at").alias("updated_at"),
-        F.when(again, "updated").otherwise("indexed").alias("status"),
-    )
+def _in_step(spark: SparkSession, out: str) -> tuple[v.Version, v.Version]:
+    """The last versions of both tables that hold the same batches; documents are written first."""
+    documents, index = _folders(out)
+    indexed = v.read_version(spark, index)
+    for number in reversed(v.versions(spark, documents)):
+        version = v.read_version(spark, documents, number)
+        if v.batches(version) == v.batches(indexed):
+            return version, indexed
+    raise ValueError(f"no versions at {out} that hold the same batches")
 
 
-def compact(spark: SparkSession, out: str, into: str) -> None:
-    """Start a new table and index from the last version of each document."""
-    log.append(_last_documents(spark, out).drop("_since"), f"{into}/documents", -1)
-    last = log.latest(log.read_finished(spark, out, "doc_terms"), KEY)
-    log.append(last, f"{into}/doc_terms", -1)
+def current_documents(spark: SparkSession, out: str) -> DataFrame:
+    """The last version of each document as of the last batch that is indexed; `created_at` is when its first one came."""
+    version, _ = _in_step(spark, out)
+    return stored_documents.open_documents(spark, _folders(out)[0], version)
 
 
 def current_index(spark: SparkSession, out: str) -> Index:
-    """The index as of the last finished batch."""
-    doc_terms = log.latest(log.read_finished(spark, out, "doc_terms"), KEY)
-    entries = postings(doc_terms)
-    return Index(entries, term_stats(entries), doc_stats(doc_terms), doc_terms=doc_terms)
+    """The index as of the last batch."""
+    return stored_index.open_index(spark, _folders(out)[1], _in_step(spark, out)[1])
+
+
+def compact(spark: SparkSession, out: str, into: str) -> None:
+    """Start new tables from what the old ones hold, without their history."""
+    documents, index = _folders(into)
+    stored_documents.create_documents(current_documents(spark, out), documents)
+    stem = _in_step(spark, out)[1].settings["stem"] == "True"
+    stored_index.store_counted(current_index(spark, out).doc_terms, index, stem)

@@ -34,18 +34,6 @@ def read_log(spark: SparkSession, path: str, before: int | None = None) -> DataF
     return rows if before is None else rows.where(F.col("batch_id") < before)
 
 
-def finish(spark: SparkSession, out: str, batch: int) -> None:
-    """Record that all tables under `out` have a batch whole."""
-    append(spark.range(1).select(F.lit(batch).cast("bigint").alias("finished")), f"{out}/finished", batch)
-
-
-def read_finished(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """Rows of a table under `out` of the batches that are recorded as finished, and of what it started from."""
-    start_log(spark, f"{out}/finished", "finished bigint")
-    last = spark.read.schema("finished bigint").parquet(f"{out}/finished").agg(F.max("finished")).first()[0]
-    return read_log(spark, f"{out}/{name}", before=(-1 if last is None else last) + 1)
-
-
 def latest(rows: DataFrame, keys: list[str], **extra: Column) -> DataFrame:
     """The rows of the last batch of each key, with `extra` aggregates over all its batches.
 

@@ -1,25 +1,29 @@
 """Running term counts, counter syncs and signed updates over streams.
 
-The tables written here hold, per batch, the new frequency of each term the
-batch touched; zero stands for a removed term.
+Frequencies lie in a stored table by shard and bucket of the term. A
+micro-batch appends the new frequencies of the terms it names; every
+`merge_after` batches the touched buckets are rewritten, so neither writing a
+batch nor reading the table costs the whole history.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexiquarry.functions.hashing import TERM_SHARDS
 from lexiquarry.functions.text import full_text, typeahead_tokens
+from lexiquarry.operators import stored_terms
 from lexiquarry.operators.terms import KEY, assign_term_shard
-from lexiquarry.session import settle
+from lexiquarry.sources import versions as v
 from lexiquarry.streaming import log
 
-_FREQUENCIES = "shard_id int, term string, frequency bigint"
-
 # Fixed value: how often counters are synced to the stored table.
 SYNC_EVERY = "30 seconds"
+MERGE_AFTER = 8
 
 
 def term_count_stream(docs: DataFrame, shards: int = TERM_SHARDS) -> DataFrame:
@@ -34,63 +38,68 @@ def update_count_stream(updates: DataFrame) -> DataFrame:
     return updates.groupBy(*KEY).agg(F.sum("frequency_delta").alias("frequency"))
 
 
-def start_counts(
-    counts: DataFrame, out: str, checkpoint: str, every: str | None = None
+def _run(
+    rows: DataFrame,
+    out: str,
+    checkpoint: str,
+    every: str | None,
+    mode: str,
+    merge_after: int,
+    store: Callable[[DataFrame, dict[str, str]], v.Version],
 ) -> StreamingQuery:
-    """Store running counts as they change."""
-    log.start_log(counts.sparkSession, out, _FREQUENCIES)
+    """Store each micro-batch once, and merge from time to time."""
+    stored_terms.ensure_terms(rows.sparkSession, out)
 
     def write(batch: DataFrame, number: int) -> None:
-        log.append(batch.select(*KEY, "frequency"), out, number)
+        spark = batch.sparkSession
+        if v.has_batch(v.read_version(spark, out), checkpoint, number):
+            return
+        version = store(batch, {v.batch_name(checkpoint): str(number)})
+        if len(version.segments) >= merge_after:
+            stored_terms.merge_terms(spark, out)
 
-    return log.run(counts, write, checkpoint, every, mode="update")
+    return log.run(rows, write, checkpoint, every, mode=mode)
 
 
-def current_frequencies(spark: SparkSession, out: str, before: int | None = None) -> DataFrame:
-    """The last frequency of each term, removed ones left out."""
-    rows = log.read_log(spark, out, before)
-    last = rows.groupBy(*KEY).agg(F.max_by("frequency", "batch_id").alias("frequency"))
-    return last.where("frequency > 0")
+def start_counts(
+    counts: DataFrame, out: str, checkpoint: str, every: str | None = None, merge_after: int = MERGE_AFTER
+) -> StreamingQuery:
+    """Store running counts as they change. A count or counter replaces the stored frequency; at zero or below the term is gone."""
 
+    def store(batch: DataFrame, done: dict[str, str]) -> v.Version:
+        spark = batch.sparkSession
+        return stored_terms.write_frequencies(spark, out, v.read_version(spark, out), batch, **done)
 
-def seed_frequencies(terms: DataFrame, out: str) -> None:
-    """Start a table from a stored snapshot."""
-    log.append(terms.select(*KEY, "frequency"), out, -1)
+    return _run(counts, out, checkpoint, every, "update", merge_after, store)
 
 
 def sync_stream(
-    counters: DataFrame, out: str, checkpoint: str, every: str | None = SYNC_EVERY
+    counters: DataFrame, out: str, checkpoint: str, every: str | None = SYNC_EVERY, merge_after: int = MERGE_AFTER
 ) -> StreamingQuery:
-    """Sync changed counters to the stored table on an interval.
-
-    A counter replaces the stored frequency; at zero or below the term is gone.
-    """
-
-    def write(batch: DataFrame, number: int) -> None:
-        shown = F.greatest(F.col("frequency"), F.lit(0).cast("bigint"))
-        log.append(batch.select(*KEY, shown.alias("frequency")), out, number)
-
-    return log.run(counters, write, checkpoint, every, mode="update")
+    """Sync changed counters to the stored table on an interval."""
+    return start_counts(counters, out, checkpoint, every, merge_after)
 
 
 def update_stream(
-    updates: DataFrame, out: str, checkpoint: str, every: str | None = None
+    updates: DataFrame, out: str, checkpoint: str, every: str | None = None, merge_after: int = MERGE_AFTER
 ) -> StreamingQuery:
     """Apply each micro-batch of signed deltas to the stored table under `out`.
 
     Same rule as a buffered batch: known terms move and go at zero or below,
-    unknown ones need a positive sum. Only touched terms are read and written.
+    unknown ones need a positive sum. Only buckets of its terms are read.
     """
 
-    def write(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        deltas = settle(batch.groupBy(*KEY).agg(F.sum("frequency_delta").alias("_delta")))
-        keys = deltas.select(*KEY)
-        earlier = log.read_log(session, out, before=number).join(keys, KEY, "left_semi")
-        stored = earlier.groupBy(*KEY).agg(F.max_by("frequency", "batch_id").alias("_stored"))
-        zero = F.lit(0).cast("bigint")
-        moved = F.greatest(zero, F.coalesce("_stored", zero) + F.col("_delta"))
-        rows = deltas.join(stored, KEY, "left").select(*KEY, moved.alias("frequency"))
-        log.append(rows, out, number)
-
-    return log.run(updates, write, checkpoint, every)
+    def store(batch: DataFrame, done: dict[str, str]) -> v.Version:
+        return stored_terms.apply_deltas(batch.sparkSession, out, batch, **done)
+
+    return _run(updates, out, checkpoint, every, "append", merge_after, store)
+
+
+def current_frequencies(spark: SparkSession, out: str) -> DataFrame:
+    """The last frequency of each term, removed ones left out."""
+    return stored_terms.open_terms(spark, out)
+
+
+def seed_frequencies(terms: DataFrame, out: str) -> None:
+    """Start a table from a stored snapshot."""
+    stored_terms.create_terms(terms, out)

@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 from conftest import rows
 from lexiquarry.operators import documents as table
 from lexiquarry.operators import index as index_ops
+from lexiquarry.operators import search, stored_documents, stored_terms
 from lexiquarry.operators import terms as term_ops
 from lexiquarry.operators.ingest import accept
 from lexiquarry.plans.views import moment
-from lexiquarry.sources import messages
+from lexiquarry.sources import messages, versions
 from lexiquarry.streaming import index as index_streams
 from lexiquarry.streaming import ingest as ingest_streams
 from lexiquarry.streaming import log
@@ -166,9 +167,76 @@ def test_documents_go_through_the_topic_into_the_index(spark, docs, feed, tmp_pa
 
 
 def test_unfinished_batches_are_not_shown(spark, docs, feed, tmp_path):
+    """Documents are written first; until the batch is indexed, too, readers see the batch before."""
     out = str(tmp_path / "out")
-    finish(index_streams.index_stream(feed("docs", seq(docs(a="red"), 0)), out, str(tmp_path / "offsets"), moment(NOW)))
-    half = log.read_log(spark, f"{out}/documents").where("doc_id = 'a'").drop("batch_id")
-    log.append(half.withColumn("doc_id", F.lit("z")), f"{out}/documents", 7)
+    finish(index_streams.index_stream(feed("docs", seq(docs(a="red"), 0)), out, "here", moment(NOW)))
+    stored_documents.upsert_documents(spark, f"{out}/documents", seq(docs(z="red"), 0), moment(NOW), **{versions.batch_name("here"): "7"})
     assert rows(index_streams.current_documents(spark, out), "doc_id") == [("a",)]
     assert rows(index_streams.current_index(spark, out).doc_stats, "doc_id") == [("a",)]
+
+
+def test_index_stream_merges_and_equals_batch_after_every_batch(spark, docs, feed, tmp_path):
+    """Segments are merged every second batch; a search opens the buckets of its terms."""
+    out, offsets, now = str(tmp_path / "out"), str(tmp_path / "offsets"), moment(NOW)
+    state = docs().where("false")
+    left = []
+    for number in range(4):
+        batch = seq(docs(**{f"d{number}": f"red w{chr(97 + number)}", "d0": f"blue {'x' * number}"}), 0)
+        finish(index_streams.index_stream(feed("docs", batch), out, offsets, now, merge_after=2))
+        state = table.upsert_documents(state, batch, now).drop("status")
+        index = index_streams.current_index(spark, out)
+        assert flat(index) == flat(index_ops.build_index(state))
+        left.append(len(versions.read_version(spark, f"{out}/index").segments))
+    assert left == [1, 0, 1, 0]
+    assert index.buckets and "term_bucket" in index.postings.columns
+    entries = index.postings.where(index_ops.term_bucket(index.buckets, F.lit("blue")) == F.col("term_bucket"))
+    opened = [f for f in entries.where("term_bucket = " + str(entries.first()["term_bucket"])).inputFiles()]
+    assert opened
+    hits = search.search(index, index_streams.current_documents(spark, out), "red")
+    assert rows(hits, "doc_id") == [("d1",), ("d2",), ("d3",)]
+
+
+def test_a_replayed_batch_leaves_stored_tables_as_they_are(spark, docs, feed, tmp_path):
+    out, now = str(tmp_path / "out"), moment(NOW)
+    finish(index_streams.index_stream(feed("docs", seq(docs(a="red"), 0)), out, str(tmp_path / "o"), now))
+    number = versions.versions(spark, f"{out}/index")
+    version = versions.read_version(spark, f"{out}/index")
+    assert versions.has_batch(version, str(tmp_path / "o"), 0) and not versions.has_batch(version, str(tmp_path / "o"), 1)
+    assert not versions.has_batch(version, "another stream", 0)
+    assert versions.versions(spark, f"{out}/index") == number
+
+
+def test_an_update_batch_opens_touched_buckets_only(spark, tmp_path):
+    out = str(tmp_path / "out")
+    terms = [(f"term{k}", 5) for k in range(64)]
+    term_streams.seed_frequencies(frequencies(spark, *terms), out)
+    version = versions.read_version(spark, out)
+    keys = frequencies(spark, ("term7", 1))
+    opened = stored_terms.stored(spark, out, version, keys).inputFiles()
+    own = keys.select(index_ops.term_bucket(16)).first()[0]
+    assert opened and all(f"/term_bucket={own}/" in f for f in opened)
+    stored_terms.apply_deltas(spark, out, frequencies(spark, ("term7", -2), name="frequency_delta"))
+    old = versions.read_version(spark, out)
+    new = stored_terms.merge_terms(spark, out)
+    assert [p[2] for p in new.parts if new.parts[p] != old.parts.get(p)] == [own]
+    state = {t: f for t, f in terms} | {"term7": 3}
+    assert rows(stored_terms.open_terms(spark, out)) == sorted((0, t, f) for t, f in state.items())
+
+
+def test_many_update_batches_equal_batches_in_order(spark, feed, tmp_path):
+    import random
+
+    rng, out = random.Random(3), str(tmp_path / "out")
+    state = {f"t{k}": 3 for k in range(10)}
+    term_streams.seed_frequencies(frequencies(spark, *state.items()), out)
+    parts = [[(f"t{rng.randint(0, 20)}", rng.randint(-4, 4)) for _ in range(8)] for _ in range(7)]
+    frames = [frequencies(spark, *part, name="frequency_delta") for part in parts]
+    finish(term_streams.update_stream(feed("updates", *frames), out, str(tmp_path / "offsets"), merge_after=3))
+    for part in parts:
+        moved = {}
+        for term, delta in part:
+            moved[term] = moved.get(term, 0) + delta
+        state |= {t: max(0, state.get(t, 0) + d) for t, d in moved.items()}
+    expected = sorted((0, t, f) for t, f in state.items() if f > 0)
+    assert rows(term_streams.current_frequencies(spark, out)) == expected
+    assert len(versions.read_version(spark, out).segments) < 3
