@@ -1,22 +1,22 @@
 """Fuzzy line dedup: one occurrence of every group of like lines stays.
 
 Lines are normalised to their lower-cased words. Equal ones are one line from
-the start. Each has a SimHash of its distinct words; lines that agree on one of
-max_bits + 1 blocks of it meet, and those within max_bits differing bits are
-candidates. As a word replaced in a line of twenty turns more bits than that,
-`bands` adds a second way to meet: each line has so many keys of `BAND_ROWS`
-smallest hashes each, over its runs of `GRAM` bytes, and lines with an equal key
-are candidates whatever their SimHash. Candidates whose normalised texts have an edit similarity of at
+the start. Each has `prints` independent SimHashes of its distinct words; lines
+that agree on one of the max_bits + 1 pigeonhole blocks of one of them meet, and
+those within max_bits differing bits of it are candidates. (Several, because one
+replaced word turns about 64 / n bits of a line of n words, each SimHash by its
+own chance.) Candidates whose normalised texts have an edit similarity of at
 least 0.8 (one less the edits by the longer length, in characters) are linked,
 linked lines form groups, and of each group the first occurrence by (key, hash of
 the text, line number) stays.
 
 Texts travel late: fingerprints alone tell which lines have a candidate at all,
 and only the texts of these are fetched and dealt to the blocks in which they
-have one, and to the groups of lines that share a key. There, candidates are verified as long as they would join two groups,
+have one. There, candidates are verified as long as they would join two groups,
 each group choosing one at a time, so a large group of like lines costs about
 as many comparisons as it has lines. Large blocks are cut into pairs of chunks.
 The documents themselves are joined once with the numbers of the lines to go.
+Each stored step is deleted as soon as the next ones no longer read it.
 
 Defined cases: null text stays null, empty text empty. Lines of fewer than
 `min_words` words are not compared; with `short` their exact repeats go like
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.llm.components import components
-from lexiquarry.llm.rows import per_text, pieces, raw_bytes, settle
+from lexiquarry.llm.rows import discard, per_text, raw_bytes, settle
 from lexiquarry.llm.simhash import Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
 from lexiquarry.llm.words import Words, mix, words_in
 
@@ -45,10 +45,7 @@ MIN_WORDS = 5
 MAX_BITS = 4
 SIMILARITY = 0.8
 MOST = 4096
-BANDS = 16
-BAND_ROWS = 3
-GRAM = 5
-FAR = np.uint64(0xFFFFFFFFFFFFFFFF)
+PRINTS = 2
 NEWLINE = 10
 
 
@@ -104,59 +101,21 @@ def lines_in(texts: pa.Array, min_words: int) -> tuple:
     return words, hashes, first, keep, sums, long
 
 
-def line_marks(texts: pa.Array, min_words: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """For each text how many lines count, and for each such line: its number, two hashes, its SimHash and its words."""
+def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
+    """For each text how many lines count, and for each such line: its number, two hashes, its words and its SimHashes."""
     words, hashes, first, keep, sums, long = lines_in(texts, min_words)
     if not len(keep):
-        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * 5
-    fp = fingerprint_of(*distinct_in(words.text, mix(hashes)), words.texts)
+        return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * (4 + prints)
+    values, owner = distinct_in(words.text, mix(hashes))
+    found = []
+    for k in range(prints):
+        seeded = values if not k else mix(values + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+        found.append(fingerprint_of(seeded, owner, words.texts)[keep].view(np.int64))
     text = np.searchsorted(first, keep, "right") - 1
-    marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), fp[keep].view(np.int64), long[keep]]
+    marks = [keep - first[text], *(t[keep].view(np.int64) for t in sums), long[keep], *found]
     return np.bincount(text, minlength=len(texts)), marks
 
 
-def line_keys(texts: pa.Array, min_words: int, bands: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each distinct line that counts: its first hash, and a row of its band keys.
-
-    One hash of each run of bytes of the normalised line falls into one of bands x BAND_ROWS bins, which keep their
-    smallest; an empty bin takes that of the next full one, changed by the way to it. Lines of one run or less have
-    none in common with others.
-    """
-    words, _, _, keep, (high, _), _ = lines_in(texts, min_words)
-    if not len(keep):
-        return np.zeros(0, np.int64), np.zeros((0, bands), np.int64)
-    high, at = np.unique(high[keep].view(np.int64), return_index=True)
-    chosen = np.full(words.texts, -1)
-    chosen[keep[at]] = np.arange(len(at))
-    # The words of the chosen lines with one space after each, each line in a row of its own.
-    size = np.diff(words.ends)
-    data = np.full(len(words.data) + len(words), ord(" "), np.uint8)
-    data[np.arange(len(words.data)) + np.repeat(np.arange(len(words)), size)] = words.data
-    own = np.repeat(chosen[words.text], size + 1)
-    data, own = data[own >= 0], own[own >= 0]
-    runs = max(len(data) - GRAM + 1, 0)
-    value = np.zeros(runs, np.uint64)
-    for k in range(GRAM):
-        value = value << np.uint64(8) | data[k : k + runs]
-    whole = own[:runs] == own[GRAM - 1 :] if runs else np.zeros(0, bool)
-    value, own = mix(value[whole] * np.uint64(0x9E3779B97F4A7C15)), own[:runs][whole]
-    bins = bands * BAND_ROWS
-    least = np.full(len(high) * bins, FAR)
-    np.minimum.at(least, own * bins + ((value >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), value)
-    least = least.reshape(-1, bins)
-    place = np.where(least != FAR, np.arange(bins), 2 * bins)
-    after = np.concatenate((place, place + bins), axis=1)
-    after = np.minimum.accumulate(after[:, ::-1], axis=1)[:, ::-1][:, :bins]
-    far = (after - np.arange(bins)).astype(np.uint64)
-    least = np.take_along_axis(least, after % bins, 1) + far * np.uint64(0xC2B2AE3D27D4EB4F)
-    some = (place < bins).any(axis=1)
-    least = least[some]
-    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(least), 1))
-    for k in range(BAND_ROWS):
-        keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + least[:, k * bands : (k + 1) * bands])
-    return high[some], keys.view(np.int64)
-
-
 def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values of each owner, and their owners."""
     order = np.lexsort((values, owner))
@@ -166,23 +125,26 @@ def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.n
     return values[new], owner[new]
 
 
-def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False) -> DataFrame:
-    """(key, body, line, high, low, simhash) of every line that counts; body is the hash of its row's text.
+def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False, prints: int = 1) -> DataFrame:
+    """(key, body, line, high, low, prints) of every line that counts; body is the hash of its row's text.
 
-    Lines that are too short to be compared come along with `short`, without a SimHash.
+    Lines that are too short to be compared come along with `short`, without SimHashes.
     """
 
     def make():
         def of(texts: pa.Array) -> list[pa.Array]:
-            many, (*marks, long) = line_marks(texts, 1 if short else min_words)
-            marks = [*marks[:3], pa.array(marks[3], mask=long < min_words)]
+            many, (line, high, low, long, *found) = line_marks(texts, 1 if short else min_words, prints)
+            has = long >= min_words
+            bits = np.stack(found, axis=1)[has].ravel() if len(has) else np.zeros(0, np.int64)
+            ends = np.concatenate(([0], np.cumsum(has))).astype(np.int32) * prints
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bits))
             ends = np.concatenate(([0], np.cumsum(many))).astype(np.int32)
-            rows = pa.StructArray.from_arrays([pa.array(m) for m in marks], ["line", "high", "low", "simhash"])
+            rows = pa.StructArray.from_arrays([*(pa.array(m) for m in (line, high, low)), lists], ["line", "high", "low", "prints"])
             return [pa.ListArray.from_arrays(pa.array(ends), rows)]
 
         return of
 
-    fields = "lines array<struct<line:long,high:long,low:long,simhash:long>>"
+    fields = "lines array<struct<line:long,high:long,low:long,prints:array<long>>>"
     rows = per_text(known(docs, key, text), make, fields, "text", ["key", "body"])
     return rows.select("key", "body", F.inline("lines"))
 
@@ -263,7 +225,7 @@ def verify(a: np.ndarray, b: np.ndarray, texts: list[str], forest: Forest, simil
 
 
 def with_candidates(simhashes: DataFrame, max_bits: int, most: int) -> DataFrame:
-    """(trie, simhash) of the distinct fingerprints that have another within max_bits in that trie."""
+    """(trie, simhash) of the fingerprints (which, simhash) that have another of their set within max_bits in that trie."""
 
     def join(batches):
         got = [[b.column(c).to_numpy() for c in ("trie", "part", "simhash")] for b in batches]
@@ -279,71 +241,10 @@ def with_candidates(simhashes: DataFrame, max_bits: int, most: int) -> DataFrame
                 at = own[met]
                 yield pa.RecordBatch.from_arrays([pa.array(x[at]) for x in (trie, fp)], ["trie", "simhash"])
 
-    dealt = deal(simhashes.select("simhash"), max_bits, most)
+    dealt = deal(simhashes.select("which", "simhash"), max_bits, most)
     return dealt.select("trie", "part", "simhash").mapInArrow(join, "trie long, simhash long")
 
 
-def shared_keys(docs: DataFrame, min_words: int, bands: int) -> DataFrame:
-    """(trie, high): the groups of at least two distinct lines with a band key in common, named after their members.
-
-    The same lines meet by several keys; groups of equal members have one name and count once.
-    """
-
-    def keyed(batches):
-        for batch in batches:
-            for piece in pieces(batch, "text", 1 << 18):
-                high, keys = line_keys(piece.column("text"), min_words, bands)
-                arrays = [pa.array(keys.ravel()), pa.array(np.repeat(high, keys.shape[1]))]
-                yield pa.RecordBatch.from_arrays(arrays, ["band", "high"])
-
-    def grouped(batches):
-        got = [[b.column(c).to_numpy() for c in ("band", "high")] for b in batches]
-        if got:
-            band, high = (np.concatenate(x) for x in zip(*got, strict=True))
-            order = np.lexsort((high, band))
-            band, high = band[order], high[order]
-            new = np.ones(len(band), bool)
-            new[1:] = (band[1:] != band[:-1]) | (high[1:] != high[:-1])
-            band, high = band[new], high[new]
-            edge = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1]))) if len(band) else np.zeros(0, np.int64)
-            many = np.diff(np.append(edge, len(band)))
-            name = mix(np.add.reduceat(mix(high.view(np.uint64)), edge)) if len(edge) else np.zeros(0, np.uint64)
-            name, high = (x[np.repeat(many > 1, many)] for x in (np.repeat(name, many), high))
-            yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(high)], ["trie", "high"])
-
-    rows = docs.select("text").mapInArrow(keyed, "band long, high long").repartition("band")
-    return rows.mapInArrow(grouped, "trie long, high long").distinct()
-
-
-def verified_groups(placed: DataFrame, similarity: float, most: int) -> DataFrame:
-    """Links (a, b) of line names that are in one group and alike; `placed` has trie, simhash, name and text."""
-
-    def join(batches):
-        got = [b for b in batches if b.num_rows]
-        if got:
-            trie, part = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in ("trie", "part"))
-            names, texts = (pa.chunked_array([b.column(c) for b in got]) for c in ("name", "text"))
-            order = np.lexsort((part, trie))
-            trie, part = trie[order], part[order]
-            edge = np.flatnonzero(np.concatenate(([True], (trie[1:] != trie[:-1]) | (part[1:] != part[:-1]))))
-            for low, high in zip(edge, np.append(edge[1:], len(order)), strict=True):
-                own, forest = order[low:high], Forest(high - low)
-                lines = texts.take(pa.array(own)).to_pylist()
-
-                def near(a, b, forest=forest, lines=lines):
-                    once = a < b
-                    verify(a[once], b[once], lines, forest, similarity)
-
-                # All pairs of the group, in bounded lots.
-                trie_join(np.zeros(len(own), np.int64), np.zeros(len(own), np.uint64), 64, 64, near)
-                for a, b in forest.links:
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(own[x])).combine_chunks().cast(pa.string()) for x in (a, b)], ["a", "b"]
-                    )
-
-    return deal_groups(placed, most).select("trie", "part", "name", "text").mapInArrow(join, "a string, b string")
-
-
 def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: int) -> DataFrame:
     """Links (a, b) of line names that are candidates and alike; `placed` has trie, simhash, name and text."""
 
@@ -379,7 +280,7 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def clean(batches):
         for b in batches:
             # Only the line that was marked counts, should two texts of one key have the same hash.
-            many, (_, high, low, *_) = line_marks(b.column("text"), 1)
+            many, (_, high, low, *_) = line_marks(b.column("text"), 1, 0)
             names = np.full(len(many), "", object)
             names[many == 1] = [f"{h:X}-{x:X}" for h, x in zip(high.view(np.uint64), low.view(np.uint64), strict=True)]
             right = pa.array(names.tolist(), pa.string()) if len(names) else pa.array([], pa.string())
@@ -399,42 +300,41 @@ def dedup_lines(
     max_bits: int = MAX_BITS,
     similarity: float = SIMILARITY,
     most: int = MOST,
-    bands: int = 0,
+    prints: int = PRINTS,
     short: bool = False,
 ) -> DataFrame:
     """Kept columns (default all) with the lines that stay in `text`, and n_lines and n_removed."""
     keep = list(docs.columns if keep is None else keep)
     plain = known(docs, key, text)
-    lines = settle(marked_lines(docs, key, text, min_words, short), "lines")
+    lines = settle(marked_lines(docs, key, text, min_words, short, prints), "lines")
     place = F.struct(F.col("key").isNull().alias("last"), "key", "body", "line")
     distinct = lines.groupBy("high", "low").agg(
-        F.min(place).alias("first"), F.min("simhash").alias("simhash"), F.count("*").alias("many")
+        F.min(place).alias("first"), F.first("prints").alias("prints"), F.count("*").alias("many")
     )
     distinct = settle(distinct, "distinct")
 
-    marks = settle(distinct.where("simhash is not null").groupBy("simhash").count(), "marks")
+    each = distinct.select("high", "low", F.posexplode("prints").alias("which", "simhash"))
+    marks = settle(each.groupBy("which", "simhash").count(), "marks")
     near = with_candidates(marks, max_bits, most)
     # Lines of one fingerprint meet in any one trie.
-    shared = marks.where("count > 1").select(trie_of(0, *blocks_of(max_bits)[0]).alias("trie"), "simhash")
+    shared = marks.where("count > 1")
+    shared = shared.select(trie_of(0, *blocks_of(max_bits)[0], F.col("which")).alias("trie"), "simhash")
     near = settle(near.unionByName(shared).groupBy("simhash").agg(F.collect_set("trie").alias("tries")), "near")
-    # Without bands no line has such a group.
-    none = distinct.select(F.lit(0).cast("long").alias("trie"), "high").where("false")
-    keys = shared_keys(plain, min_words, bands) if bands else none
-    keys = settle(keys.groupBy("high").agg(F.collect_list("trie").alias("keys")), "keys")
     name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
-    asked = distinct.join(near, "simhash", "left").join(keys, "high", "left").where("tries is not null or keys is not null")
+    meets = each.join(near, "simhash").select("high", "low", F.explode("tries").alias("trie"), "simhash")
+    meets = meets.groupBy("high", "low").agg(F.collect_set(F.struct("trie", "simhash")).alias("meets"))
+    asked = distinct.join(meets, ["high", "low"])
     asked = asked.select(
-        "first.key", "first.body", "first.line", name.alias("name"), "simhash", "tries", "keys", F.col("first").alias("place")
+        "first.key", "first.body", "first.line", name.alias("name"), "meets", F.col("first").alias("place")
     )
     asked = settle(asked, "asked")
-    texts = settle(fetched(plain, asked.select("key", "body", "line", "name", "simhash", "tries", "keys")), "texts")
-    placed = texts.select(F.explode("tries").alias("trie"), "simhash", "name", "text")
+    discard(marks, near)
+    texts = settle(fetched(plain, asked.select("key", "body", "line", "name", "meets")), "texts")
+    placed = texts.select(F.inline("meets"), "name", "text")
     found = verified_links(placed, max_bits, similarity, most)
-    if bands:
-        placed = texts.select(F.explode("keys").alias("trie"), "simhash", "name", "text")
-        found = found.unionByName(verified_groups(placed, similarity, most))
     found = settle(found, "links")
     groups = settle(components(found), "groups")
+    discard(texts, found)
     members = settle(groups.join(asked.select(F.col("name").alias("node"), "place"), "node"), "members")
     firsts = settle(members.groupBy("root").agg(F.min("place").alias("first")), "firsts")
     joined = members.join(firsts, "root").select("node", "first")
@@ -443,19 +343,24 @@ def dedup_lines(
     named = distinct.withColumn("node", name).join(joined.withColumnRenamed("first", "group_first"), "node", "left")
     named = named.where((F.col("many") > 1) | F.col("group_first").isNotNull())
     named = settle(named.select("high", "low", F.coalesce("group_first", "first").alias("stays")), "repeated")
+    discard(distinct, groups, asked, members, firsts)
     gone = lines.join(named, ["high", "low"]).where(place != F.col("stays"))
     gone = gone.select("key", "body", "line").distinct()
     by_doc = gone.groupBy("key", "body").agg(F.collect_list("line").alias("__gone"))
-    by_doc = by_doc.withColumnsRenamed({"key": "__key", "body": "__body"})
-
-    body = F.xxhash64(docs[f"`{text}`"].cast("string"))
-    both = docs.join(by_doc, docs[f"`{key}`"].eqNullSafe(by_doc["__key"]) & (body == by_doc["__body"]), "left")
-    split = F.split(F.col(f"`{text}`"), "\n", -1)
+    by_doc = settle(by_doc.withColumnsRenamed({"key": "__key", "body": "__body"}), "gone")
+    discard(lines, named)
+
+    # Under names of their own, so that no column of the input can clash.
+    shown = [c for c in keep if c not in ("n_lines", "n_removed")]
+    own = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([*shown, key, text]))}
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()))
+    body = F.xxhash64(F.col(own[text]).cast("string"))
+    both = rows.join(by_doc, F.col(own[key]).eqNullSafe(F.col("__key")) & (body == F.col("__body")), "left")
+    split = F.split(F.col(own[text]), "\n", -1)
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i.cast("long"))), "\n")
-    result = {
-        text: F.when(F.col("__gone").isNull(), F.col(f"`{text}`")).otherwise(left),
-        "n_lines": F.coalesce(F.size(split), F.lit(0)).cast("long"),
-        "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
-    }
-    shown = [c for c in keep if c not in ("n_lines", "n_removed")] + ["n_lines", "n_removed"]
-    return both.select(*(result[c].alias(c) if c in result else docs[f"`{c}`"] for c in shown))
+    stays = F.when(F.col("__gone").isNull(), F.col(own[text])).otherwise(left)
+    return both.select(
+        *((stays if c == text else F.col(own[c])).alias(c) for c in shown),
+        F.coalesce(F.size(split), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )

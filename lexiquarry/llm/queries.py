@@ -36,7 +36,7 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document without the lines that an earlier place has alike."""
-    return line_dedup.dedup_lines(_docs(spark, sf_dir), keep=["doc_id", "text"], bands=line_dedup.BANDS, short=True)
+    return line_dedup.dedup_lines(_docs(spark, sf_dir), keep=["doc_id", "text"], short=True)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

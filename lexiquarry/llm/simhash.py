@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -40,7 +40,9 @@ MAX_BITS = 4
 MOST = 4096
 LOT = 1 << 20  # node pairs handled at a time
 Near = Callable[[np.ndarray, np.ndarray], None]
-LEAF = 64  # node pairs of at most so many element pairs are compared directly
+LEAF = 1 << 17  # node pairs of at most so many element pairs are compared directly
+SETS_APART = 128  # numbers of blocks between two sets of fingerprints
+WIDE = 1 << 10  # those of more are compared one by one, the smaller many at a time
 
 # For each byte, its bits as eight counters of one byte each, the lowest bit first.
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
@@ -193,7 +195,16 @@ def _middle(bits: np.ndarray, low: np.ndarray, high: np.ndarray, depth: int) ->
 
 def _compare(bits: np.ndarray, pairs: np.ndarray, max_bits: int, near: Near) -> None:
     """The element pairs of node pairs, a bounded lot at a time."""
-    a0, a1, b0, b1, _ = pairs
+    wide = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2]) >= WIDE
+    for x0, x1, y0, y1 in pairs[:4, wide].T.tolist():
+        step = max(1, LOT // (y1 - y0))
+        for low in range(x0, x1, step):
+            like = np.bitwise_count(bits[low : min(low + step, x1), None] ^ bits[None, y0:y1]) <= max_bits
+            if np.count_nonzero(like) > (len(like) if x0 == y0 else 0):
+                a, b = np.nonzero(like)
+                a, b = a + low, b + y0
+                near(a[a != b], b[a != b])
+    a0, a1, b0, b1, _ = pairs[:, ~wide]
     if not len(a0):
         return
     # A node pair of more than a lot is taken some rows at a time.
@@ -221,17 +232,22 @@ def deal(rows: DataFrame, max_bits: int = MAX_BITS, most: int = MOST) -> DataFra
     Rows have `simhash` and what else the join needs. Of a block value that
     more than `most` rows share, every two rows meet in one of its parts.
     """
-    tries = [trie_of(k, first, width) for k, (first, width) in enumerate(blocks_of(max_bits))]
+    which = F.col("which") if "which" in rows.columns else None
+    tries = [trie_of(k, first, width, which) for k, (first, width) in enumerate(blocks_of(max_bits))]
     keyed = rows.withColumn("trie", F.explode(F.array(*tries)))
     return deal_groups(keyed, most)
 
 
-def trie_of(k: int, first: int, width: int):
-    """The number of block k and its value; the one block of 64 bits counts by its hash, and is compared whole below."""
+def trie_of(k: int, first: int, width: int, which: Column | None = None) -> Column:
+    """The number of block k (of the set `which` of fingerprints, if there are several) and its value.
+
+    The one block of 64 bits counts by its hash, and is compared whole below.
+    """
+    number = F.lit(k).cast("long") if which is None else which.cast("long") * SETS_APART + k
     value = F.shiftrightunsigned("simhash", 64 - first - width)
     if width > 40:
-        return F.lit(k).cast("long") * (1 << 40) + F.pmod(F.xxhash64("simhash"), F.lit(1 << 40))
-    return F.lit(k).cast("long") * (1 << 40) + value.bitwiseAND(F.lit((1 << width) - 1))
+        return number * (1 << 40) + F.pmod(F.xxhash64("simhash"), F.lit(1 << 40))
+    return number * (1 << 40) + value.bitwiseAND(F.lit((1 << width) - 1))
 
 
 def deal_groups(keyed: DataFrame, most: int = MOST) -> DataFrame:
@@ -250,9 +266,11 @@ def deal_groups(keyed: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def joined_tries(trie: np.ndarray, part: np.ndarray, fp: np.ndarray, max_bits: int) -> Iterator[tuple]:
-    """For each block: places of the rows that have it, and the sorted arguments of `trie_join`."""
-    for k, (first, width) in enumerate(blocks_of(max_bits)):
-        own = np.flatnonzero(trie >> 40 == k)
+    """For each block of each set of fingerprints: places of the rows that have it, and the sorted arguments of `trie_join`."""
+    cuts = blocks_of(max_bits)
+    for number in np.unique(trie >> 40).tolist():
+        first, width = cuts[number % SETS_APART]
+        own = np.flatnonzero(trie >> 40 == number)
         if len(own):
             value = fp[own]
             # The block comes on top; the rest follows in a circle.
