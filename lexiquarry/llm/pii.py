@@ -12,10 +12,10 @@ of the other, modulo the size of its own domain, which need not be a power.
 | dates (y-m-d, m/d/y, d/m/y, d.m.y) of 1900 to 2099 | days of the spans 1900-24, 1925-2024, 2025-99, each in itself |
 | IPv4 addresses | 65536 x 65536 |
 | social security numbers ddd-dd-dddd | 898 areas x 99 groups, 9999 serials |
-| numbers of 13 to 19 digits, grouped or not | all digits but the last; how far the last is from the Luhn digit stays, so card numbers stay valid |
+| card numbers (13 to 19 digits, grouped or not, whose last is their Luhn digit) | all digits but the last, which is made anew |
 | phone numbers | the digits after the country code |
 | IBANs | the digits of the account; check digits are made anew |
-| hexadecimal keys of 32 to 64 digits | their digits |
+| hexadecimal keys of 32 to 64 digits that are given as a value (behind = or :) | their digits |
 | mail addresses | letters and digits before the @, in lower case |
 
 There is no Python on the way: rows are mapped, nothing is shuffled, and texts
@@ -44,11 +44,13 @@ PHONE = r"(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?|\(\d{3}\)[ .-]?|\d{3}[.-](?=\
 IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}"
 HEX = r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})"
 NUMBER = r"\d(?:[ -]?\d){12,18}"
-MAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# Starts where its first part does and gives nothing back, so that a long run of letters is read once.
+MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 
 # No letter or digit may touch a value, nor may it go on behind a point or a hyphen.
 _AFTER = r"(?![\w@]|[.-]\w)"
-_FOUND = [ISO, WRITTEN.replace(r"\1", r"[/.]").replace("([/.])", "[/.]"), IP, SSN, PHONE, NUMBER, IBAN, HEX]
+_GIVEN = "(?<=[=:][ \\t]{0,2}[\"']?)"
+_FOUND = [ISO, WRITTEN.replace(r"\1", r"[/.]").replace("([/.])", "[/.]"), IP, SSN, PHONE, NUMBER, IBAN, _GIVEN + HEX]
 NUMBERS = f"(?:(?<!\\w)(?:{'|'.join(_FOUND)}){_AFTER})"
 ALL = f"(?:{MAIL}|{NUMBERS[3:-1]})"
 
@@ -92,7 +94,7 @@ def permute_digits(digits: Column, radix: int, key: str, tweak: Column | str, ba
     size = F.length(digits)
     half = F.floor(size / 2).cast("int")
     left, right = digits.substr(F.lit(1), half), digits.substr(half + 1, size)
-    number = (lambda s: F.coalesce(s.cast("long"), F.lit(0))) if radix == 10 else (
+    number = (lambda s: F.coalesce(s.try_cast("long"), F.lit(0))) if radix == 10 else (
         lambda s: F.coalesce(F.conv(s, radix, 10).cast("long"), F.lit(0))
     )
     kind = F.concat_ws("/", F.lit(tweak) if isinstance(tweak, str) else tweak, size.cast("string"))
@@ -170,11 +172,11 @@ def number(m: Column, key: str, back: bool) -> Column:
     def put(digits: Column) -> Column:
         n = F.length(digits)
         front, check = digits.substr(F.lit(1), n - 1), digits.substr(n, F.lit(1)).cast("int")
-        off = F.pmod(check - luhn(front), F.lit(10))
-        return bound(
+        new = bound(
             permute_digits(front, 10, key, "number", back),
-            lambda new: refill(m, F.concat(new, F.pmod(luhn(new) + off, F.lit(10)).cast("string"))),
+            lambda new: refill(m, F.concat(new, luhn(new).cast("string"))),
         )
+        return F.when(luhn(front) == check, new).otherwise(m)
 
     return bound(digits_of(m), put)
 
@@ -358,15 +360,14 @@ def pseudonymise(
     docs: DataFrame, key: str, text: str = "text", keep: list[str] | None = None, back: bool = False
 ) -> DataFrame:
     """Kept columns (default all) with the text's values replaced, and `n_values`, how many have changed."""
-    keep = list(docs.columns if keep is None else keep)
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (text, "n_values")]
     done = docs.select(
-        *(F.col(f"`{c}`") for c in keep if c not in (text, "n_values")),
-        _mapped(F.col(f"`{text}`"), key, back).alias("__new"),
+        *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)), _mapped(F.col(f"`{text}`"), key, back).alias("new")
     )
     return done.select(
-        *(F.col(f"`{c}`") for c in keep if c not in (text, "n_values")),
-        F.col("__new.text").alias(text),
-        F.col("__new.n").alias("n_values"),
+        *(F.col(f"c{i}").alias(c) for i, c in enumerate(keep)),
+        F.col("new.text").alias(text),
+        F.col("new.n").alias("n_values"),
     )
 
 
