@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.functions.text import full_text, preprocess
 from lexiquarry.session import lookup_side, remove_folder, settle
+from lexiquarry.sources.tables import read_bucketed, write_bucketed
 
 KEY = ["shard_id", "doc_id"]
 
@@ -26,6 +27,9 @@ TERM_STATS = "term string, df bigint, shard_id int"
 DOC_STATS = "doc_id string, doc_len bigint, shard_id int"
 DOC_TERMS = "shard_id int, doc_id string, doc_len bigint, terms array<struct<term:string,tf:bigint>>"
 
+# Files the counts by document are stored in, by a hash of the key. Raise it with the corpus, too.
+DOC_FILES = 32
+
 # Directories the postings of a shard are split into by a hash of the term.
 # Raise it with the corpus, to about a gigabyte of postings each.
 TERM_BUCKETS = 16
@@ -36,7 +40,8 @@ class Index:
     """The three tables; `buckets` is set when the postings are stored by term bucket.
 
     `doc_terms(shard_id, doc_id, doc_len, terms)` has the postings by document,
-    for scoring many queries in one pass.
+    stored in files by a hash of the key, so that the scores of many queries
+    are summed where they lie.
     """
 
     postings: DataFrame
@@ -118,14 +123,14 @@ def store_index(
     the postings and statistics are derived from that table.
     """
     spark = docs.sparkSession
-    count_terms(analyze(docs, stem)).write.parquet(f"{path}/doc_terms")
+    write_bucketed(count_terms(analyze(docs, stem)), f"{path}/doc_terms", KEY, DOC_FILES)
     doc_terms = spark.read.schema(DOC_TERMS).parquet(f"{path}/doc_terms")
     return _write_tables(_index_of(doc_terms), path, buckets)
 
 
 def write_index(index: Index, path: str, buckets: int = TERM_BUCKETS) -> Index:
     """Write the tables to a new folder and return them as stored."""
-    _by_document(index).write.parquet(f"{path}/doc_terms")
+    write_bucketed(_by_document(index), f"{path}/doc_terms", KEY, DOC_FILES)
     return _write_tables(index, path, buckets)
 
 
@@ -156,7 +161,7 @@ def _write_tables(index: Index, path: str, buckets: int) -> Index:
     stored = spark.read.schema(POSTINGS).parquet(f"{path}/postings")
     term_stats(stored).write.partitionBy("shard_id").parquet(f"{path}/term_stats")
     index.doc_stats.write.partitionBy("shard_id").parquet(f"{path}/doc_stats")
-    layout = spark.range(1).select(F.lit(buckets).alias("buckets"))
+    layout = spark.range(1).select(F.lit(buckets).alias("buckets"), F.lit(DOC_FILES).alias("doc_files"))
     layout.write.parquet(f"{path}/layout")
     return read_index(spark, path)
 
@@ -165,12 +170,13 @@ def read_index(spark: SparkSession, path: str) -> Index:
     def stored(schema: str, name: str) -> DataFrame:
         return spark.read.schema(schema).parquet(f"{path}/{name}")
 
+    layout = stored("buckets int, doc_files int", "layout").first()
     return Index(
         stored(POSTINGS, "postings"),
         stored(TERM_STATS, "term_stats").select("shard_id", "term", "df"),
         stored(DOC_STATS, "doc_stats").select("shard_id", "doc_id", "doc_len"),
-        stored("buckets int", "layout").first()["buckets"],
-        stored(DOC_TERMS, "doc_terms"),
+        layout["buckets"],
+        read_bucketed(spark, f"{path}/doc_terms", DOC_TERMS, KEY, layout["doc_files"]),
     )
 
 

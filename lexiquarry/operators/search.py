@@ -13,9 +13,6 @@ from __future__ import annotations
 import math
 from collections import Counter
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +27,6 @@ DEFAULT_SIZE = 10
 SNIPPET_CHARS = 500
 
 UNITS = 1e14
-# Query weights (rows of a term of a query) that a task holds at a time.
-WEIGHTS_HELD = 2_000_000
 
 
 def query_terms(queries: DataFrame, stem: bool = True) -> DataFrame:
@@ -146,97 +141,15 @@ def best_of_documents(doc_terms: DataFrame, weights: DataFrame, k: int) -> DataF
 
     `weights` has query_id, term, weight, and shard_id if they differ by shard;
     with it, each shard gives its best k. All terms of a document are in its
-    row, so a task scores its documents alone and sends the best k of each
-    query; matches are never shuffled. The weights go to the tasks in blocks of
-    at most `WEIGHTS_HELD` rows, each a pass over the index.
+    row and the stored table is known to be dealt by document, so the matches
+    of a query and a document are summed where they lie, and a task sends the
+    best k of each query: no match is shuffled as long as the weights can be
+    broadcast. Beyond that bound the terms are shuffled to them.
     """
-    blocks = -(-weights.count() // WEIGHTS_HELD)
-    parts = []
-    for block in range(blocks):
-        own = weights if blocks == 1 else weights.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        parts.append(_best_local(doc_terms, own.toArrow(), k, weights.schema["query_id"].dataType.simpleString()))
-    if not parts:
-        empty = _best_local(doc_terms, weights.limit(0).toArrow(), k, weights.schema["query_id"].dataType.simpleString())
-        parts = [empty]
-    local = parts[0]
-    for part in parts[1:]:
-        local = local.unionByName(part)
-    by = ("query_id", "shard_id") if "shard_id" in weights.columns else ("query_id",)
-    return top_k(local, k, by).drop("rank")
-
-
-def _best_local(doc_terms: DataFrame, weights: pa.Table, k: int, query_type: str) -> DataFrame:
-    by_shard = "shard_id" in weights.column_names
-    queries = pc.unique(weights.column("query_id"))
-    words = pc.unique(weights.column("term"))
-    asked = pc.index_in(weights.column("query_id"), queries).to_numpy(zero_copy_only=False).astype(np.int64)
-    word = pc.index_in(weights.column("term"), words).to_numpy(zero_copy_only=False).astype(np.int64)
-    shards = np.unique(weights.column("shard_id").to_numpy()) if by_shard else np.zeros(1, np.int64)
-    slot = word * len(shards)
-    if by_shard:
-        slot = slot + np.searchsorted(shards, weights.column("shard_id").to_numpy())
-    order = np.argsort(slot, kind="stable")
-    ends = np.concatenate(([0], np.cumsum(np.bincount(slot, minlength=len(words) * len(shards)))))
-    table = (queries, words, shards, ends, asked[order], weights.column("weight").to_numpy()[order], by_shard)
-    sent = doc_terms.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches):
-        queries, words, shards, ends, asked, weight, by_shard = sent.value
-        held: list[tuple] = []
-        size = 0
-        for batch in batches:
-            held.append(_scored(batch, words, shards, ends, asked, weight, by_shard, k))
-            size += len(held[-1][0])
-            if size > 4 * k * len(queries) + 100_000:
-                held = [_cut(held, by_shard, k)]
-                size = len(held[0][0])
-        if held:
-            q, shard, doc, units = _cut(held, by_shard, k)
-            arrays = [queries.take(pa.array(q)), pa.array(shard.astype(np.int32)), pa.array(doc.tolist(), pa.string()), pa.array(units / UNITS)]
-            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "shard_id", "doc_id", "score"])
-
-    plain = doc_terms.select("shard_id", "doc_id", "doc_len", "terms.term", "terms.tf")
-    return plain.mapInArrow(run, f"query_id {query_type}, shard_id int, doc_id string, score double")
-
-
-def _scored(batch: pa.RecordBatch, words, shards, ends, asked, weight, by_shard: bool, k: int) -> tuple:
-    """(query, shard, document, units) of a batch's documents, at most the best k of each query."""
-    terms, tf = batch.column("term"), batch.column("tf")
-    many = pc.fill_null(pc.list_value_length(terms), 0).to_numpy().astype(np.int64)
-    shard = batch.column("shard_id").to_numpy().astype(np.int64)
-    code = pc.fill_null(pc.index_in(terms.flatten(), words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    doc = np.repeat(np.arange(len(many)), many)
-    share = tf.flatten().to_numpy() / np.repeat(batch.column("doc_len").to_numpy(), many)
-    known = code >= 0
-    if by_shard:
-        place = np.minimum(np.searchsorted(shards, shard), len(shards) - 1)
-        known &= (shards[place] == shard)[doc]
-        code = code * len(shards) + place[doc]
-    code, doc, share = code[known], doc[known], share[known]
-    each = ends[code + 1] - ends[code]
-    at = np.repeat(ends[code] - (np.cumsum(each) - each), each) + np.arange(each.sum())
-    units = np.rint(np.repeat(share, each) * weight[at] * UNITS).astype(np.int64)
-    key = asked[at] * len(many) + np.repeat(doc, each)
-    order = np.argsort(key, kind="stable")
-    key, units = key[order], units[order]
-    head = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-    units = np.add.reduceat(units, head) if len(head) else units[:0]
-    q, doc = key[head] // max(len(many), 1), key[head] % max(len(many), 1)
-    ids = np.array(batch.column("doc_id").to_pylist(), dtype=np.str_)
-    return _cut([(q, shard[doc], ids[doc] if len(ids) else ids, units)], by_shard, k)
-
-
-def _cut(held: list[tuple], by_shard: bool, k: int) -> tuple:
-    """The best k of each query (and shard), by score, document id and shard."""
-    q, shard, doc, units = (np.concatenate(x) for x in zip(*held, strict=True))
-    order = np.lexsort((shard, doc, -units, *((shard, q) if by_shard else (q,))))
-    q, shard, doc, units = q[order], shard[order], doc[order], units[order]
-    if not len(q):
-        return q, shard, doc, units
-    new = np.concatenate(([True], (q[1:] != q[:-1]) | (by_shard & (shard[1:] != shard[:-1]))))
-    nth = np.arange(len(q)) - np.maximum.accumulate(np.where(new, np.arange(len(q)), 0))
-    keep = nth < k
-    return q[keep], shard[keep], doc[keep], units[keep]
+    by_shard = "shard_id" in weights.columns
+    each = doc_terms.select("shard_id", "doc_id", "doc_len", F.inline("terms"))
+    scores = _scores(each.join(lookup_side(weights), ["shard_id", "term"] if by_shard else ["term"]))
+    return top_k(scores, k, ("query_id", "shard_id") if by_shard else ("query_id",)).drop("rank")
 
 
 def search_batch(
@@ -262,8 +175,7 @@ def search_batch(
     if index.doc_terms is not None:
         best = best_of_documents(index.doc_terms.join(gone, KEY, "left_anti"), weights, offset + size)
     else:
-        scores = _scores(_matching(index, weights)).join(gone, KEY, "left_anti")
-        best = scores
+        best = _scores(_matching(index, weights)).join(gone, KEY, "left_anti")
     page = paginate(top_k(best, offset + size), offset, size)
     hits = _with_fields(settle(page).where(F.col("rank") <= offset + size), docs)
     return hits.withColumn("score", shown_score())
@@ -336,7 +248,8 @@ def search(
     """One page of hits for one query, best first.
 
     The best ids are looked up among the documents as literals; if some are
-    gone, twice as many are taken, until the page is full or no hit is left.
+    gone, all scores are met with the keys of the table first. Either way no
+    more rows come to the driver than the page reaches down to.
     """
     if not query:
         raise ValueError("Query is required")
@@ -348,16 +261,13 @@ def search(
     page: list[tuple] = []
     if weights:
         scores = one_query_scores(index, weights, stats == "shard")
-        take = wanted
-        while True:
-            order = [F.desc("score"), F.asc("doc_id"), F.asc("shard_id")]
-            best = scores.orderBy(*order).limit(take).collect()
-            there = {tuple(r) for r in _named(docs, best).select(*KEY).collect()} if best else set()
-            left = [r for r in best if (r["shard_id"], r["doc_id"]) in there]
-            if len(left) >= wanted or len(best) < take:
-                break
-            take *= 2
-        page = [(r["shard_id"], r["doc_id"], n + 1, r["score"]) for n, r in enumerate(left[:wanted])][offset:]
+        order = [F.desc("score"), F.asc("doc_id"), F.asc("shard_id")]
+        best = scores.orderBy(*order).limit(wanted).collect()
+        there = {tuple(r) for r in _named(docs, best).select(*KEY).collect()} if best else set()
+        left = [r for r in best if (r["shard_id"], r["doc_id"]) in there]
+        if len(left) < len(best):
+            left = scores.join(docs.select(*KEY), KEY, "left_semi").orderBy(*order).limit(wanted).collect()
+        page = [(r["shard_id"], r["doc_id"], n + 1, r["score"]) for n, r in enumerate(left)][offset:]
     ranked = _rows(spark, "shard_id int, doc_id string, rank bigint, score double", page)
     named = _named(docs, [{"shard_id": r[0], "doc_id": r[1]} for r in page])
     # A page of rows, by the caller's size.

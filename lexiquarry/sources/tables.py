@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,26 @@ def scan_documents(docs: DataFrame, shard_id: int | None = None) -> DataFrame:
     )
 
 
+def write_bucketed(df: DataFrame, path: str, keys: list[str], buckets: int) -> None:
+    """Write a new table in files by hash of the keys, so that joins and groups on them need no shuffle when it is read by `read_bucketed`."""
+    name = f"written_{uuid.uuid4().hex}"
+    spread = df.repartition(buckets, *keys)
+    spread.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(name)
+    # Only the entry in the catalog goes: the files belong to the path.
+    df.sparkSession.sql(f"DROP TABLE {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, schema: str, keys: list[str], buckets: int) -> DataFrame:
+    """A table written by `write_bucketed` with the same keys and number of buckets."""
+    name = f"read_{uuid.uuid4().hex}"
+    columns, location = ", ".join(keys), path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({columns}) INTO {buckets} BUCKETS LOCATION '{location}'")
+    table = spark.table(name)
+    table.schema  # noqa: B018 (resolves the files, after which the entry is not needed)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def write_terms(terms: DataFrame, path: str) -> None:
     """Write a term snapshot by shard, sorted by term so that prefix filters skip data."""
     laid_out = terms.hint("rebalance", F.col("shard_id")).sortWithinPartitions("shard_id", "term")

@@ -170,19 +170,41 @@ def test_no_exchange_carries_matches(spark, docs, tmp_path):
     weights = ops.term_weights(index, ops.query_terms(queries))
     best = ops.best_of_documents(index.doc_terms, weights, 10)
     plan = best._jdf.queryExecution().executedPlan().toString()
-    above = plan[: plan.index("MapInArrow")]
-    assert "Exchange" in above and "Exchange" not in plan[plan.index("MapInArrow") :]
+    assert "Python" not in plan and "Arrow" not in plan
+    # One exchange by query, of what the limit below it leaves; the sums above the scan need none.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(query_id" in plan
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert "WindowGroupLimit" in below and "HashAggregate" in below and "Generate" in below
     scored = ops.top_k(ops.tfidf(index, ops.query_terms(queries)), 10)
     assert rows(best, "query_id", "doc_id", "score") == rows(scored, "query_id", "doc_id", "score")
 
 
-def test_weights_in_several_blocks(spark, docs, monkeypatch):
-    index = index_ops.build_index(docs(**MORE))
+def test_weights_beyond_the_broadcast_bound(spark, docs, tmp_path):
+    index = index_ops.store_index(docs(**MORE), str(tmp_path / "index"))
     queries = spark.createDataFrame([(n, q) for n, q in enumerate(["red whale", "sea", "blue", "song"])], "query_id bigint, query string")
     weights = ops.term_weights(index, ops.query_terms(queries))
     whole = rows(ops.best_of_documents(index.doc_terms, weights, 3), "query_id", "doc_id", "score")
-    monkeypatch.setattr(ops, "WEIGHTS_HELD", 2)
-    assert rows(ops.best_of_documents(index.doc_terms, weights, 3), "query_id", "doc_id", "score") == whole
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert rows(ops.best_of_documents(index.doc_terms, weights, 3), "query_id", "doc_id", "score") == whole
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+
+
+def test_the_page_of_one_query_collects_no_more_than_it_reaches(spark, docs, monkeypatch):
+    """Whatever share of the best documents is gone."""
+    frame = many(docs, 60)
+    index = index_ops.build_index(frame)
+    left = frame.where("doc_id in ('d50', 'd51', 'd52') or doc_id like '%9'")
+    collected = []
+    real = type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: collected.append(real(self)) or collected[-1])
+    found = ops.search(index, left, "whale", size=2)
+    assert max(len(r) for r in collected if r and "score" in r[0]) <= 2
+    ranked = ops.search(index, frame, "whale", size=60).collect()
+    there = {r["doc_id"] for r in left.collect()}
+    assert [r["doc_id"] for r in found.collect()] == [r["doc_id"] for r in ranked if r["doc_id"] in there][:2]
 
 
 def test_pages_open_the_buckets_of_their_hits(spark, docs, tmp_path):
