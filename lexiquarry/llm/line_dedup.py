@@ -1,11 +1,11 @@
 """Fuzzy line dedup: one occurrence of every group of like lines stays.
 
 Lines are normalised to their lower-cased words. Equal ones are one line from
-the start. Each has `prints` independent SimHashes of its distinct words; lines
+the start. Each has `prints` independent SimHashes of its words; lines
 that agree on one of the max_bits + 1 pigeonhole blocks of one of them meet, and
-those within max_bits differing bits of it are candidates. (Several, because one
-replaced word turns about 64 / n bits of a line of n words, each SimHash by its
-own chance.) Candidates whose normalised texts have an edit similarity of at
+those within max_bits differing bits of it are candidates. (Several find more,
+because one replaced word turns about 64 / n bits of a line of n words, each
+SimHash by its own chance.) Candidates whose normalised texts have an edit similarity of at
 least 0.8 (one less the edits by the longer length, in characters) are linked,
 linked lines form groups, and of each group the first occurrence by (key, hash of
 the text, line number) stays.
@@ -38,14 +38,14 @@ from pyspark.sql import functions as F
 
 from lexiquarry.llm.components import components
 from lexiquarry.llm.rows import discard, per_text, raw_bytes, settle
-from lexiquarry.llm.simhash import Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
+from lexiquarry.llm.simhash import SETS_APART, Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
 from lexiquarry.llm.words import Words, mix, words_in
 
 MIN_WORDS = 5
 MAX_BITS = 4
 SIMILARITY = 0.8
 MOST = 4096
-PRINTS = 2
+PRINTS = 1
 NEWLINE = 10
 
 
@@ -106,7 +106,7 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
     words, hashes, first, keep, sums, long = lines_in(texts, min_words)
     if not len(keep):
         return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * (4 + prints)
-    values, owner = distinct_in(words.text, mix(hashes))
+    values, owner = mix(hashes), words.text
     found = []
     for k in range(prints):
         seeded = values if not k else mix(values + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -116,15 +116,6 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
     return np.bincount(text, minlength=len(texts)), marks
 
 
-def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of each owner, and their owners."""
-    order = np.lexsort((values, owner))
-    owner, values = owner[order], values[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
-    return values[new], owner[new]
-
-
 def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False, prints: int = 1) -> DataFrame:
     """(key, body, line, high, low, prints) of every line that counts; body is the hash of its row's text.
 
@@ -253,11 +244,22 @@ def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: in
         if got:
             trie, part, fp = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in ("trie", "part", "simhash"))
             names, texts = (pa.chunked_array([b.column(c) for b in got]) for c in ("name", "text"))
+            cuts = blocks_of(max_bits)
             for own, group, turned, width in joined_tries(trie, part, fp.view(np.uint64), max_bits):
                 forest = Forest(len(own))
                 here = pa.array(own)
                 lines = texts.take(here).to_pylist()
-                trie_join(group, turned, width, max_bits, lambda a, b, f=forest, t=lines: verify(a, b, t, f, similarity))
+                bits, earlier = fp.view(np.uint64)[own], cuts[: (int(trie[own[0]]) >> 40) % SETS_APART]
+
+                def near(a, b, forest=forest, lines=lines, bits=bits, earlier=earlier):
+                    # Candidates that agree on an earlier block, too, have met there.
+                    apart = bits[a] ^ bits[b]
+                    new = a < b
+                    for first, size in earlier:
+                        new &= (apart >> np.uint64(64 - first - size)) & np.uint64((1 << size) - 1) != 0
+                    verify(a[new], b[new], lines, forest, similarity)
+
+                trie_join(group, turned, width, max_bits, near)
                 for a, b in forest.links:
                     yield pa.RecordBatch.from_arrays(
                         [names.take(pa.array(own[x])).combine_chunks().cast(pa.string()) for x in (a, b)], ["a", "b"]

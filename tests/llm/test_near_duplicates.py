@@ -258,13 +258,14 @@ def test_own_columns_of_an_input_do_not_clash(spark):
 def test_rows_of_one_key_lose_their_own_lines_only(spark):
     shared = "the white whale swam far out into the cold northern sea"
     own = ["bright amber lanterns hung above every narrow street", "seven grey mules carried salt across that pass"]
+    tail = "but turned round twice before the dawn"
     rows = [(1, shared)]
-    rows += [(key, f"{line}\n{line.upper()} {k}\nshort") for key in (None, 4) for k, line in enumerate([shared, *own])]
+    rows += [(key, f"{line}\n{line.upper()} {tail} {k}\nshort") for key in (None, 4) for k, line in enumerate([shared, *own])]
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert len(got) == len(rows)
     left = [x for r in got for x in r.text.split("\n") if x and x != "short"]
     # No line of key 4 is lost through another row of it; those without key come last and go.
-    assert sorted(left) == sorted([shared, f"{shared.upper()} 0", *own, *(f"{x.upper()} {k}" for k, x in enumerate(own, 1))])
+    assert sorted(left) == sorted([shared, f"{shared.upper()} {tail} 0", *own, *(f"{x.upper()} {tail} {k}" for k, x in enumerate(own, 1))])
     assert {r.n_removed for r in got if r.doc_id is None} == {2}
 
 
