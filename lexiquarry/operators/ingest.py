@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiquarry.functions.hashing import DOCUMENT_SHARDS, content_id, shard_of
-from lexiquarry.functions.text import full_text, preprocess, typeahead_tokens, word_count
+from lexiquarry.functions.text import full_text, preprocess, word_count
 from lexiquarry.session import lookup_side
 
 # Limits and the messages of rejected documents.
@@ -44,37 +45,51 @@ def validate(df: DataFrame, max_chars: int = MAX_CONTENT_CHARS) -> DataFrame:
     )
 
 
+def _kind(part: Column) -> Column:
+    """STRING, OBJECT, ARRAY, VOID (an explicit null) or another type; NULL when absent."""
+    return F.split_part(F.split_part(F.schema_of_variant(part), F.lit("<"), F.lit(1)), F.lit("("), F.lit(1))
+
+
+def _text(part: Column) -> Column:
+    """A string as it is, null as NULL, anything else as JSON text."""
+    kind = _kind(part)
+    return F.when(kind == "STRING", F.try_variant_get(part, "$", "string")).when(kind != "VOID", F.to_json(part))
+
+
 def validate_json(
-    df: DataFrame, payload: str = "payload", max_chars: int = MAX_CONTENT_CHARS
+    df: DataFrame, payload: str = "payload", max_chars: int = MAX_CONTENT_CHARS, nested: bool = False
 ) -> DataFrame:
     """Parse JSON documents and validate them with the type rules.
 
     An explicit JSON null counts as present: a null title fails its type rule.
+    Of a repeated key the last counts. Payloads that hold nothing (null, false,
+    0, an empty text, array or object) are no data. Metadata is a map of
+    strings, in which nested values are JSON text; with `nested` it is a VARIANT
+    that keeps them, and their types.
     """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     parsed = df.withColumn("_doc", F.try_parse_json(payload))
-
-    def kind(name: str | None = None) -> Column:
-        part = F.try_variant_get("_doc", f"$.{name}" if name else "$", "variant")
-        return F.split_part(F.schema_of_variant(part), F.lit("<"), F.lit(1))
-
-    for name in ("content", "title", "source", "metadata"):
-        parsed = parsed.withColumn(f"_{name}", kind(name))
-    text = {n: F.try_variant_get("_doc", f"$.{n}", "string") for n in ("content", "title", "source")}
+    part = {n: F.try_variant_get("_doc", f"$.{n}", "variant") for n in ("id", "content", "title", "source", "metadata")}
+    parsed = parsed.withColumns({f"_{n}": _kind(part[n]) for n in ("content", "title", "source", "metadata")})
+    if nested:
+        metadata = part["metadata"]
+    else:
+        metadata = F.transform_values(part["metadata"].cast("map<string,variant>"), lambda _, x: _text(x))
+    nothing = F.to_json("_doc").isin("null", "false", '""', "[]", "{}") | (
+        _kind(F.col("_doc")).isin("BIGINT", "DECIMAL", "DOUBLE") & (F.try_variant_get("_doc", "$", "double") == 0)
+    )
     parsed = parsed.select(
         *df.columns,
-        F.get_json_object(payload, "$.id").alias("doc_id"),
-        *[
-            F.when(F.col(f"_{n}") == "STRING", text[n]).alias(n)
-            for n in ("title", "content", "source")
-        ],
-        F.from_json(F.get_json_object(payload, "$.metadata"), "map<string,string>").alias("metadata"),
+        _text(part["id"]).alias("doc_id"),
+        *[F.when(F.col(f"_{n}") == "STRING", _text(part[n])).alias(n) for n in ("title", "content", "source")],
+        F.when(F.col("_metadata") == "OBJECT", metadata).alias("metadata"),
         *["_content", "_title", "_source", "_metadata"],
         F.col("_doc").isNull().alias("_malformed"),
-        kind().alias("_kind"),
+        nothing.alias("_nothing"),
     )
     error = (
         F.when(F.col("_malformed"), MALFORMED)
-        .when((F.col("_kind") == "OBJECT") & (F.btrim(payload).rlike(r"^\{\s*\}$")), NO_DATA)
+        .when(F.col("_nothing"), NO_DATA)
         .when(F.col("_content").isNull(), CONTENT_MISSING)
         .when((F.col("_content") != "STRING") | (F.col("content") == ""), CONTENT_EMPTY)
         .when(F.length("content") > max_chars, CONTENT_TOO_LONG)
@@ -83,9 +98,7 @@ def validate_json(
         .when(F.col("_metadata") != "OBJECT", METADATA_TYPE)
         .otherwise("")
     )
-    return _verdict(parsed, error).drop(
-        "_content", "_title", "_source", "_metadata", "_malformed", "_kind"
-    )
+    return _verdict(parsed, error).drop("_content", "_title", "_source", "_metadata", "_malformed", "_nothing")
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -133,21 +146,24 @@ def enrich(df: DataFrame, ingested_at) -> DataFrame:
     """Add arrival time, service name, content length and word count to the metadata.
 
     `ingested_at` (a value or column) is passed in, so a replayed batch gives the
-    same rows. Added entries win over given ones of the same name.
+    same rows. Added entries win over given ones of the same name. In VARIANT
+    metadata the counts are numbers, and nested values stay.
     """
     at = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
     added = {
         "ingested_at": at.cast("string"),
         "ingestion_service": F.lit(SERVICE_NAME),
-        "content_length": F.length("content").cast("string"),
-        "word_count": word_count("content").cast("string"),
+        "content_length": F.length("content"),
+        "word_count": word_count("content"),
     }
-    given = F.map_filter(
-        F.coalesce("metadata", F.create_map().cast("map<string,string>")),
-        lambda key, _: ~key.isin(*added),
-    )
-    extra = F.create_map(*[part for name, value in added.items() for part in (F.lit(name), value)])
-    return df.withColumn("metadata", F.map_concat(given, extra))
+    nested = isinstance(df.schema["metadata"].dataType, T.VariantType)
+    value = "variant" if nested else "string"
+    given = F.col("metadata").cast("map<string,variant>") if nested else F.col("metadata")
+    given = F.coalesce(given, F.create_map().cast(f"map<string,{value}>"))
+    given = F.map_filter(given, lambda key, _: ~key.isin(*added))
+    extra = F.create_map(*[part for name, x in added.items() for part in (F.lit(name), x.cast(value))])
+    both = F.map_concat(given, extra)
+    return df.withColumn("metadata", F.to_variant_object(both) if nested else both)
 
 
 def assign_shard(df: DataFrame, key: str = "doc_id", shards: int = DOCUMENT_SHARDS) -> DataFrame:
@@ -217,12 +233,17 @@ def ingest_stats(validated: DataFrame) -> DataFrame:
     )
 
 
-def document_results(docs: DataFrame, stem: bool = True) -> DataFrame:
-    """Per document, how many search tokens and suggestion terms its text gives."""
-    text = full_text()
-    return docs.withColumn(
-        "tokens_processed", F.size(preprocess(text, stem=stem)).cast("bigint")
-    ).withColumn("typeahead_terms", F.size(typeahead_tokens(text)).cast("bigint"))
+def document_results(docs: DataFrame) -> DataFrame:
+    """Per document, how many search tokens and suggestion terms its text gives.
+
+    Stems are as many as the words they come from, and suggestion terms are the
+    words of two letters and more, so each text is analyzed once, without stems.
+    """
+    counted = docs.withColumn("_words", preprocess(full_text(), stem=False))
+    long = F.filter("_words", lambda w: F.length(w) >= 2)
+    return counted.withColumns(
+        {"tokens_processed": F.size("_words").cast("bigint"), "typeahead_terms": F.size(long).cast("bigint")}
+    ).drop("_words")
 
 
 def bulk_summary(results: DataFrame) -> DataFrame:

@@ -148,6 +148,32 @@ def ing10_delete_stored(spark, sf):
     return stored.open_documents(spark, root).select("shard_id", "doc_id", "content")
 
 
+def src08_nested_metadata(spark, sf):
+    """Arrays, objects and numbers of the metadata from JSON through messages and an upsert into the stored table."""
+    rows = views.table(spark, sf, "documents")
+    metadata = F.struct(
+        F.array("lang", "source").alias("tags"), F.col("n_chars").alias("n"), F.struct("lang").alias("deep"),
+        F.lit(0).alias("word_count"),
+    )
+    payload = F.to_json(F.struct(F.col("doc_id").alias("id"), F.col("text").alias("content"), metadata.alias("metadata")))
+    read = ingest.validate_json(rows.select(payload.alias("payload")), nested=True)
+    ready = ingest.assign_shard(ingest.enrich(read.where("valid"), ARRIVAL))
+    sent = messages.parse_documents(messages.document_messages(ready), nested=True)
+    root = shared_folder(spark, "stored")
+    moments = {c: views.moment(views.NOW) for c in ("created_at", "updated_at")}
+    sent = sent.withColumns({**moments, "seq": F.lit(0)})
+    stored.create_documents(sent.where("doc_id % 2 = 0"), root)
+    stored.upsert_documents(spark, root, sent, views.moment(views.NOW))
+    stored.merge_documents(spark, root)
+    get = lambda path, kind: F.try_variant_get("metadata", path, kind)
+    return stored.open_documents(spark, root).select(
+        "shard_id", "doc_id",
+        get("$.tags[1]", "string").alias("tag"), get("$.n", "bigint").alias("n"),
+        get("$.deep.lang", "string").alias("lang"), get("$.word_count", "bigint").alias("word_count"),
+        F.schema_of_variant(get("$.n", "variant")).alias("kind"),
+    )
+
+
 def _doomed(spark, sf):
     """Toxic documents, and ids nobody stored."""
     absent = views.pages(spark, sf).select("shard_id", "doc_id")
@@ -172,7 +198,7 @@ def ing12_bulk_summary(spark, sf):
 
 
 def ing12_document_results(spark, sf):
-    results = ingest.document_results(views.pages(spark, sf), stem=False)
+    results = ingest.document_results(views.pages(spark, sf))
     return results.select("shard_id", "doc_id", "tokens_processed", "typeahead_terms")
 
 
@@ -217,6 +243,7 @@ QUERIES = {
         ing09_upsert_results,
         ing10_delete_documents,
         ing10_delete_results,
+        src08_nested_metadata,
         ing09_upsert_stored,
         ing10_delete_stored,
         ing11_ingest_stats,
@@ -347,3 +374,8 @@ ORACLES = {
 }
 ORACLES["ing09_upsert_stored"] = ORACLES["ing09_upsert_documents"]
 ORACLES["ing10_delete_stored"] = ORACLES["ing10_delete_documents"]
+ORACLES["src08_nested_metadata"] = (
+    f"SELECT {sql.shard('CAST(doc_id AS VARCHAR)', 3)} AS shard_id, CAST(doc_id AS VARCHAR) AS doc_id, source AS tag, "
+    f"n_chars AS n, lang, CAST({WORDS_SQL.replace('content', 'text')} AS BIGINT) AS word_count, 'BIGINT' AS kind "
+    "FROM documents WHERE text <> ''"
+)

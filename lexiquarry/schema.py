@@ -24,3 +24,8 @@ DOCUMENT_MESSAGE = T.StructType(
         T.StructField("shard_id", T.IntegerType()),
     ]
 )
+
+# The same with nested metadata.
+NESTED_DOCUMENT_MESSAGE = T.StructType(
+    [T.StructField(f.name, T.VariantType()) if f.name == "metadata" else f for f in DOCUMENT_MESSAGE.fields]
+)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.operators.ingest import MAX_CONTENT_CHARS, validate_json
-from lexiquarry.schema import DOCUMENT_MESSAGE, TERM_UPDATE_MESSAGE
+from lexiquarry.schema import DOCUMENT_MESSAGE, NESTED_DOCUMENT_MESSAGE, TERM_UPDATE_MESSAGE
 from lexiquarry.session import settle
 
 # Topics, the action of a term update, and bulk payload errors.
@@ -26,13 +26,15 @@ TERMS_PER_MESSAGE = 1000
 
 
 def read_json_documents(
-    spark: SparkSession, path: str, max_chars: int = MAX_CONTENT_CHARS
+    spark: SparkSession, path: str, max_chars: int = MAX_CONTENT_CHARS, nested: bool = False
 ) -> DataFrame:
     """JSON document payloads, one per line, parsed and validated.
 
-    Malformed lines stay as rejected rows with their text.
+    Malformed lines stay as rejected rows with their text. With `nested`,
+    metadata is a VARIANT.
     """
-    return validate_json(spark.read.text(path).withColumnRenamed("value", "payload"), max_chars=max_chars)
+    lines = spark.read.text(path).withColumnRenamed("value", "payload")
+    return validate_json(lines, max_chars=max_chars, nested=nested)
 
 
 def explode_bulk(bulk: DataFrame, payload: str = "payload", empty_error: str = ARRAY_EMPTY) -> DataFrame:
@@ -57,7 +59,7 @@ def explode_bulk(bulk: DataFrame, payload: str = "payload", empty_error: str = A
 
 
 def document_messages(docs: DataFrame) -> DataFrame:
-    """Documents as messages keyed by their shard."""
+    """Documents as messages keyed by their shard. VARIANT metadata is written as the JSON it holds."""
     body = F.struct(
         F.col("doc_id").alias("id"), "title", "content", "source", "metadata", "shard_id"
     )
@@ -128,10 +130,10 @@ def read_messages(spark: SparkSession, topic: str, folder: str | None = None, **
     )
 
 
-def parse_documents(messages: DataFrame) -> DataFrame:
-    """The documents of messages, with `seq` where the messages have it."""
+def parse_documents(messages: DataFrame, nested: bool = False) -> DataFrame:
+    """The documents of messages, with `seq` where the messages have it; with `nested`, metadata is a VARIANT."""
     order = ["seq"] if "seq" in messages.columns else []
-    body = F.from_json("value", DOCUMENT_MESSAGE)
+    body = F.from_json("value", NESTED_DOCUMENT_MESSAGE if nested else DOCUMENT_MESSAGE)
     return messages.select(body.alias("d"), *order).select(
         F.col("d.id").alias("doc_id"), "d.title", "d.content", "d.source", "d.metadata", "d.shard_id", *order
     )
@@ -146,8 +148,10 @@ def parse_term_updates(messages: DataFrame) -> DataFrame:
     return deltas.where("term is not null")
 
 
-def read_document_stream(spark: SparkSession, folder: str | None = None, **kafka: str) -> DataFrame:
-    return parse_documents(read_messages(spark, DOCUMENT_TOPIC, folder, **kafka))
+def read_document_stream(
+    spark: SparkSession, folder: str | None = None, nested: bool = False, **kafka: str
+) -> DataFrame:
+    return parse_documents(read_messages(spark, DOCUMENT_TOPIC, folder, **kafka), nested)
 
 
 def read_term_update_stream(spark: SparkSession, folder: str | None = None, **kafka: str) -> DataFrame:

@@ -24,6 +24,17 @@ from lexiquarry.sources import messages
         ({"content": "ok", "metadata": "m"}, ingest.METADATA_TYPE),
         ({"content": "ok", "metadata": None}, ingest.METADATA_TYPE),
         ({}, ingest.NO_DATA),
+        ("[]", ingest.NO_DATA),
+        ("null", ingest.NO_DATA),
+        ("false", ingest.NO_DATA),
+        (" 0.0 ", ingest.NO_DATA),
+        ('""', ingest.NO_DATA),
+        ("{ }", ingest.NO_DATA),
+        ("[1]", ingest.CONTENT_MISSING),
+        ('"text"', ingest.CONTENT_MISSING),
+        ("7", ingest.CONTENT_MISSING),
+        ('{"content": "", "content": "last wins"}', ""),
+        ('{"content": "x", "content": null}', ingest.CONTENT_EMPTY),
         ("{broken", ingest.MALFORMED),
     ],
 )
@@ -41,6 +52,37 @@ def test_parsed_fields(spark):
     assert row.metadata == {"n": "1", "tags": '["x","y"]'}
 
 
+def test_fields_of_other_types(spark):
+    lines = ['{"id": 5, "content": "a"}', '{"id": null, "content": "a"}', '{"id": [1], "content": "a", "id": ""}', '{"content": "a"}']
+    frame = spark.createDataFrame([(x,) for x in lines], "payload string")
+    assert [r.doc_id for r in ingest.validate_json(frame).collect()] == ["5", None, "", None]
+    frame = spark.createDataFrame([('{"content": "a", "metadata": {"a": null, "b": true, "c": {"d": [1.5]}}}',)], "payload string")
+    assert ingest.validate_json(frame).first().metadata == {"a": None, "b": "true", "c": '{"d":[1.5]}'}
+
+
+def test_nested_metadata_keeps_its_types(spark):
+    given = {"tags": ["x", "y"], "n": 1.5, "deep": {"z": None}, "word_count": 99}
+    frame = spark.createDataFrame([(json.dumps({"id": "a", "content": "one two", "metadata": given}),), ('{"id": "b", "content": "c"}',)], "payload string")
+    read = ingest.enrich(ingest.validate_json(frame, nested=True), "now")
+    first, second = read.select(F.to_json("metadata").alias("m")).collect()
+    added = {"ingested_at": "now", "ingestion_service": "data-ingestion"}
+    assert json.loads(first.m) == {**given, **added, "content_length": 7, "word_count": 2}
+    assert json.loads(second.m) == {**added, "content_length": 1, "word_count": 1}
+
+
+def test_the_payload_is_parsed_once(spark):
+    frame = spark.createDataFrame([("{}",)], "payload string")
+    plan = ingest.validate_json(frame)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") + plan.lower().count("parse_json") <= 1 and "get_json_object" not in plan
+
+
+def test_results_analyze_a_text_once(spark, docs):
+    found = ingest.document_results(docs(a="Running runs of a whale, x y"))
+    assert tuple(found.select("tokens_processed", "typeahead_terms").first()) == (4, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+
+
 def test_typed_null_is_absent(spark):
     frame = spark.createDataFrame([(None,), ("",), ("x",)], "content string")
     errors = [r.error for r in ingest.validate(frame).collect()]

@@ -134,3 +134,27 @@ def test_jdbc_needs_a_driver(spark, table):
     """No driver is on the class path here; the call must reach Spark's reader."""
     with pytest.raises(Exception, match="(?i)driver"):
         tables.read_jdbc(spark, "jdbc:postgresql://db/search", table).count()
+
+
+def test_nested_metadata_through_json_messages_parquet_and_hits(spark, tmp_path):
+    """An array and a number make the whole way."""
+    from lexiquarry.operators import index, ingest, search, stored_documents
+    from lexiquarry.plans.views import moment
+
+    given = {"tags": ["red", "sea"], "n": 3, "deep": {"on": True}}
+    (tmp_path / "in.json").write_text(json.dumps({"id": "a", "title": "t", "content": "red whale", "metadata": given}))
+    read = messages.read_json_documents(spark, str(tmp_path / "in.json"), nested=True)
+    ready = ingest.assign_shard(ingest.enrich(read, "now"), shards=1)
+    messages.publish_documents(ready, str(tmp_path / "topics"))
+    sent = spark.read.schema(messages.MESSAGE).json(f"{tmp_path}/topics/{messages.DOCUMENT_TOPIC}")
+    got = messages.parse_documents(sent, nested=True)
+    now = moment("2024-01-01 00:00:00")
+    got = got.withColumns({"created_at": now, "updated_at": now, "seq": F.lit(1)})
+    root = str(tmp_path / "stored")
+    stored_documents.create_documents(got.where("false"), root)
+    stored_documents.upsert_documents(spark, root, got, now)
+    stored_documents.merge_documents(spark, root)
+    docs = stored_documents.open_documents(spark, root)
+    hit = search.search(index.build_index(docs), docs, "whale").select("doc_id", F.to_json("metadata").alias("m")).first()
+    assert hit.doc_id == "a" and {k: json.loads(hit.m)[k] for k in given} == given
+    assert json.loads(hit.m)["word_count"] == 2
