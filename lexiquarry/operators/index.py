@@ -257,13 +257,19 @@ def reindex(docs: DataFrame, index: Index, stem: bool = True) -> Index:
     return index_upsert(index, docs, stem)
 
 
-def index_stats(docs: DataFrame, index: Index) -> DataFrame:
-    """Documents in the table, documents in the index and distinct terms, per shard."""
+def index_stats(docs: DataFrame, index: Index, sizes: DataFrame | None = None) -> DataFrame:
+    """Documents in the table, documents in the index and distinct terms, per shard.
+
+    With `sizes` (shard_id, index_size_bytes), as `stored_index.shard_bytes` gives them, the stored bytes, too.
+    """
     in_db = docs.groupBy("shard_id").agg(F.count("*").alias("documents_in_db"))
     in_index = index.doc_stats.groupBy("shard_id").agg(F.count("*").alias("documents_in_index"))
     terms = index.term_stats.groupBy("shard_id").agg(F.count("*").alias("unique_terms"))
     joined = in_db.join(in_index, "shard_id", "full").join(terms, "shard_id", "full")
-    counts = ("documents_in_db", "documents_in_index", "unique_terms")
+    counts = ["documents_in_db", "documents_in_index", "unique_terms"]
+    if sizes is not None:
+        joined = joined.join(sizes.where("shard_id is not null"), "shard_id", "full")
+        counts.append("index_size_bytes")
     return joined.select("shard_id", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts])
 
 

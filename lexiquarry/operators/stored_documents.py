@@ -114,3 +114,24 @@ def merge_documents(spark: SparkSession, root: str) -> v.Version:
     written = v.write_parts(_rows(spark, root, version, only), root, "documents", BUCKET, ["doc_id"])
     old = {part: gen for part, gen in version.parts.items() if part[1:] not in only}
     return v.publish(spark, root, replace(version, number=version.number + 1, parts={**old, **written}, segments=()))
+
+
+def changes(spark: SparkSession, root: str, since: int, until: int | None = None) -> DataFrame:
+    """Versions of documents that went (`change` -1) and came (1) between two versions of the table.
+
+    A document that is there in both, changed, gives a row of each. Only
+    buckets of changed ids are opened. Segments tell what has changed, so no
+    merge may lie between the two.
+    """
+    old = v.read_version(spark, root, since)
+    new = v.read_version(spark, root, until)
+    if new.segments[: len(old.segments)] != old.segments or new.parts != old.parts:
+        raise ValueError(f"the table was merged between versions {old.number} and {new.number}")
+    fresh = replace(new, segments=new.segments[len(old.segments) :])
+    gone = v.read_segments(spark, root, fresh, "gone", v.GONE)
+    if gone is None:
+        return _rows(spark, root, old).drop(BUCKET).withColumn("change", F.lit(0)).limit(0)
+    keys = lookup_side(gone.select(*KEY).distinct())
+    went, came = _stored(spark, root, old, keys), _stored(spark, root, new, keys)
+    both = went.withColumn("change", F.lit(-1)).unionByName(came.withColumn("change", F.lit(1)))
+    return both.drop(BUCKET)

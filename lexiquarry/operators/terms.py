@@ -64,6 +64,23 @@ def term_counts(docs: DataFrame, shards: int = TERM_SHARDS) -> DataFrame:
     return assign_term_shard(counts, shards).select("shard_id", "term", "frequency")
 
 
+def term_changes(changes: DataFrame, mode: str = "snapshot", shards: int = TERM_SHARDS) -> DataFrame:
+    """By how much term counts move when documents change: (shard_id, term, frequency_delta).
+
+    `changes` has the versions of documents that come (column `change` 1) and go
+    (-1). In mode "snapshot" an old version's terms are taken back, so counts
+    stay those of the table as it is; in mode "events" versions only add, and a
+    deletion takes nothing away.
+    """
+    if mode not in ("snapshot", "events"):
+        raise ValueError(f"mode must be 'snapshot' or 'events', not {mode!r}")
+    if mode == "events":
+        changes = changes.where("change > 0")
+    tokens = changes.select(F.explode(typeahead_tokens(full_text())).alias("term"), F.col("change").cast("bigint").alias("change"))
+    moved = tokens.groupBy("term").agg(F.sum("change").alias("frequency_delta")).where("frequency_delta <> 0")
+    return assign_term_shard(moved, shards).select(*KEY, "frequency_delta")
+
+
 def apply_increments(counters: DataFrame, updates: DataFrame) -> DataFrame:
     """Counters after adding the deltas; any sign, in any order."""
     deltas = _normalized(updates).select(*KEY, F.col("frequency_delta").alias("frequency"))
@@ -248,6 +265,28 @@ def build_prefix_table(
     return top_rows(spelled, ["prefix"], _order(), k, salt="term")
 
 
+def update_prefix_table(
+    table: DataFrame,
+    terms: DataFrame,
+    changed: DataFrame,
+    k: int = DEFAULT_SUGGESTIONS,
+    max_length: int | None = None,
+) -> DataFrame:
+    """The prefix table after the terms of `changed` came, went or moved; `terms` are all as they are now.
+
+    Only prefixes of changed terms are worked out anew, from all terms that
+    begin with them, so a term moves up where another falls out; the rows of all
+    other prefixes stay. `k` and `max_length` are those the table was built with.
+    """
+    longest = F.length("term") if max_length is None else F.least(F.length("term"), F.lit(max_length))
+    spelled = F.transform(F.sequence(F.lit(0), longest), lambda n: F.substr("term", F.lit(1), n))
+    touched = lookup_side(changed.select(F.explode(spelled).alias("prefix")).distinct())
+    again = terms.select("term", "frequency", F.explode(spelled).alias("prefix")).join(touched, "prefix")
+    best = top_rows(again.select("prefix", "term", "frequency"), ["prefix"], _order(), k, salt="term")
+    kept = table.join(touched, "prefix", "left_anti")
+    return kept.unionByName(best.select(*kept.columns))
+
+
 def lookup_prefixes(
     table: DataFrame,
     prefixes: DataFrame,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexiquarry.operators import stored_documents as stored
 from lexiquarry.operators import terms as ops
 from lexiquarry.plans import sql, views
-from lexiquarry.session import shared_folder
+from lexiquarry.session import settle, shared_folder
 from lexiquarry.sources import messages, tables
 
 LIMIT = 10
@@ -37,6 +38,35 @@ def trm01_term_counts(spark, sf):
     return views.stored_terms(spark, sf)
 
 
+def _changed_documents(spark, sf):
+    """A stored table of which the reviewed documents are retitled and the toxic ones deleted, and its changes."""
+    root = shared_folder(spark, "stored")
+    stored.create_documents(views.documents(spark, sf), root)
+    batch = views.reviewed(spark, sf).withColumn("seq", F.lit(0))
+    stored.upsert_documents(spark, root, batch, views.moment(views.NOW))
+    stored.delete_documents(spark, root, views.toxic(spark, sf))
+    return stored.changes(spark, root, since=0)
+
+
+def trm01_term_counts_by_changes(spark, sf):
+    moved = ops.term_changes(_changed_documents(spark, sf))
+    return ops.apply_increments(views.stored_terms(spark, sf), moved).where("frequency <> 0")
+
+
+def trm01_term_counts_by_events(spark, sf):
+    """As the services count: a new version adds, nothing is taken back."""
+    moved = ops.term_changes(_changed_documents(spark, sf), mode="events")
+    return ops.apply_increments(views.stored_terms(spark, sf), moved)
+
+
+def trm11_update_prefix_table(spark, sf):
+    """The table kept in step with a sync of the counters."""
+    before = views.stored_terms(spark, sf)
+    after = ops.sync_terms(before, views.counters(spark, sf))
+    table = ops.build_prefix_table(before, k=5)
+    return ops.update_prefix_table(table, settle(after), views.counters(spark, sf), k=5)
+
+
 def trm02_apply_increments(spark, sf):
     return ops.apply_increments(views.event_terms(spark, sf), views.updates(spark, sf))
 
@@ -217,6 +247,9 @@ QUERIES = {
         src07_terms_round_trip,
         src11_publish_term_updates,
         trm01_term_counts,
+        trm01_term_counts_by_changes,
+        trm01_term_counts_by_events,
+        trm11_update_prefix_table,
         trm02_apply_increments,
         trm03_update_frequency,
         trm03_visible_frequency,
@@ -431,3 +464,24 @@ ORACLES = {
     + sql.shard("lower(term)", 2)
     + " AS shard_id FROM (SELECT DISTINCT unnest(string_split_regex(text, '\\s+')) AS term FROM conversations)",
 }
+
+_REVIEWED = (sql.DOCS, sql.MARKS, sql.REVIEWED, "toxic AS (SELECT doc_id FROM marks WHERE toxic = 1)")
+_RETITLED = "SELECT title, content FROM reviewed WHERE doc_id NOT IN (SELECT doc_id FROM toxic)"
+ORACLES["trm01_term_counts_by_changes"] = (
+    sql.with_(
+        *_REVIEWED,
+        f"after AS ({_RETITLED} UNION ALL SELECT title, content FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM marks))",
+        sql.term_counts("after", "counted"),
+    )
+    + "SELECT * FROM counted"
+)
+ORACLES["trm01_term_counts_by_events"] = (
+    sql.with_(*_REVIEWED, f"added AS (SELECT title, content FROM docs UNION ALL {_RETITLED})", sql.term_counts("added", "counted"))
+    + "SELECT * FROM counted"
+)
+ORACLES["trm11_update_prefix_table"] = sql.with_(
+    *_BOTH,
+    f"synced AS ({_SYNCED.format(stored='stored', counters='counters')})",
+    "spelled AS (SELECT left(term, n) AS prefix, term, frequency FROM "
+    "(SELECT *, unnest(range(length(term) + 1)) AS n FROM synced))",
+) + _top("spelled", 5, "prefix", "prefix, term, frequency")

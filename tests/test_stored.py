@@ -125,6 +125,9 @@ def test_bytes_by_shard_are_those_of_the_files(spark, docs, tmp_path):
             shard = str(p).split("shard_id=")[1].split("/")[0] if "shard_id=" in str(p) else None
             sizes[shard and int(shard)] = sizes.get(shard and int(shard), 0) + p.stat().st_size
     assert found == sizes and len(found) >= 2
+    frame = docs(**CORPUS, shards=3)
+    stats = index.index_stats(frame, stored_index.open_index(spark, root), stored_index.shard_bytes(spark, root))
+    assert {r["shard_id"]: r["index_size_bytes"] for r in stats.collect()} == {s: n for s, n in sizes.items() if s is not None}
 
 
 def batch(docs, *given):

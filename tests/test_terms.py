@@ -232,3 +232,45 @@ def test_scans(spark):
     assert [r.term for r in ops.scan_terms(both, 0).collect()] == ["b", "a", "z"]
     assert rows(ops.scan_counters(both, 0), "term") == [("a",), ("b",), ("z",)]
     assert rows(ops.top_counters(both, 1), "shard_id", "term") == [(0, "b"), (1, "c")]
+
+
+def test_prefix_table_kept_up_equals_a_rebuild(spark):
+    import random
+
+    from lexiquarry.session import settle
+
+    rng = random.Random(5)
+    now = {f"{rng.choice('ab')}{rng.choice('ab')}{k}": rng.randint(1, 5) for k in range(30)}
+    frame = lambda d: spark.createDataFrame([(0, t, f) for t, f in d.items()], "shard_id int, term string, frequency bigint")
+    for longest in (None, 2):
+        table = settle(ops.build_prefix_table(frame(now), 3, longest))
+        for _ in range(3):
+            moved = {t: rng.randint(-6, 6) for t in rng.sample(sorted(now), 4)} | {f"a{rng.randint(0, 99)}": 9}
+            now = {t: f for t, f in ({**now, **{t: now.get(t, 0) + d for t, d in moved.items()}}).items() if f > 0}
+            table = settle(ops.update_prefix_table(table, frame(now), frame(moved), 3, longest))
+            assert rows(table) == rows(ops.build_prefix_table(frame(now), 3, longest))
+
+
+def test_changes_of_documents_move_counts(spark, docs, tmp_path):
+    from lexiquarry.operators import stored_documents
+    from lexiquarry.plans.views import moment
+    from lexiquarry.sources import versions
+
+    root, now = str(tmp_path), moment("2024-01-01 00:00:00")
+    first = docs(a="red sea red", b="blue", c="green")
+    stored_documents.create_documents(first, root)
+    stored_documents.upsert_documents(spark, root, docs(a="red moon", d="blue").withColumn("seq", F.lit(0)), now)
+    stored_documents.delete_documents(spark, root, docs(c="", nobody=""))
+    feed = stored_documents.changes(spark, root, since=0)
+    assert rows(feed, "doc_id", "content", "change") == [("a", "red moon", 1), ("a", "red sea red", -1), ("c", "green", -1), ("d", "blue", 1)]
+    counts = ops.apply_increments(ops.term_counts(first), ops.term_changes(feed)).where("frequency <> 0")
+    after = stored_documents.open_documents(spark, root)
+    assert rows(counts, "term", "frequency") == rows(ops.term_counts(after), "term", "frequency")
+    events = ops.apply_increments(ops.term_counts(first), ops.term_changes(feed, mode="events"))
+    assert dict(rows(events, "term", "frequency")) == {"red": 3, "sea": 1, "blue": 2, "green": 1, "moon": 1}
+    assert stored_documents.changes(spark, root, since=2).count() == 0
+    stored_documents.merge_documents(spark, root)
+    with pytest.raises(ValueError, match="merged"):
+        stored_documents.changes(spark, root, since=versions.versions(spark, root)[0])
+    with pytest.raises(ValueError, match="mode"):
+        ops.term_changes(feed, mode="other")
