@@ -1,7 +1,7 @@
 """Fuzzy line dedup: one occurrence of every group of like lines stays.
 
 Lines are normalised to their lower-cased words. Equal ones are one line from
-the start. Each has `prints` independent SimHashes of its words; lines
+the start. Each has `prints` independent SimHashes of its distinct words; lines
 that agree on one of the max_bits + 1 pigeonhole blocks of one of them meet, and
 those within max_bits differing bits of it are candidates. (Several find more,
 because one replaced word turns about 64 / n bits of a line of n words, each
@@ -106,7 +106,8 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
     words, hashes, first, keep, sums, long = lines_in(texts, min_words)
     if not len(keep):
         return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * (4 + prints)
-    values, owner = mix(hashes), words.text
+    # Distinct words: with repeats, the few commonest words of a language would make unlike lines candidates.
+    values, owner = distinct_in(words.text, mix(hashes))
     found = []
     for k in range(prints):
         seeded = values if not k else mix(values + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -116,6 +117,15 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
     return np.bincount(text, minlength=len(texts)), marks
 
 
+def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of each owner, and their owners."""
+    order = np.lexsort((values, owner))
+    owner, values = owner[order], values[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
+    return values[new], owner[new]
+
+
 def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False, prints: int = 1) -> DataFrame:
     """(key, body, line, high, low, prints) of every line that counts; body is the hash of its row's text.
 
