@@ -6,16 +6,6 @@ the rule-by-rule chain and everything is plain joins and groupings.
 
 from __future__ import annotations
 
-from lexiquarry.functions.stem import (
-    IRREGULAR,
-    MEASURE_ABOVE_0,
-    MEASURE_ABOVE_1,
-    MEASURE_IS_1,
-    SHORT_SYLLABLE,
-    STEP_2,
-    STEP_3,
-    STEP_4,
-)
 from lexiquarry.functions.text import WHITE_SPACE
 from lexiquarry.functions.words import STOP_WORDS
 
@@ -32,6 +22,26 @@ _RULES = (
 )
 
 
+# Fixed values of the stemming algorithm (Porter, 1980, and its usual extensions), stated here on their own:
+# words with a stem of their own, suffixes with what replaces them, and suffixes that are dropped.
+_IRREGULAR = dict(
+    pair.split("=")
+    for pair in (
+        "sky=sky skies=sky dying=die lying=lie tying=tie news=news innings=inning inning=inning outings=outing "
+        "outing=outing cannings=canning canning=canning howe=howe proceed=proceed exceed=exceed succeed=succeed"
+    ).split()
+)
+_STEP_2 = [
+    pair.split("=")
+    for pair in (
+        "ational=ate tional=tion enci=ence anci=ance izer=ize bli=ble alli=al entli=ent eli=e ousli=ous ization=ize "
+        "ation=ate ator=ate alism=al iveness=ive fulness=ful ousness=ous aliti=al iviti=ive biliti=ble fulli=ful"
+    ).split()
+]
+_STEP_3 = [pair.split("=") for pair in "icate=ic ative= alize=al iciti=ic ical=ic ful= ness=".split()]
+_STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
+
+
 def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -152,8 +162,15 @@ def _case(rules: list[tuple[str, str]]) -> str:
     return "CASE " + " ".join(f"WHEN {when} THEN {then}" for when, then in rules) + " ELSE w END"
 
 
-def _swap(measure: str, suffix: str, replacement: str) -> str:
-    return f"regexp_replace(w, '^({measure}){suffix}$', '\\1{replacement}')"
+def _measure(text: str) -> str:
+    """How often vowels are followed by consonants."""
+    return f"len(regexp_extract_all({text}, '[aeiouy]+[^aeiouy]+'))"
+
+
+def _swap(least: int, suffix: str, replacement: str) -> str:
+    """The suffix replaced where what is left has so large a measure."""
+    rest = _cut(len(suffix))
+    return f"CASE WHEN {_measure(rest)} >= {least} THEN {rest} || '{replacement}' ELSE w END"
 
 
 def _ends(suffix: str) -> str:
@@ -173,9 +190,10 @@ def stems(vocabulary: str) -> tuple[str, ...]:
     rest = _cut(1)
     last, before = "substr(w, length(w) - 1, 1)", "substr(w, length(w) - 2, 1)"
     doubled = f"{last} = {before} AND regexp_matches({last}, '[^aeiouy]')"
-    short = f"regexp_matches({rest}, '{SHORT_SYLLABLE}')"
-    one = f"regexp_matches({rest}, '{MEASURE_IS_1}')"
-    two = f"regexp_matches({rest}, '^{MEASURE_ABOVE_1}')"
+    short = (
+        f"(regexp_matches({rest}, '[^aeiouy][aeiouy][^aeiouywxY]$') OR regexp_matches({rest}, '^[aeiouy][^aeiouy]$'))"
+    )
+    one, two = f"{_measure(rest)} = 1", f"{_measure(rest)} >= 2"
     steps = [
         _case(
             [
@@ -190,7 +208,7 @@ def stems(vocabulary: str) -> tuple[str, ...]:
             [
                 (f"{_ends('ied')} AND length(w) = 4", _cut(1)),
                 (_ends("ied"), _cut(2)),
-                (_ends("eed"), _swap(MEASURE_ABOVE_0, "eed", "ee")),
+                (_ends("eed"), _swap(1, "eed", "ee")),
                 (_ends("ed"), f"regexp_replace(w, '^(.*{vowel}.*)ed$', '\\1|')"),
                 (_ends("ing"), f"regexp_replace(w, '^(.*{vowel}.*)ing$', '\\1|')"),
             ]
@@ -206,20 +224,20 @@ def stems(vocabulary: str) -> tuple[str, ...]:
             ]
         ),
         _case([(_ends("y"), "regexp_replace(w, '^(.+[^aeiouy])y$', '\\1i')")]),
-        _case([(_ends("alli"), _swap(MEASURE_ABOVE_0, "alli", "al"))]),
+        _case([(_ends("alli"), _swap(1, "alli", "al"))]),
         _case(
-            [(_ends(s), _swap(MEASURE_ABOVE_0, s, r)) for s, r in STEP_2]
-            + [(_ends("logi"), _swap(MEASURE_ABOVE_0, "ogi", "og"))]
+            [(_ends(s), _swap(1, s, r)) for s, r in _STEP_2]
+            + [(_ends("logi"), _swap(1, "ogi", "og"))]
         ),
-        _case([(_ends(s), _swap(MEASURE_ABOVE_0, s, r)) for s, r in STEP_3]),
+        _case([(_ends(s), _swap(1, s, r)) for s, r in _STEP_3]),
         _case(
             [
                 (
                     _ends(s),
                     f"CASE WHEN {'TRUE' if s != 'ion' else _ends('sion') + ' OR ' + _ends('tion')} "
-                    f"THEN {_swap(MEASURE_ABOVE_1, s, '')} ELSE w END",
+                    f"THEN {_swap(2, s, '')} ELSE w END",
                 )
-                for s in STEP_4
+                for s in _STEP_4
             ]
         ),
         _case(
@@ -229,14 +247,14 @@ def stems(vocabulary: str) -> tuple[str, ...]:
             ]
         ),
     ]
-    special = ", ".join(quoted(word) for word in IRREGULAR)
+    special = ", ".join(quoted(word) for word in _IRREGULAR)
     marked = "regexp_replace(regexp_replace(term, '(^|[aeiou])y', '\\1Y', 'g'), 'yy', 'yY', 'g')"
     ctes = [
         f"stem0 AS (SELECT term, {marked} AS w FROM {vocabulary} "
         f"WHERE length(term) > 2 AND term NOT IN ({special}))"
     ]
     ctes += [f"stem{i + 1} AS (SELECT term, {step} AS w FROM stem{i})" for i, step in enumerate(steps)]
-    irregular = " ".join(f"WHEN {quoted(w)} THEN {quoted(s)}" for w, s in IRREGULAR.items())
+    irregular = " ".join(f"WHEN {quoted(w)} THEN {quoted(s)}" for w, s in _IRREGULAR.items())
     ctes.append(
         f"stems AS (SELECT term, replace(w, 'Y', 'y') AS stem FROM stem{len(steps)} UNION ALL "
         f"SELECT term, CASE term {irregular} ELSE term END FROM {vocabulary} "

@@ -37,3 +37,20 @@ def test_irregular_words(spark):
 
 def test_empty_array(spark):
     assert stems(spark, []) == []
+
+
+def test_a_word_for_every_suffix_rule(spark):
+    """Worked out by hand from the published rules: the suffix goes where the rest has vowels before consonants."""
+    words = """
+    relational:relat conditional:condit valenci:valenc hesitanci:hesit digitizer:digit conformabli:conform
+    radicalli:radic differentli:differ vileli:vile analogousli:analog vietnamization:vietnam predication:predic
+    operator:oper feudalism:feudal decisiveness:decis hopefulness:hope callousness:callous formaliti:formal
+    sensitiviti:sensit sensibiliti:sensibl hopefulli:hope apologi:apolog
+    triplicate:triplic formative:form formalize:formal electriciti:electr electrical:electr hopeful:hope goodness:good
+    revival:reviv allowance:allow inference:infer airliner:airlin gyroscopic:gyroscop adjustable:adjust
+    defensible:defens irritant:irrit replacement:replac adjustment:adjust dependent:depend adoption:adopt
+    homologou:homolog communism:commun activate:activ angulariti:angular homologous:homolog effective:effect
+    bowdlerize:bowdler onion:onion nation:nation
+    """
+    pairs = [pair.split(":") for pair in words.split()]
+    assert stems(spark, [w for w, _ in pairs]) == [s for _, s in pairs]
