@@ -12,8 +12,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def build_session(master: str = "local[*]", app: str = "lexiquarry", **conf) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC timestamps."""
+def build_session(
+    master: str = "local[*]", app: str = "lexiquarry", folder: str | None = None, **conf
+) -> SparkSession:
+    """A session with adaptive execution, skew-join splitting and UTC timestamps.
+
+    `folder` is where intermediate tables go, on storage all executors share.
+    """
+    if folder:
+        conf["spark.checkpoint.dir"] = folder
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
