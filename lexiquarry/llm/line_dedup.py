@@ -325,7 +325,7 @@ def dedup_lines(
     )
     distinct = settle(distinct, "distinct")
 
-    each = distinct.select("high", "low", F.posexplode("prints").alias("which", "simhash"))
+    each = distinct.select("high", "low", "first", F.posexplode("prints").alias("which", "simhash"))
     marks = settle(each.groupBy("which", "simhash").count(), "marks")
     near = with_candidates(marks, max_bits, most)
     # Lines of one fingerprint meet in any one trie.
@@ -333,9 +333,11 @@ def dedup_lines(
     shared = shared.select(trie_of(0, *blocks_of(max_bits)[0], F.col("which")).alias("trie"), "simhash")
     near = settle(near.unionByName(shared).groupBy("simhash").agg(F.collect_set("trie").alias("tries")), "near")
     name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
-    meets = each.join(near, "simhash").select("high", "low", F.explode("tries").alias("trie"), "simhash")
-    meets = meets.groupBy("high", "low").agg(F.collect_set(F.struct("trie", "simhash")).alias("meets"))
-    asked = distinct.join(meets, ["high", "low"])
+    asked = each.join(near, "simhash")
+    asked = asked.withColumn("meets", F.transform("tries", lambda t: F.struct(t.alias("trie"), F.col("simhash").alias("simhash"))))
+    if prints > 1:
+        both = F.flatten(F.collect_list("meets")).alias("meets")
+        asked = asked.groupBy("high", "low").agg(F.first("first").alias("first"), both)
     asked = asked.select(
         "first.key", "first.body", "first.line", name.alias("name"), "meets", F.col("first").alias("place")
     )
