@@ -1,6 +1,7 @@
 import math
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,6 +180,21 @@ def test_no_exchange_carries_matches(spark, docs, tmp_path):
     assert rows(best, "query_id", "doc_id", "score") == rows(scored, "query_id", "doc_id", "score")
 
 
+def test_scores_of_all_candidates_are_summed_by_document(spark, docs, tmp_path):
+    index = index_ops.store_index(docs(**MORE), str(tmp_path / "index"), buckets=2)
+    queries = spark.createDataFrame([(n, q) for n, q in enumerate(["red whale", "sea", "blue", "song"])], "query_id bigint, query string")
+    terms = ops.query_terms(queries)
+    for stats in ("global", "shard"):
+        scores = ops.tfidf(index, terms, stats)
+        assert "Exchange hashpartitioning" not in scores._jdf.queryExecution().executedPlan().toString()
+        assert rows(scores) == rows(ops.tfidf(replace(index, doc_terms=None), terms, stats))
+    met = ops.candidates(index, terms)
+    assert "term_bucket" in met.columns
+    assert rows(met) == rows(ops.candidates(replace(index, doc_terms=None), terms), *met.columns)
+    ids = met.select("query_id", "shard_id", "doc_id").distinct()
+    assert "Exchange hashpartitioning" not in ids._jdf.queryExecution().executedPlan().toString()
+
+
 def test_weights_beyond_the_broadcast_bound(spark, docs, tmp_path):
     index = index_ops.store_index(docs(**MORE), str(tmp_path / "index"))
     queries = spark.createDataFrame([(n, q) for n, q in enumerate(["red whale", "sea", "blue", "song"])], "query_id bigint, query string")
