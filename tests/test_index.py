@@ -86,6 +86,17 @@ def test_delete_drops_terms_without_documents(docs):
     assert flat(index) == flat(ops.build_index(docs(**rest)))
 
 
+def test_files_by_document_grow_with_the_corpus(spark, docs, tmp_path, monkeypatch):
+    monkeypatch.setattr(ops, "DOCS_PER_FILE", 2)
+    frame = docs(**{f"d{k}": f"red whale {k}" for k in range(90)})
+    stored = ops.store_index(frame, str(tmp_path / "index"))
+    assert spark.read.parquet(str(tmp_path / "index" / "layout")).first()["doc_files"] == 45
+    assert stored.doc_terms.groupBy(*ops.KEY).count().rdd.getNumPartitions() == 45
+    assert flat(stored) == flat(ops.build_index(frame))
+    again = ops.write_index(ops.build_index(docs(a="red")), str(tmp_path / "small"))
+    assert again.doc_terms.groupBy(*ops.KEY).count().rdd.getNumPartitions() == ops.DOC_FILES
+
+
 def test_reindex_leaves_documents_no_longer_in_the_table(docs):
     before = ops.build_index(docs(**CORPUS))
     after = ops.reindex(docs(a="red"), before)
