@@ -55,7 +55,7 @@ def idx04_corpus_size(spark, sf):
 
 def idx05_build_index(spark, sf):
     both = views.texts(spark, sf).unionByName(views.pages(spark, sf))
-    return _flat(ops.build_index(both, stem=False))
+    return _flat(ops.build_index(both, stem=False, once=True))
 
 
 def _changed(spark, sf):

@@ -97,6 +97,13 @@ def test_files_by_document_grow_with_the_corpus(spark, docs, tmp_path, monkeypat
     assert again.doc_terms.groupBy(*ops.KEY).count().rdd.getNumPartitions() == ops.DOC_FILES
 
 
+def test_all_tables_from_one_analysis(docs):
+    index = ops.build_index(docs(**CORPUS), once=True)
+    for table in (index.postings, index.term_stats, index.doc_stats):
+        assert "regexp_extract_all" not in table._jdf.queryExecution().optimizedPlan().toString()
+    assert flat(index) == flat(ops.build_index(docs(**CORPUS)))
+
+
 def test_reindex_leaves_documents_no_longer_in_the_table(docs):
     before = ops.build_index(docs(**CORPUS))
     after = ops.reindex(docs(a="red"), before)
