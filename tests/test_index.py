@@ -104,6 +104,17 @@ def test_all_tables_from_one_analysis(docs):
     assert flat(index) == flat(ops.build_index(docs(**CORPUS)))
 
 
+def test_many_changed_documents_are_met_by_document(docs, tmp_path, monkeypatch):
+    index = ops.store_index(docs(**CORPUS), str(tmp_path / "index"))
+    changed, gone = docs(a="red sea", e="green"), docs(b="", unknown="")
+    few = flat(ops.index_upsert(index, changed)), flat(ops.index_delete(index, gone))
+    monkeypatch.setattr(ops, "MANY_KEYS", 0)
+    after, left = ops.index_upsert(index, changed), ops.index_delete(index, gone)
+    assert (flat(after), flat(left)) == few
+    for entries in (after.postings, left.postings):
+        assert "term_bucket" not in entries._jdf.queryExecution().analyzed().toString()
+
+
 def test_reindex_leaves_documents_no_longer_in_the_table(docs):
     before = ops.build_index(docs(**CORPUS))
     after = ops.reindex(docs(a="red"), before)
