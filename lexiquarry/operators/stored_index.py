@@ -23,6 +23,7 @@ from lexiquarry.operators.index import (
     analyze,
     count_terms,
     doc_stats,
+    many,
     postings,
     term_bucket,
     term_stats,
@@ -79,16 +80,27 @@ def _doc_terms(spark: SparkSession, root: str, version: v.Version, gone: DataFra
 
 
 def _postings(spark: SparkSession, root: str, version: v.Version, gone: DataFrame | None, only=None) -> DataFrame:
-    _, buckets, _ = _settings(version)
+    """Postings, or those in some (shard, term bucket) pairs, with their term_bucket.
+
+    Documents of segments are met with the replaced keys before their terms are
+    spelled out, and so are all documents if the keys are many: single postings
+    are only ever joined with few keys.
+    """
     base = v.read_parts(spark, root, version, "postings", _POSTINGS, "term_bucket", only)
-    late = v.read_segments(spark, root, version, "doc_terms", _DOC_TERMS)
-    if late is not None:
-        each = late.select("shard_id", "doc_id", "doc_len", "segment", F.explode_outer("terms").alias("t")).where("t is not null")
-        late = each.select("shard_id", "t.term", "doc_id", "t.tf", "doc_len", "segment")
-        late = late.withColumn("term_bucket", term_bucket(buckets))
-        if only is not None:
-            late = late.where(v.within(only, "term_bucket"))
-    return v.live(base, late, gone)
+    if gone is None:
+        return base
+    if many(gone):
+        return _spelled(_doc_terms(spark, root, version, gone), version, only).select(*base.columns)
+    late = v.live_pieces(v.read_segments(spark, root, version, "doc_terms", _DOC_TERMS), gone)
+    kept = base.join(gone.select(*KEY), KEY, "left_anti")
+    return kept.unionByName(_spelled(late, version, only)).select(*base.columns)
+
+
+def _spelled(doc_terms: DataFrame, version: v.Version, only=None) -> DataFrame:
+    """Postings of documents with their term_bucket, or those of them in some (shard, term bucket) pairs."""
+    _, buckets, _ = _settings(version)
+    entries = postings(doc_terms).withColumn("term_bucket", term_bucket(buckets))
+    return entries if only is None else entries.where(v.within(only, "term_bucket"))
 
 
 def _term_stats(spark: SparkSession, root: str, version: v.Version, only=None) -> DataFrame:
@@ -178,19 +190,22 @@ def merge_index(spark: SparkSession, root: str) -> v.Version:
     by_id = v.touched(gone.withColumn("doc_bucket", document_bucket("doc_id", doc_buckets)), "doc_bucket")
     moved = v.read_segments(spark, root, version, "moved", _STATS)
     by_term = v.touched(moved.withColumn("term_bucket", term_bucket(buckets)), "term_bucket")
-    written = {
-        **v.write_parts(_doc_terms(spark, root, version, gone, by_id), root, "doc_terms", "doc_bucket", ["doc_id"]),
-        **v.write_parts(
-            _postings(spark, root, version, gone, by_term).select(*_PLAIN, "term_bucket"),
-            root, "postings", "term_bucket", ["term", "doc_id"],
-        ),
-        **v.write_parts(_term_stats(spark, root, version, by_term), root, "term_stats", "term_bucket", ["term"]),
-    }
     old = {
         (table, s, b): gen
         for (table, s, b), gen in version.parts.items()
         if (s, b) not in (by_id if table == "doc_terms" else by_term)
     }
+    written = v.write_parts(_doc_terms(spark, root, version, gone, by_id), root, "doc_terms", "doc_bucket", ["doc_id"])
+    if many(gone):
+        # What was just written holds every document that counts; nothing has to be joined again.
+        merged = replace(version, parts={**old, **written}, segments=())
+        entries = _spelled(_doc_terms(spark, root, merged, None), version, by_term)
+    else:
+        entries = _postings(spark, root, version, gone, by_term)
+    written |= {
+        **v.write_parts(entries.select(*_PLAIN, "term_bucket"), root, "postings", "term_bucket", ["term", "doc_id"]),
+        **v.write_parts(_term_stats(spark, root, version, by_term), root, "term_stats", "term_bucket", ["term"]),
+    }
     return v.publish(spark, root, replace(version, number=version.number + 1, parts={**old, **written}, segments=()))
 
 

@@ -173,8 +173,12 @@ def live(base: DataFrame, pieces: DataFrame | None, gone: DataFrame | None) -> D
     if gone is None:
         return base
     kept = base.join(gone.select(*KEY), KEY, "left_anti")
-    late = pieces.join(gone, KEY, "left").where("last IS NULL OR segment >= last")
-    return kept.unionByName(late.select(*kept.columns))
+    return kept.unionByName(live_pieces(pieces, gone).select(*kept.columns))
+
+
+def live_pieces(pieces: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of segments that no later segment replaces."""
+    return pieces.join(gone, KEY, "left").where("last IS NULL OR segment >= last")
 
 
 def touched(rows: DataFrame, bucket: str) -> set[tuple[int, int]]:

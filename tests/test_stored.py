@@ -25,6 +25,27 @@ def words(rng):
     return " ".join(rng.choice("amber birch cedar delta ember frost grove heath".split()) for _ in range(rng.randint(0, 12)))
 
 
+def test_many_replaced_keys_are_met_by_document(spark, docs, tmp_path, monkeypatch):
+    """Postings are not joined with the keys; segments and a merge give what few keys give."""
+    seen = []
+    for most in (index.MANY_KEYS, 0):
+        monkeypatch.setattr(index, "MANY_KEYS", most)
+        root = str(tmp_path / str(most))
+        stored_index.create_index(docs(**CORPUS, shards=3), root, buckets=4, doc_buckets=4)
+        stored_index.upsert_index(spark, root, docs(a="red sea", e="green whale", shards=3))
+        stored_index.upsert_index(spark, root, docs(e="green", f="song", shards=3))
+        stored_index.delete_from_index(spark, root, docs(b="", unknown="", shards=3))
+        late = stored_index.open_index(spark, root)
+        read = late.postings.where("term = 'red'")._jdf.queryExecution().optimizedPlan().toString()
+        assert ("term_bucket" in read.split("Join LeftAnti")[-1]) == (most > 0)
+        found = flat(late)
+        stored_index.merge_index(spark, root)
+        merged = flat(stored_index.open_index(spark, root))
+        assert merged == found
+        seen.append(found)
+    assert seen[0] == seen[1]
+
+
 def test_upserts_and_deletes_equal_a_rebuild(spark, docs, tmp_path):
     rng, root = random.Random(4), str(tmp_path)
     now = {f"d{k}": words(rng) for k in range(40)}
