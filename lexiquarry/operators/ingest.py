@@ -68,7 +68,8 @@ def validate_json(
     that keeps them, and their types.
     """
     df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    parsed = df.withColumn("_doc", F.try_parse_json(payload))
+    # A row of its own for the parsed text: no filter on what is in it is pushed below the parsing, which would parse once a rule.
+    parsed = df.select("*", F.explode_outer(F.array(F.try_parse_json(payload))).alias("_doc"))
     part = {n: F.try_variant_get("_doc", f"$.{n}", "variant") for n in ("id", "content", "title", "source", "metadata")}
     parsed = parsed.withColumns({f"_{n}": _kind(part[n]) for n in ("content", "title", "source", "metadata")})
     if nested:
@@ -78,6 +79,9 @@ def validate_json(
     nothing = F.to_json("_doc").isin("null", "false", '""', "[]", "{}") | (
         _kind(F.col("_doc")).isin("BIGINT", "DECIMAL", "DOUBLE") & (F.try_variant_get("_doc", "$", "double") == 0)
     )
+    # An object with fields holds something; its whole text is not written to see that.
+    fields = F.schema_of_variant("_doc")
+    nothing = F.when(fields.startswith("OBJECT<") & (fields != "OBJECT<>"), False).otherwise(nothing)
     parsed = parsed.select(
         *df.columns,
         _text(part["id"]).alias("doc_id"),

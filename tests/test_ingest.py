@@ -153,3 +153,31 @@ def test_accept_keeps_rejected_rows(spark, docs):
     done = ingest.accept(frame, "now")
     assert rows(done, "doc_id", "valid", "error") == [("a", True, ""), ("b", False, ingest.CONTENT_EMPTY)]
     assert done.where("doc_id = 'b' and shard_id is null and metadata is null").count() == 1
+
+
+def test_a_filter_on_the_verdict_does_not_parse_again(spark):
+    frame = spark.createDataFrame([('{"content": "x"}',)], "payload string")
+    for nested in (False, True):
+        plan = ingest.validate_json(frame, nested=nested).where("valid")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("parsejson") + plan.lower().count("parse_json") == 1
+
+
+def test_objects_with_empty_fields_are_data(spark):
+    texts = ['{"a": null}', '{"content": ""}', "{}", " { } ", '[{}]', "[]", "null", "0", "0.0", "false", '""', "7", "[null]", None, "{"]
+    frame = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, payload string")
+    errors = [r.error for r in ingest.validate_json(frame).orderBy("n").collect()]
+    nothing, missing = ingest.NO_DATA, ingest.CONTENT_MISSING
+    assert errors == [missing, ingest.CONTENT_EMPTY, nothing, nothing, missing, *[nothing] * 6, missing, missing, ingest.MALFORMED, ingest.MALFORMED]
+
+
+def test_nested_documents_are_parsed_once_for_both_writes(spark, tmp_path, monkeypatch):
+    from lexiquarry.plans import ingest as plans
+
+    rows = [(n, "en", "s", "two words", 9) for n in range(4)]
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    given, create, upsert = [], plans.stored.create_documents, plans.stored.upsert_documents
+    monkeypatch.setattr(plans.stored, "create_documents", lambda docs, *a: (given.append(docs), create(docs, *a))[1])
+    monkeypatch.setattr(plans.stored, "upsert_documents", lambda s, root, docs, *a: (given.append(docs), upsert(s, root, docs, *a))[1])
+    assert plans.src08_nested_metadata(spark, str(tmp_path)).count() == 4
+    plans_of = [d._jdf.queryExecution().logical().toString().lower() for d in given]
+    assert len(given) == 2 and not any("from_json" in p or "parsejson" in p or "parse_json" in p for p in plans_of)
