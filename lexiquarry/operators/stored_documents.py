@@ -70,8 +70,12 @@ def upsert_documents(
     are "updated"; new ones are "indexed". Of several versions of a document in
     the batch the last by `order` counts. `settings` are recorded with the version.
     """
+    return upsert_latest(spark, root, settle(latest_versions(incoming, order).select(*KEY, *FIELDS), "batch"), now, **settings)
+
+
+def upsert_latest(spark: SparkSession, root: str, latest: DataFrame, now: Column, **settings: str) -> DataFrame:
+    """As `upsert_documents`, for a stored batch in which each document is there once already."""
     version = v.read_version(spark, root)
-    latest = settle(latest_versions(incoming, order).select(*KEY, *FIELDS), "batch")
     keys = lookup_side(latest.select(*KEY))
     known = _stored(spark, root, version, keys).select(*KEY, F.col("created_at").alias("_since"), F.lit(True).alias("_known"))
     known = settle(known, "known")

@@ -61,7 +61,7 @@ def index_stream(
         done = {v.batch_name(checkpoint): str(number)}
         rows = settle(latest_versions(batch, order), "batch")
         if not v.has_batch(v.read_version(spark, documents), checkpoint, number):
-            stored_documents.upsert_documents(spark, documents, rows, now, order, **done)
+            stored_documents.upsert_latest(spark, documents, rows, now, **done)
         if not v.has_batch(v.read_version(spark, index), checkpoint, number):
             version = stored_index.upsert_index(spark, index, rows, **done)
             if len(version.segments) >= merge_after:

@@ -240,3 +240,14 @@ def test_many_update_batches_equal_batches_in_order(spark, feed, tmp_path):
     expected = sorted((0, t, f) for t, f in state.items() if f > 0)
     assert rows(term_streams.current_frequencies(spark, out)) == expected
     assert len(versions.read_version(spark, out).segments) < 3
+
+
+def test_a_micro_batch_is_cut_to_last_versions_once(spark, docs, feed, tmp_path, monkeypatch):
+    def again(*_):
+        raise AssertionError("the batch has each document once already")
+
+    monkeypatch.setattr(stored_documents, "latest_versions", again)
+    out = str(tmp_path / "out")
+    batch = seq(docs(a="red", b="blue"), 0).unionByName(seq(docs(a="green"), 1))
+    finish(index_streams.index_stream(feed("docs", batch), out, str(tmp_path / "offsets"), moment(NOW)))
+    assert rows(index_streams.current_documents(spark, out), "doc_id", "content") == [("a", "green"), ("b", "blue")]
