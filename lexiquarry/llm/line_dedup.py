@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from lexiquarry.llm.components import components
 from lexiquarry.llm.rows import discard, per_text, raw_bytes, settle
 from lexiquarry.llm.simhash import SETS_APART, Forest, blocks_of, deal, deal_groups, fingerprint_of, joined_tries, trie_join, trie_of
-from lexiquarry.llm.words import Words, mix, words_in
+from lexiquarry.llm.words import Words, mix, words_in, words_of
 
 MIN_WORDS = 5
 MAX_BITS = 4
@@ -107,7 +107,7 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
     if not len(keep):
         return np.zeros(len(texts), np.int64), [np.zeros(0, np.int64)] * (4 + prints)
     # Distinct words: with repeats, the few commonest words of a language would make unlike lines candidates.
-    values, owner = distinct_in(words.text, mix(hashes))
+    values, owner = distinct_in(words.text, mix(hashes)) if prints else (hashes, words.text)
     found = []
     for k in range(prints):
         seeded = values if not k else mix(values + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
@@ -118,34 +118,36 @@ def line_marks(texts: pa.Array, min_words: int, prints: int = 1) -> tuple[np.nda
 
 
 def distinct_in(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct values of each owner, and their owners."""
-    order = np.lexsort((values, owner))
-    owner, values = owner[order], values[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (values[1:] != values[:-1])
-    return values[new], owner[new]
+    """The distinct values of each owner, and their owners in order."""
+    if not len(values):
+        return values, owner
+    coded = pa.array(values).dictionary_encode()
+    known = coded.dictionary.to_numpy()
+    # Owner and place in the dictionary as one number: plain numbers are sorted fastest.
+    bits = len(known).bit_length()
+    both = np.sort(owner << bits | coded.indices.to_numpy())
+    both = both[np.append(True, both[1:] != both[:-1])]
+    return known[both & ((1 << bits) - 1)], both >> bits
 
 
 def marked_lines(docs: DataFrame, key: str, text: str, min_words: int, short: bool = False, prints: int = 1) -> DataFrame:
-    """(key, body, line, high, low, prints) of every line that counts; body is the hash of its row's text.
+    """(key, body, line, high, low, print0, print1 ...) of every line that counts; body is the hash of its row's text.
 
     Lines that are too short to be compared come along with `short`, without SimHashes.
     """
+    names = [f"print{k}" for k in range(prints)]
 
     def make():
         def of(texts: pa.Array) -> list[pa.Array]:
             many, (line, high, low, long, *found) = line_marks(texts, 1 if short else min_words, prints)
-            has = long >= min_words
-            bits = np.stack(found, axis=1)[has].ravel() if len(has) else np.zeros(0, np.int64)
-            ends = np.concatenate(([0], np.cumsum(has))).astype(np.int32) * prints
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bits))
+            cols = [*(pa.array(m) for m in (line, high, low)), *(pa.array(f, mask=long < min_words) for f in found)]
             ends = np.concatenate(([0], np.cumsum(many))).astype(np.int32)
-            rows = pa.StructArray.from_arrays([*(pa.array(m) for m in (line, high, low)), lists], ["line", "high", "low", "prints"])
+            rows = pa.StructArray.from_arrays(cols, ["line", "high", "low", *names])
             return [pa.ListArray.from_arrays(pa.array(ends), rows)]
 
         return of
 
-    fields = "lines array<struct<line:long,high:long,low:long,prints:array<long>>>"
+    fields = f"lines array<struct<line:long,high:long,low:long,{','.join(f'{n}:long' for n in names)}>>"
     rows = per_text(known(docs, key, text), make, fields, "text", ["key", "body"])
     return rows.select("key", "body", F.inline("lines"))
 
@@ -158,9 +160,15 @@ def known(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 def normal(line: str) -> str:
     """The lower-cased words of a line with one space between."""
-    data = line.encode()
-    words = words_in(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
-    return b" ".join(words.arrow().to_pylist()).decode()
+    return normals(pa.array([line]))[0].as_py()
+
+
+def normals(lines: pa.Array) -> pa.Array:
+    """`normal` of many lines at once."""
+    words = words_of(lines)
+    ends = pa.array(np.concatenate(([0], np.cumsum(words.counts()))))
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(ends, words.arrow()), pa.scalar(b" ", pa.large_binary()))
+    return joined.cast(pa.large_string()).cast(pa.string())
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -247,13 +255,14 @@ def with_candidates(simhashes: DataFrame, max_bits: int, most: int) -> DataFrame
 
 
 def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: int) -> DataFrame:
-    """Links (a, b) of line names that are candidates and alike; `placed` has trie, simhash, name and text."""
+    """Links (a, b) of nodes whose lines are candidates and alike; `placed` has trie, simhash, node and text."""
 
     def join(batches):
         got = [b for b in batches if b.num_rows]
         if got:
-            trie, part, fp = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in ("trie", "part", "simhash"))
-            names, texts = (pa.chunked_array([b.column(c) for b in got]) for c in ("name", "text"))
+            columns = ("trie", "part", "simhash", "node")
+            trie, part, fp, node = (np.concatenate([b.column(c).to_numpy() for b in got]) for c in columns)
+            texts = pa.chunked_array([b.column("text") for b in got])
             cuts = blocks_of(max_bits)
             for own, group, turned, width in joined_tries(trie, part, fp.view(np.uint64), max_bits):
                 forest = Forest(len(own))
@@ -271,21 +280,22 @@ def verified_links(placed: DataFrame, max_bits: int, similarity: float, most: in
 
                 trie_join(group, turned, width, max_bits, near)
                 for a, b in forest.links:
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(own[x])).combine_chunks().cast(pa.string()) for x in (a, b)], ["a", "b"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array(node[own[x]]) for x in (a, b)], ["a", "b"])
 
-    return deal_groups(placed, most).select("trie", "part", "simhash", "name", "text").mapInArrow(join, "a string, b string")
+    return deal_groups(placed, most).select("trie", "part", "simhash", "node", "text").mapInArrow(join, "a long, b long")
 
 
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Normalised texts of the wanted lines (key, body, line, name), with what else `wanted` has."""
-    rest = [c for c in wanted.columns if c not in ("key", "body", "line")]
-    by_doc = wanted.groupBy("key", "body").agg(F.collect_list(F.struct("line", *rest)).alias("lines"))
+    """Normalised texts of the wanted lines (key, body, line, high, low, node), with what else `wanted` has."""
+    rest = [c for c in wanted.columns if c not in ("key", "body", "line", "high", "low")]
+    by_doc = wanted.groupBy("key", "body").agg(F.collect_list(F.struct("line", "high", "low", *rest)).alias("lines"))
     by_doc = by_doc.withColumnsRenamed({"key": "in", "body": "of"})
     lines = F.split("text", "\n", -1)
     found = F.transform(
-        "lines", lambda x: F.struct(F.get(lines, x["line"].cast("int")).alias("text"), *(x[c].alias(c) for c in rest))
+        "lines",
+        lambda x: F.struct(
+            F.get(lines, x["line"].cast("int")).alias("text"), *(x[c].alias(c) for c in ("high", "low", *rest))
+        ),
     )
     raw = docs.join(by_doc, docs["key"].eqNullSafe(by_doc["in"]) & (docs["body"] == by_doc["of"])).select(F.inline(found))
 
@@ -293,14 +303,12 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             # Only the line that was marked counts, should two texts of one key have the same hash.
             many, (_, high, low, *_) = line_marks(b.column("text"), 1, 0)
-            names = np.full(len(many), "", object)
-            names[many == 1] = [f"{h:X}-{x:X}" for h, x in zip(high.view(np.uint64), low.view(np.uint64), strict=True)]
-            right = pa.array(names.tolist(), pa.string()) if len(names) else pa.array([], pa.string())
-            b = b.filter(pc.equal(b.column("name").cast(pa.string()), right))
-            texts = pa.array([normal(t) for t in b.column("text").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([texts, *b.columns[1:]], b.schema.names)
+            right = many == 1
+            right[right] = (b.column("high").to_numpy()[right] == high) & (b.column("low").to_numpy()[right] == low)
+            b = b.filter(pa.array(right))
+            yield pa.RecordBatch.from_arrays([normals(b.column("text")), *(b.column(c) for c in rest)], ["text", *rest])
 
-    return raw.mapInArrow(clean, raw.schema).dropDuplicates(["name"])
+    return raw.mapInArrow(clean, raw.select("text", *rest).schema).dropDuplicates(["node"])
 
 
 def dedup_lines(
@@ -320,49 +328,53 @@ def dedup_lines(
     plain = known(docs, key, text)
     lines = settle(marked_lines(docs, key, text, min_words, short, prints), "lines")
     place = F.struct(F.col("key").isNull().alias("last"), "key", "body", "line")
-    distinct = lines.groupBy("high", "low").agg(
-        F.min(place).alias("first"), F.first("prints").alias("prints"), F.count("*").alias("many")
-    )
+    # Counts and least numbers need no sorting. The least of each part is a place if there is one only.
+    names = [f"print{k}" for k in range(prints)]
+    distinct = lines.groupBy("high", "low").agg(*(F.min(c).alias(c) for c in ("key", "body", "line", *names)), F.count("*").alias("many"))
     distinct = settle(distinct, "distinct")
+    again = lines.join(distinct.where("many > 1").select("high", "low"), ["high", "low"])
+    again = settle(again.select("high", "low", "key", "body", "line"), "again")
+    discard(lines)
+    repeated = settle(again.groupBy("high", "low").agg(F.min(place).alias("first")), "repeated")
 
-    each = distinct.select("high", "low", "first", F.posexplode("prints").alias("which", "simhash"))
+    each = distinct.where("print0 IS NOT NULL")
+    each = each.select("high", "low", "key", "body", "line", F.posexplode(F.array(*names)).alias("which", "simhash"))
     marks = settle(each.groupBy("which", "simhash").count(), "marks")
     near = with_candidates(marks, max_bits, most)
     # Lines of one fingerprint meet in any one trie.
     shared = marks.where("count > 1")
     shared = shared.select(trie_of(0, *blocks_of(max_bits)[0], F.col("which")).alias("trie"), "simhash")
     near = settle(near.unionByName(shared).groupBy("simhash").agg(F.collect_set("trie").alias("tries")), "near")
-    name = F.concat(F.hex("high"), F.lit("-"), F.hex("low"))
-    asked = each.join(near, "simhash")
-    asked = asked.withColumn("meets", F.transform("tries", lambda t: F.struct(t.alias("trie"), F.col("simhash").alias("simhash"))))
+    meets = F.transform("tries", lambda t: F.struct(t.alias("trie"), F.col("simhash").alias("simhash")))
+    asked = each.join(near, "simhash").select("high", "low", place.alias("place"), meets.alias("meets"))
     if prints > 1:
         both = F.flatten(F.collect_list("meets")).alias("meets")
-        asked = asked.groupBy("high", "low").agg(F.first("first").alias("first"), both)
-    asked = asked.select(
-        "first.key", "first.body", "first.line", name.alias("name"), "meets", F.col("first").alias("place")
-    )
-    asked = settle(asked, "asked")
-    discard(marks, near)
-    texts = settle(fetched(plain, asked.select("key", "body", "line", "name", "meets")), "texts")
-    placed = texts.select(F.inline("meets"), "name", "text")
+        asked = asked.groupBy("high", "low").agg(F.first("place").alias("place"), both)
+    asked = asked.join(repeated, ["high", "low"], "left").withColumn("place", F.coalesce("first", "place"))
+    # Stored once, so a line's number stays.
+    asked = settle(asked.select("high", "low", "place", "meets", F.monotonically_increasing_id().alias("node")), "asked")
+    discard(marks, near, distinct)
+    texts = settle(fetched(plain, asked.select("place.key", "place.body", "place.line", "high", "low", "node", "meets")), "texts")
+    placed = texts.select(F.inline("meets"), "node", "text")
     found = verified_links(placed, max_bits, similarity, most)
     found = settle(found, "links")
     groups = settle(components(found), "groups")
     discard(texts, found)
-    members = settle(groups.join(asked.select(F.col("name").alias("node"), "place"), "node"), "members")
-    firsts = settle(members.groupBy("root").agg(F.min("place").alias("first")), "firsts")
-    joined = members.join(firsts, "root").select("node", "first")
+    members = settle(groups.join(asked.select("node", "high", "low", "place"), "node"), "members")
+    firsts = settle(members.groupBy("root").agg(F.min("place").alias("stays")), "firsts")
+    joined = settle(members.join(firsts, "root").select("high", "low", "place", "stays"), "joined")
+    discard(groups, asked, members, firsts)
 
     # Only lines that are repeated or in a group can lose an occurrence.
-    named = distinct.withColumn("node", name).join(joined.withColumnRenamed("first", "group_first"), "node", "left")
-    named = named.where((F.col("many") > 1) | F.col("group_first").isNotNull())
-    named = settle(named.select("high", "low", F.coalesce("group_first", "first").alias("stays")), "repeated")
-    discard(distinct, groups, asked, members, firsts)
-    gone = lines.join(named, ["high", "low"]).where(place != F.col("stays"))
-    gone = gone.select("key", "body", "line").distinct()
+    named = repeated.join(joined.select("high", "low", "stays"), ["high", "low"], "left")
+    # Stored, so that the next join is alone in its stage, where a very common line is split.
+    named = settle(named.select("high", "low", F.coalesce("stays", "first").alias("stays")), "named")
+    gone = again.join(named, ["high", "low"]).select(place.alias("place"), "stays")
+    gone = gone.unionByName(joined.select("place", "stays")).where(F.col("place") != F.col("stays"))
+    gone = gone.select("place.key", "place.body", "place.line").distinct()
     by_doc = gone.groupBy("key", "body").agg(F.collect_list("line").alias("__gone"))
     by_doc = settle(by_doc.withColumnsRenamed({"key": "__key", "body": "__body"}), "gone")
-    discard(lines, named)
+    discard(again, repeated, joined, named)
 
     # Under names of their own, so that no column of the input can clash.
     shown = [c for c in keep if c not in ("n_lines", "n_removed")]

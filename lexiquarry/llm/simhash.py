@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from lexiquarry.llm.components import components
-from lexiquarry.llm.rows import per_text, settle
+from lexiquarry.llm.rows import lookup_side, per_text, settle
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -251,9 +251,9 @@ def trie_of(k: int, first: int, width: int, which: Column | None = None) -> Colu
 
 
 def deal_groups(keyed: DataFrame, most: int = MOST) -> DataFrame:
-    # Of at most (blocks x 2^13) values few are large.
+    # Of at most (blocks x 2^13) values few are large; they are stored, so that the rows need not be shuffled to meet them.
     large = keyed.groupBy("trie").count().where(F.col("count") > most)
-    chunks = large.select("trie", F.ceil(2 * F.col("count") / most).alias("chunks"))
+    chunks = lookup_side(large.select("trie", F.ceil(2 * F.col("count") / most).alias("chunks")))
     own = F.pmod(F.xxhash64("simhash", F.lit(7)), F.col("chunks"))
     pair = F.transform(
         F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
@@ -275,7 +275,8 @@ def joined_tries(trie: np.ndarray, part: np.ndarray, fp: np.ndarray, max_bits: i
             value = fp[own]
             # The block comes on top; the rest follows in a circle.
             turned = value if not first else (value << np.uint64(first)) | (value >> np.uint64(64 - first))
-            order = np.lexsort((turned, part[own], trie[own]))
+            # One part a block value: the places in order are in order of their values, too.
+            order = np.lexsort((turned, part[own], trie[own])) if part[own].any() else np.argsort(turned)
             own, turned = own[order], turned[order]
             new = (trie[own][1:] != trie[own][:-1]) | (part[own][1:] != part[own][:-1])
             yield own, np.concatenate(([0], np.cumsum(new))), turned, width

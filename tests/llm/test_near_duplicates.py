@@ -278,3 +278,58 @@ def test_short_and_unspaced_lines(spark):
     assert got == {1: texts[0], 2: "--\nthe und", 3: texts[2]}
     kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
     assert kept[2] == "read MORE!\n--\nthe und"
+
+
+def test_rows_move_once_to_their_block_values(spark):
+    """The few large block values are broadcast, so the rows are shuffled for the join of tries only."""
+    values = spark.range(20_000).select(F.xxhash64("id").alias("simhash")).unionByName(spark.range(9).select(F.col("id").alias("simhash")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        dealt = simhash.deal(values, max_bits=2, most=4)
+        plan = dealt._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    parts = {}
+    for r in dealt.where("simhash between 0 and 8 or simhash % 500 = 0").collect():
+        parts.setdefault(r.simhash, set()).add((r.trie, r.part))
+    assert len(parts) > 9
+    # Every two values that agree on a block meet in one of its parts.
+    cuts = [(64 - a - w, (1 << w) - 1) for a, w in simhash.blocks_of(2)]
+    for a in parts:
+        for b in parts:
+            if any((a >> s) & m == (b >> s) & m for s, m in cuts):
+                assert parts[a] & parts[b]
+
+
+def test_distinct_lines_are_summed_without_sorting(spark):
+    """Of a repeated line the first place stays, though the least line number and the least hash of a text are in other places."""
+    line = "the white whale swam far out into the cold northern sea"
+    rows = [(9, f"{line}\nnine"), (3, f"a\nb\n{line}"), (None, line), (5, f"five\n{line}\n{line}"), (3, f"x\n{line}")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    expected = min((k, b, n) for k, b, n in ((r.doc_id, r.b, r.text.split("\n").index(line)) for r in frame.where("doc_id = 3").withColumn("b", F.xxhash64("text")).collect()))
+    got = line_dedup.dedup_lines(frame).withColumn("n", F.col("n_lines") - F.col("n_removed")).collect()
+    left = [r for r in got if line in r.text]
+    assert len(left) == 1 and left[0].doc_id == 3 and left[0].text.split("\n").index(line) == expected[2]
+    assert sum(r.n_removed for r in got) == 5
+    marked = line_dedup.marked_lines(frame, "doc_id", "text", 5, short=True)
+    assert {(r.print0 is None) for r in marked.collect()} == {True, False}
+    least = marked.groupBy("high", "low").agg(*(F.min(c) for c in ("key", "body", "line", "print0")), F.count("*"))
+    plan = least._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_distinct_words_and_normal_lines_at_once():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 700):
+        owner = np.sort(rng.integers(0, 50, n))
+        values = rng.choice(np.append(rng.integers(0, 2**64 - 1, 9, dtype=np.uint64), np.array([0, 2**64 - 1], np.uint64)), n)
+        got, of = line_dedup.distinct_in(owner, values)
+        assert (np.diff(of) >= 0).all() and len(got) == len(set(zip(owner.tolist(), values.tolist())))
+        assert set(zip(of.tolist(), got.tolist())) == set(zip(owner.tolist(), values.tolist()))
+    lines = ["", "--", " The  END. of IT", "É\u00a0x 大白鲸", "one", "a" * 70_000]
+    assert line_dedup.normals(pa.array(lines)).to_pylist() == ["", "", "the end of it", "É\u00a0x 大白鲸", "one", "a" * 70_000]
+    assert line_dedup.normals(pa.array([], pa.string())).to_pylist() == []
