@@ -39,7 +39,7 @@ def _schema(version: v.Version) -> T.StructType:
     return T.StructType.fromJson(json.loads(version.settings["schema"]))
 
 
-def _rows(spark: SparkSession, root: str, version: v.Version, only=None) -> DataFrame:
+def _rows(spark: SparkSession, root: str, version: v.Version, only=None, keys: DataFrame | None = None) -> DataFrame:
     schema = _schema(version)
     base = v.read_parts(spark, root, version, "documents", schema, BUCKET, only)
     late = v.read_segments(spark, root, version, "documents", schema)
@@ -47,7 +47,7 @@ def _rows(spark: SparkSession, root: str, version: v.Version, only=None) -> Data
         late = late.withColumn(BUCKET, document_bucket())
         if only is not None:
             late = late.where(v.within(only, BUCKET))
-    return v.live(base, late, v.replaced(spark, root, version)).select(*KEY, *FIELDS, *_TIMES, "status", BUCKET)
+    return v.live(base, late, v.replaced(spark, root, version), keys).select(*KEY, *FIELDS, *_TIMES, "status", BUCKET)
 
 
 def open_documents(spark: SparkSession, root: str, version: v.Version | None = None) -> DataFrame:
@@ -58,7 +58,7 @@ def open_documents(spark: SparkSession, root: str, version: v.Version | None = N
 def _stored(spark: SparkSession, root: str, version: v.Version, keys: DataFrame) -> DataFrame:
     """The stored rows of these keys; other buckets are not opened."""
     only = v.touched(keys.withColumn(BUCKET, document_bucket()), BUCKET)
-    return _rows(spark, root, version, only).join(keys, KEY, "left_semi")
+    return _rows(spark, root, version, only, keys)
 
 
 def upsert_documents(
@@ -85,8 +85,8 @@ def upsert_latest(spark: SparkSession, root: str, latest: DataFrame, now: Column
         *KEY, *FIELDS, F.coalesce("_since", now).alias("created_at"), now.alias("updated_at"), status
     )
     types = {f.name: f.dataType for f in _schema(version).fields}
-    written.select(*(F.col(c).cast(types[c]) for c in written.columns)).write.parquet(f"{folder}/documents")
-    keys.write.parquet(f"{folder}/gone")
+    v.write_segment(written.select(*(F.col(c).cast(types[c]) for c in written.columns)), folder, "documents")
+    v.write_segment(keys, folder, "gone")
     v.publish(spark, root, version.with_segment(name, **settings))
     return spark.read.schema(_schema(version)).parquet(f"{folder}/documents").select(*KEY, "status")
 
@@ -97,9 +97,8 @@ def delete_documents(spark: SparkSession, root: str, ids: DataFrame, **settings:
     asked = settle(ids.select(*KEY).distinct(), "asked")
     found = settle(_stored(spark, root, version, asked).select(*KEY), "found")
     name, folder = v.new_segment(root)
-    found.write.parquet(f"{folder}/gone")
-    empty = spark.createDataFrame([], _schema(version))
-    empty.write.parquet(f"{folder}/documents")
+    v.write_segment(found, folder, "gone")
+    v.write_segment(spark.createDataFrame([], _schema(version)), folder, "documents")
     v.publish(spark, root, version.with_segment(name, **settings))
     return asked.join(found.withColumn("_found", F.lit(True)), KEY, "left").select(
         *KEY,
@@ -115,7 +114,9 @@ def merge_documents(spark: SparkSession, root: str) -> v.Version:
         return version
     gone = v.replaced(spark, root, version)
     only = v.touched(gone.withColumn(BUCKET, document_bucket()), BUCKET)
-    written = v.write_parts(_rows(spark, root, version, only), root, "documents", BUCKET, ["doc_id"])
+    written = {}
+    for own in v.by_shard(only):
+        written |= v.write_parts(_rows(spark, root, version, own), root, "documents", BUCKET, ["doc_id"])
     old = {part: gen for part, gen in version.parts.items() if part[1:] not in only}
     return v.publish(spark, root, replace(version, number=version.number + 1, parts={**old, **written}, segments=()))
 

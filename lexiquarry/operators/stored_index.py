@@ -67,8 +67,10 @@ def _settings(version: v.Version) -> tuple[bool, int, int]:
     return s["stem"] == "True", int(s["buckets"]), int(s["doc_buckets"])
 
 
-def _doc_terms(spark: SparkSession, root: str, version: v.Version, gone: DataFrame | None, only=None) -> DataFrame:
-    """Term counts of all documents, or of those in some (shard, bucket) pairs, with their doc_bucket."""
+def _doc_terms(
+    spark: SparkSession, root: str, version: v.Version, gone: DataFrame | None, only=None, keys: DataFrame | None = None
+) -> DataFrame:
+    """Term counts of all documents, or of those in some (shard, bucket) pairs or with some keys, with their doc_bucket."""
     _, _, doc_buckets = _settings(version)
     base = v.read_parts(spark, root, version, "doc_terms", _DOC_TERMS, "doc_bucket", only)
     late = v.read_segments(spark, root, version, "doc_terms", _DOC_TERMS)
@@ -76,7 +78,7 @@ def _doc_terms(spark: SparkSession, root: str, version: v.Version, gone: DataFra
         late = late.withColumn("doc_bucket", document_bucket("doc_id", doc_buckets))
         if only is not None:
             late = late.where(v.within(only, "doc_bucket"))
-    return v.live(base, late, gone)
+    return v.live(base, late, gone, keys)
 
 
 def _postings(spark: SparkSession, root: str, version: v.Version, gone: DataFrame | None, only=None) -> DataFrame:
@@ -136,7 +138,7 @@ def _old(spark: SparkSession, root: str, version: v.Version, keys: DataFrame) ->
     _, _, doc_buckets = _settings(version)
     only = v.touched(keys.withColumn("doc_bucket", document_bucket("doc_id", doc_buckets)), "doc_bucket")
     gone = v.replaced(spark, root, version)
-    return _doc_terms(spark, root, version, gone, only).join(keys, KEY, "left_semi")
+    return _doc_terms(spark, root, version, gone, only, keys)
 
 
 def _moved(old: DataFrame, new: DataFrame | None) -> DataFrame:
@@ -155,11 +157,11 @@ def upsert_index(spark: SparkSession, root: str, changed: DataFrame, **settings:
     version = v.read_version(spark, root)
     stem, _, _ = _settings(version)
     name, folder = v.new_segment(root)
-    count_terms(analyze(changed, stem)).write.parquet(f"{folder}/doc_terms")
+    v.write_segment(count_terms(analyze(changed, stem)), folder, "doc_terms")
     new = spark.read.schema(_DOC_TERMS).parquet(f"{folder}/doc_terms")
     keys = lookup_side(new.select(*KEY))
-    keys.write.parquet(f"{folder}/gone")
-    _moved(_old(spark, root, version, keys), new).write.parquet(f"{folder}/moved")
+    v.write_segment(keys, folder, "gone")
+    v.write_segment(_moved(_old(spark, root, version, keys), new), folder, "moved")
     return v.publish(spark, root, version.with_segment(name, **settings))
 
 
@@ -168,9 +170,9 @@ def delete_from_index(spark: SparkSession, root: str, ids: DataFrame, **settings
     version = v.read_version(spark, root)
     name, folder = v.new_segment(root)
     old = settle(_old(spark, root, version, lookup_side(ids.select(*KEY).distinct())), "old")
-    old.select(*KEY).write.parquet(f"{folder}/gone")
-    old.limit(0).select("shard_id", "doc_id", "doc_len", "terms").write.parquet(f"{folder}/doc_terms")
-    _moved(old, None).write.parquet(f"{folder}/moved")
+    v.write_segment(old.select(*KEY), folder, "gone")
+    v.write_segment(old.limit(0).select("shard_id", "doc_id", "doc_len", "terms"), folder, "doc_terms")
+    v.write_segment(_moved(old, None), folder, "moved")
     return v.publish(spark, root, version.with_segment(name, **settings))
 
 
@@ -195,17 +197,21 @@ def merge_index(spark: SparkSession, root: str) -> v.Version:
         for (table, s, b), gen in version.parts.items()
         if (s, b) not in (by_id if table == "doc_terms" else by_term)
     }
-    written = v.write_parts(_doc_terms(spark, root, version, gone, by_id), root, "doc_terms", "doc_bucket", ["doc_id"])
-    if many(gone):
-        # What was just written holds every document that counts; nothing has to be joined again.
-        merged = replace(version, parts={**old, **written}, segments=())
-        entries = _spelled(_doc_terms(spark, root, merged, None), version, by_term)
-    else:
-        entries = _postings(spark, root, version, gone, by_term)
-    written |= {
-        **v.write_parts(entries.select(*_PLAIN, "term_bucket"), root, "postings", "term_bucket", ["term", "doc_id"]),
-        **v.write_parts(_term_stats(spark, root, version, by_term), root, "term_stats", "term_bucket", ["term"]),
-    }
+    written = {}
+    for own in v.by_shard(by_id):
+        written |= v.write_parts(_doc_terms(spark, root, version, gone, own), root, "doc_terms", "doc_bucket", ["doc_id"])
+    # What was just written holds every document that counts; with many keys nothing is joined again.
+    merged, by_document = replace(version, parts={**old, **written}, segments=()), many(gone)
+    for own in v.by_shard(by_term):
+        if by_document:
+            shards = {s for s, _ in own}
+            docs = {(s, b) for (table, s, b) in merged.parts if table == "doc_terms" and s in shards}
+            entries = _spelled(_doc_terms(spark, root, merged, None, docs), version, own)
+        else:
+            entries = _postings(spark, root, version, gone, own)
+        entries = entries.select(*_PLAIN, "term_bucket")
+        written |= v.write_parts(entries, root, "postings", "term_bucket", ["term", "doc_id"])
+    written |= v.write_parts(_term_stats(spark, root, version, by_term), root, "term_stats", "term_bucket", ["term"])
     return v.publish(spark, root, replace(version, number=version.number + 1, parts={**old, **written}, segments=()))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.operators.terms import KEY
 from lexiquarry.plans import ingest, sql, terms, views
-from lexiquarry.session import shared_folder
+from lexiquarry.session import freed_shuffles, shared_folder
 from lexiquarry.sources import messages
 from lexiquarry.streaming import index as index_streams
 from lexiquarry.streaming import ingest as ingest_streams
@@ -20,13 +20,15 @@ SECONDS = 1800
 def _stream_of(spark, name, *parts):
     """The frames written to a folder one after the other and read back as a stream.
 
-    Files arrive in the order they were written, a few per micro-batch.
+    Files arrive in the order they were written, a few per micro-batch, and are
+    deleted once the next one starts, for nothing else reads them.
     """
     folder = shared_folder(spark, name)
-    for rows in parts:
-        rows.write.mode("append").parquet(folder)
+    with freed_shuffles(spark):
+        for rows in parts:
+            rows.write.mode("append").parquet(folder)
     stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", "16")
-    return stream.parquet(folder)
+    return stream.option("cleanSource", "delete").parquet(folder)
 
 
 def _finish(query):
@@ -78,7 +80,7 @@ def _indexed(spark, sf):
     stream = _stream_of(spark, "arriving", first, later)
     now = views.moment(views.NOW)
     _finish(
-        index_streams.index_stream(stream, out, shared_folder(spark, "offsets"), now, stem=False)
+        index_streams.index_stream(stream, out, shared_folder(spark, "offsets"), now, stem=False, keep=1)
     )
     return out
 
@@ -100,7 +102,7 @@ def _ingested(spark, sf):
     arrival, now = F.lit(ingest.ARRIVAL), views.moment(views.NOW)
     _finish(ingest_streams.start_ingest(raw, arrival, out, shared_folder(spark, "offsets"), folder=topics))
     docs = messages.read_document_stream(spark, topics)
-    _finish(index_streams.index_stream(docs, out, shared_folder(spark, "offsets"), now, stem=False))
+    _finish(index_streams.index_stream(docs, out, shared_folder(spark, "offsets"), now, stem=False, keep=1))
     return out
 
 

@@ -22,11 +22,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.session import list_paths, lookup_side, remove_folder
+from lexiquarry.session import freed_shuffles, list_paths, lookup_side, remove_folder
 
 KEY = ["shard_id", "doc_id"]
 GONE = "shard_id int, doc_id string"
 
+# A batch keeps what it replaces until the next merge, so stored tables are packed tighter than by Spark's default.
+CODEC = "zstd"
+
 _ROWS = "kind string, name string, shard_id int, bucket int, value string"
 
 
@@ -83,16 +86,18 @@ def read_version(spark: SparkSession, root: str, number: int | None = None) -> V
 def write_parts(rows: DataFrame, root: str, table: str, bucket: str, order: list[str]) -> dict[tuple[str, int, int], str]:
     """Write rows (with shard_id and the bucket column) as a new generation of the partitions they fall in.
 
-    The rebalance hint splits a partition that is too large for a task.
+    The rebalance hint splits a partition that is too large for a task. The
+    generation is named after the shuffle, which need not carry it.
     """
     gen = uuid.uuid4().hex
     spark = rows.sparkSession
     laid_out = (
-        rows.withColumn("gen", F.lit(gen))
-        .hint("rebalance", F.col("shard_id"), F.col(bucket))
+        rows.hint("rebalance", F.col("shard_id"), F.col(bucket))
         .sortWithinPartitions("shard_id", bucket, *order)
+        .withColumn("gen", F.lit(gen))
     )
-    laid_out.write.mode("append").partitionBy("shard_id", bucket, "gen").parquet(f"{root}/{table}")
+    with freed_shuffles(spark):
+        laid_out.write.mode("append").partitionBy("shard_id", bucket, "gen").parquet(f"{root}/{table}", compression=CODEC)
     found = list_paths(spark, f"{root}/{table}/shard_id=*/{bucket}=*/gen={gen}")
     places = [re.search(rf"shard_id=(-?\d+)/{bucket}=(\d+)/gen=", path) for path in found]
     return {(table, int(p[1]), int(p[2])): gen for p in places}
@@ -130,6 +135,12 @@ def new_segment(root: str, name: str | None = None) -> tuple[str, str]:
     return name, f"{root}/segments/{name}"
 
 
+def write_segment(rows: DataFrame, folder: str, table: str) -> None:
+    """Write a table of a segment."""
+    with freed_shuffles(rows.sparkSession):
+        rows.write.parquet(f"{folder}/{table}", compression=CODEC)
+
+
 def read_segments(spark: SparkSession, root: str, version: Version, table: str, schema: T.StructType | str) -> DataFrame | None:
     """Rows of a table of all segments, `segment` being the place of theirs from 1; None if there are none."""
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -168,12 +179,27 @@ def replaced(spark: SparkSession, root: str, version: Version) -> DataFrame | No
     return lookup_side(gone.groupBy(*KEY).agg(F.max("segment").alias("last")))
 
 
-def live(base: DataFrame, pieces: DataFrame | None, gone: DataFrame | None) -> DataFrame:
-    """The rows that count: those of the base and of segments (column `segment`) that no later segment replaces."""
-    if gone is None:
+def live(
+    base: DataFrame, pieces: DataFrame | None, gone: DataFrame | None, keys: DataFrame | None = None
+) -> DataFrame:
+    """The rows that count: those of the base and of segments (column `segment`) that no later segment replaces.
+
+    With `keys` only theirs. Which rows count is told from the keys alone; whole rows are then met with
+    the replaced ones or with the wanted ones, which are mostly few, so that they need no shuffle.
+    """
+    if gone is None and keys is None:
         return base
-    kept = base.join(gone.select(*KEY), KEY, "left_anti")
-    return kept.unionByName(live_pieces(pieces, gone).select(*kept.columns))
+    rows = base.withColumn("segment", F.lit(0))
+    if pieces is not None:
+        rows = rows.unionByName(pieces.select(*rows.columns))
+    place = [*KEY, "segment"]
+    if keys is None:
+        dead = rows.select(*place).join(gone, KEY).where("segment < last").select(*place)
+        return rows.join(lookup_side(dead), place, "left_anti").drop("segment")
+    wanted = rows.select(*place).join(keys.select(*KEY), KEY, "left_semi")
+    if gone is not None:
+        wanted = live_pieces(wanted, gone).select(*place)
+    return rows.join(lookup_side(wanted), place, "left_semi").drop("segment")
 
 
 def live_pieces(pieces: DataFrame, gone: DataFrame) -> DataFrame:
@@ -186,6 +212,18 @@ def touched(rows: DataFrame, bucket: str) -> set[tuple[int, int]]:
     return {(r[0], r[1]) for r in rows.select("shard_id", bucket).distinct().collect()}
 
 
+def by_shard(pairs: Iterable[tuple[int, int]]) -> list[set[tuple[int, int]]]:
+    """(shard, bucket) pairs, a set for each shard.
+
+    Partitions are rewritten shard by shard: rows take more room while they are
+    shuffled than in files, and so only those of one shard take it at a time.
+    """
+    shards: dict[int, set[tuple[int, int]]] = {}
+    for shard, bucket in sorted(pairs):
+        shards.setdefault(shard, set()).add((shard, bucket))
+    return list(shards.values())
+
+
 def within(only: set[tuple[int, int]], bucket: str) -> Column:
     """Whether a row is in one of the partitions; prunes scans by their folders."""
     shards: dict[int, list[int]] = {}

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lexiquarry.operators import stored_documents, stored_index
 from lexiquarry.operators.documents import FIELDS, KEY, latest_versions
 from lexiquarry.operators.index import Index
-from lexiquarry.session import discard, settle
+from lexiquarry.session import passing, settle
 from lexiquarry.sources import versions as v
 from lexiquarry.streaming import log
 
@@ -47,11 +47,14 @@ def index_stream(
     stem: bool = True,
     every: str | None = None,
     merge_after: int = MERGE_AFTER,
+    keep: int | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch of documents into the table and index under `out`.
 
     A batch that is replayed after a failure changes nothing it has already
     changed. `order` tells versions of one document within a batch apart.
+    With `keep`, a merge deletes what only versions before the last `keep` read,
+    so that the tables do not grow with their history; by default all stay.
     """
     _ensure(docs, out, stem)
     documents, index = _folders(out)
@@ -59,23 +62,32 @@ def index_stream(
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         done = {v.batch_name(checkpoint): str(number)}
-        rows = settle(latest_versions(batch, order), "batch")
-        if not v.has_batch(v.read_version(spark, documents), checkpoint, number):
-            stored_documents.upsert_latest(spark, documents, rows, now, **done)
-        if not v.has_batch(v.read_version(spark, index), checkpoint, number):
-            version = stored_index.upsert_index(spark, index, rows, **done)
-            if len(version.segments) >= merge_after:
-                merge(spark, out)
-        discard(rows)
+        with passing(spark):
+            rows = settle(latest_versions(batch, order), "batch")
+            if not v.has_batch(v.read_version(spark, documents), checkpoint, number):
+                stored_documents.upsert_latest(spark, documents, rows, now, **done)
+            version = v.read_version(spark, index)
+            if not v.has_batch(version, checkpoint, number):
+                version = stored_index.upsert_index(spark, index, rows, **done)
+            else:
+                version = None
+        if version and len(version.segments) >= merge_after:
+            merge(spark, out, keep)
 
     return log.run(docs, write, checkpoint, every)
 
 
-def merge(spark: SparkSession, out: str) -> None:
-    """Bring all segments into the layout of the tables."""
+def merge(spark: SparkSession, out: str, keep: int | None = None) -> None:
+    """Bring all segments into the layout of the tables; with `keep`, drop what only versions before the last `keep` read.
+
+    The documents' last version holds the batches the index holds before and after its merge.
+    """
     documents, index = _folders(out)
-    stored_documents.merge_documents(spark, documents)
-    stored_index.merge_index(spark, index)
+    for root, merged in ((documents, stored_documents.merge_documents), (index, stored_index.merge_index)):
+        with passing(spark):
+            merged(spark, root)
+        if keep:
+            v.drop_unused(spark, root, keep)
 
 
 def _in_step(spark: SparkSession, out: str) -> tuple[v.Version, v.Version]:

@@ -225,3 +225,48 @@ def test_empty_tables(spark, docs, tmp_path):
     stored_index.delete_from_index(spark, root, docs(a=""))
     stored_index.merge_index(spark, root)
     assert flat(stored_index.open_index(spark, root)) == ([], [], [])
+
+
+def test_whole_rows_are_met_with_replaced_or_wanted_keys_only(spark, docs, tmp_path, monkeypatch):
+    """Of what segments replace only the few rows that stopped counting, not every key of a segment."""
+    sides, look = [], versions.lookup_side
+
+    def side(rows):
+        sides.append(rows.count())
+        return look(rows)
+
+    monkeypatch.setattr(versions, "lookup_side", side)
+    root = str(tmp_path)
+    frame = docs(**{f"d{k}": f"text {k}" for k in range(20)}, shards=3)
+    stored_index.create_index(frame.limit(0), root)
+    stored_index.upsert_index(spark, root, frame)
+    stored_index.upsert_index(spark, root, docs(d3="late", e="new", shards=3))
+    assert sides[-1] == 1  # of the two keys one was stored
+    version = versions.read_version(spark, root)
+    sides.clear()
+    gone = versions.replaced(spark, root, version)
+    kept = stored_index._doc_terms(spark, root, version, gone)
+    assert sides == [21, 1]
+    assert rows(kept, "doc_id") == sorted((f"d{k}",) for k in range(20)) + [("e",)]
+    assert [r["terms"][0]["term"] for r in kept.where("doc_id = 'd3'").collect()] == ["late"]
+
+
+def test_a_merge_shuffles_one_shard_at_a_time(spark, docs, tmp_path, monkeypatch):
+    written, write = [], versions.write_parts
+
+    def parts(frame, root, table, bucket, order):
+        written.append((table, frame.select("shard_id").distinct().count()))
+        return write(frame, root, table, bucket, order)
+
+    for root, most in ((str(tmp_path / "few"), index.MANY_KEYS), (str(tmp_path / "many"), 0)):
+        monkeypatch.setattr(index, "MANY_KEYS", most)
+        now = {f"d{k}": f"red {'x' * k}" for k in range(20)}
+        stored_index.create_index(docs(**now, shards=3), root, buckets=2, doc_buckets=2)
+        now |= {f"d{k}": f"blue {'y' * k}" for k in range(9)}
+        stored_index.upsert_index(spark, root, docs(**now, shards=3))
+        written.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(versions, "write_parts", parts)
+            stored_index.merge_index(spark, root)
+        assert [n for table, n in written if table != "term_stats"] == [1] * 6
+        assert flat(stored_index.open_index(spark, root)) == flat(index.build_index(docs(**now, shards=3)))

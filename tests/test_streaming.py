@@ -1,12 +1,17 @@
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lexiquarry import session
 from lexiquarry.operators import documents as table
 from lexiquarry.operators import index as index_ops
 from lexiquarry.operators import search, stored_documents, stored_terms
 from lexiquarry.operators import terms as term_ops
 from lexiquarry.operators.ingest import accept
+from lexiquarry.plans import streams
 from lexiquarry.plans.views import moment
 from lexiquarry.sources import messages, versions
 from lexiquarry.streaming import index as index_streams
@@ -251,3 +256,40 @@ def test_a_micro_batch_is_cut_to_last_versions_once(spark, docs, feed, tmp_path,
     batch = seq(docs(a="red", b="blue"), 0).unionByName(seq(docs(a="green"), 1))
     finish(index_streams.index_stream(feed("docs", batch), out, str(tmp_path / "offsets"), moment(NOW)))
     assert rows(index_streams.current_documents(spark, out), "doc_id", "content") == [("a", "green"), ("b", "blue")]
+
+
+def test_a_stream_leaves_no_more_than_its_tables(spark, docs, feed, tmp_path):
+    """With `keep`, merges drop what only older versions read; steps between are deleted after each batch."""
+    out, now = str(tmp_path / "out"), moment(NOW)
+    batches = [seq(docs(**{f"d{k}": f"red {'x' * k}", "d0": f"blue {'y' * k}"}), 0) for k in range(5)]
+    settled = list(session._settled.get(spark.sparkContext.applicationId, []))
+    stream = feed("docs", *batches)
+    finish(index_streams.index_stream(stream, out, str(tmp_path / "offsets"), now, merge_after=2, keep=1))
+    assert session._settled.get(spark.sparkContext.applicationId, []) == settled
+    state = docs().where("false")
+    for batch in batches:
+        state = table.upsert_documents(state, batch, now).drop("status")
+    assert rows(index_streams.current_documents(spark, out), "doc_id", "content") == rows(state, "doc_id", "content")
+    assert flat(index_streams.current_index(spark, out)) == flat(index_ops.build_index(state))
+    for name in ("documents", "index"):
+        root = f"{out}/{name}"
+        assert len(versions.versions(spark, root)) == 2  # the last merge, and the batch after it
+        version = versions.read_version(spark, root)
+        kept = session.list_paths(spark, f"{root}/*/shard_id=*/*/gen=*")
+        assert len(kept) == len(version.parts)
+        assert [p.rsplit("/", 1)[1] for p in session.list_paths(spark, f"{root}/segments/*")] == list(version.segments)
+
+
+def test_files_of_a_stream_are_deleted_once_read(spark, tmp_path):
+    stream = streams._stream_of(spark, "numbers", spark.range(40).repartition(40))
+    seen = []
+    finish(log.run(stream, lambda batch, n: seen.extend(r["id"] for r in batch.collect()), str(tmp_path / "offsets")))
+    assert sorted(seen) == list(range(40))
+    folder = stream._jdf.queryExecution().analyzed().toString()
+    folder = re.search(r"FileSource\[([^\]]+)\]", folder)[1]
+    for _ in range(100):
+        left = session.list_paths(spark, f"{folder}/*.parquet")
+        if len(left) <= 16:
+            break
+        time.sleep(0.1)
+    assert len(left) <= 16  # those of the last batch may stay
