@@ -1,4 +1,5 @@
 import os
+import shutil
 import sys
 
 import pytest
@@ -10,6 +11,8 @@ from lexiquarry.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
+    # A test names its checkpoint relative to the folder of the run; one of an earlier run would be taken up again.
+    shutil.rmtree("here", ignore_errors=True)
     session = build_session(
         "local[4]",
         "tests",
